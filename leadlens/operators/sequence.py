@@ -109,3 +109,21 @@ def next_match(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
     res = same.join(later, keys + [_DAY], "left")
     res = res.withColumn(out, F.coalesce(F.col("_m1"), F.col("_m2")))
     return res.drop(_DAY, "_k", "_sts", "_cand", "_m1", "_m2")
+
+
+def seq_number(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
+               out: str = "seq") -> DataFrame:
+    """1-based position of each row in its key's (ts, tiebreak) order.
+
+    In-day ``row_number`` plus the row count of all earlier days of the key
+    (a running sum over the per-day counts, one row per key and day).
+    """
+    d = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
+    d = d.withColumn("_rn", F.row_number().over(w_in))
+    counts = d.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
+    w_days = (Window.partitionBy(*keys).orderBy(F.col(_DAY))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    base = counts.select(*keys, _DAY, F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_base"))
+    out_df = d.join(base, keys + [_DAY], "left")
+    return out_df.withColumn(out, (F.col("_base") + F.col("_rn")).cast("bigint")).drop(_DAY, "_rn", "_base")
