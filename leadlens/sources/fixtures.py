@@ -26,6 +26,11 @@ FIXTURE_EVENT_STAGE = {"signup": "new", "view": "contacted", "click": "negotiati
 # Fixture responsible users (two ids of the studio-detection rules).
 FIXTURE_USERS = [12112418, 12112458]
 
+# Studio time zones by region key (fixture choice); the studio of region 4 is inactive.
+FIXTURE_STUDIO_TZ = {0: "Africa/Cairo", 1: "America/New_York", 2: "Asia/Tokyo",
+                     3: "Europe/Moscow", 4: "Asia/Dubai"}
+FIXTURE_INACTIVE_REGION = 4
+
 AS_OF_STAR = "2001-08-01"
 AS_OF_EVENTS = "2024-01-31"
 
@@ -172,3 +177,13 @@ def lead_states(t: Tables) -> DataFrame:
 
 def part_types(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("service_id"), F.col("p_type").alias("service_type"))
+
+
+def studios(t: Tables) -> DataFrame:
+    """Studio registry: one row per region."""
+    r = t.region.select("r_regionkey", "r_name")
+    return r.select(
+        F.concat(F.lit("studio_"), F.col("r_regionkey").cast("string")).alias("studio_id"),
+        F.col("r_name").alias("studio_name"),
+        F.element_at(_map_expr(FIXTURE_STUDIO_TZ), F.col("r_regionkey")).alias("timezone"),
+        (F.col("r_regionkey") != FIXTURE_INACTIVE_REGION).alias("is_active"))

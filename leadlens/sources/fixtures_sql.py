@@ -155,6 +155,33 @@ _view("lead_snapshots", ["lead_events"], """
     lead(event_ts) OVER (PARTITION BY studio_id, source, lead_id ORDER BY event_ts, event_id) AS valid_to
   FROM lead_events""")
 
+_view("studios", [], """
+  SELECT 'studio_' || CAST(r_regionkey AS VARCHAR) AS studio_id, r_name AS studio_name,
+    CASE r_regionkey WHEN 0 THEN 'Africa/Cairo' WHEN 1 THEN 'America/New_York' WHEN 2 THEN 'Asia/Tokyo'
+      WHEN 3 THEN 'Europe/Moscow' WHEN 4 THEN 'Asia/Dubai' END AS timezone,
+    r_regionkey <> 4 AS is_active
+  FROM region""")
+
+_view("funnel_stages", [], """
+  SELECT * FROM (VALUES (1, 'new_lead', 'new', 74087434), (1, 'new_lead', 'new', 74087430),
+    (2, 'negotiation', 'active', 74087586), (2, 'negotiation', 'active', 84866070),
+    (3, 'no_answer', 'active', 74087582), (3, 'no_answer', 'active', 84866066),
+    (4, 'visit_scheduled', 'active', 74087590), (5, 'no_show', 'visited', 74087594),
+    (6, 'first_visit_complete', 'visited', NULL), (7, 'not_purchased', 'visited', 74087598),
+    (8, 'deposit_paid', 'closed_won', 84237074), (9, 'success', 'closed_won', 142),
+    (10, 'no_renewal', 'closed_lost', 83303646), (11, 'renewed', 'closed_won', 84237070),
+    (12, 'closed_not_realized', 'closed_lost', 143)) t(stage_order, stage_code, stage_group, status_id)""")
+
+_view("records", ["leads", "bookings", "ad_leads"], """
+  SELECT studio_id, phone, 'amo' AS source, created_at AS ts, 0 AS visit,
+    CAST(NULL AS DECIMAL(18,2)) AS revenue, CAST(lead_id AS VARCHAR) AS rec_id FROM leads WHERE phone_valid
+  UNION ALL
+  SELECT studio_id, phone, 'yclients', visit_ts, CASE WHEN status = 'visited' THEN 1 ELSE 0 END,
+    CASE WHEN status = 'visited' THEN amount END, CAST(booking_id AS VARCHAR) FROM bookings WHERE phone_valid
+  UNION ALL
+  SELECT studio_id, phone, 'gsheets', created_at, 0, NULL, CAST(ad_lead_id AS VARCHAR) FROM ad_leads
+  WHERE phone_valid""")
+
 _view("event_stages", [], """
   SELECT * FROM (VALUES ('new', 'New lead', 'new', 0), ('contacted', 'Contact made', 'active', 1),
     ('negotiation', 'Negotiation', 'active', 2), ('booking_made', 'Booking made', 'active', 3),
