@@ -119,6 +119,18 @@ _view("ad_leads", ["lead_base"], f"""
     CASE WHEN length(lower(trim(utm_source))) > 0 THEN lower(trim(utm_source)) END AS channel
   FROM lead_base WHERE lead_id % 10 <> 3""")
 
+_view("leads_enriched", ["leads", "ad_leads"], """
+  SELECT l.*, a.channel AS ad_source, a.utm_campaign AS ad_campaign,
+    coalesce(CASE WHEN length(lower(trim(l.utm_source))) > 0 THEN lower(trim(l.utm_source)) END, a.channel) AS utm_enriched,
+    coalesce(CASE WHEN length(lower(trim(l.utm_source))) > 0 THEN lower(trim(l.utm_source)) END, a.channel) IS NULL
+      AS ad_channel_unknown,
+    (a.channel IS NOT NULL OR a.utm_campaign IS NOT NULL) AS from_ads
+  FROM leads l LEFT JOIN (
+    SELECT * FROM (SELECT studio_id, phone, channel, utm_campaign,
+      row_number() OVER (PARTITION BY studio_id, phone ORDER BY created_at DESC, ad_lead_id DESC) AS rn
+      FROM ad_leads WHERE phone_valid) WHERE rn = 1) a
+  ON a.studio_id = l.studio_id AND a.phone = l.phone""")
+
 _view("ad_spend", ["lead_base"], """
   SELECT lead_id AS spend_id, studio_id, CAST(created_at AS DATE) AS expense_date,
     utm_source AS channel, CAST(500 + lead_id % 1000 AS DECIMAL(18,2)) AS amount
