@@ -1,3 +1,3 @@
 """Query catalogue: each module registers Spark queries with their oracle SQL."""
 
-from leadlens.catalog import events_q, metrics_q, normalize_q, reconcile_q, rules_q  # noqa: F401
+from leadlens.catalog import alerts_q, events_q, metrics_q, normalize_q, reconcile_q, rules_q  # noqa: F401
