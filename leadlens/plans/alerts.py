@@ -130,11 +130,11 @@ def resolve_gates(gates: DataFrame, acks: DataFrame) -> DataFrame:
     """A-19: apply acknowledgements (studio_id, alert_id, ack_by, ack_at) to open gates."""
     a = acks.groupBy("studio_id", "alert_id").agg(F.max(F.struct("ack_at", "ack_by")).alias("_a"))
     j = gates.join(a, ["studio_id", "alert_id"], "left")
-    hit = F.col("_a").isNotNull() & (F.col("status") == "open")
-    return (j.withColumn("status", F.when(hit, "resolved").otherwise(F.col("status")))
-            .withColumn("resolved_at", F.when(hit, F.col("_a.ack_at")))
-            .withColumn("ack_by", F.when(hit, F.col("_a.ack_by")))
-            .drop("_a"))
+    j = j.withColumn("_hit", F.col("_a").isNotNull() & (F.col("status") == "open"))
+    return (j.withColumn("status", F.when(F.col("_hit"), "resolved").otherwise(F.col("status")))
+            .withColumn("resolved_at", F.when(F.col("_hit"), F.col("_a.ack_at")))
+            .withColumn("ack_by", F.when(F.col("_hit"), F.col("_a.ack_by")))
+            .drop("_a", "_hit"))
 
 
 def escalations(recon: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def for_studios(df: DataFrame, studios: DataFrame | None) -> DataFrame:
 
 def _utm(fields: Column, code: str) -> Column:
     hit = F.filter(fields, lambda x: x["field_code"] == F.lit(code.upper()))
-    return F.element_at(F.element_at(hit, 1)["values"], 1)["value"]
+    return F.try_element_at(F.try_element_at(hit, F.lit(1))["values"], F.lit(1))["value"]
 
 
 def scan_crm(spark: SparkSession, path: str, studios: DataFrame | None = None,
@@ -90,8 +90,8 @@ def scan_bookings(spark: SparkSession, path: str, studios: DataFrame | None = No
     out = r.select(
         F.col("r.id").alias("booking_id"), "studio_id", F.col("r.client.id").alias("client_ref"),
         F.col("r.client.name").alias("client_name"), F.col("r.client.phone").alias("client_phone"),
-        F.element_at("r.services", 1)["id"].alias("service_id"),
-        F.element_at("r.services", 1)["title"].alias("service_name"),
+        F.try_element_at("r.services", F.lit(1))["id"].alias("service_id"),
+        F.try_element_at("r.services", F.lit(1))["title"].alias("service_name"),
         F.col("r.staff_id").alias("master_id"), F.col("r.staff_name").alias("master_name"),
         visit_ts.alias("visit_ts"),
         F.aggregate("r.services", F.lit(0.0), lambda acc, s: acc + F.coalesce(s["cost"], F.lit(0.0)))
