@@ -31,44 +31,40 @@ def prev_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
     Order is (ts, tiebreak); the first row of a key gets NULLs.
     """
     carried = [ts] + [v for v in values if v != ts]
-    d = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    base = df.withColumn(_DAY, F.to_date(F.col(ts)))
     w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
-    d = d.withColumn("_seq_first", F.lag(F.lit(1)).over(w_in).isNull())
-    for c in carried:
-        d = d.withColumn(prefix + c, F.lag(F.col(c)).over(w_in))
-    last = (df.withColumn(_DAY, F.to_date(F.col(ts)))
-            .groupBy(*keys, _DAY)
+    d = base.select("*", F.lag(F.lit(1)).over(w_in).isNull().alias("_seq_first"),
+                    *[F.lag(F.col(c)).over(w_in).alias(prefix + c) for c in carried])
+    last = (base.groupBy(*keys, _DAY)
             .agg(F.max(F.struct(F.col(ts).alias("_o1"), F.col(tiebreak).alias("_o2"),
                                 *[F.col(c).alias("v_" + c) for c in carried])).alias("_last")))
     w_days = Window.partitionBy(*keys).orderBy(F.col(_DAY))
     carry = last.select(*keys, _DAY, F.lag("_last").over(w_days).alias("_carry"))
     out = d.join(carry, keys + [_DAY], "left")
-    for c in carried:
-        out = out.withColumn(prefix + c, F.when(F.col("_seq_first"), F.col("_carry.v_" + c))
-                             .otherwise(F.col(prefix + c)))
-    return out.drop("_seq_first", "_carry", _DAY)
+    fixed = {prefix + c: F.when(F.col("_seq_first"), F.col("_carry.v_" + c)).otherwise(F.col(prefix + c))
+             for c in carried}
+    return out.select(*[fixed.get(c, F.col(c)).alias(c) for c in d.columns
+                        if c not in ("_seq_first", _DAY)])
 
 
 def next_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
              values: list[str], prefix: str = "next_") -> DataFrame:
     """Add ``prefix+ts`` and ``prefix+v`` = the next row of the same key (NULL for the last)."""
     carried = [ts] + [v for v in values if v != ts]
-    d = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    base = df.withColumn(_DAY, F.to_date(F.col(ts)))
     w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
-    d = d.withColumn("_seq_last", F.lead(F.lit(1)).over(w_in).isNull())
-    for c in carried:
-        d = d.withColumn(prefix + c, F.lead(F.col(c)).over(w_in))
-    first = (df.withColumn(_DAY, F.to_date(F.col(ts)))
-             .groupBy(*keys, _DAY)
+    d = base.select("*", F.lead(F.lit(1)).over(w_in).isNull().alias("_seq_last"),
+                    *[F.lead(F.col(c)).over(w_in).alias(prefix + c) for c in carried])
+    first = (base.groupBy(*keys, _DAY)
              .agg(F.min(F.struct(F.col(ts).alias("_o1"), F.col(tiebreak).alias("_o2"),
                                  *[F.col(c).alias("v_" + c) for c in carried])).alias("_first")))
     w_days = Window.partitionBy(*keys).orderBy(F.col(_DAY))
     carry = first.select(*keys, _DAY, F.lead("_first").over(w_days).alias("_carry"))
     out = d.join(carry, keys + [_DAY], "left")
-    for c in carried:
-        out = out.withColumn(prefix + c, F.when(F.col("_seq_last"), F.col("_carry.v_" + c))
-                             .otherwise(F.col(prefix + c)))
-    return out.drop("_seq_last", "_carry", _DAY)
+    fixed = {prefix + c: F.when(F.col("_seq_last"), F.col("_carry.v_" + c)).otherwise(F.col(prefix + c))
+             for c in carried}
+    return out.select(*[fixed.get(c, F.col(c)).alias(c) for c in d.columns
+                        if c not in ("_seq_last", _DAY)])
 
 
 def next_match(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
@@ -83,32 +79,30 @@ def next_match(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
     """
     cand = F.struct(F.col(right_ts).alias("ts"), F.col(right_tiebreak).alias("tb"),
                     *[F.col(v) for v in right_values])
-    lft = (left.withColumn(_DAY, F.to_date(F.col(left_ts)))
-           .withColumn("_k", F.lit(1))
-           .withColumn("_sts", F.col(left_ts)))
     rgt = right.select(*_cols(keys), F.to_date(F.col(right_ts)).alias(_DAY), F.lit(0).alias("_k"),
                        F.col(right_ts).alias("_sts"), cand.alias("_cand"))
-    lft = lft.withColumn("_cand", F.lit(None).cast(rgt.schema["_cand"].dataType))
+    ctype = rgt.schema["_cand"].dataType
+    lft = left.select("*", F.to_date(F.col(left_ts)).alias(_DAY), F.lit(1).alias("_k"),
+                      F.col(left_ts).alias("_sts"), F.lit(None).cast(ctype).alias("_cand"))
     u = lft.unionByName(rgt, allowMissingColumns=True)
     w_same = (Window.partitionBy(*keys, _DAY)
               .orderBy(F.col("_sts").desc(), F.col("_k").asc(), F.col("_cand.tb").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    same = (u.withColumn("_m1", F.last("_cand", ignorenulls=True).over(w_same))
+    same = (u.select("*", F.last("_cand", ignorenulls=True).over(w_same).alias("_m1"))
             .filter(F.col("_k") == 1))
     # later days: earliest candidate per (key, day) vs. distinct left days
-    rday = rgt.groupBy(*keys, _DAY).agg(F.min("_cand").alias("_cand")).withColumn("_k", F.lit(0))
-    lday = (left.select(*_cols(keys), F.to_date(F.col(left_ts)).alias(_DAY)).distinct()
-            .withColumn("_k", F.lit(1))
-            .withColumn("_cand", F.lit(None).cast(rgt.schema["_cand"].dataType)))
+    # per-(key, day) summaries, partially aggregated before their shuffle
+    rday = rgt.groupBy(*keys, _DAY).agg(F.lit(0).alias("_k"), F.min("_cand").alias("_cand"))
+    lday = (lft.select(*keys, _DAY).distinct()
+            .select(*keys, _DAY, F.lit(1).alias("_k"), F.lit(None).cast(ctype).alias("_cand")))
     w_days = (Window.partitionBy(*keys).orderBy(F.col(_DAY).desc(), F.col("_k").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     later = (lday.unionByName(rday)
-             .withColumn("_m2", F.last("_cand", ignorenulls=True).over(w_days))
+             .select(*keys, _DAY, "_k", F.last("_cand", ignorenulls=True).over(w_days).alias("_m2"))
              .filter(F.col("_k") == 1)
              .select(*keys, _DAY, "_m2"))
     res = same.join(later, keys + [_DAY], "left")
-    res = res.withColumn(out, F.coalesce(F.col("_m1"), F.col("_m2")))
-    return res.drop(_DAY, "_k", "_sts", "_cand", "_m1", "_m2")
+    return res.select(*[F.col(c) for c in left.columns], F.coalesce(F.col("_m1"), F.col("_m2")).alias(out))
 
 
 def seq_number(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
@@ -118,10 +112,10 @@ def seq_number(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
     In-day ``row_number`` plus the row count of all earlier days of the key
     (a running sum over the per-day counts, one row per key and day).
     """
-    d = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    base = df.withColumn(_DAY, F.to_date(F.col(ts)))
     w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
-    d = d.withColumn("_rn", F.row_number().over(w_in))
-    counts = d.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
+    d = base.withColumn("_rn", F.row_number().over(w_in))
+    counts = base.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))
     w_days = (Window.partitionBy(*keys).orderBy(F.col(_DAY))
               .rowsBetween(Window.unboundedPreceding, -1))
     base = counts.select(*keys, _DAY, F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_base"))

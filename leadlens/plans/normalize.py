@@ -65,22 +65,18 @@ def attach_booking(leads: DataFrame, bookings: DataFrame) -> DataFrame:
     (a junk phone would otherwise join everything).
     """
     right = bookings.filter(F.col("phone_valid")).select(
-        "studio_id", "phone", "visit_ts", "booking_id", "status", "amount")
-    lv = leads.filter(F.col("phone_valid"))
-    li = leads.filter(~F.col("phone_valid"))
-    m = next_match(lv, right, ["studio_id", "phone"], "created_at", "visit_ts", "booking_id",
+        "studio_id", F.col("phone").alias("_mk"), "visit_ts", "booking_id", "status", "amount")
+    # an invalid phone gets a key of its own that no booking carries: it cannot
+    # match, and the junk phones do not pile up in one group
+    left = leads.withColumn("_mk", F.when(F.col("phone_valid"), F.col("phone"))
+                            .otherwise(F.concat(F.lit("!"), F.col("lead_id").cast("string"))))
+    m = next_match(left, right, ["studio_id", "_mk"], "created_at", "visit_ts", "booking_id",
                    ["status", "amount"], out="_bk")
-    m = m.select(*leads.columns,
-                 F.col("_bk.tb").alias("yc_booking_id"),
-                 F.col("_bk.ts").alias("booking_ts"),
-                 F.col("_bk.status").alias("booking_status"),
-                 F.col("_bk.amount").alias("booking_amount"))
-    nomatch = li.select(*leads.columns,
-                        F.lit(None).cast("bigint").alias("yc_booking_id"),
-                        F.lit(None).cast("timestamp_ntz").alias("booking_ts"),
-                        F.lit(None).cast("string").alias("booking_status"),
-                        F.lit(None).cast("decimal(18,2)").alias("booking_amount"))
-    return m.unionByName(nomatch)
+    return m.select(*leads.columns,
+                    F.col("_bk.tb").alias("yc_booking_id"),
+                    F.col("_bk.ts").alias("booking_ts"),
+                    F.col("_bk.status").alias("booking_status"),
+                    F.col("_bk.amount").alias("booking_amount"))
 
 
 def prepared_ad_leads(t: fx.Tables) -> DataFrame:
