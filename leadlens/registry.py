@@ -23,12 +23,15 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir)
         self._memo: dict[str, DataFrame] = {}
 
     def get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A staging table: written once per run, then read (see ``plans/staging.py``)."""
         if name not in self._memo:
-            self._memo[name] = build()
+            from leadlens.plans.staging import staged
+            self._memo[name] = staged(self.spark, self.sf_dir, name, build)
         return self._memo[name]
 
     # common prepared inputs -------------------------------------------------
