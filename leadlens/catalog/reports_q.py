@@ -170,3 +170,88 @@ WHERE rn = 1 GROUP BY ALL""", views=[("vis", VIS)])
 def f03(ctx):
     """Weekly feed {studio, week, master_id, new_clients}."""
     return M.new_clients_by_master(ctx.bookings)
+
+
+LTV_VIEWS = [("fl", """SELECT studio_id, phone, created_at AS first_seen_at, coalesce(utm_source, 'unknown') AS channel
+  FROM (SELECT *, row_number() OVER (PARTITION BY studio_id, phone ORDER BY created_at, lead_id) AS rn
+        FROM leads WHERE phone_valid) WHERE rn = 1"""),
+             ("ltv", """SELECT c.studio_id, c.channel, round(CAST(coalesce(sum(r.rev), 0) AS DOUBLE) / count(*), 2) AS ltv
+  FROM fl c LEFT JOIN (
+    SELECT v.studio_id, v.phone, sum(v.amount) AS rev FROM bookings v JOIN fl f ON f.studio_id = v.studio_id AND f.phone = v.phone
+    WHERE v.status = 'visited' AND v.phone_valid AND v.visit_ts >= f.first_seen_at
+      AND v.visit_ts < f.first_seen_at + INTERVAL 6 MONTH GROUP BY ALL) r
+    ON r.studio_id = c.studio_id AND r.phone = c.phone GROUP BY ALL""")]
+
+
+@query("f02_feed_finance", """SELECT e.studio_id, e.month, e.channel, round(e.spend / NULLIF(e.buyers, 0), 2) AS cac,
+  l.ltv, round(100.0 * ((e.revenue - e.spend) / NULLIF(e.spend, 0)), 1) AS romi, e.revenue
+FROM econ e LEFT JOIN ltv l ON l.studio_id = e.studio_id AND l.channel = e.channel""",
+       views=[("econ", ECON_SQL)] + LTV_VIEWS)
+def f02(ctx):
+    """Monthly finance feed {studio, month, channel, cac, ltv, romi, revenue}."""
+    econ = M.channel_economics(ctx.leads_booked, fx.ad_spend(ctx.t))
+    ltv = M.ltv(ctx.leads, ctx.bookings).select("studio_id", "channel", "ltv")
+    return econ.join(ltv, ["studio_id", "channel"], "left").select(
+        "studio_id", "month", "channel", "cac", "ltv", "romi", "revenue")
+
+
+@query("f04_feed_quality", f"""SELECT studio_id, month, channel,
+  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion,
+  CAST(sum(booking_amount) FILTER (WHERE booking_status = 'visited') AS DOUBLE)
+        / NULLIF(count(*) FILTER (WHERE booking_status = 'visited'), 0) AS avg_check,
+  {PCT("count(*) FILTER (WHERE visits >= 2)", "count(*)")} AS retention
+FROM (SELECT l.*, CAST(date_trunc('month', l.created_at) AS DATE) AS month, coalesce(l.utm_source, 'unknown') AS channel,
+        cv.visits
+      FROM leads_booked l LEFT JOIN (SELECT studio_id, phone, count(*) AS visits FROM bookings
+        WHERE status = 'visited' AND phone_valid GROUP BY ALL) cv ON cv.studio_id = l.studio_id AND cv.phone = l.phone)
+GROUP BY studio_id, month, channel""")
+def f04(ctx):
+    """Monthly quality feed {studio, month, channel, conversion, avg_check, retention}."""
+    return M.traffic_quality(ctx.leads_booked, ctx.bookings).select(
+        "studio_id", "month", "channel", "conversion", "avg_check", "retention")
+
+
+@query("f05_feed_summary", f"""SELECT {ALL()}, {WEEK.format('created_at')} AS week_start, count(*) AS leads,
+  count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
+  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion
+FROM leads_booked GROUP BY GROUPING SETS ((studio_id, {WEEK.format('created_at')}), ({WEEK.format('created_at')}))""")
+def f05(ctx):
+    """Weekly summary feed per studio and 'all': leads, bookings, conversion."""
+    from leadlens.operators.grouping import with_consolidated
+    l = ctx.leads_booked.withColumn("week_start", F.to_date(F.date_trunc("week", "created_at")))
+    g = with_consolidated(l, "studio_id", ["week_start"], [
+        F.count(F.lit(1)).alias("leads"), F.count_if(F.col("yc_booking_id").isNotNull()).alias("bookings")])
+    return g.withColumn("conversion", M.pct("bookings", "leads"))
+
+
+@query("q04_source_ranking_all", """SELECT 'all' AS studio_id, utm_source, count(*) AS leads,
+  row_number() OVER (ORDER BY count(*) DESC, utm_source ASC NULLS LAST) AS rank
+FROM leads GROUP BY utm_source""")
+def q04(ctx):
+    """source_ranking() across all studios (ranking window over the aggregated sources only)."""
+    l = ctx.leads.withColumn("studio_id", F.lit("all"))
+    return M.source_ranking(l)
+
+
+@query("q07_weak_channels_all", f"""SELECT * FROM (SELECT 'all' AS studio_id, utm_source, count(*) AS leads,
+  count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
+  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion
+FROM leads_booked GROUP BY utm_source) WHERE conversion < 95""")
+def q07(ctx):
+    """weak_channels(threshold=95) across all studios."""
+    l = ctx.leads_booked.withColumn("studio_id", F.lit("all"))
+    return M.weak_channels(l, 95.0)
+
+
+@query("q09_channels_all", """SELECT * FROM (SELECT
+  CASE WHEN grouping(studio_id) = 1 THEN 'all' ELSE studio_id END AS studio_id,
+  CASE WHEN grouping(channel) = 1 THEN 'all' ELSE channel END AS channel,
+  CAST(sum(leads) AS BIGINT) AS leads, CAST(sum(buyers) AS BIGINT) AS buyers,
+  round(sum(revenue), 2) AS revenue, round(sum(spend), 2) AS spend,
+  round(round(sum(spend), 2) / NULLIF(CAST(sum(buyers) AS BIGINT), 0), 2) AS cac,
+  round(100.0 * ((round(sum(revenue), 2) - round(sum(spend), 2)) / NULLIF(round(sum(spend), 2), 0)), 1) AS romi
+FROM econ GROUP BY ROLLUP (studio_id, channel)) WHERE studio_id = 'all'""", views=[("econ", ECON_SQL)])
+def q09(ctx):
+    """channels(): the network-wide channel rows of the channel report."""
+    rep = P.report_channels(M.channel_economics(ctx.leads_booked, fx.ad_spend(ctx.t)))
+    return rep.filter(F.col("studio_id") == "all")
