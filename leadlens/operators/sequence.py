@@ -18,6 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _DAY = "_seq_day"
+BUCKET = "day"
+
+
+def _bucket(ts: str, unit: str | None) -> Column:
+    """Time bucket of a row; 'day' by default, any ``date_trunc`` unit (e.g. 'hour')."""
+    unit = unit or BUCKET
+    return F.to_date(F.col(ts)) if unit == "day" else F.date_trunc(unit, F.col(ts))
 
 
 def _cols(names):
@@ -25,13 +32,13 @@ def _cols(names):
 
 
 def prev_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
-             values: list[str], prefix: str = "prev_") -> DataFrame:
+             values: list[str], prefix: str = "prev_", bucket: str | None = None) -> DataFrame:
     """Add ``prefix+ts`` and ``prefix+v`` = the previous row of the same key.
 
     Order is (ts, tiebreak); the first row of a key gets NULLs.
     """
     carried = [ts] + [v for v in values if v != ts]
-    base = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    base = df.withColumn(_DAY, _bucket(ts, bucket))
     w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
     d = base.select("*", F.lag(F.lit(1)).over(w_in).isNull().alias("_seq_first"),
                     *[F.lag(F.col(c)).over(w_in).alias(prefix + c) for c in carried])
@@ -48,10 +55,10 @@ def prev_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
 
 
 def next_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
-             values: list[str], prefix: str = "next_") -> DataFrame:
+             values: list[str], prefix: str = "next_", bucket: str | None = None) -> DataFrame:
     """Add ``prefix+ts`` and ``prefix+v`` = the next row of the same key (NULL for the last)."""
     carried = [ts] + [v for v in values if v != ts]
-    base = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    base = df.withColumn(_DAY, _bucket(ts, bucket))
     w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
     d = base.select("*", F.lead(F.lit(1)).over(w_in).isNull().alias("_seq_last"),
                     *[F.lead(F.col(c)).over(w_in).alias(prefix + c) for c in carried])
@@ -69,7 +76,7 @@ def next_row(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
 
 def next_match(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
                right_ts: str, right_tiebreak: str, right_values: list[str],
-               out: str = "match") -> DataFrame:
+               out: str = "match", bucket: str | None = None) -> DataFrame:
     """Forward as-of join.
 
     For every left row, the right row with equal ``keys`` and the smallest
@@ -79,10 +86,10 @@ def next_match(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
     """
     cand = F.struct(F.col(right_ts).alias("ts"), F.col(right_tiebreak).alias("tb"),
                     *[F.col(v) for v in right_values])
-    rgt = right.select(*_cols(keys), F.to_date(F.col(right_ts)).alias(_DAY), F.lit(0).alias("_k"),
+    rgt = right.select(*_cols(keys), _bucket(right_ts, bucket).alias(_DAY), F.lit(0).alias("_k"),
                        F.col(right_ts).alias("_sts"), cand.alias("_cand"))
     ctype = rgt.schema["_cand"].dataType
-    lft = left.select("*", F.to_date(F.col(left_ts)).alias(_DAY), F.lit(1).alias("_k"),
+    lft = left.select("*", _bucket(left_ts, bucket).alias(_DAY), F.lit(1).alias("_k"),
                       F.col(left_ts).alias("_sts"), F.lit(None).cast(ctype).alias("_cand"))
     u = lft.unionByName(rgt, allowMissingColumns=True)
     w_same = (Window.partitionBy(*keys, _DAY)
@@ -106,13 +113,13 @@ def next_match(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
 
 
 def seq_number(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
-               out: str = "seq") -> DataFrame:
+               out: str = "seq", bucket: str | None = None) -> DataFrame:
     """1-based position of each row in its key's (ts, tiebreak) order.
 
     In-day ``row_number`` plus the row count of all earlier days of the key
     (a running sum over the per-day counts, one row per key and day).
     """
-    base = df.withColumn(_DAY, F.to_date(F.col(ts)))
+    base = df.withColumn(_DAY, _bucket(ts, bucket))
     w_in = Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
     d = base.withColumn("_rn", F.row_number().over(w_in))
     counts = base.groupBy(*keys, _DAY).agg(F.count(F.lit(1)).alias("_n"))

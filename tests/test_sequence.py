@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from leadlens.operators.dedupe import latest_per_key
@@ -15,17 +17,18 @@ def _rows(n=400, seed=7):
     out = []
     for i in range(n):
         key = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 9)}"
-        ts = base + dt.timedelta(hours=rnd.randint(0, 24 * 6))  # many ties and several days
+        ts = base + dt.timedelta(minutes=30 * rnd.randint(0, 48 * 6))  # ties, several hours and days
         out.append((key, ts, i, rnd.choice("abc")))
     return out
 
 
-def test_prev_next_seq(spark):
+@pytest.mark.parametrize("bucket", ["day", "hour"])
+def test_prev_next_seq(spark, bucket):
     rows = _rows()
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long, v string")
-    p = {r["id"]: (r["prev_ts"], r["prev_v"]) for r in prev_row(df, ["k"], "ts", "id", ["v"]).collect()}
-    n = {r["id"]: (r["next_ts"], r["next_v"]) for r in next_row(df, ["k"], "ts", "id", ["v"]).collect()}
-    s = {r["id"]: r["seq"] for r in seq_number(df, ["k"], "ts", "id").collect()}
+    p = {r["id"]: (r["prev_ts"], r["prev_v"]) for r in prev_row(df, ["k"], "ts", "id", ["v"], bucket=bucket).collect()}
+    n = {r["id"]: (r["next_ts"], r["next_v"]) for r in next_row(df, ["k"], "ts", "id", ["v"], bucket=bucket).collect()}
+    s = {r["id"]: r["seq"] for r in seq_number(df, ["k"], "ts", "id", bucket=bucket).collect()}
     by_key = {}
     for r in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         by_key.setdefault(r[0], []).append(r)
@@ -38,7 +41,8 @@ def test_prev_next_seq(spark):
             assert s[r[2]] == i + 1
 
 
-def test_next_match(spark):
+@pytest.mark.parametrize("bucket", ["day", "hour"])
+def test_next_match(spark, bucket):
     rnd = random.Random(3)
     base = dt.datetime(2024, 1, 1)
     left = [("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 4)}", base + dt.timedelta(hours=rnd.randint(0, 200)), i)
@@ -48,7 +52,7 @@ def test_next_match(spark):
     L = spark.createDataFrame(left, "k string, t timestamp_ntz, lid long")
     R = spark.createDataFrame(right, "k string, rt timestamp_ntz, rid long, pay string")
     got = {r["lid"]: (r["m"]["ts"], r["m"]["tb"]) if r["m"] else None
-           for r in next_match(L, R, ["k"], "t", "rt", "rid", ["pay"], out="m").collect()}
+           for r in next_match(L, R, ["k"], "t", "rt", "rid", ["pay"], out="m", bucket=bucket).collect()}
     assert len(got) == len(left)
     for k, t, lid in left:
         cands = sorted((rt, rid) for rk, rt, rid, _ in right if rk == k and rt >= t)
