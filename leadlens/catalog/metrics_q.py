@@ -383,3 +383,18 @@ WHERE l.status_id = 83303646 AND l.phone_valid
 def m30(ctx):
     """Not-renewed clients with their visit history (services capped at 5)."""
     return M.lapsed_history(ctx.leads, ctx.bookings, AS_OF_STAR, int(C.DEFAULT_THRESHOLDS["lapsed_days"]))
+
+
+@query("m31_channel_quality", f"""SELECT e.*, {CPL}, {ROMI}, q.quality_score FROM econ e LEFT JOIN (
+  SELECT studio_id, month, channel,
+    round({PCT("count(*) FILTER (WHERE visits >= 2)", "count(*)")} / 100.0, 4) AS quality_score
+  FROM (SELECT l.*, {MONTH.format('l.created_at')} AS month, coalesce(l.utm_source, 'unknown') AS channel, cv.visits
+        FROM leads_booked l LEFT JOIN cv ON cv.studio_id = l.studio_id AND cv.phone = l.phone)
+  GROUP BY studio_id, month, channel) q
+ON q.studio_id = e.studio_id AND q.month = e.month AND q.channel = e.channel""",
+       views=[("econ", ECON_SQL), ("cv", CV_SQL)])
+def m31(ctx):
+    """Channel ROI with a data-derived channel quality score carried as a column."""
+    econ = M.channel_economics(ctx.leads_booked, fx.ad_spend(ctx.t))
+    scores = M.quality_scores(M.traffic_quality(ctx.leads_booked, ctx.bookings))
+    return M.with_quality(econ, scores)

@@ -419,3 +419,19 @@ def lapsed_history(leads: DataFrame, bookings: DataFrame, as_of: str, days: int,
     return j.select("studio_id", "lead_id", "phone", "visit_count", "last_visit", "days_since",
                     F.array_join(F.transform("_svc", lambda x: x.cast("string")), ",").alias("services"),
                     "masters")
+
+
+def quality_scores(traffic: DataFrame) -> DataFrame:
+    """Channel quality score per studio, month and channel (ours): the share of a
+    channel's leads whose client came back, as a 0..1 factor."""
+    return traffic.select("studio_id", "month", "channel",
+                          F.round(F.col("retention") / F.lit(100.0), 4).alias("quality_score"))
+
+
+def with_quality(df: DataFrame, scores: DataFrame) -> DataFrame:
+    """M-31: carry the quality score on channel metrics (no reweighting).
+
+    The score table has one row per studio, month and channel, so the left join
+    is one-to-one; its size follows the data, so the planner picks the strategy.
+    """
+    return df.join(scores, ["studio_id", "month", "channel"], "left")

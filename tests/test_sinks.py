@@ -57,3 +57,42 @@ def test_scan_crm_and_spend(spark, tmp_dir):
         f.write("expense_date,article,amount,channel\n2024-01-02,ads,100.50,vk\nnot-a-date,ads,x,vk\n")
     sp = S.scan_spend(spark, spend_dir).collect()
     assert len(sp) == 2 and sum(1 for r in sp if r._corrupt_record is not None) == 1
+
+
+def test_scan_bookings_adleads_payload_and_metric_write(spark, tmp_dir):
+    from leadlens.plans import reconcile as R
+    from leadlens.sources.sinks import write_metric
+    bdir = os.path.join(tmp_dir, "yc")
+    os.makedirs(bdir)
+    page = {"studio_id": "studio_a", "load_date": "2024-01-03", "data": [
+        {"id": 7, "client": {"id": 1, "name": "Anna", "phone": "89997721079"},
+         "services": [{"id": 11, "title": "massage", "cost": 1500.0}, {"id": 12, "title": "oil", "cost": 200.0}],
+         "staff_id": 5111463, "staff_name": "m", "datetime": "2024-01-05T10:00:00+03:00", "attendance": 1,
+         "paid_full": 1, "comment": "ok"},
+        {"id": 8, "client": {"id": 2, "name": "Oleg", "phone": "9997721078"}, "services": [],
+         "staff_id": 1, "staff_name": "n", "datetime": "2024-02-05T10:00:00+03:00", "attendance": -1,
+         "paid_full": 0, "comment": None}]}
+    with open(os.path.join(bdir, "p.json"), "w") as f:
+        f.write(json.dumps(page) + "\n")
+    b = {r.booking_id: r for r in S.scan_bookings(spark, bdir, frm="2024-01-01", to="2024-12-31").collect()}
+    assert float(b[7].amount) == 1700.0 and b[7].service_id == 11 and str(b[7].visit_ts) == "2024-01-05 10:00:00"
+    assert b[8].service_id is None and float(b[8].amount) == 0.0
+    p = S.with_payload(S.scan_bookings(spark, bdir), {"staff": "$.staff_name"}).filter("booking_id = 7").first()
+    assert p.staff == "m"
+    adir = os.path.join(tmp_dir, "ads")
+    os.makedirs(adir)
+    with open(os.path.join(adir, "a.csv"), "w") as f:
+        f.write("deal_id,source_name,utm_source,utm_campaign,client_name,client_phone,studio_name,created_at\n"
+                "1,ВК,vk,c1,Anna,+79997721079,A,2024-01-02 10:00:00\n")
+    a = S.scan_ad_leads(spark, adir).first()
+    assert a.deal_id == 1 and a.utm_source == "vk"
+    out = os.path.join(tmp_dir, "metric")
+    m = spark.createDataFrame([("s1", 1), ("s2", 2)], "studio_id string, v int")
+    write_metric(m, out, ["studio_id"], "2024-01-31 00:00:00")
+    write_metric(spark.createDataFrame([("s1", 5)], "studio_id string, v int"), out, ["studio_id"], "2024-02-01 00:00:00")
+    got = sorted((r.studio_id, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [("s1", 5), ("s2", 2)]
+    x = spark.createDataFrame([("s1", None, 10), ("s2", "vk", 5)], "studio_id string, ch string, n long")
+    y = spark.createDataFrame([("s1", None, 9), ("s3", "vk", 1)], "studio_id string, ch string, n long")
+    c = {(r.studio_id, r.ch): (r.n_a, r.n_b, r.n_pct) for r in R.compare_totals(x, y, ["studio_id", "ch"], ["n"]).collect()}
+    assert c[("s1", None)] == (10, 9, 10.0) and c[("s2", "vk")] == (5, 0, 100.0) and c[("s3", "vk")] == (0, 1, 100.0)
