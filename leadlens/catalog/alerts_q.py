@@ -8,6 +8,7 @@ from leadlens import config as C
 from leadlens.catalog.metrics_q import ECON_SQL, PCT
 from leadlens.catalog.reconcile_q import r01 as _r01_fn
 from leadlens.catalog.rules_q import CV_SQL
+from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.plans import alerts as AL
 from leadlens.plans import metrics as M
 from leadlens.plans import normalize as N
@@ -123,7 +124,7 @@ def a15(ctx):
     cfg = AL.config_table(ctx.spark, OVERRIDES)
     own = cfg.filter((F.col("key") == "a04_mismatch_max") & (F.col("studio_id") != "all")).select(
         "studio_id", F.lit(True).alias("studio_specific"))
-    out = AL.with_threshold(r, cfg, "a04_mismatch_max").join(F.broadcast(own), "studio_id", "left")
+    out = AL.with_threshold(r, cfg, "a04_mismatch_max").join(bounded_broadcast(own), "studio_id", "left")
     return out.select("studio_id", "threshold", F.coalesce("studio_specific", F.lit(False)).alias("studio_specific"))
 
 

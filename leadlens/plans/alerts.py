@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadlens import config as C
 from leadlens.functions import pct
+from leadlens.operators.broadcast import bounded_broadcast
 
 ALERT_COLS = ["studio_id", "alert_date", "alert_type", "severity", "metric_name", "metric_value", "threshold"]
 
@@ -18,12 +19,17 @@ def config_table(spark, overrides: list[tuple[str, str, float]] | None = None) -
 
 
 def with_threshold(df: DataFrame, cfg: DataFrame, key: str, out: str = "threshold") -> DataFrame:
-    """A-15: per-studio threshold, else the studio 'all' value (two left joins + coalesce)."""
+    """A-15: per-studio threshold, else the studio 'all' value.
+
+    The 'all' default is one scalar of the (small) config table, read once and
+    used as a literal; per-studio values come from a left join on studio_id.
+    """
     c = cfg.filter(F.col("key") == key)
     own = c.filter(F.col("studio_id") != "all").select("studio_id", F.col("value").alias("_own"))
-    dflt = c.filter(F.col("studio_id") == "all").select(F.col("value").alias("_all"))
-    j = df.join(F.broadcast(own), "studio_id", "left").join(F.broadcast(dflt), how="left")
-    return j.withColumn(out, F.coalesce("_own", "_all")).drop("_own", "_all")
+    row = c.filter(F.col("studio_id") == "all").select("value").first()
+    dflt = F.lit(row[0] if row else None).cast("double")
+    j = df.join(bounded_broadcast(own), "studio_id", "left")
+    return j.withColumn(out, F.coalesce(F.col("_own"), dflt)).drop("_own")
 
 
 def _dense_days(daily: DataFrame, date_col: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.functions import ceil_day, week_start
+from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.grouping import with_consolidated
 
 MICROS_PER_HOUR = 3_600_000_000.0
@@ -80,7 +81,7 @@ def entered_exited(snaps: DataFrame) -> DataFrame:
 
 def group_transitions(events: DataFrame, stages: DataFrame) -> DataFrame:
     """T-05: status changes between stage groups (two joins to the fixed stage table)."""
-    st = F.broadcast(stages)
+    st = bounded_broadcast(stages)
     sc = events.filter(F.col("event_type") == "status_changed")
     j = (sc.join(st.select(F.col("stage_code").alias("stage_from"), F.col("stage_group").alias("from_group")),
                  "stage_from")
@@ -93,7 +94,8 @@ def group_transitions(events: DataFrame, stages: DataFrame) -> DataFrame:
 def current_funnel(snaps: DataFrame, stages: DataFrame) -> DataFrame:
     """T-06: leads per stage in their current state, with stage order (per studio and 'all')."""
     cur = snaps.filter(F.col("valid_to").isNull())
-    j = cur.join(F.broadcast(stages), cur.stage == stages.stage_code)
+    st = bounded_broadcast(stages)
+    j = cur.join(st, cur.stage == st.stage_code)
     return with_consolidated(j, "studio_id", ["stage_order", "stage_name"],
                              [F.count(F.lit(1)).alias("lead_count")])
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens import config as C
+from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.sequence import next_row, prev_row, seq_number
 
 LEAD_KEY = ["studio_id", "source", "lead_id"]
@@ -59,7 +60,8 @@ def current_state(snaps: DataFrame) -> DataFrame:
 def leads_from_current(snaps: DataFrame, stages: DataFrame) -> DataFrame:
     """E-07: the current snapshot as a lead row with its stage order and group."""
     cur = current_state(snaps)
-    return (cur.join(F.broadcast(stages), cur.stage == stages.stage_code, "left")
+    st = bounded_broadcast(stages)
+    return (cur.join(st, cur.stage == st.stage_code, "left")
             .select(*LEAD_KEY, "stage", "stage_group", "stage_order",
                     F.col("valid_from").alias("stage_since")))
 
@@ -83,7 +85,7 @@ def funnel_edges(spark) -> DataFrame:
 def illegal_transitions(events: DataFrame, edges: DataFrame) -> DataFrame:
     """E-11: status changes whose (from, to) is not an allowed edge (null-safe anti join)."""
     sc = events.filter(F.col("event_type") == "status_changed")
-    return sc.join(F.broadcast(edges), ["stage_from", "stage_to"], "left_anti")
+    return sc.join(bounded_broadcast(edges), ["stage_from", "stage_to"], "left_anti")
 
 
 def validate_events(events: DataFrame, violations: DataFrame) -> DataFrame:

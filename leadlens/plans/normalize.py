@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leadlens import config as C
 from leadlens.functions import (booking_stage, booking_status, business_date, channel_code,
                                 client_id, normalize_phone, phone_valid, status_code)
+from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.dedupe import latest_per_key
 from leadlens.operators.sequence import next_match
 from leadlens.sources import fixtures as fx
@@ -29,7 +30,7 @@ def event_stage_dim(spark) -> DataFrame:
 
 def map_stage(df: DataFrame, stages: DataFrame, status_col: str = "status_id") -> DataFrame:
     """CRM status id -> stage code/order/group (N-04); unmatched ids become 'unknown'."""
-    s = F.broadcast(stages.filter(F.col("status_id").isNotNull()))
+    s = bounded_broadcast(stages.filter(F.col("status_id").isNotNull()))
     j = df.join(s.withColumnRenamed("status_id", "_sid"), F.col(status_col) == F.col("_sid"), "left")
     return (j.withColumn("stage_code", F.coalesce(F.col("stage_code"), F.lit("unknown")))
             .drop("_sid"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from leadlens import config as C
 from leadlens.functions import pct
+from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.plans.metrics import client_visits
 
 VIOLATION_COLS = ["studio_id", "entity_id", "rule_id", "severity", "detail"]
@@ -175,8 +176,8 @@ def run_rules(leads_booked: DataFrame, bookings: DataFrame, rules: DataFrame, as
     values) are one row per client, joined once; the check type then selects
     the failing condition in a single CASE, so the leads are read once.
     """
-    r = F.broadcast(rules.select("rule_id", F.col("studio_id").alias("rule_studio"), "check_type",
-                                 F.col("c.stage_ids").alias("stage_ids"), "c", "severity"))
+    r = bounded_broadcast(rules.select("rule_id", F.col("studio_id").alias("rule_studio"), "check_type",
+                                       F.explode("c.stage_ids").alias("rule_status"), "c", "severity"))
     l = leads_booked.select("studio_id", "lead_id", "phone", "status_id", "price", "created_at",
                             "closed_at", "booking_status")
     v = bookings.filter("phone_valid")
@@ -184,8 +185,8 @@ def run_rules(leads_booked: DataFrame, bookings: DataFrame, rules: DataFrame, as
         F.count_if(F.col("status") == "visited").alias("visits"),
         F.sum(F.when(F.col("status") == "visited", F.col("amount"))).alias("revenue"),
         F.collect_set("status").alias("statuses_seen"))
-    j = l.join(r, F.array_contains(F.col("stage_ids"), F.col("status_id"))
-               & ((F.col("rule_studio") == "all") | (F.col("rule_studio") == F.col("studio_id"))))
+    j = l.join(r, F.col("status_id") == F.col("rule_status"))
+    j = j.filter((F.col("rule_studio") == "all") | (F.col("rule_studio") == F.col("studio_id")))
     j = j.join(facts, ["studio_id", "phone"], "left")
     statuses = F.col("c.statuses")
     paid = F.coalesce(F.col("revenue"), F.lit(0))
@@ -211,7 +212,7 @@ def run_rules(leads_booked: DataFrame, bookings: DataFrame, rules: DataFrame, as
 
 def rule_alerts(violations: DataFrame, rules: DataFrame) -> DataFrame:
     """V-15: one alert row per failed rule with its template filled in."""
-    r = F.broadcast(rules.select("rule_id", "alert_template"))
+    r = bounded_broadcast(rules.select("rule_id", "alert_template"))
     j = violations.join(r, "rule_id")
     text = F.replace(F.replace(F.col("alert_template"), F.lit("{entity}"), F.col("entity_id")),
                      F.lit("{detail}"), F.coalesce(F.col("detail"), F.lit("")))

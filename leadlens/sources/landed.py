@@ -65,7 +65,9 @@ def scan_crm(spark: SparkSession, path: str, studios: DataFrame | None = None,
     pages = spark.read.schema(CRM_PAGE_SCHEMA).json(path)
     pages = in_period(pages, "load_date", frm, None) if frm else pages
     leads = pages.select("studio_id", "load_date", F.explode("_embedded.leads").alias("l"))
-    ts = lambda c: F.timestamp_seconds(F.col("l." + c)).cast("timestamp_ntz")
+    # epoch seconds -> UTC wall clock, independent of the session time zone
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ts = lambda c: F.timestamp_add("SECOND", F.col("l." + c), epoch)
     out = leads.select(
         F.col("l.id").alias("lead_id"), "studio_id", F.col("l.status_id").alias("status_id"),
         *[_utm(F.col("l.custom_fields_values"), u).alias(u) for u in UTM_FIELDS],

@@ -16,6 +16,7 @@ def _plan(df) -> str:
 def test_plan_shape(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan, name
+    assert "NestedLoopJoin" not in plan, name
     assert "Window [" not in plan or "windowspecdefinition(specifiedwindowframe" not in plan, name
     for line in plan.splitlines():
         if "Window [" in line:
