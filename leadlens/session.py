@@ -49,3 +49,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the bytes a run reads.
+
+    * initial shuffle partitions ~ input / 512 MB (clamped), AQE coalesces
+      small ones and splits skewed ones at run time;
+    * scan splits of 512 MB, so a 100 TB read is ~200k tasks, not millions;
+    * broadcasts only under 64 MB, re-checked by AQE on real sizes;
+    * graceful decommission keeps shuffle blocks when executors go away.
+    """
+    parts = max(2_000, min(200_000, input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    }

@@ -53,3 +53,10 @@ def test_full_name_and_ceil_day(spark):
     ts = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 00:00:00' AS a, TIMESTAMP_NTZ'2024-01-02 00:00:01' AS b")
     r = ts.select(ceil_day("a"), ceil_day("b")).first()
     assert str(r[0]) == "2024-01-02" and str(r[1]) == "2024-01-03"
+
+
+def test_cluster_conf_sizes():
+    from leadlens.session import cluster_conf
+    c = cluster_conf(100 * (1 << 40))
+    assert c["spark.sql.shuffle.partitions"] == str(200_000 if 100 * (1 << 40) // (512 << 20) > 200_000 else 100 * (1 << 40) // (512 << 20))
+    assert cluster_conf(1 << 30)["spark.sql.shuffle.partitions"] == "2000"
