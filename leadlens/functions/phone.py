@@ -31,3 +31,24 @@ def phone_valid(col: Column | str) -> Column:
     """
     d = phone_digits(col)
     return F.coalesce((F.length(d) >= 10) & ~d.rlike(r"^(.)\1*$"), F.lit(False))
+
+
+def normalize_digits(d: Column) -> Column:
+    """``normalize_phone`` for a column that already holds only digits."""
+    out = (F.when((F.length(d) == 11) & d.startswith("8"), F.concat(F.lit("7"), F.substring(d, 2, 10)))
+           .when(F.length(d) == 10, F.concat(F.lit("7"), d))
+           .otherwise(d))
+    return F.when(F.length(d) > 0, out)
+
+
+def digits_valid(d: Column) -> Column:
+    """``phone_valid`` for a column that already holds only digits."""
+    return F.coalesce((F.length(d) >= 10) & ~d.rlike(r"^(.)\1*$"), F.lit(False))
+
+
+def with_phone(df, raw: str = "client_phone"):
+    """Add ``phone`` and ``phone_valid``; the digits are extracted once per row."""
+    d = df.withColumn("_digits", phone_digits(raw))
+    return (d.select("*", normalize_digits(F.col("_digits")).alias("phone"),
+                     digits_valid(F.col("_digits")).alias("phone_valid"))
+            .drop("_digits"))

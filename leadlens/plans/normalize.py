@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leadlens import config as C
 from leadlens.functions import (booking_stage, booking_status, business_date, channel_code,
                                 client_id, normalize_phone, phone_valid, status_code)
+from leadlens.functions.phone import with_phone
 from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.dedupe import latest_per_key
 from leadlens.operators.sequence import next_match
@@ -39,24 +40,18 @@ def map_stage(df: DataFrame, stages: DataFrame, status_col: str = "status_id") -
 def prepared_leads(t: fx.Tables) -> DataFrame:
     """CRM leads with normalised phone, validity, client key, business date, codes."""
     leads = fx.crm_leads(t)
-    leads = latest_per_key(leads, ["studio_id", "lead_id", "source"], ["updated_at"])
-    return (leads
-            .withColumn("phone", normalize_phone("client_phone"))
-            .withColumn("phone_valid", phone_valid("client_phone"))
-            .withColumn("client_id", F.when(F.col("phone_valid"), client_id("studio_id", "phone")))
-            .withColumn("lead_date", business_date("created_at"))
-            .withColumn("status_code", status_code("status_id")))
+    leads = with_phone(latest_per_key(leads, ["studio_id", "lead_id", "source"], ["updated_at"]))
+    return leads.select("*", F.when(F.col("phone_valid"), client_id("studio_id", "phone")).alias("client_id"),
+                        business_date("created_at").alias("lead_date"),
+                        status_code("status_id").alias("status_code"))
 
 
 def prepared_bookings(t: fx.Tables) -> DataFrame:
     """Bookings deduplicated by booking id (latest visit wins, then all columns)."""
     b = fx.bookings(t)
-    b = latest_per_key(b, ["booking_id"], ["visit_ts", "amount"])
-    return (b.withColumn("phone", normalize_phone("client_phone"))
-            .withColumn("phone_valid", phone_valid("client_phone"))
-            .withColumn("status", booking_status("status"))
-            .withColumn("booking_stage", booking_stage("status"))
-            .withColumn("visit_date", F.to_date("visit_ts")))
+    b = with_phone(latest_per_key(b, ["booking_id"], ["visit_ts", "amount"]))
+    b = b.withColumn("status", booking_status("status"))
+    return b.select("*", booking_stage("status").alias("booking_stage"), F.to_date("visit_ts").alias("visit_date"))
 
 
 def attach_booking(leads: DataFrame, bookings: DataFrame) -> DataFrame:
@@ -81,10 +76,8 @@ def attach_booking(leads: DataFrame, bookings: DataFrame) -> DataFrame:
 
 
 def prepared_ad_leads(t: fx.Tables) -> DataFrame:
-    a = fx.ad_leads(t)
-    return (a.withColumn("phone", normalize_phone("client_phone"))
-            .withColumn("phone_valid", phone_valid("client_phone"))
-            .withColumn("channel", channel_code("utm_source")))
+    a = with_phone(fx.ad_leads(t))
+    return a.withColumn("channel", channel_code("utm_source"))
 
 
 def enrich_utm(leads: DataFrame, ad_leads: DataFrame) -> DataFrame:
