@@ -33,3 +33,9 @@ def test_scan_prunes_columns(spark):
         spark.conf.set("leadlens.staging.enabled", "true")
     scans = [l for l in plan.splitlines() if "FileScan parquet" in l and "lineitem" in l]
     assert scans and all("l_comment" not in s and "l_tax" not in s for s in scans)
+
+
+def test_dimensions_are_broadcast(spark):
+    for name in ["n04_map_stage", "t06_current_funnel", "t05_group_transitions"]:
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
