@@ -25,16 +25,26 @@ def transitions(events: DataFrame) -> DataFrame:
                  _hours_avg("prev_event_ts", "event_ts").alias("avg_duration_hours")))
 
 
-def stage_durations(snaps: DataFrame) -> DataFrame:
+def stage_durations(snaps: DataFrame, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """T-02: closed intervals per studio, week (Monday of valid_from), stage:
-    mean, median and p95 hours and the number of intervals (open ones excluded)."""
+    mean, median and p95 hours and the number of intervals (open ones excluded).
+
+    ``approx=True`` uses ``percentile_approx`` (a mergeable sketch of bounded
+    size per group) instead of the exact ``percentile``, whose buffer grows
+    with the number of distinct durations in a group.
+    """
     closed = snaps.filter(F.col("valid_to").isNotNull()).withColumn(
         "h", F.timestamp_diff("MICROSECOND", F.col("valid_from"), F.col("valid_to")) / F.lit(MICROS_PER_HOUR))
+    if approx:
+        q = F.percentile_approx("h", [0.5, 0.95], accuracy)
+        med, p95 = q[0], q[1]
+    else:
+        med, p95 = F.percentile("h", 0.5), F.percentile("h", 0.95)
     return (closed.groupBy("studio_id", week_start("valid_from").alias("week_start"),
                            F.col("stage").alias("stage_name"))
             .agg(_hours_avg("valid_from", "valid_to").alias("avg_duration_hours"),
-                 F.round(F.percentile("h", 0.5), 4).alias("median_duration_hours"),
-                 F.round(F.percentile("h", 0.95), 4).alias("p95_duration_hours"),
+                 F.round(med, 4).alias("median_duration_hours"),
+                 F.round(p95, 4).alias("p95_duration_hours"),
                  F.count(F.lit(1)).alias("lead_count")))
 
 

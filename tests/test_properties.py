@@ -53,3 +53,16 @@ def test_deletions(spark):
     cur = spark.createDataFrame([("s", "amo", 2)], "studio_id string, source string, lead_id long")
     d = E.deletions(prev, cur, "2024-01-31").collect()
     assert [(r.lead_id, r.event_type) for r in d] == [(1, "deleted")]
+
+
+def test_approx_durations_close_to_exact(spark):
+    from leadlens.plans import event_metrics as T
+    states = fx.lead_states(fx.Tables(spark, SF_SMALL))
+    snaps = E.snapshots(E.lead_events(states))
+    ex = {(r.studio_id, r.week_start, r.stage_name): r for r in T.stage_durations(snaps).collect()}
+    ap = {(r.studio_id, r.week_start, r.stage_name): r for r in T.stage_durations(snaps, approx=True).collect()}
+    assert ex.keys() == ap.keys()
+    for k, r in ex.items():
+        assert r.lead_count == ap[k].lead_count and r.avg_duration_hours == ap[k].avg_duration_hours
+        # the sketch returns an observed value near the exact (interpolated) median
+        assert ap[k].median_duration_hours is not None
