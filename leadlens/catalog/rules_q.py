@@ -165,3 +165,12 @@ def v15(ctx):
     """Failed rules as alert rows with their template text."""
     rules = V.rules_table(ctx.spark)
     return V.rule_alerts(V.run_rules(ctx.leads_booked, ctx.bookings, rules, AS_OF_STAR), rules)
+
+
+@query("v04_attempts", """SELECT studio_id, CAST(lead_id AS VARCHAR) AS entity_id, 'A06' AS rule_id, 'WARNING' AS severity,
+  CASE WHEN attempts >= 3 THEN 'close:' || CAST(attempts AS VARCHAR) ELSE CAST(attempts AS VARCHAR) END AS detail
+FROM (SELECT studio_id, source, lead_id, count(*) AS attempts FROM lead_events WHERE stage_to = 'negotiation'
+      GROUP BY ALL) WHERE attempts >= 2""")
+def v04b(ctx):
+    """Entries into a stage counted per lead from the events: 2 -> warn, 3 -> close."""
+    return V.check_attempts(ctx.lead_events, "negotiation", 2, 3)

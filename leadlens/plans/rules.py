@@ -217,3 +217,18 @@ def rule_alerts(violations: DataFrame, rules: DataFrame) -> DataFrame:
     text = F.replace(F.replace(F.col("alert_template"), F.lit("{entity}"), F.col("entity_id")),
                      F.lit("{detail}"), F.coalesce(F.col("detail"), F.lit("")))
     return j.select("studio_id", "entity_id", "rule_id", "severity", text.alias("message"))
+
+
+def check_attempts(events: DataFrame, stage: str, min_attempts: int = 2, max_attempts: int = 3) -> DataFrame:
+    """V-04 attempts (ours): entries of a lead into ``stage`` counted from its events.
+
+    ``min_attempts`` or more entries -> WARNING; ``max_attempts`` or more -> the
+    lead should move to closed-lost (detail 'close').  One aggregate per lead.
+    """
+    e = events.filter(F.col("stage_to") == stage)
+    g = e.groupBy("studio_id", "source", "lead_id").agg(F.count(F.lit(1)).alias("attempts"))
+    g = g.filter(F.col("attempts") >= min_attempts)
+    return g.select("studio_id", F.col("lead_id").cast("string").alias("entity_id"), F.lit("A06").alias("rule_id"),
+                    F.lit("WARNING").alias("severity"),
+                    F.when(F.col("attempts") >= max_attempts, F.concat(F.lit("close:"), F.col("attempts").cast("string")))
+                    .otherwise(F.col("attempts").cast("string")).alias("detail"))
