@@ -60,12 +60,11 @@ def historical_funnel(snaps: DataFrame, as_of: str) -> DataFrame:
     (studio, stage), whose length is bounded by the number of days.
     """
     end = F.lit(as_of).cast("date")
-    s = snaps.select("studio_id", "stage", ceil_day("valid_from").alias("d_in"),
-                     ceil_day("valid_to").alias("d_out"))
-    flows = (s.select("studio_id", "stage", F.col("d_in").alias("d"), F.lit(1).alias("delta"))
-             .unionByName(s.filter(F.col("d_out").isNotNull())
-                          .select("studio_id", "stage", F.col("d_out").alias("d"), F.lit(-1).alias("delta")))
-             .filter(F.col("d") <= end)
+    # one pass over the snapshots: each interval yields (entry day, +1) and (exit day, -1)
+    moves = F.array(F.struct(ceil_day("valid_from").alias("d"), F.lit(1).alias("delta")),
+                    F.struct(ceil_day("valid_to").alias("d"), F.lit(-1).alias("delta")))
+    flows = (snaps.select("studio_id", "stage", F.inline(moves))
+             .filter(F.col("d").isNotNull() & (F.col("d") <= end))
              .groupBy("studio_id", "stage", "d").agg(F.sum("delta").alias("delta")))
     start = flows.groupBy("studio_id").agg(F.min("d").alias("d0"))
     pairs = flows.select("studio_id", "stage").distinct()
