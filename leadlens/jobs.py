@@ -28,6 +28,7 @@ from leadlens.plans import alerts as AL
 from leadlens.plans import event_metrics as T
 from leadlens.plans import metrics as M
 from leadlens.plans import reconcile as R
+from leadlens.plans.staging import stage_all
 from leadlens.registry import Ctx
 from leadlens.sources import fixtures as fx
 from leadlens.sources.sinks import _exists, upsert, write_metric
@@ -44,6 +45,7 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
             loaded_at: str | None = None) -> dict[str, str]:
     """Run every step for the runnable studios; returns table name -> path."""
     ctx = Ctx(spark, sf_dir)
+    stage_all(ctx, [["bookings", "leads", "ad_leads", "lead_events"], ["leads_booked", "snapshots"]])
     loaded_at = loaded_at or f"{as_of} 22:30:00"
     studios = _runnable(spark, ctx, out)
     keep = lambda df: df.join(studios, "studio_id", "left_semi")

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leadlens.session import ensure_checkpoint_dir
 
-_LOCK = threading.RLock()
+_LOCK = threading.Lock()
+_KEY_LOCKS: dict[tuple[str, str, str], threading.RLock] = {}
 _STAGED: dict[tuple[str, str, str], str] = {}
 _RUN = uuid.uuid4().hex
 
@@ -36,11 +37,24 @@ def staged(spark: SparkSession, source: str, name: str, build: Callable[[], Data
     if not enabled(spark):
         return build()
     key = (spark.sparkContext.applicationId, source, name)
-    with _LOCK:
+    with _LOCK:  # one lock per table: different tables can be staged by concurrent jobs
+        lock = _KEY_LOCKS.setdefault(key, threading.RLock())
+    with lock:
         path = _STAGED.get(key)
         if path is None:
             base = ensure_checkpoint_dir(spark).rstrip("/")
             path = f"{base}/leadlens-staging/{_RUN}/{abs(hash(source)):x}/{name}"
             build().write.mode("overwrite").parquet(path)
-            _STAGED[key] = path
+            with _LOCK:
+                _STAGED[key] = path
     return spark.read.parquet(path)
+
+
+def stage_all(ctx, names_in_waves: list[list[str]]) -> None:
+    """Stage tables wave by wave; the tables of one wave are independent and are
+    written by concurrent Spark jobs (threads submitting to the same session)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    for wave in names_in_waves:
+        with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+            list(pool.map(lambda n: getattr(ctx, n), wave))
