@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from leadlens import config as C
 from leadlens.catalog.metrics_q import ECON_SQL, PCT
-from leadlens.catalog.reconcile_q import r01 as _r01_fn
-from leadlens.catalog.rules_q import CV_SQL
 from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.plans import alerts as AL
 from leadlens.plans import metrics as M

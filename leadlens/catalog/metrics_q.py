@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from leadlens import config as C
 from leadlens.plans import metrics as M
 from leadlens.plans import normalize as N

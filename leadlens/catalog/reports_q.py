@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadlens.catalog.events_q import _events
 from leadlens.catalog.metrics_q import ALL, ECON_SQL, PCT, VIS, WEEK
 from leadlens.plans import event_metrics as T
 from leadlens.plans import metrics as M

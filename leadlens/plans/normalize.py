@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens import config as C
 from leadlens.functions import (booking_stage, booking_status, business_date, channel_code,
-                                client_id, normalize_phone, phone_valid, status_code)
+                                client_id, status_code)
 from leadlens.functions.phone import with_phone
 from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.dedupe import latest_per_key
