@@ -15,14 +15,30 @@ from leadlens.sources.fixtures import AS_OF_EVENTS, AS_OF_STAR
 Q_FROM, Q_TO = "2001-01-01", "2001-06-30"
 
 
-@query("p01_daily_report", f"""SELECT *, round(conversion - lag(conversion) OVER (PARTITION BY studio_id ORDER BY lead_date), 1)
-  AS conversion_change
-FROM (SELECT studio_id, lead_date, count(*) AS leads, count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
-        {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion
-      FROM leads_booked GROUP BY ALL)""")
+@query("p01_daily_report", f"""SELECT coalesce(d.studio_id, a.studio_id) AS studio_id,
+  coalesce(d.report_date, a.report_date) AS report_date, coalesce(d.leads, 0) AS leads,
+  coalesce(d.bookings, 0) AS bookings, d.conversion, d.conversion_change, coalesce(a.n, 0) AS admin_booked,
+  r.mismatch_pct AS crm_booking_mismatch_pct
+FROM (SELECT *, round(conversion - lag(conversion) OVER (PARTITION BY studio_id ORDER BY report_date), 1)
+        AS conversion_change
+      FROM (SELECT studio_id, lead_date AS report_date, count(*) AS leads,
+              count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
+              {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion
+            FROM leads_booked GROUP BY ALL)) d
+FULL OUTER JOIN (SELECT b.studio_id, b.visit_date AS report_date, count(*) AS n FROM bookings b
+      WHERE b.phone_valid AND NOT EXISTS (SELECT 1 FROM leads l WHERE l.phone_valid AND l.studio_id = b.studio_id
+        AND l.phone = b.phone) GROUP BY ALL) a
+  ON a.studio_id = d.studio_id AND a.report_date = d.report_date
+LEFT JOIN (SELECT studio_id, round(100.0 * (CAST(count(*) FILTER (WHERE status_id = 74087590 AND yc_booking_id IS NULL)
+      AS DOUBLE) / NULLIF(count(*) FILTER (WHERE status_id = 74087590), 0)), 2) AS mismatch_pct
+    FROM leads_booked GROUP BY studio_id) r
+  ON r.studio_id = coalesce(d.studio_id, a.studio_id)""")
 def p01(ctx):
-    """Daily report rows: leads, bookings, conversion and its change."""
-    return P.report_daily(ctx.leads_booked)
+    """Daily report rows: leads, bookings, conversion and its change, admin-booked, mismatch %."""
+    from leadlens.plans import normalize as N
+    from leadlens.plans import reconcile as R
+    recon = R.reconcile_bookings(ctx.leads_booked).filter(F.col("studio_id") != "all")
+    return P.report_daily(ctx.leads_booked, N.created_by_admin(ctx.bookings, ctx.leads), recon)
 
 
 @query("p02_weekly_top_channels", f"""SELECT * FROM (

@@ -13,14 +13,27 @@ from pyspark.sql import functions as F
 from leadlens.functions import pct, romi, safe_div
 
 
-def report_daily(leads_booked: DataFrame) -> DataFrame:
-    """P-01: per studio and day: leads, bookings, conversion and the change from the
-    studio's previous lead day."""
-    d = leads_booked.groupBy("studio_id", "lead_date").agg(
+def report_daily(leads_booked: DataFrame, admin_booked: DataFrame | None = None,
+                 recon: DataFrame | None = None) -> DataFrame:
+    """P-01: per studio and day: leads, bookings, conversion and its change from the
+    studio's previous lead day; bookings made without a lead (admin-booked, by
+    visit day) and the studio's CRM<->booking mismatch %."""
+    d = leads_booked.groupBy("studio_id", F.col("lead_date").alias("report_date")).agg(
         F.count(F.lit(1)).alias("leads"), F.count_if(F.col("yc_booking_id").isNotNull()).alias("bookings"))
     d = d.withColumn("conversion", pct("bookings", "leads"))
-    w = Window.partitionBy("studio_id").orderBy("lead_date")
-    return d.withColumn("conversion_change", F.round(F.col("conversion") - F.lag("conversion").over(w), 1))
+    w = Window.partitionBy("studio_id").orderBy("report_date")
+    d = d.withColumn("conversion_change", F.round(F.col("conversion") - F.lag("conversion").over(w), 1))
+    if admin_booked is not None:
+        a = admin_booked.groupBy("studio_id", F.col("visit_date").alias("report_date")).agg(
+            F.count(F.lit(1)).alias("admin_booked"))
+        d = (d.join(a, ["studio_id", "report_date"], "full_outer")
+             .withColumn("leads", F.coalesce("leads", F.lit(0).cast("bigint")))
+             .withColumn("bookings", F.coalesce("bookings", F.lit(0).cast("bigint")))
+             .withColumn("admin_booked", F.coalesce("admin_booked", F.lit(0).cast("bigint"))))
+    if recon is not None:
+        d = d.join(recon.select("studio_id", F.col("mismatch_pct").alias("crm_booking_mismatch_pct")),
+                   "studio_id", "left")
+    return d
 
 
 def report_weekly_top_channels(leads_booked: DataFrame, k: int = 5) -> DataFrame:
