@@ -64,3 +64,21 @@ def test_latest_per_key_total_order(spark):
     df = spark.createDataFrame(rows, "k int, o int, x string")
     got = {r["k"]: (r["o"], r["x"]) for r in latest_per_key(df, ["k"], ["o"]).collect()}
     assert got == {1: (5, "c"), 2: (1, "a")}
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    """A key with most rows, spread over many days, is not processed by one task."""
+    base = dt.datetime(2024, 1, 1)
+    left = [("hot", base + dt.timedelta(days=d, hours=1), d) for d in range(60)]
+    right = [("hot", base + dt.timedelta(days=d, hours=h), 1000 + 24 * d + h, "x") for d in range(60) for h in (0, 5)]
+    L = spark.createDataFrame(left, "k string, t timestamp_ntz, lid long")
+    R = spark.createDataFrame(right, "k string, rt timestamp_ntz, rid long, pay string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        res = next_match(L, R, ["k"], "t", "rt", "rid", ["pay"], out="m")
+        parts = res.select(F.spark_partition_id().alias("p")).distinct().count()
+        got = {r.lid: r.m.tb for r in res.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert parts > 1
+    assert got == {d: 1000 + 24 * d + 5 for d in range(60)}
