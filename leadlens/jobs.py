@@ -82,8 +82,11 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
             write_metric(df, path, ["studio_id"], loaded_at)
         paths[name] = path
     staging = os.path.join(out, "staging_leads_normalized")
-    upsert(spark, staging, keep(ctx.leads).withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz")),
-           ["studio_id", "lead_id", "source"], ["updated_at", "loaded_at"], ["studio_id"])
+    # partitioned by studio and creation month: a run rewrites only the months its batch touches
+    batch = (keep(ctx.leads).withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+             .withColumn("created_month", F.date_format("created_at", "yyyy-MM")))
+    upsert(spark, staging, batch, ["studio_id", "lead_id", "source"], ["updated_at", "loaded_at"],
+           ["studio_id", "created_month"])
     paths["staging_leads_normalized"] = staging
     return paths
 

@@ -39,18 +39,33 @@ def stream_states(spark: SparkSession, path: str, delay: str = "1 day",
             .dropDuplicatesWithinWatermark(["studio_id", "source", "lead_id", "obs_id"]))
 
 
-def apply_changes(states_path: str, events_path: str):
-    """W-02: a ``foreachBatch`` function keeping the event table consistent."""
+LEAD_BUCKETS = 256
+
+
+def lead_bucket(buckets: int = LEAD_BUCKETS):
+    """Stable bucket of a lead; states and events are partitioned by (studio_id, lead_bucket)."""
+    return F.pmod(F.xxhash64("source", "lead_id"), F.lit(buckets)).cast("int")
+
+
+def apply_changes(states_path: str, events_path: str, buckets: int = LEAD_BUCKETS):
+    """W-02: a ``foreachBatch`` function keeping the event table consistent.
+
+    States and events are partitioned by (studio_id, lead_bucket), so a batch
+    reads only the history of the buckets it touches (partition pruning) and
+    rewrites only those event partitions, not a whole studio.
+    """
 
     def _apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.drop("event_time")
-        batch.write.mode("append").partitionBy("studio_id").parquet(states_path)
-        touched = batch.select(*LEAD_KEY).distinct()
-        history = spark.read.parquet(states_path).join(touched, LEAD_KEY, "left_semi")
-        history = history.dropDuplicates(["studio_id", "source", "lead_id", "obs_id"])
-        fresh = lead_events(history)
-        replace_keys(spark, events_path, fresh, LEAD_KEY, ["studio_id"])
+        batch = batch.drop("event_time").withColumn("lead_bucket", lead_bucket(buckets))
+        batch.write.mode("append").partitionBy("studio_id", "lead_bucket").parquet(states_path)
+        touched = batch.select(*LEAD_KEY, "lead_bucket").distinct()
+        parts = touched.select("studio_id", "lead_bucket").distinct()
+        history = (spark.read.parquet(states_path).join(parts, ["studio_id", "lead_bucket"], "left_semi")
+                   .join(touched.select(*LEAD_KEY), LEAD_KEY, "left_semi")
+                   .dropDuplicates(["studio_id", "source", "lead_id", "obs_id"]))
+        fresh = lead_events(history.drop("lead_bucket")).withColumn("lead_bucket", lead_bucket(buckets))
+        replace_keys(spark, events_path, fresh, LEAD_KEY, ["studio_id", "lead_bucket"])
 
     return _apply
 
