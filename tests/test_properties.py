@@ -66,3 +66,22 @@ def test_approx_durations_close_to_exact(spark):
         assert r.lead_count == ap[k].lead_count and r.avg_duration_hours == ap[k].avg_duration_hours
         # the sketch returns an observed value near the exact (interpolated) median
         assert ap[k].median_duration_hours is not None
+
+
+def test_funnel_sum_equals_live_leads_and_all_equals_sum(spark):
+    from leadlens.plans import event_metrics as T
+    qs = entry.queries()
+    states = fx.lead_states(fx.Tables(spark, SF_SMALL))
+    snaps = E.snapshots(E.lead_events(states))
+    hist = T.historical_funnel(snaps, "2024-01-31")
+    for day in ["2024-01-05", "2024-01-20", "2024-01-31"]:
+        total = hist.filter(F.col("snapshot_date") == day).agg(F.sum("lead_count")).first()[0] or 0
+        live = E.state_at(snaps, f"{day} 00:00:00").count()
+        assert total == live, day
+    conv = qs["m02_lead_to_booking"](spark, SF_SMALL)
+    studios = (conv.filter(F.col("studio_id") != "all").groupBy("utm_source", "lead_date")
+               .agg(F.sum("leads").alias("l"), F.sum("bookings").alias("b")))
+    alls = conv.filter(F.col("studio_id") == "all").select("utm_source", "lead_date",
+                                                           F.col("leads").alias("l2"), F.col("bookings").alias("b2"))
+    j = studios.join(alls, [studios.utm_source.eqNullSafe(alls.utm_source), studios.lead_date == alls.lead_date], "full_outer")
+    assert j.filter((F.col("l") != F.col("l2")) | (F.col("b") != F.col("b2")) | F.col("l").isNull() | F.col("l2").isNull()).count() == 0
