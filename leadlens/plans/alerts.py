@@ -128,7 +128,7 @@ def open_gates(a04: DataFrame) -> DataFrame:
 
 def runnable_studios(studios: DataFrame, gates: DataFrame) -> DataFrame:
     """A-18: active studios without an open gate (left anti join)."""
-    g = gates.filter(F.col("status") == "open").select("studio_id")
+    g = gates.filter(F.col("status") == "open").select("studio_id").distinct()
     return studios.filter("is_active").join(g, "studio_id", "left_anti")
 
 

@@ -48,7 +48,7 @@ def client_profiles(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame)
 
 def new_profiles(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """I-03: profiles of the batch whose client is not known yet (left anti join)."""
-    return batch.join(existing.select("studio_id", "phone"), ["studio_id", "phone"], "left_anti")
+    return batch.join(existing.select("studio_id", "phone").distinct(), ["studio_id", "phone"], "left_anti")
 
 
 def _similarity(a, b):

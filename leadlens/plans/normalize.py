@@ -128,7 +128,7 @@ def visit_flags(bookings: DataFrame) -> DataFrame:
 
 def created_by_admin(bookings: DataFrame, leads: DataFrame) -> DataFrame:
     """N-14: bookings of a phone that has no CRM lead in the studio (left anti join)."""
-    lk = leads.filter(F.col("phone_valid")).select("studio_id", "phone")
+    lk = leads.filter(F.col("phone_valid")).select("studio_id", "phone").distinct()
     b = bookings.filter(F.col("phone_valid"))
     return b.join(lk, ["studio_id", "phone"], "left_anti")
 

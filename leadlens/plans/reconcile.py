@@ -75,7 +75,7 @@ def reconcile_sales(bookings: DataFrame, leads: DataFrame) -> DataFrame:
 
 
 def _matchable(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("phone_valid")).select("studio_id", "phone")
+    return df.filter(F.col("phone_valid")).select("studio_id", "phone").distinct()
 
 
 def advanced_without_booking(leads: DataFrame, bookings: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def advanced_without_booking(leads: DataFrame, bookings: DataFrame) -> DataFrame
 
 def booking_without_lead(bookings: DataFrame, leads: DataFrame) -> DataFrame:
     """R-06: bookings whose phone has no CRM lead in any studio."""
-    lp = leads.filter(F.col("phone_valid")).select("phone")
+    lp = leads.filter(F.col("phone_valid")).select("phone").distinct()
     return bookings.join(lp, "phone", "left_anti")
 
 

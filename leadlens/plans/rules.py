@@ -62,14 +62,15 @@ def check_appointment(leads: DataFrame, bookings: DataFrame, as_of: str) -> Data
     """V-05 / A07: appointment without a confirmed or waiting *future* booking."""
     fut = (bookings.filter(F.col("phone_valid") & F.col("status").isin("confirmed", "waiting")
                            & (F.col("visit_ts") > _asof(as_of)))
-           .select("studio_id", "phone"))
+           .select("studio_id", "phone").distinct())
     a = leads.filter(F.col("status_id") == C.STATUS_APPOINTMENT)
     return _v(a.join(fut, ["studio_id", "phone"], "left_anti"), "A07", "WARNING", F.lit("no_future_booking"))
 
 
 def check_no_show(leads: DataFrame, bookings: DataFrame) -> DataFrame:
     """V-06 / A08: CRM no-show although the booking system shows a visit (semi join)."""
-    vis = bookings.filter(F.col("phone_valid") & (F.col("status") == "visited")).select("studio_id", "phone")
+    vis = (bookings.filter(F.col("phone_valid") & (F.col("status") == "visited"))
+           .select("studio_id", "phone").distinct())
     a = leads.filter((F.col("status_id") == C.STATUS_NO_SHOW) & F.col("phone_valid"))
     return _v(a.join(vis, ["studio_id", "phone"], "left_semi"), "A08", "WARNING", F.lit("visited_in_bookings"))
 
