@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadlens import config as C
+from leadlens.catalog import rules_q  # noqa: F401  (registers the rule bodies used below)
 from leadlens.catalog.metrics_q import ECON_SQL, PCT
 from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.plans import alerts as AL
@@ -130,7 +131,21 @@ RULE_ALERT_SQL = """SELECT studio_id, rule_id AS alert_type, severity, entity_id
 WHERE rule_id IN ('A05', 'A06', 'A07', 'A08', 'A09', 'A10', 'A11', 'A12', 'A13', 'A14')"""
 
 
-@query("a05_a14_rule_alerts")
+def _rule_alert_sql() -> tuple[str, list[tuple[str, str]]]:
+    from leadlens.registry import ORACLE_BODY
+    parts, views = [], {}
+    for n in ["v01_new_lead", "v03_negotiation", "v04_no_answer", "v05_appointment", "v06_no_show_visited",
+              "v08_not_purchased", "v10_success_revenue", "v09_deposit", "v13_closure_rate"]:
+        body, extra = ORACLE_BODY[n]
+        parts.append(f"SELECT * FROM ({body})")
+        views.update(dict(extra))
+    body = ("SELECT studio_id, rule_id AS alert_type, severity, entity_id, detail FROM ("
+            + "\nUNION ALL\n".join(parts) + ") WHERE rule_id IN ('A05', 'A06', 'A07', 'A08', 'A09', 'A10', "
+            "'A11', 'A12', 'A13', 'A14')")
+    return body, list(views.items())
+
+
+@query("a05_a14_rule_alerts", *_rule_alert_sql())
 def a05_14(ctx):
     """Alerts A05-A14 from the stage rules (each rule has its own oracle as v01-v13)."""
     asof = AS_OF_STAR

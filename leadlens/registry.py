@@ -16,6 +16,8 @@ from leadlens.sources.fixtures_sql import with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+# oracle bodies before the view prefix, so composite oracles can reuse them
+ORACLE_BODY: dict[str, tuple[str, list[tuple[str, str]]]] = {}
 
 
 class Ctx:
@@ -75,6 +77,7 @@ def query(name: str, sql: str | None = None, views: list[tuple[str, str]] | None
         QUERIES[name].__doc__ = fn.__doc__
         if sql is not None:
             ORACLE[name] = with_views(sql, views)
+            ORACLE_BODY[name] = (sql, list(views or []))
         return fn
 
     return deco
