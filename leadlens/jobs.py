@@ -91,6 +91,20 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
     return paths
 
 
+def acknowledge(spark: SparkSession, out: str, acks: DataFrame) -> None:
+    """A-19: apply acknowledgements (studio_id, alert_id, ack_by, ack_at) to the open
+    gates; a resolved studio is processed again by the next run."""
+    path = os.path.join(out, "ops_gates")
+    if not _exists(spark, path):
+        return
+    gates = spark.read.parquet(path)
+    touched = acks.select("studio_id").distinct()
+    resolved = AL.resolve_gates(gates.join(touched, "studio_id", "left_semi").drop("resolved_at", "ack_by"), acks)
+    resolved = resolved.select(*gates.columns) if set(gates.columns) <= set(resolved.columns) else resolved
+    from leadlens.sources.sinks import replace_keys
+    replace_keys(spark, path, resolved, ["studio_id", "alert_id"], ["studio_id"])
+
+
 def main() -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--sf-dir", required=True)

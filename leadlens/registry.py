@@ -21,7 +21,8 @@ ORACLE_BODY: dict[str, tuple[str, list[tuple[str, str]]]] = {}
 
 
 class Ctx:
-    """Per-call memo of the prepared inputs (lazy plans, nothing cached in memory)."""
+    """Inputs of one query: the raw tables and the staging tables derived from them
+    (written once per run under the checkpoint folder, see ``plans/staging.py``)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

@@ -28,3 +28,23 @@ def test_run_all_idempotent_and_gated(spark, tmp_dir):
     studios_run = {r.studio_id for r in spark.read.parquet(paths2["metrics_channel_roi"]).select("studio_id").distinct().collect()}
     assert gated.isdisjoint({"studio_4"})  # inactive studio never runs
     assert "studio_4" not in studios_run
+
+
+def test_acknowledged_gate_reopens_studio(spark, tmp_dir):
+    import datetime as dt
+    from leadlens.jobs import acknowledge
+    out = os.path.join(tmp_dir, "wh2")
+    paths = run_all(spark, SF_SMALL, out)
+    gates = spark.read.parquet(paths["ops_gates"])
+    opened = [r.studio_id for r in gates.filter("status = 'open'").collect()]
+    if not opened:
+        return  # no gate at this scale: nothing to acknowledge
+    acks = spark.createDataFrame([(s, "A04", "ops", dt.datetime(2001, 8, 2)) for s in opened],
+                                 "studio_id string, alert_id string, ack_by string, ack_at timestamp_ntz")
+    acknowledge(spark, out, acks)
+    g = {r.studio_id: r.status for r in spark.read.parquet(paths["ops_gates"]).collect()}
+    assert all(g[s] == "resolved" for s in opened)
+    from leadlens.jobs import _runnable
+    from leadlens.registry import Ctx
+    runnable = {r.studio_id for r in _runnable(spark, Ctx(spark, SF_SMALL), out).collect()}
+    assert set(opened) <= runnable
