@@ -82,3 +82,31 @@ def test_hot_key_is_split_across_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert parts > 1
     assert got == {d: 1000 + 24 * d + 5 for d in range(60)}
+
+
+def test_match_by_time_length_blocking_is_exact(spark):
+    """Blocked fuzzy time match equals the brute force over all pairs."""
+    from leadlens.plans.identity import match_by_time
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    names = ["anna", "anna k", "annakarenina", "ivan", "ivanov", "ivanova", "", "petr", "petra", "olga"]
+    mk = lambda i: ("s", str(i), rnd.choice(names), base + dt.timedelta(hours=rnd.randint(0, 96)))
+    L = [mk(i) for i in range(60)]
+    R = [mk(1000 + i) for i in range(60)]
+    schema = "studio_id string, rec_id string, name string, ts timestamp_ntz"
+    got = {(r.rec_id, r.r_id) for r in match_by_time(spark.createDataFrame(L, schema),
+                                                     spark.createDataFrame(R, schema), 24, 0.8).collect()}
+
+    def lev(a, b):
+        prev = list(range(len(b) + 1))
+        for i, ca in enumerate(a, 1):
+            cur = [i]
+            for j, cb in enumerate(b, 1):
+                cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+            prev = cur
+        return prev[-1]
+
+    want = {(l[1], r[1]) for l in L for r in R
+            if abs((l[3] - r[3]).total_seconds()) <= 86400
+            and round(1 - lev(l[2], r[2]) / max(len(l[2]), len(r[2]), 1), 4) > 0.8}
+    assert got == want
