@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadlens.functions import channel_type
+from leadlens.functions import business_date, channel_type
 from leadlens.plans import identity as I
 from leadlens.plans import normalize as N
 from leadlens.registry import query
@@ -161,7 +161,7 @@ def n15(ctx):
     """Lead date in the studio's time zone."""
     s = fx.studios(ctx.t).select("studio_id", "timezone")
     j = ctx.leads.join(s, "studio_id")
-    d = F.to_date(F.convert_timezone(F.lit("UTC"), F.col("timezone"), F.col("created_at")))
+    d = business_date("created_at", F.col("timezone"))
     return j.groupBy("studio_id", d.alias("business_date")).agg(F.count(F.lit(1)).alias("leads"))
 
 

@@ -13,13 +13,15 @@ def _c(col: Column | str) -> Column:
 def business_date(col: Column | str, tz: Column | str | None = None) -> Column:
     """Business date of a UTC wall-clock timestamp in the studio's time zone (N-15).
 
+    ``tz`` is a zone name or a Column holding one (e.g. the studio's zone).
+
     ``convert_timezone`` works on TIMESTAMP_NTZ, so the result does not depend
     on the session time zone.
     """
     ts = _c(col)
     if tz is None:
         return F.to_date(ts)
-    zone = F.lit(tz) if isinstance(tz, str) and not tz.startswith("col:") else F.col(tz[4:])
+    zone = F.lit(tz) if isinstance(tz, str) else tz
     return F.to_date(F.convert_timezone(F.lit("UTC"), zone, ts.cast("timestamp_ntz")))
 
 
