@@ -39,3 +39,10 @@ def test_dimensions_are_broadcast(spark):
     for name in ["n04_map_stage", "t06_current_funnel", "t05_group_transitions"]:
         plan = _plan(QUERIES[name](spark, SF_SMALL))
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
+
+
+def test_flagship_reads_staging_not_raw(spark):
+    plan = _plan(QUERIES["m02_lead_to_booking"](spark, SF_SMALL))
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l or "Scan parquet" in l]
+    assert scans and all("leadlens-staging" in l or "leads_booked" in l for l in scans), scans
+    assert "lineitem" not in plan and "orders" not in plan
