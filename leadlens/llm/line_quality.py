@@ -57,8 +57,9 @@ def line_fails(line: Column) -> Column:
         menu = F.when(line.rlike(SEPARATOR_CHARS), F.size(F.filter(words, lambda w: w.isin(SEPARATORS)))).otherwise(0)
         ends = F.substring(F.element_at(words, -1), -1, 1)
         notice = (n <= NOTICE_WORDS) & F.lower(line).rlike("|".join(NOTICES))
-        return ((_count_of(line, SYMBOLS) * 10 >= _word_chars(line))
-                | (_count_of(line, "!") * 3 >= n)
+        # a rule of shares needs one hit at least: the cheap count decides for most lines
+        return (let(_count_of(line, SYMBOLS), lambda c: (c > 0) & (c * 10 >= _word_chars(line)))
+                | let(_count_of(line, "!"), lambda c: (c > 0) & (c * 3 >= n))
                 | ((n < 3) & (F.instr(F.lit(CLOSERS), ends) == 0))
                 | (menu * 5 >= n)
                 | notice)
@@ -87,23 +88,24 @@ def line_quality(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS
     The added columns replace columns of the same name.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: _word_chars(x) > 0)
+    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     facts = let(space_words(F.col(text)), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
-    by_line = let(lines, lambda ls: F.struct(
+    by_line = let(lines, lambda ls: let(F.transform(ls, line_fails), lambda bad: F.struct(
         (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
-        F.array_join(F.filter(ls, lambda x: ~line_fails(x)), "\n").alias("clean_text")))
+        F.array_join(F.filter(ls, lambda x, i: ~F.get(bad, i)), "\n").alias("clean_text"),
+        _word_chars(F.array_join(F.filter(ls, lambda x, i: F.get(bad, i)), "")).alias("lost_chars"))))
     d = (docs.withColumns({"_facts": facts, "_lines": by_line})
          .withColumns({"n_words": F.col("_facts.n_words"), "word_chars": _word_chars(t).cast("long"),
                        "n_symbols": _count_of(t, SYMBOLS).cast("long"),
                        "n_dup_lines": F.col("_lines.n_dup_lines"),
                        "n_repeat_words": F.col("_facts.n_repeat_words"),
-                       "clean_text": F.col("_lines.clean_text")})
-         .drop("_facts", "_lines"))
+                       "clean_text": F.col("_lines.clean_text"), "kept_chars": F.col("_lines.lost_chars")})
+         .drop("_facts", "_lines")
+         .withColumn("kept_chars", F.col("word_chars") - F.col("kept_chars")))
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-    return (d.withColumn("kept_chars", _word_chars(F.col("clean_text")).cast("long"))
-            .withColumn("base_failed", failed)
+    return (d.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed")
                         & (100 * F.col("kept_chars") >= min_kept_percent * F.col("word_chars"))))
 
