@@ -2,12 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from leadlens import registry
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
+ORACLE = dict(registry.ORACLE)
 
 
 @pytest.fixture(scope="module")

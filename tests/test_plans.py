@@ -2,10 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from leadlens import registry
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
 
 
 def _plan(df) -> str:
