@@ -119,7 +119,7 @@ def marginals(emit: np.ndarray, step: np.ndarray, lengths: np.ndarray, pairs: bo
     begin = np.repeat(np.cumsum(lengths) - lengths, per_chain) + within * SPAN
     size = np.minimum(SPAN, np.repeat(np.cumsum(lengths), per_chain) - begin)
     order = np.argsort(-size, kind="stable")
-    begin_o, size_o = begin[order], size[order]
+    begin_o, size_o, head_o = begin[order], size[order], (within == 0)[order]
     active = [int(np.searchsorted(-size_o, -t, side="left")) for t in range(SPAN + 1)]  # windows longer than t
     first = np.ones((len(chain), k)) / k
     last = np.ones((len(chain), k))
@@ -130,7 +130,10 @@ def marginals(emit: np.ndarray, step: np.ndarray, lengths: np.ndarray, pairs: bo
             a = active[t]
             if not a:
                 break
-            x = (m[:a] @ move) * local[begin_o[:a] + t][:, None, :]
+            x = m[:a] @ move
+            if t == 0:  # nothing comes before a chain's first word
+                x[head_o[:a]] = np.eye(k)
+            x *= local[begin_o[:a] + t][:, None, :]
             m[:a] = x / x.sum(axis=(1, 2), keepdims=True)
         windows = np.empty_like(m)
         windows[order] = m
@@ -138,22 +141,20 @@ def marginals(emit: np.ndarray, step: np.ndarray, lengths: np.ndarray, pairs: bo
         for c in np.flatnonzero(per_chain > 1):
             w = range(ends[c] - per_chain[c], ends[c])
             for i in w[1:]:
-                v = first[i - 1] @ windows[i - 1] if i - 1 > w[0] else _enter(windows, local, move, begin, size, i - 1)
+                v = first[i - 1] @ windows[i - 1]
                 first[i] = v / v.sum()
             for i in reversed(w[:-1]):
                 v = windows[i + 1] @ last[i + 1]
                 last[i] = v / v.sum()
-    head = within == 0
     forward = np.empty((total, k))
     v = first[order]
-    is_head = head[order]
     for t in range(SPAN):
         a = active[t]
         if not a:
             break
         x = v[:a] @ move
         if t == 0:
-            x = np.where(is_head[:a, None], 1.0, x)
+            x = np.where(head_o[:a, None], 1.0, x)
         x = x * local[begin_o[:a] + t]
         v[:a] = x / x.sum(axis=1, keepdims=True)
         forward[begin_o[:a] + t] = v[:a]
@@ -179,15 +180,6 @@ def marginals(emit: np.ndarray, step: np.ndarray, lengths: np.ndarray, pairs: bo
     return forward, (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0), i
 
 
-def _enter(windows, local, move, begin, size, i) -> np.ndarray:
-    """Label weights at the end of a chain's first window (its first word has no step before it)."""
-    v = local[begin[i]].copy()
-    for t in range(1, size[i]):
-        v = (v @ move) * local[begin[i] + t]
-        v /= v.sum()
-    return v
-
-
 def chains_of(texts: list[tuple[list[str], int]], rng: np.random.Generator) -> list[tuple[list[str], list[int]]]:
     """Training chains: pieces of one document, and pieces of two put together."""
     pieces = [(w[i:i + CHAIN], y) for w, y in texts for i in range(0, len(w), CHAIN)]
