@@ -14,8 +14,8 @@ falling order of perturbed log-probability.  The (k+1)-th value is the threshold
 inclusion probability 1 - exp(-exp(log p - threshold)).  All draws are hashes of
 (seed, row key, sample, place), so a rerun or a retried task gives the same rows.
 
-Runs over Arrow batches without a shuffle; the lattice of a unit is kept for later texts
-of the same task up to ``ARENA`` edges.  A run of units is bounded by ``UNITS``.
+Runs over Arrow batches without a shuffle, in runs of about ``UNITS`` units of whole texts;
+the lattices of a run's distinct units are built together.
 
 Cases: a null or empty text has one segmentation, the empty one; a text with fewer than k
 segmentations gives them all, with inclusion 1; the character U+2581 is read as a space;
@@ -26,7 +26,6 @@ chosen by name, others are dropped; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from array import array
 
 import numpy as np
 import pandas as pd
@@ -43,9 +42,10 @@ SEED = 11
 POWER = 1.0
 SHIFT = 10.0
 BYTE_RANK = 4.0  # a byte piece counts as this many times the last rank
-ARENA = 2_000_000
-UNITS = 150_000
+UNITS = 800_000
 SPACE = "▁"
+#: range of a Gumbel number made from a 52-bit uniform one
+LEAST_NOISE, MOST_NOISE = -4.0, 38.0
 UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
@@ -66,75 +66,155 @@ def read_pieces(path: str = MODEL) -> dict:
             "byte_log_p": -POWER * float(np.log(BYTE_RANK * ranks[-1]))}
 
 
-class Lattices:
-    """Lattices of units, one after another: node -> its edges, edge -> node, ids, chance."""
+class Vocabulary:
+    """The pieces as a trie in a hash table: (state, character) -> state, for whole arrays."""
 
     def __init__(self, model: dict):
-        self.trie: dict = {}
+        chars = sorted({c for i in model["normal"] for c in model["pieces"][i]})
+        self.code_of = np.full(0x110000, -1, dtype=np.int64)
+        self.code_of[[ord(c) for c in chars]] = np.arange(len(chars))
+        self.width = len(chars)
+        moves: dict[int, int] = {}
+        accept = {}
         for i, lp in zip(model["normal"], model["log_p"]):
-            t = self.trie
+            state = 0
             for c in model["pieces"][i]:
-                t = t.setdefault(c, {})
-            t[""] = (i, float(np.exp(lp)))
-        self.bytes, self.byte_p = model["bytes"], float(np.exp(model["byte_log_p"]))
-        self.clear()
-
-    def clear(self):
-        self.start: dict[str, int] = {}
-        self.end_node = array("b")   # node: last of its unit
-        self.first = array("q", [0])  # node -> first edge
-        self.to = array("q")
-        self.cum = array("d")        # node number + chance of this and earlier edges of the node
-        self.log_q = array("d")
-        self.ids = array("q")        # edge -> id, or -1 - place of its bytes
-        self.spelled: list[tuple[int, ...]] = []
-
-    def unit(self, text: str) -> int:
-        """First node of the unit's lattice."""
-        found = self.start.get(text)
-        if found is not None:
-            return found
-        size = len(text)
-        back, scale = [0.0] * (size + 1), [0.0] * (size + 1)  # a node's sum is back * exp(scale)
-        back[size] = 1.0
-        edges: list = [()] * size
-        for i in range(size - 1, -1, -1):
-            t, own, single = self.trie, [], False
-            for j in range(i, size):
-                t = t.get(text[j])
-                if t is None:
-                    break
-                hit = t.get("")
-                if hit:
-                    own.append((j + 1, hit[0], hit[1]))
-                    single = single or j == i
-            if not single:
-                b = text[i].encode("utf-8", "surrogatepass")
-                self.spelled.append(tuple(self.bytes[x] for x in b))
-                own.append((i + 1, -len(self.spelled), self.byte_p ** len(b)))
-            base = max(scale[e[0]] for e in own)
-            own = [(to, piece, p * back[to] * np.exp(scale[to] - base) if scale[to] != base else p * back[to])
-                   for to, piece, p in own]
-            total = sum(e[2] for e in own)
-            edges[i] = [(to, piece, w / total) for to, piece, w in own]
-            back[i], scale[i] = total, base
-            if total < 1e-200:
-                back[i], scale[i] = 1.0, base + float(np.log(total))
-        node = len(self.end_node)
-        self.start[text] = node
-        for i, own in enumerate(edges):
-            c = 0.0
-            for n, (to, piece, q) in enumerate(own, 1):
-                c = 1.0 if n == len(own) else min(1.0, c + q)
-                self.to.append(node + to)
-                self.ids.append(piece)
-                self.log_q.append(q)
-                self.cum.append(node + i + c)
-            self.first.append(len(self.to))
-            self.end_node.append(0)
-        self.end_node.append(1)
-        self.first.append(len(self.to))
-        return node
+                at = state * self.width + int(self.code_of[ord(c)])
+                state = moves.setdefault(at, len(moves) + 1)
+            accept[state] = (i, lp)
+        self.piece = np.full(len(moves) + 1, -1, dtype=np.int64)
+        self.log_p = np.zeros(len(moves) + 1)
+        for state, (i, lp) in accept.items():
+            self.piece[state], self.log_p[state] = i, lp
+        self.bits = max(10, (8 * len(moves)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.states = np.zeros(1 << self.bits, dtype=np.int64)
+        left_k, left_s = np.array(list(moves)), np.array(list(moves.values()))
+        slot = self._slot(left_k)
+        while len(left_k):  # open addressing, all keys of a round at once
+            free = self.keys[slot] < 0
+            _, one = np.unique(slot, return_index=True)
+            win = np.zeros(len(slot), dtype=bool)
+            win[one] = True
+            win &= free
+            self.keys[slot[win]], self.states[slot[win]] = left_k[win], left_s[win]
+            left_k, left_s, slot = left_k[~win], left_s[~win], (slot[~win] + 1) & ((1 << self.bits) - 1)
+        self.longest = max(len(model["pieces"][i]) for i in model["normal"])
+        self.byte_ids = np.array([model["bytes"].get(b, 0) for b in range(256)], dtype=np.int32)
+        self.byte_log_p = model["byte_log_p"]
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (h >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Next states, -1 where no piece goes on."""
+        key = state * self.width + code
+        slot = self._slot(key)
+        seen = self.keys[slot]
+        out = np.where(seen == key, self.states[slot], -1)
+        open_ = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self.bits) - 1)
+            seen = self.keys[slot[open_]]
+            hit = seen == key[open_]
+            out[open_[hit]] = self.states[slot[open_[hit]]]
+            open_ = open_[~hit & (seen >= 0)]
+        return out
+
+
+class Lattices:
+    """Lattices of distinct units, built together.
+
+    Nodes are numbered by the characters left to their unit's end, so node numbers below
+    the number of units are ends, and backward sums go through the nodes group by group.
+    ``cum`` is the node number plus the chance of the node's edges up to this one: one
+    sorted array in which a node and a uniform number find their edge.
+    """
+
+    def __init__(self, v: Vocabulary, units: list[str]):
+        size = np.array([len(u) for u in units], dtype=np.int64)
+        raw = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ends = np.cumsum(size + 1) - 1
+        total = int((size + 1).sum())
+        inner = np.ones(total, dtype=bool)
+        inner[ends] = False
+        points, codes = np.zeros(total, dtype=np.int64), np.full(total, -1, dtype=np.int64)
+        points[inner] = raw
+        codes[inner] = v.code_of[raw]
+        left = np.repeat(ends, size + 1) - np.arange(total)
+        count = np.zeros(total, dtype=np.int64)
+        start = np.flatnonzero(inner)
+        state, at, found = np.zeros(len(start), dtype=np.int64), start, []
+        spelled = inner.copy()
+        for t in range(v.longest):
+            known = codes[at] >= 0
+            start, state, at = start[known], state[known], at[known]
+            state = v.step(state, codes[at])
+            there = state >= 0
+            start, state, at = start[there], state[there], at[there] + 1
+            hit = v.piece[state] >= 0
+            own, s = start[hit], state[hit]
+            if t == 0:
+                spelled[own] = False
+            found.append((own, at[hit], v.piece[s], v.log_p[s], count[own]))
+            count[own] += 1
+            if not len(start):
+                break
+        own = np.flatnonzero(spelled)  # characters that no piece holds
+        utf8 = np.searchsorted(np.array([0x80, 0x800, 0x10000]), points[own], side="right") + 1
+        found.append((own, own + 1, -1 - points[own], v.byte_log_p * utf8, count[own]))
+        count[own] += 1
+        order = np.argsort(left, kind="stable")
+        place = np.empty(total, dtype=np.int64)
+        place[order] = np.arange(total)
+        per_node = count[order]
+        self.first = np.concatenate([[0], np.cumsum(per_node)])
+        edges = int(self.first[-1])
+        self.to, self.ids, log_p = np.empty(edges, np.int64), np.empty(edges, np.int64), np.empty(edges)
+        for own, to, piece, lp, rank in found:
+            e = self.first[place[own]] + rank
+            self.to[e], self.ids[e], log_p[e] = place[to], piece, lp
+        back, self.chance = np.zeros(total), np.empty(edges)
+        groups = np.concatenate([[0], np.cumsum(np.bincount(left, minlength=1))]) if total else np.zeros(1, np.int64)
+        for r in range(1, len(groups) - 1):
+            n0, n1 = groups[r], groups[r + 1]
+            e0, e1 = self.first[n0], self.first[n1]
+            cut, n = self.first[n0:n1] - e0, per_node[n0:n1]
+            x = log_p[e0:e1] + back[self.to[e0:e1]]
+            top = np.maximum.reduceat(x, cut)
+            x = np.exp(x - np.repeat(top, n))
+            s = np.add.reduceat(x, cut)
+            back[n0:n1] = top + np.log(s)
+            self.chance[e0:e1] = x / np.repeat(s, n)
+        self.node_of = np.repeat(np.arange(total), per_node)
+        run = np.concatenate([[0.0], np.cumsum(self.chance)])
+        self.cum = self.node_of + np.minimum(1.0, run[1:] - np.repeat(run[self.first[:-1]], per_node))
+        last = self.first[1:][per_node > 0] - 1
+        self.cum[last] = self.node_of[last] + 1.0
+        self.log_chance = np.log(self.chance)
+        with np.errstate(divide="ignore"):
+            self.log_leave = np.log1p(-np.minimum(self.chance, 1.0))
+        self.units = len(units)
+        self.start = place[ends - size] if total else np.zeros(0, np.int64)
+        self.byte_ids = v.byte_ids
+
+    def id_arrays(self, path: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of paths laid end to end (``count`` edges each), and ids per path."""
+        ids = self.ids[path]
+        odd = np.flatnonzero(ids < 0)
+        each = np.ones(len(ids), dtype=np.int64)
+        spelled = [chr(-1 - x).encode("utf-8", "surrogatepass") for x in ids[odd].tolist()]
+        each[odd] = [len(b) for b in spelled]
+        out = np.repeat(ids, each).astype(np.int32)
+        if len(odd):
+            at = np.cumsum(each) - each
+            where = np.repeat(at[odd], each[odd]) + np.concatenate([np.arange(len(b)) for b in spelled])
+            out[where] = self.byte_ids[np.frombuffer(b"".join(spelled), dtype=np.uint8)]
+        run = np.concatenate([[0], np.cumsum(each)])
+        ends = np.cumsum(count)
+        return out, run[ends] - run[ends - count]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -144,13 +224,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _uniform(key: np.ndarray, *parts) -> np.ndarray:
-    """Numbers in (0, 1) for (key, parts...)."""
+def _keyed(key: np.ndarray, *parts) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = key
         for p in parts:
-            h = _mix(h + np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-    return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0 ** 52
+            key = _mix(key + np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+    return key
+
+
+def _uniform(key: np.ndarray, *parts) -> np.ndarray:
+    """Numbers in (0, 1) for (key, parts...)."""
+    return ((_keyed(key, *parts) >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0 ** 52
 
 
 def _gumbel(u: np.ndarray) -> np.ndarray:
@@ -167,144 +250,155 @@ def _truncated(at: np.ndarray, bound, g: np.ndarray) -> np.ndarray:
 
 class Sampler:
     def __init__(self, model: dict, k: int = K, seed: int = SEED):
-        self.lattices, self.k, self.seed = Lattices(model), k, seed
-        self.split = UNIT.findall
-
-    def units(self, text: str | None) -> list[str]:
-        return self.split(SPACE + text.replace(" ", SPACE)) if text else []
+        self.vocabulary, self.k, self.seed = Vocabulary(model), k, seed
 
-    def _walk(self, nodes: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int, tabs) -> tuple:
+    def _walk(self, lat: Lattices, nodes: np.ndarray, key: np.ndarray, place: np.ndarray, sample: int) -> tuple:
         """Exact path samples from ``nodes`` to their units' ends: edges, and edges per walk."""
-        first, to, cum, end = tabs
-        steps, live, at = [], np.arange(len(nodes)), nodes.copy()
-        count = np.zeros(len(nodes), dtype=np.int64)
-        open_ = end[at] == 0
-        live, at = live[open_], at[open_]
-        t = 0
+        steps, count, t = [], np.zeros(len(nodes), dtype=np.int64), 0
+        live = np.flatnonzero(nodes >= lat.units)
+        at = nodes[live]
+        base = _keyed(key, self.seed, sample, place)
         while len(live):
-            u = _uniform(key[live], self.seed, sample, place[live], t)
-            e = np.searchsorted(cum, at + u)
-            e = np.minimum(np.maximum(e, first[at]), first[at + 1] - 1)
+            e, u = lat.first[at], at + _uniform(base[live], t)
+            on = np.flatnonzero(lat.cum[e] < u)
+            while len(on):  # a node's last edge has the node number plus one
+                e[on] += 1
+                on = on[lat.cum[e[on]] < u[on]]
             steps.append((live, e))
             count[live] += 1
-            at = to[e]
-            open_ = end[at] == 0
-            live, at = live[open_], at[open_]
-            t += 1
+            at = lat.to[e]
+            more = at >= lat.units
+            live, at, t = live[more], at[more], t + 1
         begin = np.cumsum(count) - count
         path = np.empty(int(count.sum()), dtype=np.int64)
         for t, (live, e) in enumerate(steps):
             path[begin[live] + t] = e
         return path, count
 
-    def sample(self, texts: list, keys: list[int]) -> list[list[tuple]]:
-        """For each text its samples: (edges -> ids array, log p, perturbed, log inclusion)."""
-        lat = self.lattices
-        if len(lat.to) > ARENA:
-            lat.clear()
-        words = [self.units(t) for t in texts]
+    def sample(self, texts: list, keys: list[int]) -> tuple:
+        """Samples of all texts: (text number, rank, log p, perturbed, log inclusion), ids, ids per sample."""
+        words = [UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        per_text = np.array([len(w) for w in words], dtype=np.int64)
         codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
-        starts = np.array([lat.unit(w) for w in distinct], dtype=np.int64)
-        tabs = (np.frombuffer(lat.first, dtype=np.int64), np.frombuffer(lat.to, dtype=np.int64)
-                if len(lat.to) else np.zeros(0, dtype=np.int64),
-                np.frombuffer(lat.cum) if len(lat.cum) else np.zeros(0), np.frombuffer(lat.end_node, dtype=np.int8)
-                if len(lat.end_node) else np.zeros(0, dtype=np.int8))
-        chance = np.frombuffer(lat.log_q) if len(lat.log_q) else np.zeros(0)
-        ids = np.frombuffer(lat.ids, dtype=np.int64) if len(lat.ids) else np.zeros(0, dtype=np.int64)
-        nodes = starts[codes] if len(codes) else np.zeros(0, dtype=np.int64)
-        per_text = np.array([len(w) for w in words])
+        lat = Lattices(self.vocabulary, list(distinct))
+        nodes = lat.start[codes]
         key = np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], dtype=np.uint64)
-        unit_key = np.repeat(key, per_text)
-        unit_at = np.arange(len(nodes)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-        path, count = self._walk(nodes, unit_key, unit_at, 0, tabs)
-        unit_end = np.cumsum(count)
-        text_units = np.concatenate([[0], np.cumsum(per_text)])
-        text_edges = np.concatenate([[0], unit_end])[text_units]
+        unit_begin = np.cumsum(per_text) - per_text
         root = _gumbel(_uniform(key, self.seed, 0, 1 << 40))
-        # decisions that leave the first path, for all texts at once
-        q = chance[path]
-        log_q = np.log(q)
-        run = np.concatenate([[0.0], np.cumsum(log_q)])
-        before = run[:-1] - np.repeat(run[text_edges[:-1]], np.diff(text_edges))
-        with np.errstate(divide="ignore"):
-            leave = before + np.log1p(-np.minimum(q, 1.0))
-        edge_key = np.repeat(key, np.diff(text_edges))
-        edge_at = np.arange(len(path)) - np.repeat(text_edges[:-1], np.diff(text_edges))
-        bounds = _truncated(leave, np.repeat(root, np.diff(text_edges)),
-                            _gumbel(_uniform(edge_key, self.seed, 1, edge_at, 1 << 41)))
-        log_p = run[text_edges[1:]] - run[text_edges[:-1]]
-        out = []
-        for i in range(len(texts)):
-            a, b = text_edges[i], text_edges[i + 1]
-            units = nodes[text_units[i]:text_units[i + 1]]
-            found = self._search(path[a:b], float(log_p[i]), float(root[i]), bounds[a:b], units,
-                                 key[i], tabs, chance)
-            out.append([(_ids_of(p, ids, lat.spelled), lp, g, inc) for p, lp, g, inc in found])
-        return out
-
-    def _search(self, path, log_p, g, bounds, units, key, tabs, chance) -> list[tuple]:
-        """Best-first search over the parts of the space: the next samples after the first."""
-        first, to, cum, end = tabs
-        found = [(path, log_p, g)]
-        # a part: (sample it leaves, bounds of its decisions, edges ruled out at the first of them, offset)
-        parts = [[path, bounds, (), 0]]
-        threshold = -np.inf
-        while True:
-            best = max(range(len(parts)), key=lambda n: parts[n][1].max(initial=-np.inf))
-            own, value, banned, offset = parts[best]
-            if not len(value) or np.isneginf(value.max()):
-                break
-            j = int(value.argmax())
-            g = float(value[j])
-            if len(found) == self.k:
-                threshold = g
+        # a text's open parts: [path before, bounds of its decisions, ruled out at the first, place of the first,
+        #                       log mass before each decision, unit of each decision]
+        parts: list[list[list]] = [[] for _ in texts]
+        found: list[list[tuple]] = [[] for _ in texts]
+        threshold = np.full(len(texts), -np.inf)
+        todo = np.arange(len(texts))
+        starts = [(np.zeros(0, np.int64), 0, (), 0.0, 1.0, np.zeros(0, np.int64))] * len(texts)
+        g, tails, tail_units = root, nodes, [np.arange(n) for n in per_text]
+        for n in range(self.k):
+            # free walks through the rest of each text, for all texts at once
+            per = np.array([len(u) for u in tail_units], dtype=np.int64)
+            unit = np.concatenate(tail_units) if len(todo) else np.zeros(0, np.int64)
+            path, count = self._walk(lat, tails, np.repeat(key[todo], per), unit + (n << 40), n)
+            unit_of = np.repeat(unit, count)
+            ends = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(per)])]
+            size = np.diff(ends)
+            base = np.repeat([s[3] for s in starts], size)
+            run = np.concatenate([[0.0], np.cumsum(lat.log_chance[path])])
+            before = run[:-1] - np.repeat(run[ends[:-1]], size) + base
+            mass = before + lat.log_leave[path]
+            # noise is bounded, so a decision far below k + 1 others cannot be among the k + 1 largest
+            floor = np.array([_floor(mass[a:b], self.k + 1, x) for a, b, x in zip(ends[:-1], ends[1:], g)])
+            some = np.flatnonzero(mass >= np.repeat(floor, size))
+            owner = np.repeat(np.arange(len(todo)), size)[some]
+            place = some - ends[:-1][owner] + np.array([s[1] for s in starts], dtype=np.int64)[owner]
+            drawn = np.full(len(path), -np.inf)
+            drawn[some] = _truncated(mass[some], g[owner], _gumbel(
+                _uniform(key[todo][owner], self.seed, n, place, 1 << 41)))
+            log_p = run[ends[1:]] - run[ends[:-1]]
+            for i, text in enumerate(todo.tolist()):
+                head, offset, ruled, base_i, rest, head_units = starts[i]
+                a, b = ends[i], ends[i + 1]
+                own = np.concatenate([head, path[a:b]]) if len(head) else path[a:b]
+                units = np.concatenate([head_units, unit_of[a:b]]) if len(head) else unit_of[a:b]
+                found[text].append((own, base_i + float(log_p[i]), float(g[i])))
+                parts[text].append([own, drawn[a:b], ruled, offset, before[a:b], units])
+            starts, next_g, next_todo, nodes_next, tail_units = [], [], [], [], []
+            for text in todo.tolist():
+                tops = [p[1].max(initial=-np.inf) for p in parts[text]]
+                best = int(np.argmax(tops))
+                if np.isneginf(tops[best]):
+                    continue  # no other segmentation is left
+                threshold[text] = tops[best]
+                if n + 1 < self.k:
+                    s = self._leave(lat, parts[text], best, key[text], n + 1, float(tops[best]))
+                    starts.append(s[0])
+                    nodes_next.append(s[1])
+                    first_unit = unit_begin[text] + s[2]
+                    nodes_next.append(nodes[first_unit + 1:unit_begin[text] + per_text[text]])
+                    tail_units.append(np.arange(s[2], per_text[text]))
+                    next_g.append(tops[best])
+                    next_todo.append(text)
+            todo, g = np.array(next_todo, dtype=np.int64), np.array(next_g)
+            tails = np.concatenate(nodes_next) if nodes_next else np.zeros(0, np.int64)
+            if not len(todo):
                 break
-            n = len(found)
-            d = offset + j
-            ruled = (banned if j == 0 else ()) + (int(own[d]),)
-            node = int(np.searchsorted(first, own[d], side="right") - 1)
-            edges = [e for e in range(first[node], first[node + 1]) if e not in ruled]
-            weight = np.cumsum([chance[e] for e in edges])
-            u = float(_uniform(np.array([key], dtype=np.uint64), self.seed, n, d, 1 << 42)[0])
-            e = edges[min(int(np.searchsorted(weight, u * weight[-1])), len(edges) - 1)]
-            # the rest of this unit, then all later units, are free
-            ended = int((end[to[own[:d]]] == 1).sum())
-            tail_nodes = np.concatenate([[to[e]], units[ended + 1:]]).astype(np.int64)
-            tail, _ = self._walk(tail_nodes, np.full(len(tail_nodes), key, dtype=np.uint64),
-                                 np.arange(len(tail_nodes)) + ended + (1 << 20), n, tabs)
-            new = np.concatenate([own[:d], [e], tail])
-            log_q = np.log(chance[new])
-            run = np.cumsum(log_q)
-            found.append((new, float(run[-1]), g))
-            # the part left behind keeps its prefix and rules out one more edge
-            rest = 1.0 - sum(float(chance[x]) for x in ruled) - float(chance[e])
-            open_more = len(edges) > 1 and rest > 0
-            before = np.concatenate([[0.0], run[:-1]])[d:]
-            with np.errstate(divide="ignore"):
-                mass = before + np.log1p(-np.minimum(chance[new[d:]], 1.0))
-            mass[0] = before[0] + np.log(rest) if open_more else -np.inf
-            keys = np.full(len(mass), key, dtype=np.uint64)
-            drawn = _truncated(mass, g, _gumbel(_uniform(keys, self.seed, n + 1, np.arange(d, len(new)), 1 << 41)))
-            value = value.copy()
-            value[j] = -np.inf
-            parts[best] = [own, value, banned, offset]
-            parts.append([new, drawn, ruled, d])
-        out = []
-        for p, lp, g in found:
-            z = lp - threshold
-            inc = 0.0 if np.isneginf(threshold) else z if z < -30 else float(np.log(-np.expm1(-np.exp(min(z, 700.0)))))
-            out.append((p, lp, g, inc))
-        return out
-
-
-def _ids_of(path: np.ndarray, ids: np.ndarray, spelled: list) -> np.ndarray:
-    got = ids[path]
-    if len(got) and got.min() < 0:
-        flat: list[int] = []
-        for x in got.tolist():
-            flat.extend(spelled[-1 - x] if x < 0 else (x,))
-        return np.array(flat, dtype=np.int32)
-    return got.astype(np.int32)
+        rows, paths = [], []
+        for i, own in enumerate(found):
+            bound = threshold[i] if len(own) == self.k else -np.inf
+            for r, (path, lp, value) in enumerate(own, 1):
+                rows.append((i, r, lp, value, _log_inclusion(lp, bound)))
+                paths.append(path)
+        count = np.array([len(p) for p in paths], dtype=np.int64)
+        ids, per = lat.id_arrays(np.concatenate(paths) if paths else np.zeros(0, np.int64), count)
+        return rows, ids, per
+
+    def _leave(self, lat: Lattices, parts: list, best: int, key, n: int, g: float) -> tuple:
+        """Enter the part with the largest value: another edge at its decision, the rest free.
+
+        Returns the start of the new sample, the node after the new edge, and its unit.
+        The part without the new edge too is added to ``parts``.
+        """
+        own, value, banned, offset, before, units = parts[best]
+        j = int(value.argmax())
+        d = offset + j
+        ruled = (banned if j == 0 else ()) + (int(own[d]),)
+        node = int(lat.node_of[own[d]])
+        edges = [e for e in range(int(lat.first[node]), int(lat.first[node + 1])) if e not in ruled]
+        weight = np.cumsum(lat.chance[edges])
+        key = np.array([key], dtype=np.uint64)
+        u = float(_uniform(key, self.seed, n, d, 1 << 42)[0])
+        e = edges[min(int(np.searchsorted(weight, u * weight[-1])), len(edges) - 1)]
+        others = [x for x in edges if x != e]
+        value = value.copy()
+        value[j] = -np.inf
+        parts[best] = [own, value, banned, offset, before, units]
+        mass = float(before[j])
+        step = mass + float(np.log(lat.chance[e]))
+        head = np.concatenate([own[:d], [e]])
+        if others:
+            rest = np.array([mass + float(np.log(lat.chance[others].sum()))])
+            drawn = _truncated(rest, g, _gumbel(_uniform(key, self.seed, n, d, 1 << 43)))
+            parts.append([head, drawn, ruled, d, np.array([mass]), units[:d + 1]])
+        return (head, d + 1, (), step, 0.0, units[:d + 1]), [int(lat.to[e])], int(units[d])
+
+
+def _floor(mass: np.ndarray, k: int, bound: float) -> float:
+    """Below this no decision's value can be among the ``k`` largest."""
+    for n in (64, len(mass)):
+        best = mass[:n][np.isfinite(mass[:n])]
+        if len(best) >= k:
+            kth = np.partition(best, len(best) - k)[len(best) - k]
+            return min(bound, kth + LEAST_NOISE) - np.log(2) - MOST_NOISE
+    return -np.inf
+
+
+def _log_inclusion(log_p: float, threshold: float) -> float:
+    """log(1 - exp(-exp(log_p - threshold))), without loss for small and large differences."""
+    if np.isneginf(threshold):
+        return 0.0
+    z = log_p - threshold
+    if z < -30:
+        return z
+    return float(np.log(-np.expm1(-np.exp(min(z, 700.0)))))
 
 
 def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list[str] | None = None,
@@ -330,15 +424,13 @@ def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list
                 while end < len(texts) and (end == at or units < UNITS):
                     units += len(texts[end] or "") // 5
                     end += 1
-                rows = [(i, r, s) for i, found in enumerate(sampler.sample(texts[at:end], keys[at:end]), at)
-                        for r, s in enumerate(found, 1)]
-                ids = [s[0] for _, _, s in rows]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                rows, ids, per = sampler.sample(texts[at:end], keys[at:end])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("row").take(pa.array([i for i, _, _ in rows], pa.int64())),
-                    pa.array([r for _, r, _ in rows], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else [], pa.int32())),
-                    *[pa.array([s[c] for _, _, s in rows], pa.float64()) for c in (1, 2, 3)]],
+                    batch.column("row").take(pa.array([at + x[0] for x in rows], pa.int64())),
+                    pa.array([x[1] for x in rows], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]).astype(np.int32)),
+                                             pa.array(ids)),
+                    *[pa.array([x[c] for x in rows], pa.float64()) for c in (2, 3, 4)]],
                     names=["row", "rank", "ids", "log_prob", "perturbed", "log_inclusion"])
                 at = end
 
