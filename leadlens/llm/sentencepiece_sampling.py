@@ -1,8 +1,8 @@
 """SentencePiece encoding with sampled segmentations, and decoding (operator 8).
 
-A text is cut before runs of spaces and around line ends, where no piece of the model
-reaches across; each unit has a lattice of pieces (a character that no piece holds is
-spelled in byte pieces).  A segmentation is a path; its probability is proportional to
+A text is cut between any two characters that stand together in no piece of the model, so
+that no piece reaches across; each unit has a lattice of pieces (a character that no piece
+holds is spelled in byte pieces).  A segmentation is a path; its probability is proportional to
 the product of its pieces' probabilities ``(rank + SHIFT) ** -POWER``.
 
 Gumbel top-k without replacement by perturbed A* search: the whole space of paths gets
@@ -25,8 +25,6 @@ chosen by name, others are dropped; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -44,9 +42,9 @@ SHIFT = 10.0
 BYTE_RANK = 4.0  # a byte piece counts as this many times the last rank
 UNITS = 800_000
 SPACE = "▁"
+HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 #: range of a Gumbel number made from a 52-bit uniform one
 LEAST_NOISE, MOST_NOISE = -4.0, 38.0
-UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
 def read_pieces(path: str = MODEL) -> dict:
@@ -57,8 +55,6 @@ def read_pieces(path: str = MODEL) -> dict:
     pieces = [m.id_to_piece(i) for i in range(size)]
     special = {i for i in range(size) if m.is_control(i) or m.is_unknown(i) or m.is_unused(i) or m.is_byte(i)}
     normal = sorted((i for i in range(size) if i not in special), key=lambda i: (-m.get_score(i), i))
-    if any("\n" in pieces[i] or SPACE in pieces[i].lstrip(SPACE) for i in normal):
-        raise ValueError("pieces reach across spaces or line ends")
     bytes_ = {int(pieces[i][3:5], 16): i for i in range(size) if m.is_byte(i)}
     ranks = np.arange(len(normal)) + SHIFT
     log_p = -POWER * np.log(ranks)
@@ -74,6 +70,10 @@ class Vocabulary:
         self.code_of = np.full(0x110000, -1, dtype=np.int64)
         self.code_of[[ord(c) for c in chars]] = np.arange(len(chars))
         self.width = len(chars)
+        self.joined = np.zeros((self.width + 1, self.width + 1), dtype=bool)  # the last stands for no code
+        for i in model["normal"]:
+            c = self.code_of[[ord(x) for x in model["pieces"][i]]]
+            self.joined[c[:-1], c[1:]] = True
         moves: dict[int, int] = {}
         accept = {}
         for i, lp in zip(model["normal"], model["log_p"]):
@@ -108,6 +108,33 @@ class Vocabulary:
             h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (h >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def units_of(self, texts: list) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Units of each text: how many, the number of each among the distinct ones, those."""
+        ready = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
+        flat = "".join(ready)
+        raw = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ends = np.cumsum([len(t) for t in ready]) if texts else np.zeros(0, np.int64)
+        if not len(raw):
+            return np.zeros(len(texts), dtype=np.int64), np.zeros(0, dtype=np.int64), []
+        code = self.code_of[raw]
+        cut = np.ones(len(raw) + 1, dtype=bool)
+        cut[1:-1] = ~self.joined[code[:-1], code[1:]]
+        cut[ends] = True
+        at = np.flatnonzero(cut)
+        begin, size = at[:-1], np.diff(at)
+        run = np.concatenate([[0], np.cumsum(cut[:-1])])
+        per_text = np.diff(np.concatenate([[0], run[ends]]))
+        # a position-free 64-bit hash of each unit from one running sum
+        with np.errstate(over="ignore"):
+            power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(int(size.max()), HASH_BASE))])
+            unit = np.repeat(begin, size)
+            sums = np.add.reduceat(_mix(raw.astype(np.uint64) + np.uint64(7)) * power[np.arange(len(raw)) - unit], begin)
+            sums = _mix(sums + size.astype(np.uint64))
+        codes, _ = pd.factorize(sums)
+        first = np.empty(codes.max() + 1, dtype=np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        return per_text, codes, [flat[a:a + n] for a, n in zip(begin[first].tolist(), size[first].tolist())]
+
     def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Next states, -1 where no piece goes on."""
         key = state * self.width + code
@@ -277,10 +304,8 @@ class Sampler:
 
     def sample(self, texts: list, keys: list[int]) -> tuple:
         """Samples of all texts: (text number, rank, log p, perturbed, log inclusion), ids, ids per sample."""
-        words = [UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        per_text = np.array([len(w) for w in words], dtype=np.int64)
-        codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
-        lat = Lattices(self.vocabulary, list(distinct))
+        per_text, codes, distinct = self.vocabulary.units_of(texts)
+        lat = Lattices(self.vocabulary, distinct)
         nodes = lat.start[codes]
         key = np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], dtype=np.uint64)
         unit_begin = np.cumsum(per_text) - per_text
@@ -439,37 +464,43 @@ def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list
                       "log_inclusion")
 
 
-def decode_ids(ids: list[int], pieces: list[str], byte_of: dict[int, int], skip: frozenset) -> str:
-    """Text of a sequence of ids; bytes that are no UTF-8 become U+FFFD."""
-    out, run = [], bytearray()
-    for i in ids:
-        b = byte_of.get(i)
-        if b is not None:
-            run.append(b)
-            continue
-        if run:
-            out.append(run.decode("utf-8", "replace"))
+class Decoder:
+    """Text of sequences of ids; bytes that are no UTF-8 become U+FFFD, special ids nothing."""
+
+    def __init__(self, model: dict):
+        table_ = [p.replace(SPACE, " ") for p in model["pieces"]]
+        for i in model["special"]:
+            table_[i] = ""
+        self.high = np.zeros(len(table_), dtype=bool)  # bytes that only make a character together
+        self.byte_of = {}
+        for b, i in model["bytes"].items():
+            table_[i] = chr(b) if b < 0x80 else ""
+            self.high[i] = b >= 0x80
+            self.byte_of[i] = b
+        self.table = np.array(table_, dtype=object)
+
+    def text(self, ids: np.ndarray) -> str:
+        parts = self.table[ids].tolist()
+        at = np.flatnonzero(self.high[ids]).tolist()
+        if at:
             run = bytearray()
-        if i not in skip:
-            out.append(pieces[i])
-    if run:
-        out.append(run.decode("utf-8", "replace"))
-    text = "".join(out).replace(SPACE, " ")
-    return text[1:] if text.startswith(" ") else text
+            for n, a in enumerate(at):
+                run.append(self.byte_of[int(ids[a])])
+                if n + 1 == len(at) or at[n + 1] != a + 1:
+                    parts[a] = run.decode("utf-8", "replace")
+                    run = bytearray()
+        text = "".join(parts)
+        return text[1:] if text.startswith(" ") else text
 
 
 def decoded(rows: DataFrame, ids: str = "ids", into: str = "text", model: str | dict = MODEL) -> DataFrame:
     """``rows`` with the text of ``ids``; null ids give a null text."""
-    m = read_pieces(model) if isinstance(model, str) else model
-    holder = rows.sparkSession.sparkContext.broadcast(
-        {"pieces": m["pieces"], "bytes": {i: b for b, i in m["bytes"].items()},
-         "skip": frozenset(m["special"]) - frozenset(m["bytes"].values())})
+    holder = rows.sparkSession.sparkContext.broadcast(Decoder(read_pieces(model) if isinstance(model, str) else model))
 
     @F.pandas_udf(T.StringType())
     def run(column: pd.Series) -> pd.Series:
-        v = holder.value
-        return pd.Series([None if x is None else decode_ids(x.tolist(), v["pieces"], v["bytes"], v["skip"])
-                          for x in column], dtype=object)
+        d = holder.value
+        return pd.Series([None if x is None else d.text(x) for x in column], dtype=object)
 
     return rows.withColumn(into, run(F.col(ids)))
 
