@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that cache narrow tables)
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,5 +49,42 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder: cut from its lineage,
+    compressed, and read again with column pruning."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, comp): the smallest node that each node of (a, b) edges can reach.
+
+    Large-star and small-star steps on the edge table, each cut off by a checkpoint, until
+    no edge changes; every step is a join and a grouping, nothing is collected but a count.
+    A node with many edges is split: its smallest neighbour is a partial minimum.
+    """
+    both = edges.filter(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    e, before = saved(both), None
+    while True:
+        # large star: neighbours above a node move to its smallest neighbour
+        near = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        e = near.filter(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        e = e.unionByName(low.select("a", F.col("m").alias("b")).filter(F.col("a") != F.col("b"))).distinct()
+        # small star: a node and its smaller neighbours move to the smallest of them
+        low = e.groupBy("a").agg(F.min("b").alias("m"))
+        e = e.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter(F.col("a") != F.col("b"))
+        e = saved(e.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+        state = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if state == before:
+            break
+        before = state
+    nodes = e.groupBy("a").agg(F.min("b").alias("comp")).withColumnRenamed("a", "node")
+    return nodes.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+
+
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, -(-rows // per_block))

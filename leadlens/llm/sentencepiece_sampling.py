@@ -40,7 +40,7 @@ SEED = 11
 POWER = 1.0
 SHIFT = 10.0
 BYTE_RANK = 4.0  # a byte piece counts as this many times the last rank
-UNITS = 800_000
+UNITS = 200_000
 SPACE = "▁"
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 #: range of a Gumbel number made from a 52-bit uniform one
@@ -427,20 +427,22 @@ def _log_inclusion(log_p: float, threshold: float) -> float:
 
 
 def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list[str] | None = None,
-                   k: int = K, seed: int = SEED, model: str | dict = MODEL) -> DataFrame:
-    """Rows (carried columns, rank, ids, log_prob, perturbed, log_inclusion), ``k`` a text."""
+                   k: int = K, seed: int = SEED, model: str | dict = MODEL, back: str | None = None) -> DataFrame:
+    """Rows (carried columns, rank, ids, log_prob, perturbed, log_inclusion), ``k`` a text;
+    with ``back`` also a column of that name, the text decoded from the ids."""
     spark = docs.sparkSession
     carry = [c for c in docs.columns if c != text] if carry is None else carry
     pieces = spark.sparkContext.broadcast(read_pieces(model) if isinstance(model, str) else model)
+    more = [T.StructField(back, T.StringType())] if back else []
     d = docs.select(F.struct(*carry).alias("row") if carry else F.lit(None).cast("string").alias("row"),
                     F.coalesce(key.cast("long"), F.lit(0)).alias("key"), F.col(text).alias("text"))
     schema = T.StructType([d.schema["row"], T.StructField("rank", T.IntegerType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("log_prob", T.DoubleType()), T.StructField("perturbed", T.DoubleType()),
-                           T.StructField("log_inclusion", T.DoubleType())])
+                           T.StructField("log_inclusion", T.DoubleType()), *more])
 
     def run(batches):
-        sampler = Sampler(pieces.value, k, seed)
+        sampler, decoder = Sampler(pieces.value, k, seed), Decoder(pieces.value) if back else None
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
             at = 0
@@ -450,18 +452,20 @@ def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list
                     units += len(texts[end] or "") // 5
                     end += 1
                 rows, ids, per = sampler.sample(texts[at:end], keys[at:end])
+                texts_back = [pa.array([decoder.text(x) for x in np.split(ids, np.cumsum(per)[:-1])][:len(rows)],
+                                       pa.string())] if back else []
                 yield pa.RecordBatch.from_arrays([
                     batch.column("row").take(pa.array([at + x[0] for x in rows], pa.int64())),
                     pa.array([x[1] for x in rows], pa.int32()),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]).astype(np.int32)),
                                              pa.array(ids)),
-                    *[pa.array([x[c] for x in rows], pa.float64()) for c in (2, 3, 4)]],
-                    names=["row", "rank", "ids", "log_prob", "perturbed", "log_inclusion"])
+                    *[pa.array([x[c] for x in rows], pa.float64()) for c in (2, 3, 4)], *texts_back],
+                    names=schema.names)
                 at = end
 
     out = d.mapInArrow(run, schema)
     return out.select(*([F.col("row")[c].alias(c) for c in carry]), "rank", "ids", "log_prob", "perturbed",
-                      "log_inclusion")
+                      "log_inclusion", *([back] if back else []))
 
 
 class Decoder:
@@ -516,7 +520,7 @@ def encoded_docs(docs: DataFrame) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("text_hash", F.xxhash64(
         F.coalesce("text", F.lit(""))))
-    s = decoded(encode_samples(docs, F.col("doc_id"), carry=["doc_id", "text_hash"]), into="back")
+    s = encode_samples(docs, F.col("doc_id"), carry=["doc_id", "text_hash"], back="back")
     return s.select("doc_id", "rank", F.size("ids").cast("long").alias("n_pieces"),
                     F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
                     (F.xxhash64("back") == F.col("text_hash")).alias("round_trip"))
