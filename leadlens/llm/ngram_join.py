@@ -38,7 +38,9 @@ N = 4
 PERCENT = 85
 BITS = 512
 SKETCH_BITS = 18
-STARS = 4
+STARS = 8
+HEADS = 6
+KEPT_HEADS = 4
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -191,14 +193,21 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     slim = classes.select("rid", "n", "bits")
 
     # round 1: stars
-    tiles = classes.select("rid", F.explode(F.slice("prefix", 1, STARS)).alias("gram"))
-    heads = tiles.groupBy("gram").agg(F.min("rid").alias("head"), F.max("rid").alias("other")).filter("head < other")
+    # (the last hashes of a prefix are those that most others have too)
+    tiles = classes.select("rid", F.explode(F.slice("prefix", F.greatest(F.lit(1), F.size("prefix") - STARS + 1),
+                                                    STARS)).alias("gram"))
+    heads = (tiles.groupBy("gram").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"), *[
+        F.min_by("rid", F.xxhash64("rid", F.lit(k))).alias(f"h{k}") for k in range(HEADS)]).filter("lo < hi")
+        .select("gram", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)]))).alias("head")))
     star = tiles.join(heads, "gram").filter("rid != head").select(
         F.col("rid").alias("sa"), F.col("head").alias("sb")).distinct()
     near = (star.join(slim.alias("x"), F.col("sa") == F.col("x.rid")).join(slim.alias("y"), F.col("sb") == F.col("y.rid"))
-            .withColumn("bound", _bound("x", "y")).filter(_links("x", "y", F.col("bound"), percent)))
-    best = (near.groupBy(F.col("x.rid").alias("a")).agg(F.max(F.struct("bound", "sb")).alias("s"))
-            .select("a", F.col("s.sb").alias("b")))
+            .withColumn("bound", _bound("x", "y")).filter(_links("x", "y", F.col("bound"), percent))
+            .withColumn("share", F.col("bound") / (F.col("x.n") + F.col("y.n"))).select("sa", "sb", "share"))
+    # a member has STARS x HEADS heads at most and keeps the most promising ones
+    best = (near.groupBy("sa").agg(F.sort_array(F.collect_list(F.struct("share", "sb")), asc=False).alias("h"))
+            .select("sa", F.explode(F.slice("h", 1, KEPT_HEADS)).alias("h"))
+            .select(F.least("sa", "h.sb").alias("a"), F.greatest("sa", "h.sb").alias("b")).distinct())
     links = written(_verified(written(best, "stars"), d, classes, n, percent), "links")
 
     # round 2: pairs across components in tiles that hold several
