@@ -8,13 +8,14 @@ so copies never multiply.  Between classes, every link is found:
   rare ones first; sets that link share one of their first n - ceil(0.85 n) + 1 hashes;
 * tiles: classes that share such a hash form a tile, cut into size bands by the rule that
   linked sets differ in size by that percentage at most;
-* bitmaps: each set has a signature of ``BITS`` hashed bits.  Bits that differ between two
+* bitmaps: each set has a signature of hashed bits, a few per n-gram (folded to
+  ``TILE_BITS`` inside tiles).  Bits that differ between two
   signatures bound the overlap from above; pairs below the needed overlap fall out;
 * what is left is decided by the exact intersection of the sorted arrays.
 
 Links are only needed between classes that are not connected yet.  A first round holds each
-class against the first member of its first tiles (a star, linear in the tile) and keeps the
-most promising pair; the verified links give components.  The second round looks at all
+class against a few members of some of its tiles (stars, linear in the tile) and keeps the
+most promising pairs; the verified links give components.  The second round looks at all
 tiles that still hold several components, and there only at pairs across components, on one
 side the members outside the tile's largest component.  So a group of copies of any size
 costs a star and not its square, and no link between components can be missed.
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,11 +37,13 @@ from leadlens.llm.common import components, table, written
 
 N = 4
 PERCENT = 85
-BITS = 512
+TILE_BITS = 512
 SKETCH_BITS = 18
-STARS = 8
-HEADS = 6
-KEPT_HEADS = 4
+MARK_BITS = 23
+STARS = 4
+HEADS = 3
+KEPT_HEADS = 3
+RUN_CHARS = 500_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -51,20 +54,50 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def ngram_sets(texts, n: int = N) -> list[np.ndarray]:
-    """Sorted distinct n-gram hashes of each text (ASCII capitals lowered, words between ASCII white space)."""
-    words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-    codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _MIX[0])
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def word_hashes(texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (ASCII capitals lowered, between ASCII white space), and words per text."""
+    raw = [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
+    flat = np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)
+    white = _WHITE[flat]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], white]).astype(np.int8)))
+    begin, end = edge[::2], edge[1::2]
+    if not len(begin):
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(raw), dtype=np.int64)
+    size = end - begin
+    stop = np.cumsum([len(r) + 1 for r in raw])
+    per_text = np.diff(np.concatenate([[0], np.searchsorted(begin, stop)]))
+    with np.errstate(over="ignore"):
+        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(int(size.max()), _MIX[0]))])
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        sums = np.add.reduceat(_BYTE[flat[~white]] * power[place], np.cumsum(size) - size)
+        return _mixed(sums + size.astype(np.uint64) * _MIX[1]), per_text
+
+
+def ngram_sets(texts, n: int = N):
+    """Sorted distinct n-gram hashes of each text, worked out in runs of whole texts."""
+    run, held = [], 0
+    for t in texts:
+        run.append(t)
+        held += len(t or "")
+        if held > RUN_CHARS:
+            yield from _run_sets(run, n)
+            run, held = [], 0
+    yield from _run_sets(run, n)
+
+
+def _run_sets(texts, n: int) -> list[np.ndarray]:
+    flat, per_text = word_hashes(texts)
+    out, at = [], 0
     with np.errstate(over="ignore"):
-        hashed = pd.util.hash_array(np.array([w.decode("utf-8", "surrogatepass") for w in distinct], dtype=object),
-                                    categorize=False) if len(distinct) else np.zeros(0, dtype=np.uint64)
-        flat = hashed[codes] if len(codes) else hashed
         grams = np.zeros(max(0, len(flat) - n + 1), dtype=np.uint64)
         for k in range(n):
             grams = _mixed(grams * _MIX[0] + flat[k:k + len(grams)] + np.uint64(k + 1))
-        out, at = [], 0
-        for ws in words:
-            size = len(ws)
+        for size in per_text.tolist():
             if size >= n:
                 out.append(np.unique(grams[at:at + size - n + 1]))
             elif size:
@@ -82,10 +115,17 @@ def needed_prefix(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _signature(grams: np.ndarray, bits: int = BITS) -> np.ndarray:
-    set_ = np.zeros(bits, dtype=bool)
-    set_[(grams >> np.uint64(20)).astype(np.int64) & (bits - 1)] = True
-    return np.packbits(set_, bitorder="little").view(np.int64)
+def _signature(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed bitmap as longs: a power of two of bits, four to eight per hash and at least
+    4 ``TILE_BITS``; and the same folded to ``TILE_BITS``."""
+    bits = max(4 * TILE_BITS, 1 << (4 * len(grams) - 1).bit_length())
+    at = (grams >> np.uint64(20)).astype(np.int64)
+    out = []
+    for size in (bits, TILE_BITS):
+        set_ = np.zeros(size, dtype=bool)
+        set_[at & (size - 1)] = True
+        out.append(np.packbits(set_, bitorder="little").view(np.int64))
+    return out[0], out[1]
 
 
 def _class_hash(grams: np.ndarray) -> tuple[int, int]:
@@ -99,11 +139,20 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
     """Level of each sketch cell: 0 for usual cells, higher for cells with frequent n-grams."""
     cells = 1 << SKETCH_BITS
 
+    def cells_of(sets):
+        grams = np.concatenate([np.zeros(0, dtype=np.uint64), *sets])
+        return np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells)
+
     def count(batches):
         total = np.zeros(cells, dtype=np.int64)
         for pdf in batches:
+            held = []
             for g in ngram_sets(pdf.text, n):
-                np.add.at(total, (g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                held.append(g)
+                if len(held) == 500:
+                    total += cells_of(held)
+                    held = []
+            total += cells_of(held)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"cell": at, "n": total[at]})
 
@@ -117,35 +166,53 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
 _SETS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()),
     T.StructField("h2", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
-    T.StructField("bits", T.ArrayType(T.LongType()))])
+    T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("fold", T.ArrayType(T.LongType()))])
 
 
 def _set_rows(docs: DataFrame, level: np.ndarray, n: int, percent: int) -> DataFrame:
-    """A row per document: set size, class hashes, first hashes in the order, signature."""
+    """A row per document: set size, class hashes, and for the first of each class in a task
+    its first hashes in the order and its signature (null for later copies)."""
     holder = docs.sparkSession.sparkContext.broadcast(level)  # 2 ** SKETCH_BITS bytes
 
     def run(batches):
-        level_of = holder.value
+        level_of, seen = holder.value, set()
         for pdf in batches:
-            rows, prev = [], {}
+            rows = []
             for g in ngram_sets(pdf.text, n):
                 h = _class_hash(g)
-                if h not in prev:  # copies within a batch are worked out once
-                    order = np.lexsort((g, level_of[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
-                    prefix = g[order[:needed_prefix(len(g), percent)]] if len(g) > 1 else g[:0]
-                    prev[h] = (len(g), *h, prefix.astype(np.int64), _signature(g))
-                rows.append(prev[h])
-            out = pd.DataFrame(rows, columns=["n", "h1", "h2", "prefix", "bits"])
-            out.insert(0, "doc_id", pdf.doc_id.astype("Int64").to_numpy() if pdf.doc_id.isna().any() else pdf.doc_id)
+                if h in seen or not len(g):
+                    rows.append((len(g), *h, None, None, None))
+                    continue
+                seen.add(h)
+                order = np.argsort(level_of[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
+                prefix = g[order[:needed_prefix(len(g), percent)]] if len(g) > 1 else g[:0]
+                rows.append((len(g), *h, prefix.astype(np.int64), *_signature(g)))
+            out = pd.DataFrame(rows, columns=["n", "h1", "h2", "prefix", "bits", "fold"])
+            out.insert(0, "doc_id", pdf.doc_id.astype("Int64"))
             yield out
 
     return docs.select("doc_id", "text").mapInPandas(run, _SETS)
 
 
-def _bound(a: str, b: str, words: int = BITS // 64):
-    """Upper bound of the overlap from sizes and differing bits."""
-    differ = sum((F.bit_count(F.get(f"{a}.bits", F.lit(i)).bitwiseXOR(F.get(f"{b}.bits", F.lit(i))))
-                  for i in range(words)), F.lit(0))
+def _tile_bound(a: str, b: str, words: int):
+    """Upper bound of the overlap from sizes and differing bits of the folded signatures."""
+    x, y = F.col(f"{a}.fold"), F.col(f"{b}.fold")
+    differ = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(words)), F.lit(0))
+    return F.floor((F.col(f"{a}.n") + F.col(f"{b}.n") - differ) / 2)
+
+
+def _halved(bits, other):
+    """The signature folded once if it is longer than the other (sizes differ less than twofold)."""
+    half = (F.size(bits) / 2).cast("int")
+    return F.when(F.size(bits) > F.size(other), F.zip_with(
+        F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda p, q: p.bitwiseOR(q))).otherwise(bits)
+
+
+def _bound(a: str, b: str):
+    """The same bound from the whole signatures."""
+    x, y = F.col(f"{a}.bits"), F.col(f"{b}.bits")
+    differ = F.aggregate(F.zip_with(_halved(x, y), _halved(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                         F.lit(0), lambda s, c: s + c)
     return F.floor((F.col(f"{a}.n") + F.col(f"{b}.n") - differ) / 2)
 
 
@@ -154,87 +221,120 @@ def _links(a: str, b: str, overlap, percent: int):
     return 100 * overlap >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - overlap)
 
 
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bit field of fixed size with the cells of ``doc_id`` set."""
+    cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARK_BITS)
+    words = ids.groupBy(F.shiftright(cell, 6).alias("w")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(doc_id), {64 - MARK_BITS}) & 63 as int))"))
+        .alias("b"))
+    field = np.zeros(1 << (MARK_BITS - 6), dtype=np.int64)
+    for r in words.toLocalIterator():
+        field[r.w] = r.b
+    return np.unpackbits(field.view(np.uint8), bitorder="little").astype(bool)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The (a, b) pairs that link, by the exact intersection of their arrays."""
+    """The (a, b) pairs that link, by the exact intersection of their arrays.
+
+    The arrays are worked out again for the documents in question.  A bit field of fixed
+    size sorts out most others while scanning, so no text is shuffled; the join decides.
+    """
     wanted = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    chosen = classes.join(wanted, "rid").select("rid", "doc_id", "h1", "h2")
-    # the arrays are worked out again for the classes in question only
-    text = docs.join(chosen.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    chosen = written(classes.select("rid", "doc_id", "h1", "h2").join(wanted, "rid"), "chosen")
+    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(_marks(chosen.select("doc_id"))))
 
     def arrays(batches):
+        field = np.unpackbits(marks.value).astype(bool)
         for pdf in batches:
-            sets = ngram_sets(pdf.text, n)
-            same = [_class_hash(g) == (a, b) for g, a, b in zip(sets, pdf.h1, pdf.h2)]
-            yield pd.DataFrame({"rid": [r for r, s in zip(pdf.rid, same) if s],
-                                "grams": [g.astype(np.int64) for g, s in zip(sets, same) if s]})
-
-    sets = written(text.select("rid", "h1", "h2", "text").mapInPandas(arrays, "rid long, grams array<long>"), "sets") \
-        .dropDuplicates(["rid"])
+            pdf = pdf[field[pdf.cell.to_numpy()]]
+            if len(pdf):
+                yield pd.DataFrame([(*_class_hash(g), g.astype(np.int64)) for g in ngram_sets(pdf.text, n)],
+                                   columns=["g1", "g2", "grams"]).assign(id=pdf.doc_id.astype("Int64").array)[
+                    ["id", "g1", "g2", "grams"]]
+
+    cell = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - MARK_BITS)
+    sides = (pairs.select(F.col("a").alias("rid"), "a", "b", F.lit(True).alias("left"))
+             .union(pairs.select("b", "a", "b", F.lit(False)))
+             .join(chosen.select("rid", "doc_id", "h1", "h2"), "rid").drop("rid"))
+    sets = docs.select("doc_id", cell.alias("cell"), "text").mapInPandas(
+        arrays, "id long, g1 long, g2 long, grams array<long>")
+    met = sides.join(sets, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h1") == F.col("g1"))
+                     & (F.col("h2") == F.col("g2")))
+    # two rows a pair, and a few more where a row is repeated
+    both = met.groupBy("a", "b").agg(F.max(F.when(F.col("left"), F.col("grams"))).alias("ga"),
+                                     F.max(F.when(~F.col("left"), F.col("grams"))).alias("gb"))
 
     @F.pandas_udf(T.LongType())
     def overlap(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)], dtype="int64")
 
-    both = (pairs.join(sets.select(F.col("rid").alias("a"), F.col("grams").alias("ga")), "a")
-            .join(sets.select(F.col("rid").alias("b"), F.col("grams").alias("gb")), "b"))
     size = F.size("ga") + F.size("gb")
     return (both.select("a", "b", size.alias("size"), overlap("ga", "gb").alias("o"))
             .filter(100 * F.col("o") >= percent * (F.col("size") - F.col("o"))).select("a", "b"))
 
 
+def _narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, share): the pairs that the whole signatures leave open."""
+    slim = classes.select("rid", "n", "bits")
+    return (pairs.join(slim.alias("x"), F.col("a") == F.col("x.rid")).join(slim.alias("y"), F.col("b") == F.col("y.rid"))
+            .withColumn("bound", _bound("x", "y")).filter(_links("x", "y", F.col("bound"), percent))
+            .select("a", "b", (F.col("bound") / (F.col("x.n") + F.col("y.n"))).alias("share")))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = N,
                        percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, and class_size (documents with the same set)."""
+    """doc_id, n_shingles, component_id; one row per row of ``docs``."""
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = written(_set_rows(d, _sketch(d, n), n, percent).withColumn("row", F.monotonically_increasing_id()), "rows")
-    names = rows.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min("row").alias("rid"))
-    classes = written(rows.join(names.select(F.col("rid").alias("row"), "rid"), "row")
-                      .select("rid", "doc_id", "h1", "h2", "n", "prefix", "bits"), "classes")
-    slim = classes.select("rid", "n", "bits")
+    rows = written(_set_rows(d, _sketch(d, n), n, percent).withColumn("rid", F.monotonically_increasing_id()), "rows")
+    classes = rows.filter(F.col("prefix").isNotNull())
+    # equal sets of different tasks
+    first = classes.groupBy("h1", "h2", "n").agg(F.min("rid").alias("b"), F.max("rid").alias("hi")).filter("b < hi")
+    equal = written(classes.select("h1", "h2", "n", F.col("rid").alias("a")).join(first, ["h1", "h2", "n"])
+                    .filter("a > b").select("a", "b"), "equal")
+
+    # tiles: hashes that several classes have in their prefixes
+    member = classes.select("rid", F.explode("prefix").alias("gram"))
+    shared = member.groupBy("gram").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).filter("lo < hi")
+    tiles = written(member.join(shared.select("gram"), "gram", "left_semi"), "tiles")
 
     # round 1: stars
-    # (the last hashes of a prefix are those that most others have too)
-    tiles = classes.select("rid", F.explode(F.slice("prefix", F.greatest(F.lit(1), F.size("prefix") - STARS + 1),
-                                                    STARS)).alias("gram"))
-    heads = (tiles.groupBy("gram").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"), *[
-        F.min_by("rid", F.xxhash64("rid", F.lit(k))).alias(f"h{k}") for k in range(HEADS)]).filter("lo < hi")
-        .select("gram", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)]))).alias("head")))
-    star = tiles.join(heads, "gram").filter("rid != head").select(
-        F.col("rid").alias("sa"), F.col("head").alias("sb")).distinct()
-    near = (star.join(slim.alias("x"), F.col("sa") == F.col("x.rid")).join(slim.alias("y"), F.col("sb") == F.col("y.rid"))
-            .withColumn("bound", _bound("x", "y")).filter(_links("x", "y", F.col("bound"), percent))
-            .withColumn("share", F.col("bound") / (F.col("x.n") + F.col("y.n"))).select("sa", "sb", "share"))
+    heads = (tiles.groupBy("gram").agg(*[F.min_by("rid", F.xxhash64("rid", F.lit(k))).alias(f"h{k}")
+                                         for k in range(HEADS)])
+             .select("gram", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)]))).alias("head")))
+    nth = F.row_number().over(Window.partitionBy("rid").orderBy(F.xxhash64("gram"), "gram"))
+    star = (tiles.withColumn("nth", nth).filter(F.col("nth") <= STARS).join(heads, "gram").filter("rid != head")
+            .select(F.col("rid").alias("a"), F.col("head").alias("b")).distinct())
     # a member has STARS x HEADS heads at most and keeps the most promising ones
-    best = (near.groupBy("sa").agg(F.sort_array(F.collect_list(F.struct("share", "sb")), asc=False).alias("h"))
-            .select("sa", F.explode(F.slice("h", 1, KEPT_HEADS)).alias("h"))
-            .select(F.least("sa", "h.sb").alias("a"), F.greatest("sa", "h.sb").alias("b")).distinct())
-    links = written(_verified(written(best, "stars"), d, classes, n, percent), "links")
+    best = (_narrowed(star, classes, percent).groupBy("a")
+            .agg(F.sort_array(F.collect_list(F.struct("share", "b")), asc=False).alias("h"))
+            .select("a", F.explode(F.slice("h", 1, KEPT_HEADS)).alias("h"))
+            .select(F.least("a", "h.b").alias("a"), F.greatest("a", "h.b").alias("b")).distinct())
+    links = written(_verified(written(best, "stars"), d, classes, n, percent).unionByName(equal), "links")
 
     # round 2: pairs across components in tiles that hold several
     comp = written(components(links), "comp")
-    now = classes.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").withColumn(
+    member = tiles.join(comp.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
         "comp", F.coalesce("comp", "rid"))
-    member = now.select("rid", "comp", F.explode("prefix").alias("gram"))
-    mixed = member.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    member = written(member.join(mixed.select("gram"), "gram", "left_semi"), "tiles")
     counts = member.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("c"))
-    major = counts.groupBy("gram").agg(F.max(F.struct("c", "comp")).alias("m")).select(
-        "gram", F.col("m.comp").alias("major"))
-    full = member.join(major, "gram").join(slim, "rid")
+    major = (counts.groupBy("gram").agg(F.max_by("comp", "c").alias("major"), F.min("comp").alias("lo"),
+                                        F.max("comp").alias("hi")).filter("lo < hi").select("gram", "major"))
+    slim = classes.select("rid", "n", "fold")
+    full = written(member.join(major, "gram").join(slim, "rid"), "mixed")
     x, y = full.filter("comp != major").alias("x"), full.alias("y")
     across = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") != F.col("y.comp"))
                      & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.rid") < F.col("y.rid")))
                      & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-                     & _links("x", "y", _bound("x", "y"), percent))
+                     & _links("x", "y", _tile_bound("x", "y", TILE_BITS // 64), percent))
               .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct())
-    more = _verified(written(across, "across"), d, classes, n, percent)
+    across = written(_narrowed(across, classes, percent).select("a", "b"), "across")
+    more = _verified(across, d, classes, n, percent)
     comp = components(links.unionByName(more))
 
     # back to documents: a class's component, then the smallest id of each component
-    named = (names.join(comp.withColumnRenamed("node", "rid"), "rid", "left")
-             .select("h1", "h2", "n", F.coalesce("comp", "rid").alias("comp")))
-    member = rows.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")
-    member = written(member.select("doc_id", "n", "comp"), "members")
+    named = (classes.select("h1", "h2", "n", "rid").join(comp.withColumnRenamed("node", "rid"), "rid", "left")
+             .groupBy("h1", "h2", "n").agg(F.min(F.coalesce("comp", "rid")).alias("comp")))
+    member = written(rows.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")
+                     .select("doc_id", "n", "comp"), "members")
     smallest = member.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return member.join(smallest, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
