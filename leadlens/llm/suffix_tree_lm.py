@@ -1 +1,264 @@
-QUERIES = {}
+"""LM scoring by a probabilistic suffix tree (operator 10).
+
+Symbols are characters: ASCII letters, the space between words and the end of a text have
+symbols of their own, other characters share classes, inside which a character has its
+smoothed share of the class.  A context is kept if it is frequent (``MIN_SHARE`` of all
+symbols) and its next-symbol distribution diverges from that of its longest proper suffix:
+count x Kullback-Leibler divergence above ``MIN_GAIN``; the suffixes of a kept context are
+kept too.  Distributions are smoothed towards the suffix's.  A symbol is scored in the state
+of the longest kept suffix of what comes before it, up to ``DEPTH`` symbols.
+
+Learned from the corpus: n-gram counts of symbols (their number is bounded by the alphabet;
+``MIN_SHARE`` bounds the contexts that are collected, ``1 / MIN_SHARE`` a length) and the
+counts of all words, which stay distributed.  Documents are dealt to blocks by a hash; a
+block's distinct words meet the word counts in one join and come back to the block, so no
+word list is broadcast and a frequent word is one row a block.
+
+Cases: a null or empty text is only its end; if nothing can be learned the base score is
+that of zero counts and the tree is one uniform state; repeated rows are scored row by row;
+a null id counts as the empty text for the split; extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leadlens.llm.common import blocks_for, crc_mod, table, written
+
+MOD, HELD_OUT = 7, 2
+PER_BLOCK = 2000
+DEPTH = 4
+MIN_SHARE = 1e-5
+MIN_GAIN = 40.0
+PRIOR = 20.0
+RUN_CHARS = 500_000
+
+#: symbols: end, space, a to z, digits, marks, then code points beyond ASCII by remainder
+END, SPACE = 0, 1
+LETTERS, DIGIT, MARKS, WIDE = 2, 28, 29, 35
+ALPHABET = 48
+_SYMBOL = np.zeros(0x110000, dtype=np.int64)
+_SYMBOL[:] = WIDE + np.arange(0x110000) % (ALPHABET - WIDE)
+_SYMBOL[:128] = MARKS + np.arange(128) % (WIDE - MARKS)
+_SYMBOL[48:58] = DIGIT
+_SYMBOL[97:123] = LETTERS + np.arange(26)
+_SYMBOL[32] = SPACE
+_SYMBOL[10] = END
+_CLASS_SIZE = np.bincount(_SYMBOL, minlength=ALPHABET)
+
+
+def words_of(text) -> list[bytes]:
+    """Words between ASCII white space, ASCII capitals lowered."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def symbols_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the texts laid end to end, their symbols, and symbols per text.
+
+    Each text has ``DEPTH`` end symbols before it (its empty past) and one after it.
+    """
+    pad = "\n" * DEPTH
+    plain = [pad + b" ".join(words_of(t)).decode("utf-8", "surrogatepass") + "\n" for t in texts]
+    points = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return points, _SYMBOL[points], np.array([len(p) for p in plain], dtype=np.int64)
+
+
+def _runs(texts):
+    run, held = [], 0
+    for t in texts:
+        run.append(t)
+        held += len(t or "")
+        if held > RUN_CHARS:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
+def _scored(sizes: np.ndarray) -> np.ndarray:
+    """Places that are scored: all but the padding."""
+    begin = np.cumsum(sizes) - sizes
+    out = np.ones(int(sizes.sum()), dtype=bool)
+    for k in range(DEPTH):
+        out[begin + k] = False
+    return np.flatnonzero(out)
+
+
+def _contexts(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Context before each place as one number; the nearest symbol is the lowest digit."""
+    code = np.zeros(len(at), dtype=np.int64)
+    for k in range(DEPTH, 0, -1):
+        code = code * ALPHABET + symbols[at - k]
+    return code
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """(kind, code, n): counts of context-and-symbol codes (kind 0) and of code points (kind 1)."""
+    def count(batches):
+        held_g, held_c, size = [], [], 0
+
+        def packed():
+            for kind, held in ((0, held_g), (1, held_c)):
+                if held:
+                    codes = np.concatenate([c for c, _ in held])
+                    n = np.concatenate([m for _, m in held])
+                    keys, back = np.unique(codes, return_inverse=True)
+                    held[:] = [(keys, np.bincount(back, n).astype(np.int64))]
+
+        for pdf in batches:
+            for run in _runs(pdf.text):
+                points, symbols, sizes = symbols_of(run)
+                at = _scored(sizes)
+                held_g.append(np.unique(_contexts(symbols, at) * ALPHABET + symbols[at], return_counts=True))
+                held_c.append(np.unique(points[at].astype(np.int64), return_counts=True))
+                size += len(held_g[-1][0])
+                if size > 2_000_000:
+                    packed()
+                    size = len(held_g[0][0])
+        packed()
+        for kind, held in ((0, held_g), (1, held_c)):
+            for codes, n in held:
+                yield pd.DataFrame({"kind": kind, "code": codes, "n": n})
+
+    return (docs.select("text").mapInPandas(count, "kind int, code long, n long")
+            .groupBy("kind", "code").agg(F.sum("n").alias("n")))
+
+
+def fit(grams: DataFrame, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN) -> dict:
+    """The tree: kept contexts, their distributions, and character shares inside classes."""
+    grams = written(grams, "grams")
+    chars = grams.filter("kind = 1").select("code", "n").toPandas()  # one row a code point at most
+    per_class = np.bincount(_SYMBOL[chars.code.to_numpy(dtype=np.int64)], chars.n, ALPHABET)
+    share = {"point": chars.code.to_numpy(dtype=np.int64),
+             "log": np.log10((chars.n + 1) / (per_class + _CLASS_SIZE)[_SYMBOL[chars.code.to_numpy(dtype=np.int64)]])
+             .to_numpy() if len(chars) else np.zeros(0)}
+    unseen = -np.log10(per_class + _CLASS_SIZE)
+    total = grams.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
+    # counts of all context lengths from the longest; rare contexts stay behind
+    lengths = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(ALPHABET ** d).alias("m"))
+                                  for d in range(DEPTH + 1)]))
+    rolled = (grams.filter("kind = 0").select("code", "n", lengths.alias("x"))
+              .groupBy(F.col("x.d").alias("d"), (F.floor(F.col("code") / ALPHABET) % F.col("x.m")).alias("ctx"),
+                       (F.col("code") % ALPHABET).alias("next")).agg(F.sum("n").alias("n")))
+    often = rolled.groupBy("d", "ctx").agg(F.sum("n").alias("total")).filter(
+        (F.col("d") == 0) | (F.col("total") >= min_share * total))
+    rows = rolled.join(often, ["d", "ctx"]).select("d", "ctx", "next", "n").toPandas()
+    tables: list[dict[int, np.ndarray]] = [{} for _ in range(DEPTH + 1)]
+    for (d, ctx), g in rows.groupby(["d", "ctx"]):
+        n = np.zeros(ALPHABET)
+        n[g.next.to_numpy(dtype=np.int64)] = g.n
+        tables[d][int(ctx)] = n
+    root = tables[0].get(0, np.zeros(ALPHABET))
+    probs: list[dict[int, np.ndarray]] = [{0: (root + 1) / (root.sum() + ALPHABET)}]
+    kept: list[set[int]] = [{0}] + [set() for _ in range(DEPTH)]
+    for d in range(1, DEPTH + 1):
+        probs.append({})
+        for ctx, n in tables[d].items():
+            below = probs[d - 1].get(ctx % ALPHABET ** (d - 1))
+            if below is None:
+                continue
+            p = (n + PRIOR * below) / (n.sum() + PRIOR)
+            probs[d][ctx] = p
+            if n.sum() * float((p * np.log(p / below)).sum()) > min_gain:
+                for s in range(1, d + 1):
+                    kept[s].add(ctx % ALPHABET ** s)
+    states = [(d, ctx, probs[d][ctx]) for d in range(DEPTH + 1) for ctx in sorted(kept[d])]
+    return {"d": np.array([s[0] for s in states]), "ctx": np.array([s[1] for s in states]),
+            "log": np.log10(np.stack([s[2] for s in states])), "share": share, "unseen": unseen}
+
+
+class Scorer:
+    """Tables of a tree: context -> row of its longest kept suffix; (row, symbol) -> log10."""
+
+    def __init__(self, tree: dict):
+        row = np.zeros(1, dtype=np.int32)
+        for d in range(1, DEPTH + 1):
+            row = np.tile(row, ALPHABET)  # the farther symbol is the higher digit
+            at = np.flatnonzero(tree["d"] == d)
+            row[tree["ctx"][at]] = at
+        self.row, self.log = row, tree["log"].ravel()
+        self.point = tree["unseen"][_SYMBOL]
+        self.point[tree["share"]["point"]] = tree["share"]["log"]
+
+    def score(self, texts) -> np.ndarray:
+        out = [np.zeros(0)]
+        for run in _runs(texts):
+            points, symbols, sizes = symbols_of(run)
+            at = _scored(sizes)
+            value = self.log[self.row[_contexts(symbols, at)].astype(np.int64) * ALPHABET + symbols[at]]
+            value += self.point[points[at]]
+            size = sizes - DEPTH
+            out.append(np.add.reduceat(value, np.cumsum(size) - size))
+        return np.concatenate(out)
+
+
+def _hashes(words: np.ndarray) -> np.ndarray:
+    """64-bit hashes of distinct words (bytes), as longs."""
+    return pd.util.hash_array(words, categorize=False).view(np.int64)
+
+
+def _block_words(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words, the number of each word among them, and words per text."""
+    words = [words_of(t) for t in texts]
+    codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+    return (_hashes(np.asarray(distinct, dtype=object)) if len(distinct) else np.zeros(0, np.int64), codes,
+            np.array([len(w) for w in words], dtype=np.int64))
+
+
+def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod: int = MOD,
+              held: int = HELD_OUT) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    spark = docs.sparkSession
+    d = docs.select(F.col(doc_id).alias("doc_id"), (crc_mod(doc_id, mod) == held).alias("held_out"),
+                    F.col(text).alias("text"))
+    facts = d.agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("held_out")).cast("long")).alias("train")).first()
+    blocks = blocks_for(facts.n, PER_BLOCK)
+    d = d.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    scorer = spark.sparkContext.broadcast(fit(gram_counts(d.filter(~F.col("held_out")))))  # states are bounded
+
+    def block_dictionary(pdf: pd.DataFrame) -> pd.DataFrame:
+        hashes, codes, per = _block_words(pdf.text)
+        train = np.repeat(~pdf.held_out.to_numpy(dtype=bool), per)
+        return pd.DataFrame({"block": int(pdf.block.iloc[0]), "h": hashes,
+                             "t": np.bincount(codes[train], minlength=len(hashes))})
+
+    seen = written(d.groupBy("block").applyInPandas(block_dictionary, "block int, h long, t long"), "dictionary")
+    counts = seen.groupBy("h").agg(F.sum("t").alias("c")).filter("c > 0")
+    known = written(seen.select("block", "h").join(counts, "h"), "known")
+    n_words = seen.agg(F.sum("t")).first()[0] or 0
+    train = int(facts.train or 0)
+    total, distinct = n_words + train, counts.count() + (1 if train else 0)
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        hashes, codes, per = _block_words(left.text)
+        right = right.sort_values("h")
+        h, c = right.h.to_numpy(), right.c.to_numpy()
+        count = np.zeros(len(hashes))
+        if len(h):
+            at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
+            count = np.where(h[at] == hashes, c[at], 0)
+        below = np.log10(total + distinct + 1)
+        log = np.log10(count + 1) - below
+        ends = np.concatenate([[0], np.cumsum(per)])
+        run = np.concatenate([[0.0], np.cumsum(log[codes])]) if len(codes) else np.zeros(1)
+        hits = np.concatenate([[0], np.cumsum(count[codes] > 0)]) if len(codes) else np.zeros(1, np.int64)
+        return pd.DataFrame({
+            "doc_id": left.doc_id, "held_out": left.held_out, "n_tokens": per + 1,
+            "n_known": hits[ends[1:]] - hits[ends[:-1]] + (1 if train else 0), "train_tokens": total,
+            "base_score": run[ends[1:]] - run[ends[:-1]] + np.log10(train + 1) - below,
+            "score": Scorer(scorer.value).score(left.text)})
+
+    id_type = d.schema["doc_id"].dataType.simpleString()
+    return d.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(
+        score, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+               "base_score double, score double")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op10_lm_score": op10_lm_score}
