@@ -5,7 +5,8 @@ the overlap of their sets is at least ``PERCENT`` of their union.  Equal sets ar
 so copies never multiply.  Between classes, every link is found:
 
 * order: hashes are ordered by a count sketch over all documents (its size is fixed), the
-  rare ones first; sets that link share one of their first n - ceil(0.85 n) + 1 hashes;
+  rare ones first; sets that link share l of their first n - ceil(0.85 n) + l hashes (l is 1
+  for small sets and grows to ``MOST_SHARED``);
 * tiles: classes that share such a hash form a tile, cut into size bands by the rule that
   linked sets differ in size by that percentage at most;
 * bitmaps: each set has a signature of hashed bits, a few per n-gram (folded to
@@ -42,6 +43,7 @@ SKETCH_BITS = 18
 MARK_BITS = 23
 STARS = 4
 HEADS = 3
+MOST_SHARED = 8
 KEPT_HEADS = 3
 RUN_CHARS = 500_000
 
@@ -111,8 +113,15 @@ def _run_sets(texts, n: int) -> list[np.ndarray]:
     return out
 
 
+def needed_shared(size: int) -> int:
+    """Hashes that linked sets have in common in their prefixes, by the smaller set."""
+    return min(MOST_SHARED, max(1, size // 20))
+
+
 def needed_prefix(size: int, percent: int = PERCENT) -> int:
-    return size - -(-percent * size // 100) + 1
+    """Linked sets overlap in ceil(percent of either) or more: prefixes this long share
+    ``needed_shared`` hashes at least."""
+    return min(size, size - -(-percent * size // 100) + needed_shared(size))
 
 
 def _signature(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,6 +290,13 @@ def _narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", (F.col("bound") / (F.col("x.n") + F.col("y.n"))).alias("share")))
 
 
+def _tile_narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs that the folded signatures leave open."""
+    slim = classes.select("rid", "n", "fold")
+    return (pairs.join(slim.alias("x"), F.col("a") == F.col("x.rid")).join(slim.alias("y"), F.col("b") == F.col("y.rid"))
+            .filter(_links("x", "y", _tile_bound("x", "y", TILE_BITS // 64), percent)).select("a", "b"))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = N,
                        percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id; one row per row of ``docs``."""
@@ -293,17 +309,22 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
                     .filter("a > b").select("a", "b"), "equal")
 
     # tiles: hashes that several classes have in their prefixes
-    member = classes.select("rid", F.explode("prefix").alias("gram"))
+    member = classes.select("rid", "n", F.explode("prefix").alias("gram"))
     shared = member.groupBy("gram").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).filter("lo < hi")
     tiles = written(member.join(shared.select("gram"), "gram", "left_semi"), "tiles")
 
     # round 1: stars
-    heads = (tiles.groupBy("gram").agg(*[F.min_by("rid", F.xxhash64("rid", F.lit(k))).alias(f"h{k}")
-                                         for k in range(HEADS)])
-             .select("gram", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)]))).alias("head")))
+    draws = [F.xxhash64("rid", F.lit(k)) for k in range(HEADS)]
+    heads = (tiles.groupBy("gram").agg(*[F.min_by(c, draw).alias(f"{c}{k}") for k, draw in enumerate(draws)
+                                         for c in ("rid", "n")])
+             .select("gram", F.explode(F.array_distinct(F.array(*[
+                 F.struct(F.col(f"rid{k}").alias("b"), F.col(f"n{k}").alias("size")) for k in range(HEADS)]))).alias("h")))
     nth = F.row_number().over(Window.partitionBy("rid").orderBy(F.xxhash64("gram"), "gram"))
-    star = (tiles.withColumn("nth", nth).filter(F.col("nth") <= STARS).join(heads, "gram").filter("rid != head")
-            .select(F.col("rid").alias("a"), F.col("head").alias("b")).distinct())
+    star = (tiles.withColumn("nth", nth).filter(F.col("nth") <= STARS).join(heads, "gram")
+            .filter((F.col("rid") != F.col("h.b"))
+                    & (100 * F.least("n", "h.size") >= percent * F.greatest("n", "h.size")))
+            .select(F.col("rid").alias("a"), F.col("h.b").alias("b")).distinct())
+    star = _tile_narrowed(star, classes, percent)
     # a member has STARS x HEADS heads at most and keeps the most promising ones
     best = (_narrowed(star, classes, percent).groupBy("a")
             .agg(F.sort_array(F.collect_list(F.struct("share", "b")), asc=False).alias("h"))
@@ -313,7 +334,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
     # round 2: pairs across components in tiles that hold several
     comp = written(components(links), "comp")
-    member = tiles.join(comp.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
+    member = tiles.drop("n").join(comp.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
         "comp", F.coalesce("comp", "rid"))
     counts = member.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("c"))
     major = (counts.groupBy("gram").agg(F.max_by("comp", "c").alias("major"), F.min("comp").alias("lo"),
@@ -325,7 +346,11 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
                      & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.rid") < F.col("y.rid")))
                      & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
                      & _links("x", "y", _tile_bound("x", "y", TILE_BITS // 64), percent))
-              .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct())
+              .groupBy(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"))
+              .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.n", "y.n")).alias("n"))
+              # each common tile of a pair across components counts once
+              .filter(F.col("shared") >= F.least(F.lit(MOST_SHARED), F.greatest(F.lit(1), F.floor(F.col("n") / 20))))
+              .select("a", "b"))
     across = written(_narrowed(across, classes, percent).select("a", "b"), "across")
     more = _verified(across, d, classes, n, percent)
     comp = components(links.unionByName(more))
