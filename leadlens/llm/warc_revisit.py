@@ -47,7 +47,7 @@ def canonical_url(url: Column) -> Column:
 
 
 def _header(headers: Column, name: str) -> Column:
-    return F.filter(headers, lambda h: h["name"] == name)[0]["value"]
+    return F.get(F.filter(headers, lambda h: h["name"] == name), F.lit(0))["value"]
 
 
 def _agree(a: Column, b: Column) -> Column:
