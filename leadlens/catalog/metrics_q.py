@@ -371,7 +371,7 @@ def m29(ctx):
   date_diff('day', h.last_visit, DATE '{AS_OF_STAR}') AS days_since, h.services, h.masters
 FROM leads l JOIN (
   SELECT studio_id, phone, count(*) AS visit_count, max(visit_date) AS last_visit,
-    array_to_string(list_sort(list_distinct(list(service_id)))[1:5], ',') AS services,
+    array_to_string(list_sort(list_distinct(list(service_id))), ',') AS services,
     count(DISTINCT master_id) AS masters
   FROM vis WHERE visit_date <= DATE '{AS_OF_STAR}' GROUP BY ALL) h
   ON h.studio_id = l.studio_id AND h.phone = l.phone
@@ -379,7 +379,7 @@ WHERE l.status_id = 83303646 AND l.phone_valid
   AND date_diff('day', h.last_visit, DATE '{AS_OF_STAR}') > {int(C.DEFAULT_THRESHOLDS['lapsed_days'])}""",
        views=[("vis", VIS)])
 def m30(ctx):
-    """Not-renewed clients with their visit history (services capped at 5)."""
+    """Not-renewed clients with their visit history (all services)."""
     return M.lapsed_history(ctx.leads, ctx.bookings, AS_OF_STAR, int(C.DEFAULT_THRESHOLDS["lapsed_days"]))
 
 

@@ -31,7 +31,7 @@ def v01(ctx):
 
 
 @query("v02_new_lead_sla", f"""SELECT {V_('lead_id', 'V02', 'WARNING', f"date_sub('hour', updated_at, {A})")} FROM leads
-  WHERE status_id IN (74087434, 74087430) AND date_sub('hour', updated_at, {A}) > {TH['new_lead_sla_hours']}
+  WHERE status_id IN (74087434, 74087430) AND date_sub('microsecond', updated_at, {A}) > {TH['new_lead_sla_hours']} * 3600000000
 UNION ALL SELECT {V_('lead_id', 'V02_unassigned', 'WARNING', "'no_manager'")} FROM leads
   WHERE status_id IN (74087434, 74087430) AND responsible_id IS NULL""")
 def v02(ctx):

@@ -404,14 +404,14 @@ def deposit_clients(leads: DataFrame, bookings: DataFrame) -> DataFrame:
                     paid_c.cast("double").alias("paid"), (F.col("price") - paid_c).cast("double").alias("debt"))
 
 
-def lapsed_history(leads: DataFrame, bookings: DataFrame, as_of: str, days: int, cap: int = 5) -> DataFrame:
+def lapsed_history(leads: DataFrame, bookings: DataFrame, as_of: str, days: int) -> DataFrame:
     """M-30: not-renewed clients whose last visit is more than ``days`` before as_of:
-    visit count, last visit, the first ``cap`` service ids (sorted) and masters seen."""
+    visit count, last visit, all service ids (sorted) and masters seen."""
     l = leads.filter((F.col("status_id") == C.STATUS_NO_RENEWAL) & F.col("phone_valid"))
     v = visits_of_clients(bookings, as_of)
     h = v.groupBy("studio_id", "phone").agg(
         F.count(F.lit(1)).alias("visit_count"), F.max("visit_date").alias("last_visit"),
-        F.slice(F.array_sort(F.collect_set("service_id")), 1, cap).alias("_svc"),
+        F.array_sort(F.collect_set("service_id")).alias("_svc"),
         F.countDistinct("master_id").alias("masters"))
     j = l.join(h, ["studio_id", "phone"])
     a = F.lit(as_of).cast("date")

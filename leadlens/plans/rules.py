@@ -40,7 +40,8 @@ def check_new_lead_sla(leads: DataFrame, as_of: str, hours: float) -> DataFrame:
     """V-02: new lead unchanged for more than ``hours``; no manager assigned."""
     n = leads.filter(F.col("status_id").isin(*C.STATUS_NEW))
     age = F.timestamp_diff("HOUR", F.col("updated_at"), _asof(as_of))
-    return (_v(n.filter(age > hours), "V02", "WARNING", age)
+    idle = F.timestamp_diff("MICROSECOND", F.col("updated_at"), _asof(as_of))
+    return (_v(n.filter(idle > int(hours * 3_600_000_000)), "V02", "WARNING", age)
             .unionByName(_v(n.filter(F.col("responsible_id").isNull()), "V02_unassigned", "WARNING", F.lit("no_manager"))))
 
 
