@@ -173,7 +173,7 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
 
 
 _SETS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()),
     T.StructField("h2", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
     T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("fold", T.ArrayType(T.LongType()))])
 
@@ -198,9 +198,10 @@ def _set_rows(docs: DataFrame, level: np.ndarray, n: int, percent: int) -> DataF
                 rows.append((len(g), *h, prefix.astype(np.int64), *_signature(g)))
             out = pd.DataFrame(rows, columns=["n", "h1", "h2", "prefix", "bits", "fold"])
             out.insert(0, "doc_id", pdf.doc_id.astype("Int64"))
+            out.insert(1, "row", pdf.row.astype("Int64"))
             yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, _SETS)
+    return docs.select("doc_id", "row", "text").mapInPandas(run, _SETS)
 
 
 def _tile_bound(a: str, b: str, words: int):
@@ -297,10 +298,8 @@ def _tile_narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
             .filter(_links("x", "y", _tile_bound("x", "y", TILE_BITS // 64), percent)).select("a", "b"))
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = N,
-                       percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id; one row per row of ``docs``."""
-    d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _members(d: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, row, n, comp (null without words); one row per row of ``d`` (doc_id, row, text)."""
     rows = written(_set_rows(d, _sketch(d, n), n, percent).withColumn("rid", F.monotonically_increasing_id()), "rows")
     classes = rows.filter(F.col("prefix").isNotNull())
     # equal sets of different tasks
@@ -355,23 +354,47 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     more = _verified(across, d, classes, n, percent)
     comp = components(links.unionByName(more))
 
-    # back to documents: a class's component, then the smallest id of each component
+    # back to documents: a class's component
     named = (classes.select("h1", "h2", "n", "rid").join(comp.withColumnRenamed("node", "rid"), "rid", "left")
              .groupBy("h1", "h2", "n").agg(F.min(F.coalesce("comp", "rid")).alias("comp")))
-    member = written(rows.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")
-                     .select("doc_id", "n", "comp"), "members")
+    return written(rows.select("doc_id", "row", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")
+                   .select("doc_id", "row", "n", "comp"), "members")
+
+
+def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = N,
+                       percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id; one row per row of ``docs``."""
+    member = _members(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("row"),
+                                  F.col(text).alias("text")), n, percent)
+    # the smallest id of each component
     smallest = member.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return member.join(smallest, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: of each component the document with the smallest id stays (of repeated
-    rows with that id, one); documents without words stay."""
-    c = jaccard_components(docs)
-    keep = c.filter((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))).select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Pipeline stage: of each component one row stays, the one with the smallest id (a null id
+    comes last; rows of one id go by a hash of the row, and of equal rows one stays); documents
+    without words stay."""
+    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    marked = docs.withColumn("_row", F.xxhash64(*hashed))
+    member = _members(marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), "text"),
+                      N, PERCENT)
+    first = (member.filter("n > 0").groupBy("comp", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies"))
+             .groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "copies")).alias("k"))
+             .select("k.doc_id", "k.row", "k.copies"))
+    blank = member.filter("n = 0").select("doc_id", "row", F.lit(1).cast("long").alias("copies")).distinct()
+    keep = written(first.unionByName(blank).withColumnsRenamed({"doc_id": "_id", "row": "_key"}), "first")
+
+    def kept(copies: str) -> DataFrame:
+        return marked.join(keep.filter(copies), F.col("doc_id").eqNullSafe(F.col("_id"))
+                           & (F.col("_row") == F.col("_key")), "left_semi")
+
+    out, equal = kept("copies = 1").drop("_row"), "copies > 1"
+    if keep.filter(equal).isEmpty():
+        return out
+    one = kept(equal).groupBy("doc_id", "_row").agg(F.first(F.struct(*docs.columns)).alias("r"))
+    return out.unionByName(one.select("r.*"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

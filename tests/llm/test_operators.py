@@ -126,6 +126,19 @@ def test_jaccard_against_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def test_one_row_of_each_component_stays(spark, odd):
+    assert Counter(r.doc_id for r in ngram_join.first_of_each(odd).collect()) == Counter([1, 2, 3, 4, None, 6, 8])
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, "clean and of its own kind", "a"), (None, text, "a"), (None, text, "a"), (None, text, "b"),
+            (None, "", "a"), (5, "x " + text[::-1], "a"), (5, "x " + text[::-1], "b"), (5, "another text under five", "a"),
+            (9, "x " + text[::-1], "a"), (None, "x " + text[::-1], "a")]
+    out = ngram_join.first_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert out.columns == ["doc_id", "text", "source"]
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([
+        (None, "clean and of its own kind"), (None, text), (None, ""), (5, "x " + text[::-1]),
+        (5, "another text under five")])
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
