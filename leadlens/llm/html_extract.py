@@ -3,9 +3,11 @@
 The standard library's HTML parser streams start tags, end tags and text.  Each block
 element gives one line; its text-to-tag ratio is the number of its characters over its
 tags.  The ratios are smoothed with a Gaussian, two clusters are formed on the smoothed
-values, and the upper one marks content lines.  The content region is the deepest element
-that holds ``REGION_SHARE`` of the characters in content lines; every line of the region
-is the article, so a short paragraph between long ones stays.  Menus, headers, footers,
+values, and the upper one marks content lines.  The content region is the ``article`` or
+``main`` around the deepest element that holds ``REGION_SHARE`` of the characters in content
+lines; on pages without one, the deepest element that holds all content lines, so sections
+side by side stay together.  Every line of the region is the article, so a short paragraph
+between long ones stays.  Menus, headers, footers,
 side bars, notices, adverts, forms and reader comments are known by element, role, class
 or id; they count as lines for the ratios but are never part of the article.
 
@@ -191,14 +193,19 @@ def split_point(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def _widened(page: PageLines, region: int) -> int:
-    """From a paragraph to the element whose children are the article's blocks."""
+def _marked(page: PageLines, region: int) -> int | None:
+    """The outermost article (else main) around an element."""
     up = [region]
     while up[-1]:
         up.append(page.parent[up[-1]])
     for tag in ("article", "main"):
         if marked := [k for k in up if page.tag_of[k] == tag]:
             return marked[-1]
+    return None
+
+
+def _widened(page: PageLines, region: int) -> int:
+    """From a paragraph to the element whose children are the article's blocks."""
     while region and page.tag_of[region] not in REGIONS:
         region = page.parent[region]
     inner = {page.tag_of[k] for k in range(region + 1, page.last[region] + 1)}
@@ -225,8 +232,9 @@ def main_text(html: str | None) -> tuple[str, int, int]:
     for k in range(len(mass) - 1, 0, -1):
         mass[page.parent[k]] += mass[k]
     # elements are in page order: the last one with the share is the deepest
-    region = max(k for k, m in enumerate(mass) if m >= REGION_SHARE * total)
-    region = _widened(page, region)
+    region = _marked(page, max(k for k, m in enumerate(mass) if m >= REGION_SHARE * total))
+    if region is None:
+        region = _widened(page, max(k for k, m in enumerate(mass) if m == total))
     texts = [x[4] for x in lines if not x[3] and region <= x[0] <= page.last[region]]
     return "\n\n".join(texts), len(texts), len(lines)
 

@@ -92,6 +92,16 @@ def test_html():
     assert html_extract.main_text("<p>" * 3000 + "deep")[0] == "deep"
 
 
+def test_html_article_over_sibling_containers():
+    parts = [[f"Part {k}, paragraph {i}: " + "a sentence of the one article goes on and on here. " * 4 for i in range(n)]
+             for k, n in enumerate((9, 3))]
+    for tag in ("div", "section"):
+        blocks = "".join(f"<{tag}>" + "".join(f"<p>{x}</p>" for x in p) + f"</{tag}>" for p in parts)
+        page = (f"<body><nav><a>Home</a><a>News</a></nav><div class='wrap'>{blocks}</div>"
+                "<div class='sidebar'><p>Side</p></div><footer>&copy; us</footer></body>")
+        assert html_extract.main_text(page)[0].split("\n\n") == [x.strip() for p in parts for x in p]
+
+
 def _sets(rows, n=4):
     lower = {i: i + 32 for i in range(65, 91)}
     out = {}
