@@ -1,18 +1,23 @@
 """LM scoring by a probabilistic suffix tree (operator 10).
 
-Symbols are characters: ASCII letters, the space between words and the end of a text have
-symbols of their own, other characters share classes, inside which a character has its
-smoothed share of the class.  A context is kept if it is frequent (``MIN_SHARE`` of all
-symbols) and its next-symbol distribution diverges from that of its longest proper suffix:
-count x Kullback-Leibler divergence above ``MIN_GAIN``; the suffixes of a kept context are
-kept too.  Distributions are smoothed towards the suffix's.  A symbol is scored in the state
-of the longest kept suffix of what comes before it, up to ``DEPTH`` symbols.
-
-Learned from the corpus: n-gram counts of symbols (their number is bounded by the alphabet;
-``MIN_SHARE`` bounds the contexts that are collected, ``1 / MIN_SHARE`` a length) and the
-counts of all words, which stay distributed.  Documents are dealt to blocks by a hash; a
-block's distinct words meet the word counts in one join and come back to the block, so no
-word list is broadcast and a frequent word is one row a block.
+The tree has two levels, and a word is scored in the state of the longest kept context:
+
+* words: a context is the word before (at the beginning of a text, its end).  It is kept if
+  it was seen ``MIN_COUNT`` times and its next-word distribution diverges from that of all
+  words: count x Kullback-Leibler divergence above ``MIN_GAIN``.  Both are absolute, so more
+  text keeps more contexts; contexts and pair counts are Spark tables.  Distributions are
+  smoothed by as much as they have distinct words, contexts towards all words and these
+  towards the spelling;
+* spelling: contexts of up to ``DEPTH`` characters.  ASCII letters, the space between words
+  and the end of a text have symbols of their own, other characters share classes, inside
+  which a character has its smoothed share of the class.  A context is kept if it makes up
+  ``MIN_SHARE`` of all symbols and diverges in the same way from its longest proper suffix;
+  the suffixes of a kept context are kept too.  This level is bounded by its alphabet
+  (``1 / MIN_SHARE`` contexts a length) and is broadcast; it does not grow with the corpus.
+
+Documents are dealt to blocks by a hash; a block's distinct words and word pairs meet their
+counts in one join each and come back to the block, so no word list is broadcast and a
+frequent word or pair is one row a block.
 
 Cases: a null or empty text is only its end; if nothing can be learned the base score is
 that of zero counts and the tree is one uniform state; repeated rows are scored row by row;
@@ -33,6 +38,7 @@ PER_BLOCK = 2000
 DEPTH = 4
 MIN_SHARE = 1e-5
 MIN_GAIN = 40.0
+MIN_COUNT = 10
 PRIOR = 20.0
 RUN_CHARS = 500_000
 
@@ -180,18 +186,22 @@ class Scorer:
             at = np.flatnonzero(tree["d"] == d)
             row[tree["ctx"][at]] = at
         self.row, self.log = row, tree["log"].ravel()
+        # a word ends with a space or with the text
+        self.stop = np.logaddexp2(*(tree["log"][:, x] / np.log10(2) for x in (SPACE, END))) * np.log10(2)
         self.point = tree["unseen"][_SYMBOL]
         self.point[tree["share"]["point"]] = tree["share"]["log"]
 
-    def score(self, texts) -> np.ndarray:
+    def spelled(self, texts) -> np.ndarray:
+        """log10 of the spelling of every word, its end included, after the characters before it."""
         out = [np.zeros(0)]
         for run in _runs(texts):
             points, symbols, sizes = symbols_of(run)
             at = _scored(sizes)
-            value = self.log[self.row[_contexts(symbols, at)].astype(np.int64) * ALPHABET + symbols[at]]
-            value += self.point[points[at]]
-            size = sizes - DEPTH
-            out.append(np.add.reduceat(value, np.cumsum(size) - size))
+            row, symbol = self.row[_contexts(symbols, at)].astype(np.int64), symbols[at]
+            value = np.where(symbol <= SPACE, self.stop[row], self.log[row * ALPHABET + symbol] + self.point[points[at]])
+            end = np.flatnonzero(symbol <= SPACE)
+            begin = np.concatenate([[0], end[:-1] + 1])
+            out.append(np.add.reduceat(value, begin)[end > begin])  # the end alone is a text without words
         return np.concatenate(out)
 
 
@@ -201,13 +211,33 @@ def _hashes(words: np.ndarray) -> np.ndarray:
 
 
 def _block_words(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct words, the number of each word among them, and words per text."""
-    words = [words_of(t) for t in texts]
+    """Hashes of the distinct tokens, the number of each token among them, and tokens per text:
+    its words and its end."""
+    words = [[*words_of(t), b"\n"] for t in texts]
     codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
-    return (_hashes(np.asarray(distinct, dtype=object)) if len(distinct) else np.zeros(0, np.int64), codes,
+    return (_hashes(np.asarray(distinct, dtype=object)), codes.astype(np.int64),
             np.array([len(w) for w in words], dtype=np.int64))
 
 
+def _pairs(codes: np.ndarray, size: int) -> np.ndarray:
+    """Each token with the one before it as one number; before a text is the end of another."""
+    return np.roll(codes, 1) * size + codes
+
+
+def kept_contexts(pairs: DataFrame, words: DataFrame, total: int, min_count: int = MIN_COUNT,
+                  min_gain: float = MIN_GAIN) -> DataFrame:
+    """(v, n, kinds): the contexts that are kept, from counts of pairs (v, h, c) and of words (h, c)."""
+    b = F.col("b")
+    often = pairs.groupBy("v").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("kinds")).filter(F.col("n") >= min_count)
+    p = (F.col("c") + F.col("kinds") * b) / (F.col("n") + F.col("kinds"))
+    rest = F.col("kinds") / (F.col("n") + F.col("kinds"))
+    seen = (pairs.join(often, "v").join(words.select("h", (F.col("c") / F.lit(float(max(total, 1)))).alias("b")), "h")
+            .groupBy("v", "n", "kinds").agg(F.sum(p * F.log(p / b)).alias("kl"), F.sum(b).alias("mass")))
+    # words that never follow have the rest, each by the same factor
+    kl = F.col("kl") + rest * F.greatest(F.lit(0.0), 1 - F.col("mass")) * F.log(rest)
+    return seen.filter(F.col("n") * kl > min_gain).select("v", "n", "kinds")
+
+
 def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod: int = MOD,
               held: int = HELD_OUT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
@@ -215,41 +245,73 @@ def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod:
     d = docs.select(F.col(doc_id).alias("doc_id"), (crc_mod(doc_id, mod) == held).alias("held_out"),
                     F.col(text).alias("text"))
     facts = d.agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("held_out")).cast("long")).alias("train")).first()
-    blocks = blocks_for(facts.n, PER_BLOCK)
+    blocks, train = blocks_for(facts.n, PER_BLOCK), int(facts.train or 0)
     d = d.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
     scorer = spark.sparkContext.broadcast(fit(gram_counts(d.filter(~F.col("held_out")))))  # states are bounded
 
     def block_dictionary(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes, codes, per = _block_words(pdf.text)
         train = np.repeat(~pdf.held_out.to_numpy(dtype=bool), per)
-        return pd.DataFrame({"block": int(pdf.block.iloc[0]), "h": hashes,
-                             "t": np.bincount(codes[train], minlength=len(hashes))})
-
-    seen = written(d.groupBy("block").applyInPandas(block_dictionary, "block int, h long, t long"), "dictionary")
-    counts = seen.groupBy("h").agg(F.sum("t").alias("c")).filter("c > 0")
-    known = written(seen.select("block", "h").join(counts, "h"), "known")
-    n_words = seen.agg(F.sum("t")).first()[0] or 0
-    train = int(facts.train or 0)
-    total, distinct = n_words + train, counts.count() + (1 if train else 0)
+        pair, at = np.unique(_pairs(codes, len(hashes)), return_inverse=True)
+        return pd.DataFrame({
+            "block": int(pdf.block.iloc[0]), "pair": np.repeat([False, True], [len(hashes), len(pair)]),
+            "v": np.concatenate([np.zeros(len(hashes), np.int64), hashes[pair // len(hashes)]]),
+            "h": np.concatenate([hashes, hashes[pair % len(hashes)]]),
+            "t": np.concatenate([np.bincount(codes[train], minlength=len(hashes)),
+                                 np.bincount(at[train], minlength=len(pair))])})
+
+    seen = written(d.groupBy("block").applyInPandas(block_dictionary, "block int, pair boolean, v long, h long, t long"),
+                   "dictionary")
+    words, pairs = seen.filter("not pair"), seen.filter("pair")
+    counts = written(words.groupBy("h").agg(F.sum("t").alias("c")).filter("c > 0"), "words")
+    facts = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
+    total, distinct = facts.total or 0, facts.distinct
+    follow = written(pairs.groupBy("v", "h").agg(F.sum("t").alias("c")).filter("c > 0"), "pairs")
+    contexts = written(kept_contexts(follow, counts, total), "contexts")
+    as_context = counts.join(contexts.withColumnRenamed("v", "h"), "h", "left")
+    known = written(
+        words.select("block", "pair", "v", "h").join(as_context, "h").select(
+            "block", "pair", "v", "h", "c", F.coalesce("n", F.lit(0)).alias("n"),
+            F.coalesce("kinds", F.lit(0)).alias("kinds"))
+        .unionByName(pairs.select("block", "pair", "v", "h").join(follow.join(contexts.select("v"), "v"), ["v", "h"])
+                     .select("block", "pair", "v", "h", "c", F.lit(0).cast("long").alias("n"),
+                             F.lit(0).cast("long").alias("kinds"))), "known")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         hashes, codes, per = _block_words(left.text)
-        right = right.sort_values("h")
-        h, c = right.h.to_numpy(), right.c.to_numpy()
-        count = np.zeros(len(hashes))
-        if len(h):
-            at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
-            count = np.where(h[at] == hashes, c[at], 0)
-        below = np.log10(total + distinct + 1)
-        log = np.log10(count + 1) - below
+        size, order = len(hashes), np.argsort(hashes)
+        place = lambda h: order[np.searchsorted(hashes[order], h)]
+        is_pair = right.pair.to_numpy(dtype=bool)
+        one, two = right[~is_pair], right[is_pair]
+        count, n, kinds = np.zeros(size), np.zeros(size), np.zeros(size)
+        for into, column in ((count, "c"), (n, "n"), (kinds, "kinds")):
+            into[place(one.h.to_numpy(dtype=np.int64))] = one[column]
+        after = np.zeros(len(codes))
+        if len(two):
+            key = place(two.v.to_numpy(dtype=np.int64)) * size + place(two.h.to_numpy(dtype=np.int64))
+            by = np.argsort(key)
+            key, c = key[by], two.c.to_numpy(dtype=float)[by]
+            want = _pairs(codes, size)
+            at = np.minimum(np.searchsorted(key, want), len(key) - 1)
+            after = np.where(key[at] == want, c[at], 0)
         ends = np.concatenate([[0], np.cumsum(per)])
-        run = np.concatenate([[0.0], np.cumsum(log[codes])]) if len(codes) else np.zeros(1)
-        hits = np.concatenate([[0], np.cumsum(count[codes] > 0)]) if len(codes) else np.zeros(1, np.int64)
+        sums = lambda x: np.add.reduceat(x, ends[:-1])
+        base = np.log10(count + 1) - np.log10(total + distinct + 1)
+        # spelling, then all words, then the context: natural logarithms
+        stop = (train + 1) / (total + distinct + 1)
+        spelled, end = np.full(len(codes), np.log(stop)), np.zeros(len(codes), dtype=bool)
+        end[ends[1:] - 1] = True
+        spelled[~end] = np.log1p(-stop) + np.log(10) * Scorer(scorer.value).spelled(left.text)
+        with np.errstate(divide="ignore"):
+            value = np.logaddexp(np.log(count)[codes], np.log(distinct + 1) + spelled) - np.log(total + distinct + 1)
+            before = np.roll(codes, 1)
+            n, kinds = n[before], kinds[before]
+            value = np.where(n > 0, np.logaddexp(np.log(after), np.log(kinds) + value)
+                             - np.log(np.maximum(n + kinds, 1)), value)
         return pd.DataFrame({
-            "doc_id": left.doc_id, "held_out": left.held_out, "n_tokens": per + 1,
-            "n_known": hits[ends[1:]] - hits[ends[:-1]] + (1 if train else 0), "train_tokens": total,
-            "base_score": run[ends[1:]] - run[ends[:-1]] + np.log10(train + 1) - below,
-            "score": Scorer(scorer.value).score(left.text)})
+            "doc_id": left.doc_id, "held_out": left.held_out, "n_tokens": per,
+            "n_known": sums((count[codes] > 0).astype(np.int64)), "train_tokens": total,
+            "base_score": sums(base[codes]), "score": sums(value) / np.log(10)})
 
     id_type = d.schema["doc_id"].dataType.simpleString()
     return d.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(

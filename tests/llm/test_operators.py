@@ -282,6 +282,25 @@ def test_lm_base_and_normalisation(spark):
     assert all((k - 1, c % suffix_tree_lm.ALPHABET ** (k - 1)) in kept for k, c in kept if k)
 
 
+def test_lm_contexts_grow_with_the_corpus(spark):
+    def corpus(size):
+        rng = random.Random(5)  # each of the words has a next word of its own
+        return [(k, " ".join(f"a{x} b{x}" for x in rng.choices(range(size), k=size))) for k in range(40)]
+
+    better = []
+    for size in (20, 400):
+        rows = suffix_tree_lm.lm_scores(spark.createDataFrame(corpus(size), "doc_id long, text string")).collect()
+        held = [r for r in rows if r.held_out]
+        better.append(sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held))
+    # a known next word is worth half of log10(size) at least, however many contexts there are
+    assert better[0] > 0.3 and better[1] > 0.9
+    words = [("x", 500), ("y", 500), ("z", 9)]
+    counts = spark.createDataFrame([(ord(w), n) for w, n in words], "h long, c long")
+    pairs = spark.createDataFrame([(1, 120, 400), (1, 121, 400), (2, 120, 300), (3, 122, 9)], "v long, h long, c long")
+    kept = suffix_tree_lm.kept_contexts(pairs, counts, 1009)
+    assert [r.v for r in kept.collect()] == [2]  # 1 follows all words, 3 is rare
+
+
 def test_revisits(spark):
     h = lambda **x: [(k.replace("_", "-"), v) for k, v in x.items()]
     rows = [("a", "response", 200, "http://WWW.x.org/p/?b=2&a=1&utm_source=z#f", "2024-01-01 00:00:00", "d1",
