@@ -62,7 +62,10 @@ def match_by_name(leads: DataFrame, ad_leads: DataFrame, min_score: float = 0.8)
     blocked on (studio, phone) and the ad side is first reduced to its distinct
     names per phone: a lead meets one row per distinct name, never every ad
     row of a popular phone.  Returns the best name per lead (ties: smaller name).
+    A lower ``min_score`` would need pairs with other phones and is an error.
     """
+    if min_score <= 0.3:
+        raise ValueError("match_by_name needs min_score above 0.3: only pairs of equal phones are looked at")
     cand = (ad_leads.filter("phone_valid").select("studio_id", "phone",
                                                   F.lower(F.trim("client_name")).alias("ad_name"))
             .filter(F.col("ad_name").isNotNull()).distinct())

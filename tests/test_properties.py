@@ -3,11 +3,13 @@ staging does not change results, deletions are the ids that disappeared."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from leadlens.plans import alerts as AL
 from leadlens.plans import events as E
+from leadlens.plans import identity as I
 from leadlens.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -85,3 +87,8 @@ def test_funnel_sum_equals_live_leads_and_all_equals_sum(spark):
                                                            F.col("leads").alias("l2"), F.col("bookings").alias("b2"))
     j = studios.join(alls, [studios.utm_source.eqNullSafe(alls.utm_source), studios.lead_date == alls.lead_date], "full_outer")
     assert j.filter((F.col("l") != F.col("l2")) | (F.col("b") != F.col("b2")) | F.col("l").isNull() | F.col("l2").isNull()).count() == 0
+
+
+def test_name_match_refuses_scores_it_cannot_serve():
+    with pytest.raises(ValueError):
+        I.match_by_name(None, None, 0.3)
