@@ -49,12 +49,12 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder: cut from its lineage,
-    compressed, and read again with column pruning."""
+    compressed, and read again with column pruning; ``by``: a folder for each value."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadlens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 
