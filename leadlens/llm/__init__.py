@@ -11,10 +11,10 @@ from __future__ import annotations
 
 def _modules():
     from leadlens.llm import (
-        exact_dedup, html_extract, language_id, license_scan, line_quality, mixing, ngram_join,
-        sentencepiece_sampling, suffix_tree_lm, topk, warc_revisit)
+        conversation_trie, exact_dedup, html_extract, language_id, license_scan, line_quality, mixing, ngram_join,
+        phrase_mining, sentencepiece_sampling, suffix_tree_lm, topk, warc_revisit)
     return (license_scan, html_extract, ngram_join, language_id, mixing, line_quality, topk,
-            sentencepiece_sampling, warc_revisit, suffix_tree_lm, exact_dedup)
+            sentencepiece_sampling, warc_revisit, suffix_tree_lm, conversation_trie, phrase_mining, exact_dedup)
 
 
 def queries() -> dict:
