@@ -4,20 +4,24 @@
   proposed too, found length by length.  It only proposes, so it decides cost and no result.
 * A full pass counts the proposals and their negative border, the phrases that are no proposal
   though both phrases one word shorter inside them are (each word belongs to one of the two).
-  Proposals are counted as texts, the border, of which nearly all is rare, as 64-bit hashes.
-* A border phrase whose hash reaches ``min_count`` is a border failure: it becomes a proposal,
-  and another full pass counts it as text, with the border that it opens.  This ends when no
-  border phrase fails; then each phrase of ``min_count`` or more has an exact count, since its
-  parts, no rarer than itself, have been proposals before it.
+* A border phrase that is seen ``min_count`` times is a border failure: it becomes a proposal, and
+  another full pass counts the border that it opens.  This ends when no border phrase fails;
+  then all phrases of ``min_count`` or more are counted, since their parts, no rarer than
+  themselves, were proposals before them.
+* These passes count by hash, since nearly all of a border is rare: phrases whose hashes agree are
+  counted together, which can only make a failure without need.  The last pass counts the
+  phrases that reached ``min_count`` as texts, exactly.
 
 Which phrases were proposed is a bit field of their hashes, ``FIELD_BITS`` bits for each of them
 and ``MAX_FIELD`` bits at most, which is broadcast.  A phrase that hits a bit by chance is
-counted as text without need; no phrase is missed, and a count never depends on the field.
+counted without need; none is missed, and no count depends on the field.
 
 Scan tasks hash words from prefix sums over the bytes of a chunk of text and send each phrase
-of a chunk once with its count; grouping by phrase sums them, so a phrase, source or language
-that holds a third of the corpus is one row a chunk.  Texts longer than a chunk go on in the
-next one, which begins with the last words before it.
+of a few chunks once with its count, so a phrase or language that holds a third of the corpus is
+a row a task or a few.  Hashes are dealt to parts by their high half, as many parts as shuffle
+partitions; a task sends each part the sorted low halves and their counts as one block, and one
+task sums a part.  Texts longer than a chunk go on in the next one, which begins with the last
+words before it.
 
 Cases: a null text is empty, a null language ``und``; empty texts add nothing, and a language
 without phrases has no row; repeated rows count each; an empty table gives an empty result;
@@ -27,10 +31,14 @@ other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,12 +48,15 @@ MIN_COUNT, MAX_LEN, TOP = 30, 4, 2000
 #: share of rows that propose, and occurrences in them that make a proposal
 SAMPLE, PROPOSE, SEED = 0.125, 2, 11
 FIELD_BITS, MAX_FIELD = 32, 30
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+#: hashes that a scan task gathers before it sends them
+HELD = 1 << 20
 SALTS = 64
 
-COUNTS = "hash bigint, lang string, phrase string, len int, cnt bigint"
-_SCHEMA = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("len", pa.int32()),
-                     ("cnt", pa.int64())])
+#: rows of the scan, blocks: sorted low halves of hashes, or phrases of a language with line feeds
+#: between them; and their counts
+SCANNED = "part int, lang string, keys binary, counts binary"
+COUNTS = "low bigint, proposed boolean, lang string, phrase string, len int, cnt bigint"
 #: capitals become small letters, piece breaks a line feed, tabs a space
 _BYTES = bytes.maketrans(UPPER.encode() + b".,;:!?\x0b\x0c\r\t", LOWER.encode() + b"\n" * 9 + b" ")
 _GAP = re.compile(rb"[ \n]")
@@ -85,8 +96,8 @@ class _Words:
         self.piece = np.cumsum(a == 10, dtype=np.int64)[self.start]
         self.hash = _mix(_mix(word + (self.end - self.start).astype(_U)) + salt[self.doc])
 
-    def text(self, first: int, n: int) -> str:
-        return b" ".join(self.data[self.start[first]:self.end[first + n - 1]].split()).decode("utf-8", "replace")
+    def text(self, first: int, n: int) -> bytes:
+        return b" ".join(self.data[self.start[first]:self.end[first + n - 1]].split())
 
 
 def _chunks(texts: list[str], salt: np.ndarray, chunk: int) -> Iterator[_Words]:
@@ -107,7 +118,7 @@ def _chunks(texts: list[str], salt: np.ndarray, chunk: int) -> Iterator[_Words]:
 def _in(field: np.ndarray | None, bits: int, h: np.ndarray) -> np.ndarray:
     if field is None:
         return np.zeros(len(h), bool)
-    at = h >> _U(64 - bits)
+    at = h & _U((1 << bits) - 1)
     return (field[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -127,27 +138,87 @@ class _Allowed:
         self.ok = self.member[:-1] & self.member[1:] & whole
 
 
-def _counter(now, before, bits: int, lengths: tuple[int, ...], texts: bool, totals: bool, chunk: int):
-    """A scan task's function.  ``now``, ``before``: broadcast fields (or None); what ``before``
-    allowed has been counted.  ``texts``: proposals are counted as texts, else all as hashes."""
+class _Counts:
+    """What a scan task has counted: hashes, and phrases as texts.  A hash stands in part
+    ``(h >> 32) * parts >> 32`` with its low 32 bits."""
+
+    def __init__(self, parts: int):
+        self.parts, self.hashes, self.counts, self.size = parts, [], [], 0
+        self.phrases: dict[int, list] = {}  # by hash: part, language, text, count
+
+    def part(self, h: np.ndarray) -> np.ndarray:
+        return ((h >> _U(32)) * _U(self.parts)) >> _U(32)
+
+    def by_hash(self, h: np.ndarray) -> None:
+        got, cnt = np.unique(h, return_counts=True)
+        self.hashes.append(got)
+        self.counts.append(cnt.astype(np.uint32))
+        self.size += len(got)
+
+    def by_text(self, h: np.ndarray, at: np.ndarray, w: _Words, n: int, langs: np.ndarray) -> None:
+        got, first, cnt = np.unique(h, return_index=True, return_counts=True)
+        for x, part, i, c in zip(got.tolist(), self.part(got).tolist(), at[first].tolist(), cnt.tolist()):
+            if (known := self.phrases.get(x)) is None:
+                self.phrases[x] = [part, langs[w.doc[i]], w.text(i, n), c]
+            else:
+                known[3] += c
+        self.size = 8 * len(self.phrases)  # each takes as much memory as some hashes
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """Gives out and forgets all of it."""
+        if self.hashes:
+            h, cnt = np.concatenate(self.hashes), np.concatenate(self.counts)
+            key, cnt = _summed((self.part(h) << _U(32)) | (h & _U(0xFFFFFFFF)), cnt)
+            part, low = (key >> _U(32)).astype(np.int32), key.astype(np.uint32)
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            yield from _blocks([(int(part[i]), None, low[i:k].tobytes(), cnt[i:k].tobytes())
+                                for i, k in zip(cuts, cuts[1:])])
+        if self.phrases:
+            found = sorted(self.phrases.values())
+            yield from _blocks([(*at, b"\n".join(x[2] for x in own), np.array([x[3] for x in own], np.uint32).tobytes())
+                                for at, own in ((at, list(g)) for at, g in groupby(found, itemgetter(0, 1)))])
+        self.__init__(self.parts)
+
+
+def _blocks(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("keys", pa.binary()), ("counts", pa.binary())])
+    for i in range(0, len(rows), 64):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + 64]), schema)], schema=schema)
+
+
+def _summed(key: np.ndarray, cnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=key[:1] + key.dtype.type(1)))
+    return key[first], np.add.reduceat(cnt[order], first, dtype=cnt.dtype)
+
+
+def _counter(now, before, bits: int, lengths: tuple[int, ...], texts: bool, chunk: int, parts: int):
+    """A scan task's function.  ``now``, ``before``: broadcast fields (or None).  Counts by hash
+    what ``now`` allows and ``before`` did not; with ``texts`` the members of ``now``, as texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field, done = now and now.value, before and before.value
-        for b in batches:
-            langs, lang = np.unique(np.array(b.column("lang").to_pylist(), object), return_inverse=True)
-            salt = b.column("salt").to_numpy().astype(np.int64).view(_U)
-            words = np.zeros(len(langs), np.int64)
-            for w in _chunks(b.column("text").to_pylist(), salt, chunk):
-                yield from _chunk(w, langs, lang, words, field, done, bits, lengths, texts)
-            if totals:
-                some = np.flatnonzero(words)
-                yield pa.record_batch([pa.nulls(len(some), pa.int64()), pa.array(langs[some], pa.string()),
-                                       pa.array([""] * len(some), pa.string()), pa.array([0] * len(some), pa.int32()),
-                                       pa.array(words[some])], schema=_SCHEMA)
+        field, done, out = now and now.value, before and before.value, _Counts(parts)
+        for batch in batches:
+            size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+            cuts = np.flatnonzero(np.diff(size // chunk, prepend=0, append=-1))
+            for i, k in zip([0, *cuts], cuts):  # rows of about a chunk of text at a time
+                b = batch.slice(i, k - i)
+                langs, lang = np.unique(np.array(b.column("lang").to_pylist(), object), return_inverse=True)
+                salt = b.column("salt").to_numpy().astype(np.int64).view(_U)
+                words = np.zeros(len(langs), np.int64)
+                for w in _chunks(b.column("text").to_pylist(), salt, chunk):
+                    words += np.bincount(lang[w.doc[w.old:]], minlength=len(langs))
+                    _chunk(w, langs[lang], out, field, done, bits, lengths, texts)
+                    if out.size > HELD:
+                        yield from out.rows()
+                if texts:  # the empty phrase stands for all words of a language
+                    yield from _blocks([(0, langs[i], b"", np.uint32(words[i]).tobytes()) for i in np.flatnonzero(words)])
+        yield from out.rows()
     return count
 
 
-def _chunk(w, langs, lang, words, field, done, bits, lengths, texts):
-    words += np.bincount(lang[w.doc[w.old:]], minlength=len(langs))
+def _chunk(w: _Words, langs, out: _Counts, field, done, bits, lengths, texts) -> None:
     h, a, c = w.hash, _Allowed(field, bits, w.n), _Allowed(done, bits, w.n)
     for n in range(1, max(lengths) + 1):
         if n > 1:
@@ -162,30 +233,43 @@ def _chunk(w, langs, lang, words, field, done, bits, lengths, texts):
         a.enter(h)
         c.enter(h)
         if n in lengths:
-            new = np.arange(len(h)) >= w.old - n + 1
-            first = a.ok & new if done is None else a.ok & new & ~c.ok
-            if texts:
-                again = a.member & new if done is None else a.member & new & ~c.member
-                yield from _rows(w, h, again, n, langs[lang])
-                first &= ~a.member
-            yield from _rows(w, h, first, n, None)
+            chosen = a.member if texts else a.ok if done is None else a.ok & ~c.ok
+            at = max(0, w.old - n + 1) + np.flatnonzero(chosen[max(0, w.old - n + 1):])
+            if len(at) and texts:
+                out.by_text(h[at], at, w, n, langs)
+            elif len(at):
+                out.by_hash(h[at])
         if len(h) < 2:
             return
 
 
-def _rows(w: _Words, h, chosen, n: int, langs):
-    at = np.flatnonzero(chosen)
-    got, first, cnt = np.unique(h[at], return_index=True, return_counts=True)
-    if not len(got):
-        return
-    if langs is None:
-        k, none = len(got), pa.nulls(len(got), pa.string())
-        yield pa.record_batch([pa.array(got.view(np.int64)), none, none, pa.array(np.full(k, n, np.int32)),
-                               pa.array(cnt)], schema=_SCHEMA)
-    else:
-        yield pa.record_batch([pa.nulls(len(got), pa.int64()), pa.array(langs[w.doc[at[first]]], pa.string()),
-                               pa.array([w.text(i, n) for i in at[first].tolist()], pa.string()),
-                               pa.array(np.full(len(got), n, np.int32)), pa.array(cnt)], schema=_SCHEMA)
+def _merger(least: int, now, bits: int):
+    """Sums the blocks of a part; what is seen less than ``least`` times goes."""
+    def merge(t: pa.Table) -> pa.Table:
+        t, hashes = t.filter(pc.is_valid(t["lang"])), t.filter(pc.is_null(t["lang"]))
+        low, cnt = (np.frombuffer(b"".join(hashes[c].to_pylist()), np.uint32) for c in ("keys", "counts"))
+        if len(low):
+            low, cnt = _summed(low, cnt.astype(np.int64))
+            low, cnt = low[cnt >= least], cnt[cnt >= least]
+        none = pa.nulls(len(low), pa.string())
+        out = [pa.table({"low": pa.array(low.astype(np.int64)),
+                         "proposed": pa.array(_in(now and now.value, bits, low.astype(_U))), "lang": none, "phrase": none,
+                         "len": pa.nulls(len(low), pa.int32()), "cnt": pa.array(cnt.astype(np.int64))})]
+        found: dict[str, Counter] = defaultdict(Counter)
+        for lang, keys, counts in zip(*(t[c].to_pylist() for c in ("lang", "keys", "counts"))):
+            own = found[lang]
+            for phrase, c in zip(keys.split(b"\n"), np.frombuffer(counts, np.uint32).tolist()):
+                own[phrase] += c
+        for lang, own in found.items():
+            own = {p: c for p, c in own.items() if c >= least or not p}
+            out.append(pa.table({
+                "low": pa.nulls(len(own), pa.int64()), "proposed": pa.nulls(len(own), pa.bool_()),
+                "lang": pa.array([lang] * len(own), pa.string()),
+                "phrase": pa.array([p.decode("utf-8", "replace") for p in own], pa.string()),
+                "len": pa.array([p.count(b" ") + 1 if p else 0 for p in own], pa.int32()),
+                "cnt": pa.array(list(own.values()), pa.int64())}))
+        return pa.concat_tables(out)
+    return merge
 
 
 def _field(hashes: DataFrame, bits: int):
@@ -197,7 +281,7 @@ def _field(hashes: DataFrame, bits: int):
         f[t["bit"].to_numpy()] = 1
         return pa.table({"part": t["part"][:1], "field": pa.array([np.packbits(f, bitorder="little").tobytes()])})
 
-    at = F.shiftrightunsigned("hash", 64 - bits)
+    at = F.col("low").bitwiseAND((1 << bits) - 1)
     parts = (hashes.select(F.shiftright(at, low).alias("part"), at.bitwiseAND((1 << low) - 1).alias("bit")).distinct()
              .groupBy("part").applyInArrow(pack, "part bigint, field binary").toArrow())
     out = np.zeros(1 << bits >> 3, np.uint8)
@@ -214,29 +298,36 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     given = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"),
                         F.xxhash64(lang).alias("salt"))
 
-    def counts(rows, name, least, now=None, before=None, bits=0, lengths=tuple(range(1, MAX_LEN + 1)), texts=True,
-               totals=False):
-        got = rows.mapInArrow(_counter(now, before, bits, lengths, texts, totals, chunk), COUNTS)
-        return written(got.groupBy("hash", "lang", "phrase", "len").agg(F.sum("cnt").alias("cnt"))
-                       .filter((F.col("cnt") >= least) | (F.col("len") == 0)), f"phrases-{name}")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def counts(rows, name, least, now, before, bits, lengths=tuple(range(1, MAX_LEN + 1)), texts=False):
+        got = rows.mapInArrow(_counter(now, before, bits, lengths, texts, chunk, parts), SCANNED)
+        return written(got.groupBy("part").applyInArrow(_merger(least, now, bits), COUNTS), f"phrases-{name}")
 
     # proposals of the sample, by length
-    some = given.sample(False, sample, SEED)
-    proposed = counts(some, "sample", propose, lengths=(1,), texts=False).select("hash")
-    bits = min(MAX_FIELD, max(16, (FIELD_BITS * max(1, proposed.count()) * 2 - 1).bit_length()))
-    for lengths in ((2,), (3,), (4,)):
-        more = counts(some, "sample", propose, _field(proposed, bits), None, bits, lengths, texts=False)
-        proposed = proposed.unionByName(more.select("hash"))
-    before, now, known = None, _field(proposed, bits), None
+    some = written(given.sample(False, sample, SEED), "phrases-rows")
+    proposed = counts(some, "sample", propose, None, None, 0, (1,)).select("low")
+    bits = _bits(2 * proposed.count())
+    for n in range(2, MAX_LEN + 1):
+        more = counts(some, "sample", propose, _field(proposed, bits), None, bits, (n,))
+        proposed = proposed.unionByName(more.select("low"))
+    # full passes until no border phrase is frequent
+    before, now, frequent = None, _field(proposed, bits), None
     while True:
-        got = counts(given, "pass", min_count, now, before, bits, totals=before is None)
-        exact = got.filter(F.col("phrase").isNotNull())
-        known = exact if known is None else known.unionByName(exact)
-        failed = got.filter(F.col("phrase").isNull()).select("hash")
+        got = counts(given, "pass", min_count, now, before, bits)
+        frequent = got.select("low") if frequent is None else frequent.unionByName(got.select("low"))
+        failed = got.filter("NOT proposed").select("low")
         if failed.isEmpty():
-            return known.select("lang", "phrase", "len", "cnt")
+            break
         proposed = proposed.unionByName(failed)
         before, now = now, _field(proposed, bits)
+    bits = _bits(frequent.count())
+    return counts(given, "texts", min_count, _field(frequent, bits), None, bits, texts=True).select(
+        "lang", "phrase", "len", "cnt")
+
+
+def _bits(members: int) -> int:
+    return min(MAX_FIELD, max(16, (FIELD_BITS * max(1, members) - 1).bit_length()))
 
 
 def _wide(c) -> Column:
