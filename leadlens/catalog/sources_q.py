@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from leadlens.catalog.normalize_q import STATUS_CODE_SQL
 from leadlens.plans.identity import _records
 from leadlens.registry import query
+from leadlens.session import ensure_checkpoint_dir
 from leadlens.sources import fixtures as fx
 from leadlens.sources import landed as S
 from leadlens.sources.fixtures import AS_OF_STAR
+from leadlens.sources.sinks import upsert
 
 FRM, TO = "2000-01-01", "2000-12-31"
 DOMAIN = r"^https?://([^/?#]+).*$"
@@ -66,3 +71,23 @@ def s12(ctx):
                  & (F.col("ts") < F.lit("2001-08-01").cast("timestamp_ntz")))
     counts = r.groupBy("studio_id", "source").agg(F.count(F.lit(1)).alias("rows"))
     return S.input_health(counts, fx.studios(ctx.t), ["amo", "yclients", "gsheets"])
+
+
+@query("s08_upsert_moves_keys", """SELECT studio_id, status_code, count(*) AS leads,
+  CAST(sum(epoch_us(updated_at) // 1000000) AS BIGINT) AS updated_s FROM (
+  SELECT * FROM (SELECT studio_id, lead_id, created_at AS updated_at, 'NEW' AS status_code FROM leads
+    UNION ALL SELECT studio_id, lead_id, closed_at, {status} FROM leads WHERE closed_at IS NOT NULL)
+  QUALIFY row_number() OVER (PARTITION BY studio_id, lead_id ORDER BY updated_at DESC, status_code DESC) = 1)
+GROUP BY ALL""".format(status=STATUS_CODE_SQL))
+def s08(ctx):
+    """A lead table partitioned by status after three upserts: all leads as they came in, their
+    closings (which move them to another partition), and the first load delivered again."""
+    path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/leadlens-upsert/{uuid.uuid4().hex}"
+    row = lambda ts, status: ctx.leads.select("studio_id", "lead_id", F.col(ts).alias("updated_at"),
+                                              status.alias("status_code"))
+    first = row("created_at", F.lit("NEW"))
+    for batch in (first, row("closed_at", F.col("status_code")).filter("updated_at IS NOT NULL"), first):
+        upsert(ctx.spark, path, batch, ["studio_id", "lead_id"], ["updated_at"], ["studio_id", "status_code"])
+    t = ctx.spark.read.schema(first.schema).parquet(path)
+    return t.groupBy("studio_id", "status_code").agg(
+        F.count(F.lit(1)).alias("leads"), F.sum(F.unix_timestamp(F.col("updated_at").cast("timestamp"))).alias("updated_s"))

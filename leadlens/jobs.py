@@ -9,8 +9,10 @@
 5. write each table by ``studio_id`` with dynamic partition overwrite, and
    upsert the normalised leads (S-08).
 
-Every write replaces only the partitions it produces, so re-running a day
-gives the same tables.
+Every write replaces only the partitions of the studios it ran, so re-running a day
+gives the same tables.  The consolidated rows (studio 'all') are written when no active
+studio is held back by a gate; else they stay as the last complete run left them, like
+the rows of the studios that are held back.
 
 Usage: python -m leadlens.jobs --sf-dir DIR --out DIR [--as-of 2001-08-01]
 """
@@ -31,6 +33,7 @@ from leadlens.plans import reconcile as R
 from leadlens.plans.staging import stage_all
 from leadlens.registry import Ctx
 from leadlens.sources import fixtures as fx
+from leadlens.sources.landed import active_studios
 from leadlens.sources.sinks import _exists, upsert, write_metric
 
 
@@ -61,10 +64,11 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
     alerts = (AL.alert_a01(leads_booked, C.DEFAULT_THRESHOLDS["a01_conversion_min"])
               .unionByName(AL.alert_a02(bookings, C.DEFAULT_THRESHOLDS["a02_no_show_max"]))
               .unionByName(a04.drop("escalate")))
-    per_studio = lambda df: df.filter(F.col("studio_id") != "all")
+    complete = active_studios(fx.studios(ctx.t)).join(studios, "studio_id", "left_anti").isEmpty()
+    covers = studios.unionByName(spark.range(1).select(F.lit("all").alias("studio_id"))) if complete else studios
     tables = {
-        "metrics_daily_summary": per_studio(M.daily_summary(leads_booked, bookings)),
-        "metrics_lead_to_booking": per_studio(M.lead_to_booking(leads_booked)),
+        "metrics_daily_summary": M.daily_summary(leads_booked, bookings),
+        "metrics_lead_to_booking": M.lead_to_booking(leads_booked),
         "metrics_channel_roi": M.channel_economics(leads_booked, spend),
         "metrics_monthly_cohorts": M.monthly_cohorts(bookings),
         "metrics_funnel_transitions": T.transitions(events),
@@ -79,7 +83,8 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
         if name == "ops_gates":
             upsert(spark, path, df, ["studio_id", "alert_id"], ["opened_on"], ["studio_id"])
         else:
-            write_metric(df, path, ["studio_id"], loaded_at)
+            write_metric(df if complete else df.filter(F.col("studio_id") != "all"), path, ["studio_id"], loaded_at,
+                         covers)
         paths[name] = path
     staging = os.path.join(out, "staging_leads_normalized")
     # partitioned by studio and creation month: a run rewrites only the months its batch touches

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.plans.events import LEAD_KEY, lead_events
-from leadlens.sources.sinks import replace_keys
+from leadlens.sources.sinks import in_partitions, replace_keys
 
 STATE_SCHEMA = ("lead_id bigint, studio_id string, source string, stage string, "
                 "event_ts timestamp_ntz, obs_id bigint")
@@ -51,8 +51,10 @@ def apply_changes(states_path: str, events_path: str, buckets: int = LEAD_BUCKET
     """W-02: a ``foreachBatch`` function keeping the event table consistent.
 
     States and events are partitioned by (studio_id, lead_bucket), so a batch
-    reads only the history of the buckets it touches (partition pruning) and
-    rewrites only those event partitions, not a whole studio.
+    reads only the history of the buckets it touches and rewrites only those
+    event partitions, not a whole studio.  The touched buckets (their number is
+    that of folders) become a predicate of literals: the scan prunes them when it is
+    planned, and a batch that was applied and comes again changes nothing.
     """
 
     def _apply(batch: DataFrame, batch_id: int) -> None:
@@ -60,8 +62,9 @@ def apply_changes(states_path: str, events_path: str, buckets: int = LEAD_BUCKET
         batch = batch.drop("event_time").withColumn("lead_bucket", lead_bucket(buckets))
         batch.write.mode("append").partitionBy("studio_id", "lead_bucket").parquet(states_path)
         touched = batch.select(*LEAD_KEY, "lead_bucket").distinct()
-        parts = touched.select("studio_id", "lead_bucket").distinct()
-        history = (spark.read.parquet(states_path).join(parts, ["studio_id", "lead_bucket"], "left_semi")
+        parts = touched.select("studio_id", "lead_bucket").distinct().collect()
+        history = (spark.read.schema(batch.schema).parquet(states_path)
+                   .filter(in_partitions(parts, ["studio_id", "lead_bucket"]))
                    .join(touched.select(*LEAD_KEY), LEAD_KEY, "left_semi")
                    .dropDuplicates(["studio_id", "source", "lead_id", "obs_id"]))
         fresh = lead_events(history.drop("lead_bucket")).withColumn("lead_bucket", lead_bucket(buckets))

@@ -96,3 +96,87 @@ def test_scan_bookings_adleads_payload_and_metric_write(spark, tmp_dir):
     y = spark.createDataFrame([("s1", None, 9), ("s3", "vk", 1)], "studio_id string, ch string, n long")
     c = {(r.studio_id, r.ch): (r.n_a, r.n_b, r.n_pct) for r in R.compare_totals(x, y, ["studio_id", "ch"], ["n"]).collect()}
     assert c[("s1", None)] == (10, 9, 10.0) and c[("s2", "vk")] == (5, 0, 100.0) and c[("s3", "vk")] == (0, 1, 100.0)
+
+
+SCHEMA = "studio_id string, id long, month string, v long, updated_at timestamp_ntz"
+
+
+def _rows(spark, path):
+    return sorted(tuple(r) for r in spark.read.schema(SCHEMA).parquet(path).select("studio_id", "id", "month", "v").collect())
+
+
+def test_upsert_moves_a_key_between_partitions(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "moving")
+    t = lambda d: dt.datetime(2024, 1, d)
+    put = lambda rows: upsert(spark, target, spark.createDataFrame(rows, SCHEMA), ["studio_id", "id"],
+                              ["updated_at"], ["month"])
+    put([("s", 1, "2024-01", 1, t(1)), ("s", 2, "2024-01", 2, t(1)), ("s", 3, "2024-02", 3, t(1)), ("s", 4, None, 4, t(1))])
+    # 1 moves, 3 is the last row of its month and moves, 4 leaves the null partition
+    move = [("s", 1, "2024-03", 10, t(2)), ("s", 3, "2024-03", 30, t(2)), ("s", 4, "2024-01", 40, t(2))]
+    put(move)
+    want = [("s", 1, "2024-03", 10), ("s", 2, "2024-01", 2), ("s", 3, "2024-03", 30), ("s", 4, "2024-01", 40)]
+    assert _rows(spark, target) == want
+    assert not os.path.exists(os.path.join(target, "month=2024-02"))
+    put(move)
+    assert _rows(spark, target) == want
+    # an older row for another partition loses and moves nothing
+    put([("s", 1, "2024-09", 99, t(1))])
+    assert _rows(spark, target) == want and not os.path.exists(os.path.join(target, "month=2024-09"))
+    # keys are found without a locator too (a table that was there before, or a lost one)
+    import shutil
+    shutil.rmtree(target + "__locator")
+    put([("s", 2, "2024-05", 20, t(3))])
+    assert _rows(spark, target) == sorted([w for w in want if w[1] != 2] + [("s", 2, "2024-05", 20)])
+    assert not os.path.exists(target + "__staging") or not os.listdir(target + "__staging")
+
+
+def test_upsert_broken_off_and_run_again(spark, tmp_dir, monkeypatch):
+    from leadlens.sources import sinks
+    target = os.path.join(tmp_dir, "broken")
+    one = spark.createDataFrame([("s", 1, "a", 1, dt.datetime(2024, 1, 1))], SCHEMA)
+    two = spark.createDataFrame([("s", 1, "b", 2, dt.datetime(2024, 1, 2))], SCHEMA)
+    three = spark.createDataFrame([("s", 1, "c", 3, dt.datetime(2024, 1, 3))], SCHEMA)
+    args = (["studio_id", "id"], ["updated_at"], ["month"])
+    upsert(spark, target, one, *args)
+    whole = sinks._overwrite_partitions
+
+    def fails(*a):
+        whole(*a)
+        raise RuntimeError("lost after writing, before the old partition is emptied")
+    monkeypatch.setattr(sinks, "_overwrite_partitions", fails)
+    try:
+        upsert(spark, target, two, *args)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(sinks, "_overwrite_partitions", whole)
+    upsert(spark, target, three, *args)  # another batch, without the broken one coming again
+    assert _rows(spark, target) == [("s", 1, "c", 3)]
+
+
+def test_touched_partitions_prune_the_scan(spark, tmp_dir):
+    from leadlens.sources.sinks import in_partitions
+    target = os.path.join(tmp_dir, "pruned")
+    spark.createDataFrame([(f"s{i % 3}", i, f"m{i % 7}", i, None) for i in range(50)], SCHEMA).write.partitionBy(
+        "studio_id", "month").parquet(target)
+    t = spark.read.schema(SCHEMA).parquet(target)
+    some = t.filter(in_partitions([("s1", "m2"), ("s1", "m3"), ("s2", "m1")], ["studio_id", "month"]))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    want = {("s1", "m2"), ("s1", "m3"), ("s2", "m1")}
+    assert {(r.studio_id, r.month) for r in some.collect()} <= want
+    assert some.count() == sum((f"s{i % 3}", f"m{i % 7}") in want for i in range(50))
+    assert t.filter(in_partitions([], ["studio_id", "month"])).count() == 0
+    # beyond the limit the predicate covers each column, and so at least the partitions
+    many = in_partitions([("s1", f"x{i}") for i in range(3000)] + [("s2", None)], ["studio_id", "month"])
+    assert t.filter(many).count() == 0
+
+
+def test_metric_partitions_without_rows_go(spark, tmp_dir):
+    from leadlens.sources.sinks import write_metric
+    out = os.path.join(tmp_dir, "covered")
+    m = lambda rows: spark.createDataFrame(rows, "studio_id string, v int")
+    ran = lambda *s: spark.createDataFrame([(x,) for x in s], "studio_id string")
+    rows = lambda: sorted((r.studio_id, r.v) for r in spark.read.parquet(out).collect())
+    write_metric(m([("s1", 1), ("s2", 2), ("all", 3)]), out, ["studio_id"], "2024-01-31 00:00:00", ran("s1", "s2", "all"))
+    write_metric(m([("s1", 5)]), out, ["studio_id"], "2024-02-01 00:00:00", ran("s1", "s2"))
+    assert rows() == [("all", 3), ("s1", 5)]
