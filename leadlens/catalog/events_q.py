@@ -56,6 +56,15 @@ def e05(ctx):
                                                       "valid_from", "valid_to")
 
 
+@query("e05_states_on_days", """SELECT t.t, s.studio_id, s.source, s.lead_id, s.stage FROM lead_snapshots s
+JOIN (SELECT DISTINCT CAST(event_ts AS DATE)::TIMESTAMP AS t FROM lead_events) t
+  ON s.valid_from <= t.t AND (s.valid_to IS NULL OR s.valid_to > t.t)""")
+def e05_days(ctx):
+    """State of every lead at the midnight of every day that has an event, in one join."""
+    days = ctx.lead_events.select(F.to_date("event_ts").cast("timestamp_ntz").alias("t")).distinct()
+    return E.states_at(ctx.snapshots, days).select("t", "studio_id", "source", "lead_id", "stage")
+
+
 @query("e06_current_state", """SELECT studio_id, source, lead_id, stage, valid_from FROM lead_snapshots
 WHERE valid_to IS NULL""")
 def e06(ctx):
@@ -175,7 +184,7 @@ def t07(ctx):
 @query("t08_bottlenecks", f"""SELECT studio_id, stage_name, avg_duration_hours, median_duration_hours
 FROM dur WHERE week_start = DATE '{WEEK}'""", views=[("dur", DUR_SQL)])
 def t08(ctx):
-    return T.bottlenecks(T.stage_durations(ctx.snapshots), WEEK)
+    return T.bottlenecks(T.stage_durations(T.in_week(ctx.snapshots, WEEK)), WEEK)
 
 
 @query("t09_read_transitions", f"""SELECT studio_id, transition_date, lead_count, avg_duration_hours

@@ -223,32 +223,48 @@ def i05(ctx):
     return I.match_by_name(ctx.leads, ctx.ad_leads, 0.8)
 
 
-@query("i06_match_by_time", """SELECT l.studio_id, l.rec_id, r.r_id, round(1.0 - levenshtein(l.name, r.r_name)
-    / greatest(length(l.name), length(r.r_name), 1), 4) AS similarity
-FROM (SELECT studio_id, CAST(lead_id AS VARCHAR) AS rec_id, lower(trim(client_name)) AS name, created_at AS ts
-      FROM leads WHERE NOT phone_valid) l
-JOIN (SELECT studio_id, CAST(ad_lead_id AS VARCHAR) AS r_id, lower(trim(client_name)) AS r_name, created_at AS r_ts
-      FROM ad_leads WHERE NOT phone_valid) r
-  ON r.studio_id = l.studio_id AND abs(date_diff('second', l.ts, r.r_ts)) <= 86400
-WHERE round(1.0 - levenshtein(l.name, r.r_name) / greatest(length(l.name), length(r.r_name), 1), 4) > 0.8""")
+# greedy by rank: pair i is taken if neither of its records was taken by a pair before it
+@query("i06_match_by_time", """SELECT studio_id, rec_id, r_id, round(similarity, 4) AS similarity FROM (
+  WITH RECURSIVE l AS (SELECT studio_id, CAST(lead_id AS VARCHAR) AS rec_id, lower(trim(client_name)) AS name, created_at AS ts
+    FROM leads a WHERE NOT (phone_valid AND EXISTS (SELECT 1 FROM ad_leads b WHERE b.phone_valid
+      AND b.studio_id = a.studio_id AND b.phone = a.phone))),
+  r AS (SELECT studio_id, CAST(ad_lead_id AS VARCHAR) AS r_id, lower(trim(client_name)) AS r_name, created_at AS r_ts
+    FROM ad_leads a WHERE NOT (phone_valid AND EXISTS (SELECT 1 FROM leads b WHERE b.phone_valid
+      AND b.studio_id = a.studio_id AND b.phone = a.phone))),
+  p AS (SELECT l.studio_id, rec_id, r_id, 1.0::DOUBLE - levenshtein(name, r_name) / greatest(length(name), length(r_name), 1) AS similarity,
+      abs(date_diff('microsecond', ts, r_ts)) AS us
+    FROM l JOIN r ON r.studio_id = l.studio_id AND abs(date_diff('microsecond', ts, r_ts)) <= 86400000000
+    WHERE 10 * (greatest(length(name), length(r_name), 1) - levenshtein(name, r_name)) > 8 * greatest(length(name), length(r_name), 1)),
+  o AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, us, rec_id, r_id) AS i FROM p),
+  g AS (SELECT 0::BIGINT AS i, []::VARCHAR[] AS used, []::BIGINT[] AS taken
+    UNION ALL
+    SELECT o.i, CASE WHEN list_has_any(g.used, ['l' || o.studio_id || o.rec_id, 'r' || o.studio_id || o.r_id]) THEN g.used
+        ELSE g.used || ['l' || o.studio_id || o.rec_id, 'r' || o.studio_id || o.r_id] END,
+      CASE WHEN list_has_any(g.used, ['l' || o.studio_id || o.rec_id, 'r' || o.studio_id || o.r_id]) THEN g.taken
+        ELSE g.taken || [o.i] END
+    FROM g JOIN o ON o.i = g.i + 1)
+  SELECT o.* FROM o WHERE list_contains((SELECT taken FROM g ORDER BY i DESC LIMIT 1), o.i))""")
 def i06(ctx):
-    """Fallback for leads without a usable phone: +-24 h and name similarity > 80%."""
-    l = ctx.leads.filter(~F.col("phone_valid")).select(
-        "studio_id", F.col("lead_id").cast("string").alias("rec_id"),
-        F.lower(F.trim("client_name")).alias("name"), F.col("created_at").alias("ts"))
-    r = ctx.ad_leads.filter(~F.col("phone_valid")).select(
-        "studio_id", F.col("ad_lead_id").cast("string").alias("rec_id"),
-        F.lower(F.trim("client_name")).alias("name"), F.col("created_at").alias("ts"))
-    return I.match_by_time(l, r, 24, 0.8)
+    """Leads without a phone match against ad leads that no phone match uses: +-24 h, name
+    similarity > 80%, one match a lead."""
+    record = lambda d, i: d.select("studio_id", F.col(i).cast("string").alias("rec_id"),
+                                   F.lower(F.trim("client_name")).alias("name"), F.col("created_at").alias("ts"))
+    l = I.without_phone_match(ctx.leads.select("studio_id", "lead_id", "phone", "phone_valid", "client_name", "created_at"),
+                              ctx.ad_leads)
+    r = I.without_phone_match(ctx.ad_leads.select("studio_id", "ad_lead_id", "phone", "phone_valid", "client_name", "created_at"),
+                              ctx.leads)
+    return I.match_by_time(record(l, "lead_id"), record(r, "ad_lead_id"), 24, 0.8)
 
 
 @query("i07_merged_leads", """SELECT studio_id, client_id, lead_id, merged_into, created_at FROM (
-  SELECT studio_id, client_id, lead_id, created_at, lag(lead_id) OVER w AS merged_into, lag(closed_at) OVER w AS pc
-  FROM leads WHERE phone_valid
-  WINDOW w AS (PARTITION BY studio_id, client_id ORDER BY created_at, lead_id))
-WHERE merged_into IS NOT NULL AND (pc IS NULL OR pc > created_at)""")
+  SELECT a.studio_id, a.client_id, a.lead_id, b.lead_id AS merged_into, a.created_at,
+    row_number() OVER (PARTITION BY a.studio_id, a.lead_id ORDER BY coalesce(b.closed_at, TIMESTAMP '9999-12-31') DESC,
+      b.created_at DESC, b.lead_id DESC) AS rn
+  FROM leads a JOIN leads b ON b.studio_id = a.studio_id AND b.client_id = a.client_id
+    AND (b.created_at, b.lead_id) < (a.created_at, a.lead_id) AND (b.closed_at IS NULL OR b.closed_at > a.created_at)
+  WHERE a.phone_valid AND b.phone_valid) WHERE rn = 1""")
 def i07(ctx):
-    """Leads created while the client's previous lead was still open."""
+    """Leads created while any earlier lead of the client was still open."""
     return I.merged_leads(ctx.leads)
 
 

@@ -128,3 +128,39 @@ def seq_number(df: DataFrame, keys: list[str], ts: str, tiebreak: str,
     base = counts.select(*keys, _DAY, F.coalesce(F.sum("_n").over(w_days), F.lit(0)).alias("_base"))
     out_df = d.join(base, keys + [_DAY], "left")
     return out_df.withColumn(out, (F.col("_base") + F.col("_rn")).cast("bigint")).drop(_DAY, "_rn", "_base")
+
+
+def running_max(df: DataFrame, keys: list[str], ts: str, tiebreak: str, value: Column,
+                out: str, bucket: str | None = None) -> DataFrame:
+    """Add ``out`` = the greatest ``value`` of all earlier rows of the key (NULL for the first).
+
+    A prefix scan in two steps: the running maximum inside a (key, day), and the running
+    maximum over the days' maxima (one row per key and day, combined map-side) before it.
+    """
+    base = df.withColumn(_DAY, _bucket(ts, bucket)).withColumn("_v", value)
+    w_in = (Window.partitionBy(*keys, _DAY).orderBy(F.col(ts), F.col(tiebreak))
+            .rowsBetween(Window.unboundedPreceding, -1))
+    d = base.withColumn("_in", F.max("_v").over(w_in))
+    w_days = (Window.partitionBy(*keys).orderBy(F.col(_DAY))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (base.groupBy(*keys, _DAY).agg(F.max("_v").alias("_day_max"))
+             .select(*keys, _DAY, F.max("_day_max").over(w_days).alias("_carry")))
+    res = d.join(carry, keys + [_DAY], "left")
+    return res.select(*_cols(df.columns), F.greatest("_in", "_carry").alias(out))
+
+
+def nearest_match(left: DataFrame, right: DataFrame, keys: list[str], ts: str, tiebreak: str,
+                  out: str = "match", bucket: str | None = None) -> DataFrame:
+    """For every left row the right row of equal ``keys`` that is nearest in ``ts`` (ties: the
+    smaller ``tiebreak``), as a struct ``out`` of distance in microseconds and tiebreak: two
+    as-of joins, forwards and on mirrored time, so no pairs are formed."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    found = left.withColumn("_us", micros)
+    for sign, name in ((1, "_later"), (-1, "_earlier")):
+        at = F.timestamp_micros(micros * sign)
+        r = right.select(*keys, at.alias("_at"), F.col(tiebreak).alias("_tb"), micros.alias("_r_us"))
+        found = next_match(found.withColumn("_at", at), r, keys, "_at", "_at", "_tb", ["_r_us"], out=name,
+                           bucket=bucket).drop("_at")
+    near = lambda c: F.when(F.col(c).isNotNull(), F.struct(
+        F.abs(F.col("_us") - F.col(f"{c}._r_us")).alias("us"), F.col(f"{c}.tb").alias("tb")))
+    return found.select(*_cols(left.columns), F.least(near("_later"), near("_earlier")).alias(out))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leadlens import config as C
 from leadlens.functions import pct
 from leadlens.operators.broadcast import bounded_broadcast
+from leadlens.operators.selection import exact_quantiles, same_keys
 
 ALERT_COLS = ["studio_id", "alert_date", "alert_type", "severity", "metric_name", "metric_value", "threshold"]
 
@@ -148,7 +149,11 @@ def escalations(recon: DataFrame) -> DataFrame:
     return recon.filter("escalate")
 
 
-def calibrate(daily_values: DataFrame, value_col: str, q: float) -> DataFrame:
-    """A-21 (ours): suggested threshold = the q-quantile of a studio's past daily values."""
-    return daily_values.groupBy("studio_id").agg(
-        F.count(value_col).alias("days"), F.percentile(F.col(value_col), q).alias("suggested_threshold"))
+def calibrate(daily_values: DataFrame, value_col: str, q: float, step: float = 0.1) -> DataFrame:
+    """A-21 (ours): suggested threshold = the exact q-quantile of a studio's past daily values,
+    which are multiples of ``step`` (percentages are rounded to one digit)."""
+    n = daily_values.groupBy("studio_id").agg(F.count(value_col).alias("days"))
+    found = exact_quantiles(daily_values, ["studio_id"], F.round(F.col(value_col) / F.lit(step)),
+                            {"suggested_threshold": q}, round(1 / step))
+    return n.alias("n").join(found.alias("f"), same_keys("n", "f", ["studio_id"]), "left").select(
+        "n.studio_id", "days", "suggested_threshold")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leadlens.functions import ceil_day, week_start
 from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.grouping import with_consolidated
+from leadlens.operators.selection import exact_quantiles, same_keys
 
 MICROS_PER_HOUR = 3_600_000_000.0
 
@@ -29,23 +30,24 @@ def stage_durations(snaps: DataFrame, approx: bool = False, accuracy: int = 10_0
     """T-02: closed intervals per studio, week (Monday of valid_from), stage:
     mean, median and p95 hours and the number of intervals (open ones excluded).
 
-    ``approx=True`` uses ``percentile_approx`` (a mergeable sketch of bounded
-    size per group) instead of the exact ``percentile``, whose buffer grows
-    with the number of distinct durations in a group.
+    Quantiles are exact, by ``exact_quantiles``.  ``approx=True`` uses
+    ``percentile_approx`` (a mergeable sketch of bounded size per group) in one pass.
     """
-    closed = snaps.filter(F.col("valid_to").isNotNull()).withColumn(
-        "h", F.timestamp_diff("MICROSECOND", F.col("valid_from"), F.col("valid_to")) / F.lit(MICROS_PER_HOUR))
+    keys = ["studio_id", "week_start", "stage_name"]
+    closed = snaps.filter(F.col("valid_to").isNotNull()).select(
+        "studio_id", week_start("valid_from").alias("week_start"), F.col("stage").alias("stage_name"),
+        F.timestamp_diff("MICROSECOND", F.col("valid_from"), F.col("valid_to")).alias("us"))
+    mean = F.round(F.avg("us") / F.lit(MICROS_PER_HOUR), 4).alias("avg_duration_hours")
+    n = F.count(F.lit(1)).alias("lead_count")
     if approx:
-        q = F.percentile_approx("h", [0.5, 0.95], accuracy)
-        med, p95 = q[0], q[1]
-    else:
-        med, p95 = F.percentile("h", 0.5), F.percentile("h", 0.95)
-    return (closed.groupBy("studio_id", week_start("valid_from").alias("week_start"),
-                           F.col("stage").alias("stage_name"))
-            .agg(_hours_avg("valid_from", "valid_to").alias("avg_duration_hours"),
-                 F.round(med, 4).alias("median_duration_hours"),
-                 F.round(p95, 4).alias("p95_duration_hours"),
-                 F.count(F.lit(1)).alias("lead_count")))
+        q = F.percentile_approx(F.col("us") / F.lit(MICROS_PER_HOUR), [0.5, 0.95], accuracy)
+        return closed.groupBy(*keys).agg(mean, F.round(q[0], 4).alias("median_duration_hours"),
+                                         F.round(q[1], 4).alias("p95_duration_hours"), n)
+    q = exact_quantiles(closed, keys, F.col("us"), {"median_duration_hours": 0.5, "p95_duration_hours": 0.95},
+                        MICROS_PER_HOUR)
+    return closed.groupBy(*keys).agg(mean, n).alias("g").join(q.alias("q"), same_keys("g", "q", keys)).select(
+        *[f"g.{k}" for k in keys], "avg_duration_hours", F.round("median_duration_hours", 4).alias("median_duration_hours"),
+        F.round("p95_duration_hours", 4).alias("p95_duration_hours"), "lead_count")
 
 
 def historical_funnel(snaps: DataFrame, as_of: str) -> DataFrame:
@@ -118,8 +120,16 @@ def stage_conversion(trans: DataFrame, since: str) -> DataFrame:
         F.sum(F.when(F.col("stage_to") == "abonement_sold", F.col("lead_count"))).alias("to_sold")])
 
 
+def in_week(snaps: DataFrame, week: str) -> DataFrame:
+    """The intervals that begin in the week of the Monday ``week`` (a range of valid_from, so it
+    reaches the scan)."""
+    at = lambda days: F.date_add(F.lit(week).cast("date"), days).cast("timestamp_ntz")
+    return snaps.filter((F.col("valid_from") >= at(0)) & (F.col("valid_from") < at(7)))
+
+
 def bottlenecks(durations: DataFrame, week: str) -> DataFrame:
-    """T-08: stages of one week by median duration, longest first."""
+    """T-08: stages of one week by median duration, longest first.  For one week of a long
+    history pass ``stage_durations(in_week(snaps, week))``, which reads that week only."""
     return (durations.filter(F.col("week_start") == F.lit(week).cast("date"))
             .select("studio_id", "stage_name", "avg_duration_hours", "median_duration_hours")
             .orderBy(F.desc("median_duration_hours"), "studio_id", "stage_name"))

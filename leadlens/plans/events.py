@@ -52,6 +52,37 @@ def state_at(snaps: DataFrame, ts: str) -> DataFrame:
     return snaps.filter((F.col("valid_from") <= t) & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
 
 
+SALTS = 16
+HOURS = {"hour": 1, "day": 24, "week": 168}
+
+
+def states_at(snaps: DataFrame, times: DataFrame, unit: str = "day") -> DataFrame:
+    """E-05 at many instants: a row per distinct ``t`` (timestamp_ntz) of ``times`` and lead that had a state then.
+
+    A point-in-interval join.  An interval is cut at the bounds of its time buckets (``unit``, any of
+    ``date_trunc`` up to a week, about as wide as the instants are apart) between the first and the
+    last instant; the pieces meet the instants of the bucket in an equi join, and the exact test
+    follows.  Buckets are few and each may hold a third of all intervals: leads are dealt to
+    ``SALTS`` salts, and each instant stands once for every salt.
+    """
+    bucket = lambda c: F.timestamp_diff("HOUR", F.lit("1970-01-05 00:00:00").cast("timestamp_ntz"),
+                                        F.date_trunc(unit, c).cast("timestamp_ntz")) / F.lit(HOURS[unit])
+    number = lambda c: bucket(c).cast("bigint")
+    points = times.select("t").filter("t IS NOT NULL").distinct().withColumn("_bucket", number(F.col("t")))
+    first, last = points.agg(F.min("t"), F.max("t")).first()
+    if first is None:
+        return snaps.select(F.col("valid_from").alias("t"), "*").limit(0)
+    live = snaps.filter((F.col("valid_from") <= F.lit(last)) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(first))))
+    cut = live.withColumn("_bucket", F.explode(F.sequence(
+        number(F.greatest(F.col("valid_from"), F.lit(first))),
+        number(F.least(F.coalesce(F.col("valid_to"), F.lit(last)), F.lit(last)))))).withColumn(
+        "_salt", F.pmod(F.xxhash64(*LEAD_KEY), F.lit(SALTS)))
+    points = points.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)])))
+    return cut.join(points, ["_bucket", "_salt"]).filter(
+        (F.col("valid_from") <= F.col("t")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("t")))).select(
+        "t", *snaps.columns)
+
+
 def current_state(snaps: DataFrame) -> DataFrame:
     """E-06."""
     return snaps.filter(F.col("valid_to").isNull())

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.operators.sequence import prev_row, seq_number
+from leadlens.operators.sequence import nearest_match, running_max, seq_number
+from leadlens.session import ensure_checkpoint_dir
 
 
 def _records(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame) -> DataFrame:
@@ -80,55 +84,115 @@ def match_by_name(leads: DataFrame, ad_leads: DataFrame, min_score: float = 0.8)
                        F.col("_b.score").alias("score"))
 
 
-def _length_bucket(name, min_sim: float):
-    """log-length bucket of base 1/min_sim; empty names get a bucket of their own."""
-    import math
-    n = F.length(name)
-    base = math.log(1.0 / min_sim)
-    return F.when(n == 0, F.lit(-1000)).otherwise(F.floor(F.log(n.cast("double")) / F.lit(base)).cast("int"))
+GRAM = 2
+
+
+def _grams(name):
+    """The 2-grams of a name with one mark before it, repeats numbered; ``##`` for an empty name."""
+    padded = F.concat(F.lit("#"), name)
+    grams = F.when(F.length(name) == 0, F.array(F.lit("##"))).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1))), lambda i: F.substr(padded, i, F.lit(GRAM))))
+    return F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, 1, i), lambda x: x == g)).cast("string")))
+
+
+def _similar_names(a: DataFrame, b: DataFrame, keys: list[str], min_sim: float) -> DataFrame:
+    """Pairs (keys, name, other, similarity > ``min_sim``) of the distinct names of two tables.
+
+    An edit-distance join by prefix filter.  Similarity above s allows k < (1 - s) * longer edits, each of
+    which touches two 2-grams, and the longer name has at most len / s letters.  So of the grams of either
+    name, in one common order (rare ones first), the first 2k + 1 must have one in common: only these are
+    joined, and the exact distance decides.
+    """
+    s = Decimal(str(min_sim))
+    sides = [d.select(*keys, n).filter(F.col(n).isNotNull()).distinct().withColumn("_g", F.explode(_grams(F.col(n))))
+             for d, n in ((a, "name"), (b, "other"))]
+    freq = sides[0].select("_g").unionByName(sides[1].select("_g")).groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+
+    def prefixes(side: DataFrame, n: str) -> DataFrame:
+        edits = F.greatest(F.ceil(F.length(n) * F.lit((1 - s) / s)) - 1, F.lit(0)).cast("int")
+        own = side.join(freq, "_g").groupBy(*keys, n).agg(F.array_sort(F.collect_list(F.struct("_f", "_g"))).alias("_gs"))
+        return own.select(*keys, n, F.explode(F.slice("_gs._g", F.lit(1), edits * GRAM + 1)).alias("_g"))
+
+    pairs = prefixes(sides[0], "name").join(prefixes(sides[1], "other"), [*keys, "_g"]).select(
+        *keys, "name", "other").distinct()
+    longer = F.greatest(F.length("name"), F.length("other"), F.lit(1))
+    same = longer - F.levenshtein("name", "other")
+    return pairs.filter(same.cast("decimal(20,0)") > longer * F.lit(s)).select(
+        *keys, "name", "other", _similarity(F.col("name"), F.col("other")).alias("similarity"))
 
 
 def match_by_time(left: DataFrame, right: DataFrame, hours: int = 24, min_sim: float = 0.8) -> DataFrame:
-    """I-06: pairs within +-``hours`` of each other and name similarity > ``min_sim``.
+    """I-06: one-to-one matches within +-``hours`` and name similarity > ``min_sim``.
 
-    Range join by day buckets: the right side is exploded to the neighbour days
-    (d-1, d, d+1 for 24 h), equi-joined on (studio, day, length bucket), then the
-    exact time and similarity tests run.  ``left``/``right``: studio_id, rec_id,
-    name, ts.
+    ``left``/``right``: studio_id, rec_id, name, ts (timestamp_ntz).  Pairs are ranked by
+    similarity, then distance in time, then the ids; the best pair is taken, both records
+    leave, and so on.  That order is reached by rounds of mutual best pairs: in each round
+    every record finds its best partner, and pairs that chose each other are taken.
 
-    The length bucket is exact blocking: similarity > s needs
-    lev < (1 - s) * maxlen, and lev >= |la - lb|, so minlen / maxlen > s; with
-    buckets of width log(1/s) in log-length, such pairs sit in the same or an
-    adjacent bucket, and the right side is exploded to both neighbours.
+    No table of record pairs is made.  Similar names are found among the distinct names of a
+    studio and day (neighbour days on the right side); a record meets each similar name
+    once, by an as-of join that gives the nearest record of that name.  A name or a day that
+    holds a third of all records therefore never becomes a square.  Null names match nothing.
     """
     span = (hours + 23) // 24
-    r = right.select("studio_id", F.col("rec_id").alias("r_id"), F.col("name").alias("r_name"),
-                     F.col("ts").alias("r_ts"))
-    r = r.withColumn("_d", F.explode(F.sequence(F.date_sub(F.to_date("r_ts"), span),
-                                                F.date_add(F.to_date("r_ts"), span))))
-    l = left.withColumn("_d", F.to_date("ts"))
-    if 0.0 < min_sim < 1.0:
-        rb = _length_bucket(F.col("r_name"), min_sim)
-        r = r.withColumn("_lb", F.explode(F.array(rb - 1, rb, rb + 1)))
-        l = l.withColumn("_lb", _length_bucket(F.col("name"), min_sim))
-        keys = ["studio_id", "_d", "_lb"]
-    else:
-        keys = ["studio_id", "_d"]
-    j = l.join(r, keys)
-    dt = F.abs(F.timestamp_diff("SECOND", F.col("ts"), F.col("r_ts")))
-    j = j.filter(dt <= hours * 3600).withColumn("similarity", F.round(_similarity(F.col("name"), F.col("r_name")), 4))
-    return j.filter(F.col("similarity") > min_sim).select("studio_id", "rec_id", "r_id", "similarity")
+    l = left.filter("name IS NOT NULL AND ts IS NOT NULL").select("studio_id", "rec_id", "name", "ts")
+    r = right.filter("name IS NOT NULL AND ts IS NOT NULL").select("studio_id", "rec_id", "name", "ts")
+    day = lambda d: d.withColumn("_d", F.to_date("ts"))
+    near = r.withColumn("_d", F.explode(F.sequence(F.date_sub(F.to_date("ts"), span), F.date_add(F.to_date("ts"), span))))
+    names = _written(_similar_names(day(l), near.withColumnRenamed("name", "other"), ["studio_id", "_d"], min_sim))
+    back = names.select("studio_id", F.explode(F.sequence(F.date_sub("_d", span), F.date_add("_d", span))).alias("_d"),
+                        F.col("other").alias("name"), F.col("name").alias("other"), "similarity").distinct()
+
+    def best(a: DataFrame, b: DataFrame, names: DataFrame, own: str, partner: str) -> DataFrame:
+        cand = day(a).join(names, ["studio_id", "_d", "name"]).select(
+            "studio_id", "rec_id", "ts", F.col("other").alias("name"), "similarity")
+        found = nearest_match(cand, b, ["studio_id", "name"], "ts", "rec_id", out="_m")
+        found = found.filter(F.col("_m.us") <= hours * 3_600_000_000)
+        return found.groupBy("studio_id", F.col("rec_id").alias(own)).agg(F.min(F.struct(
+            (-F.col("similarity")).alias("s"), F.col("_m.us").alias("us"), F.col("_m.tb").alias("tb"))).alias("_b")).select(
+            "studio_id", own, F.col("_b.tb").alias(partner), (-F.col("_b.s")).alias("similarity"))
+
+    taken = None
+    while True:
+        mine = best(l, r, names, "rec_id", "r_id")
+        theirs = best(r, l, back, "r_id", "rec_id").drop("similarity")
+        mutual = _written(mine.join(theirs, ["studio_id", "rec_id", "r_id"]))
+        if mutual.isEmpty():
+            break
+        taken = mutual if taken is None else taken.unionByName(mutual)
+        l = _written(l.join(mutual.select("studio_id", "rec_id"), ["studio_id", "rec_id"], "left_anti"))
+        r = _written(r.join(mutual.select("studio_id", F.col("r_id").alias("rec_id")), ["studio_id", "rec_id"], "left_anti"))
+    return (mutual if taken is None else taken).select("studio_id", "rec_id", "r_id", F.round("similarity", 4).alias("similarity"))
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, so that the next round does not go back beyond it."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/leadlens-match/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def without_phone_match(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """The rows whose studio and phone no row of ``others`` has.  Invalid phones match nothing
+    and do not go through the join."""
+    known = others.filter("phone_valid").select("studio_id", "phone").distinct()
+    return rows.filter("phone_valid").join(known, ["studio_id", "phone"], "left_anti").select(*rows.columns).unionByName(
+        rows.filter(~F.coalesce(F.col("phone_valid"), F.lit(False))))
 
 
 def merged_leads(leads: DataFrame) -> DataFrame:
-    """I-07 (ours): a lead is ``merged`` when the client's previous lead was still
-    open (not closed, or closed after) at the moment this lead was created."""
+    """I-07 (ours): a lead is ``merged`` when any earlier lead of the client was still open (not
+    closed, or closed after) at the moment this lead was created.
+
+    ``merged_into`` is the earlier lead that stays open longest (then the later one): the
+    running maximum of the closing times of all earlier leads.
+    """
     l = leads.filter("phone_valid").select("studio_id", "client_id", "lead_id", "created_at", "closed_at")
-    p = prev_row(l, ["studio_id", "client_id"], "created_at", "lead_id", ["lead_id", "closed_at"], prefix="prev_")
-    open_prev = p.filter(F.col("prev_lead_id").isNotNull()
-                         & (F.col("prev_closed_at").isNull() | (F.col("prev_closed_at") > F.col("created_at"))))
-    return open_prev.select("studio_id", "client_id", "lead_id", F.col("prev_lead_id").alias("merged_into"),
-                            "created_at")
+    until = F.struct(F.coalesce("closed_at", F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")).alias("until"),
+                     "created_at", "lead_id")
+    p = running_max(l, ["studio_id", "client_id"], "created_at", "lead_id", until, out="_open")
+    return p.filter(F.col("_open.until") > F.col("created_at")).select(
+        "studio_id", "client_id", "lead_id", F.col("_open.lead_id").alias("merged_into"), "created_at")
 
 
 def client_timeline(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame) -> DataFrame:

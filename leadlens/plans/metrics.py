@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from leadlens import config as C
 from leadlens.functions import kpi_status, pct, romi, safe_div, week_start
 from leadlens.operators.grouping import with_consolidated
+from leadlens.operators.selection import exact_quantiles, same_keys
 
 
 def _money(col: str):
@@ -382,16 +383,19 @@ def weak_channels(leads_booked: DataFrame, threshold: float) -> DataFrame:
 
 
 def loss_analysis(leads: DataFrame) -> DataFrame:
-    """M-28: closed-lost leads by source and price band: count, median price, days open."""
-    l = leads.filter(F.col("status_id") == C.STATUS_CLOSED_LOST)
+    """M-28: closed-lost leads by source and price band: count, exact median price, days open."""
+    keys = ["studio_id", "utm_source", "price_band"]
     p = F.col("price")
     band = (F.when(p < 100000, "<100k").when(p < 200000, "100k-200k").when(p < 300000, "200k-300k")
             .otherwise(">=300k"))
-    return l.groupBy("studio_id", "utm_source", band.alias("price_band")).agg(
+    l = leads.filter(F.col("status_id") == C.STATUS_CLOSED_LOST).withColumn("price_band", band)
+    g = l.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("leads"),
-        F.percentile(p.cast("double"), 0.5).alias("median_price"),
         F.round(F.avg(F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("closed_at")))
                 / F.lit(86_400_000_000.0), 2).alias("avg_days_open"))
+    q = exact_quantiles(l, keys, p * 100, {"median_price": 0.5}, 100.0)
+    return g.alias("g").join(q.alias("q"), same_keys("g", "q", keys), "left").select(
+        *[f"g.{k}" for k in keys], "leads", "median_price", "avg_days_open")
 
 
 def deposit_clients(leads: DataFrame, bookings: DataFrame) -> DataFrame:
