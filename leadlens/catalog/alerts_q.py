@@ -52,14 +52,14 @@ def _a02_sql(scope: str, src: str) -> str:
   WHERE rate > {TH['a02_no_show_max']}"""
 
 
-_B = "FROM bookings WHERE status IN ('visited', 'no_show')"
+_B = "FROM bookings"
 
 
 @query("a02_high_no_show", _a02_sql("all", "da") + " UNION ALL " + _a02_sql("first_visit", "df"), views=[
     ("da", f"SELECT studio_id, visit_date, count(*) AS booked, count(*) FILTER (WHERE status = 'no_show') AS no_shows {_B} GROUP BY ALL"),
     ("df", f"""SELECT studio_id, visit_date, count(*) AS booked, count(*) FILTER (WHERE status = 'no_show') AS no_shows
       FROM (SELECT *, row_number() OVER (PARTITION BY studio_id, phone ORDER BY visit_ts, booking_id) AS rn
-            {_B} AND phone_valid) WHERE rn = 1 GROUP BY ALL"""),
+            {_B} WHERE phone_valid) WHERE rn = 1 GROUP BY ALL"""),
     ("g_da", _grid("da", "visit_date")), ("g_df", _grid("df", "visit_date"))])
 def a02(ctx):
     """No-show share over 7 days above 25% (all bookings and first visits)."""
@@ -202,3 +202,27 @@ def a21(ctx):
     d = ctx.leads_booked.groupBy("studio_id", "lead_date").agg(
         F.count(F.lit(1)).alias("leads"), F.count_if(F.col("yc_booking_id").isNotNull()).alias("bookings"))
     return AL.calibrate(d.withColumn("conversion", M.pct("bookings", "leads")), "conversion", 0.1)
+
+
+@query("a19_gate_history", f"""SELECT studio_id, alert_id, row_number() OVER (PARTITION BY studio_id, alert_id ORDER BY opened_at) AS episode,
+  CASE WHEN resolved_at IS NULL THEN 'open' ELSE 'resolved' END AS status, opened_at, resolved_at, ack_by
+FROM (SELECT studio_id, alert_id, min(raised_at) AS opened_at, resolved_at, max(ack_by) AS ack_by FROM (
+    SELECT r.studio_id, r.alert_id, r.raised_at, min(k.ack_at) AS resolved_at, first(k.ack_by ORDER BY k.ack_at) AS ack_by
+    FROM raised r LEFT JOIN acks k ON k.studio_id = r.studio_id AND k.alert_id = r.alert_id AND k.ack_at >= r.raised_at
+    GROUP BY ALL) GROUP BY studio_id, alert_id, resolved_at)""", views=[
+    ("raised", """SELECT studio_id, 'A02' AS alert_id, CAST(visit_date AS TIMESTAMP) AS raised_at
+      FROM bookings GROUP BY studio_id, visit_date
+      HAVING 4 * count(*) FILTER (WHERE status = 'no_show') > count(*)"""),
+    ("acks", """SELECT studio_id, 'A02' AS alert_id, min(created_at) + INTERVAL 12 HOUR AS ack_at,
+        'user ' || min(responsible_id) AS ack_by
+      FROM leads GROUP BY studio_id, date_trunc('week', created_at)""")])
+def a19(ctx):
+    """Life of the no-show alert: raised on each day with over 25% no-shows, acknowledged by the
+    studio's first lead of each week at noon."""
+    raised = ctx.bookings.groupBy("studio_id", F.col("visit_date").cast("timestamp_ntz").alias("raised_at")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "no_show").alias("missed")).filter("4 * missed > n")
+    acks = ctx.leads.groupBy("studio_id", F.date_trunc("week", "created_at").alias("w")).agg(
+        F.timestamp_add("HOUR", F.lit(12), F.min("created_at")).alias("ack_at"),
+        F.concat(F.lit("user "), F.min("responsible_id").cast("string")).alias("ack_by"))
+    named = lambda d: d.withColumn("alert_id", F.lit("A02"))
+    return AL.gate_history(named(raised), named(acks))

@@ -54,12 +54,15 @@ FROM (
   FROM (SELECT *, coalesce(utm_source, 'unknown') AS channel FROM leads_booked)
   GROUP BY GROUPING SETS ((studio_id, lead_date, channel), (studio_id, lead_date), (lead_date, channel), (lead_date))
 ) l FULL OUTER JOIN (
-  SELECT {ALL()}, visit_date AS summary_date, 'all' AS channel,
+  SELECT {ALL()}, visit_date AS summary_date, CASE WHEN grouping(channel) = 1 THEN 'all' ELSE channel END AS channel,
     count(*) AS visits_booked, count(*) FILTER (WHERE status = 'visited') AS visits,
     count(*) FILTER (WHERE status = 'no_show') AS no_shows,
     count(*) FILTER (WHERE status = 'canceled') AS cancellations,
     sum(amount) AS rev, sum(amount) FILTER (WHERE status = 'visited') AS vrev
-  FROM bookings GROUP BY GROUPING SETS ((studio_id, visit_date), (visit_date))
+  FROM (SELECT b.*, coalesce(o.channel, 'unknown') AS channel FROM bookings b LEFT JOIN (
+      SELECT yc_booking_id, first(utm_source ORDER BY created_at, lead_id) AS channel FROM leads_booked
+      WHERE yc_booking_id IS NOT NULL GROUP BY yc_booking_id) o ON o.yc_booking_id = b.booking_id)
+  GROUP BY GROUPING SETS ((studio_id, visit_date, channel), (studio_id, visit_date), (visit_date, channel), (visit_date))
 ) b ON l.studio_id = b.studio_id AND l.summary_date = b.summary_date AND l.channel = b.channel""")
 def m01(ctx):
     """Daily summary per studio x date x channel with 'all' rows (14 measures)."""
@@ -122,7 +125,7 @@ def m08(ctx):
   count(*) FILTER (WHERE status = 'no_show') AS first_no_shows,
   {PCT("count(*) FILTER (WHERE status = 'no_show')", "count(*)")} AS first_visit_no_show_rate
 FROM (SELECT studio_id, status, row_number() OVER (PARTITION BY studio_id, phone ORDER BY visit_ts, booking_id) AS rn
-      FROM bookings WHERE status IN ('visited', 'no_show') AND phone_valid) WHERE rn = 1
+      FROM bookings WHERE phone_valid) WHERE rn = 1
 GROUP BY GROUPING SETS ((studio_id), ())""")
 def m09(ctx):
     return M.first_visit_no_show(ctx.bookings)
@@ -186,11 +189,12 @@ def m22(ctx):
         "studio_id", "month", "channel", "leads", "bookings", "spend")
 
 
-@query("m15_weekly_funnel", f"""SELECT *, {PCT("lead_count", "lag(lead_count) OVER (PARTITION BY studio_id, week_start ORDER BY stage_order)")} AS conversion
-FROM (SELECT l.studio_id, {WEEK.format('l.created_at')} AS week_start, coalesce(s.stage_code, 'unknown') AS stage_code,
+@query("m15_weekly_funnel", f"""SELECT g.*, {PCT("g.lead_count", "p.lead_count")} AS conversion
+FROM g LEFT JOIN g p ON p.studio_id = g.studio_id AND p.week_start = g.week_start AND p.stage_order = g.stage_order - 1""",
+       views=[("g", f"""SELECT l.studio_id, {WEEK.format('l.created_at')} AS week_start, coalesce(s.stage_code, 'unknown') AS stage_code,
         s.stage_order, count(*) AS lead_count,
         round(avg(date_diff('microsecond', l.created_at, l.updated_at)) / 3600000000.0, 4) AS avg_hours
-      FROM leads l LEFT JOIN funnel_stages s ON s.status_id = l.status_id GROUP BY ALL)""")
+      FROM leads l LEFT JOIN funnel_stages s ON s.status_id = l.status_id GROUP BY ALL""")])
 def m15(ctx):
     """Weekly funnel: count per stage, conversion from the previous stage, mean hours."""
     return M.weekly_funnel(N.map_stage(ctx.leads, N.stage_dim(ctx.spark)))
@@ -225,15 +229,40 @@ def m16m(ctx):
 VIS = "SELECT * FROM bookings WHERE status = 'visited' AND phone_valid"
 
 
-@query("m17_monthly_cohorts", f"""SELECT studio_id, cohort_month, month, count(*) AS clients,
-  CAST(sum(rev) AS DOUBLE) AS revenue, CAST(date_diff('month', cohort_month, month) AS INTEGER) AS months_since
-FROM (SELECT v.studio_id, f.cohort_month, {MONTH.format('v.visit_ts')} AS month, v.phone, sum(v.amount) AS rev
-      FROM vis v JOIN (SELECT studio_id, phone, {MONTH.format('min(visit_ts)')} AS cohort_month FROM vis GROUP BY ALL) f
-        ON f.studio_id = v.studio_id AND f.phone = v.phone GROUP BY ALL)
-GROUP BY studio_id, cohort_month, month""", views=[("vis", VIS)])
+CM_SQL = f"SELECT studio_id, phone, {MONTH.format('visit_ts')} AS month, sum(amount) AS rev FROM vis GROUP BY ALL"
+# a client-month, an 'all' copy of it, and the months that follow in the studio
+LIFE_SQL = """SELECT s.scope AS studio_id, c.studio_id AS own, c.phone, c.month, c.rev,
+    (SELECT min(f.month) FROM cm f WHERE f.studio_id = c.studio_id AND f.phone = c.phone) AS cohort_month,
+    EXISTS (SELECT 1 FROM cm p WHERE p.studio_id = c.studio_id AND p.phone = c.phone
+            AND p.month = CAST(c.month - INTERVAL 1 MONTH AS DATE)) AS stayed
+  FROM cm c, (SELECT DISTINCT studio_id AS scope FROM cm UNION ALL SELECT 'all') s
+  WHERE s.scope IN ('all', c.studio_id)"""
+MONTHS_SQL = """SELECT studio_id, CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP),
+    INTERVAL 1 MONTH)) AS DATE) AS month FROM life GROUP BY studio_id"""
+
+
+@query("m17_monthly_cohorts", f"""SELECT studio_id, cohort_month, month, CAST(date_diff('month', cohort_month, month) AS INTEGER) AS months_since,
+  clients, active, returned, lost, CAST(rev AS DOUBLE) AS revenue, CAST(so_far AS DOUBLE) / clients AS ltv,
+  CAST(spend AS DOUBLE) / clients AS cac,
+  round(100.0 * ((CAST(so_far AS DOUBLE) - CAST(spend AS DOUBLE)) / NULLIF(CAST(spend AS DOUBLE), 0)), 1) AS romi
+FROM (SELECT x.*, coalesce(p.active, 0) - x.stayed AS lost, s.spend,
+    (SELECT sum(y.rev) FROM x y WHERE y.studio_id = x.studio_id AND y.cohort_month = x.cohort_month AND y.month <= x.month) AS so_far
+  FROM x LEFT JOIN x p ON p.studio_id = x.studio_id AND p.cohort_month = x.cohort_month
+      AND p.month = CAST(x.month - INTERVAL 1 MONTH AS DATE)
+    LEFT JOIN (SELECT {ALL()}, {MONTH.format('expense_date')} AS cohort_month, sum(amount) AS spend FROM ad_spend
+        GROUP BY GROUPING SETS ((studio_id, {MONTH.format('expense_date')}), ({MONTH.format('expense_date')}))) s
+      ON s.studio_id = x.studio_id AND s.cohort_month = x.cohort_month)""", views=[
+    ("vis", VIS), ("cm", CM_SQL), ("life", LIFE_SQL), ("months", MONTHS_SQL),
+    ("x", """SELECT z.studio_id, z.cohort_month, m.month, z.clients, count(l.phone) AS active,
+        count(l.phone) FILTER (WHERE l.stayed) AS stayed,
+        count(l.phone) FILTER (WHERE NOT l.stayed AND l.month > l.cohort_month) AS returned, coalesce(sum(l.rev), 0) AS rev
+      FROM (SELECT studio_id, cohort_month, count(*) AS clients FROM life WHERE month = cohort_month GROUP BY ALL) z
+      JOIN months m ON m.studio_id = z.studio_id AND m.month >= z.cohort_month
+      LEFT JOIN life l ON l.studio_id = z.studio_id AND l.cohort_month = z.cohort_month AND l.month = m.month
+      GROUP BY ALL""")])
 def m17(ctx):
-    """Monthly cohorts by first-visit month: clients and revenue per activity month."""
-    return M.monthly_cohorts(ctx.bookings)
+    """Monthly cohorts by first-visit month on a dense grid: active, returned, lost, LTV, CAC, ROMI."""
+    return M.monthly_cohorts(ctx.bookings, fx.ad_spend(ctx.t))
 
 
 @query("m18_activity_segments", f"""SELECT studio_id, phone, first_visit, last_visit, prev_visit,
@@ -253,16 +282,15 @@ def m18(ctx):
 
 
 @query("m19_retention", f"""SELECT g.studio_id, g.month, g.active, g.retained, p.active AS prev_active,
-  {PCT("g.retained", "p.active")} AS retention, round(100.0 - {PCT("g.retained", "p.active")}, 1) AS churn
-FROM (SELECT s.studio_id, s.month, count(*) AS active, count(t.phone) AS retained
-      FROM cm s LEFT JOIN cm t ON t.studio_id = s.studio_id AND t.phone = s.phone
-        AND t.month = CAST(s.month - INTERVAL 1 MONTH AS DATE)
-      GROUP BY ALL) g
-LEFT JOIN (SELECT studio_id, month, count(*) AS active FROM cm GROUP BY ALL) p
-  ON p.studio_id = g.studio_id AND p.month = CAST(g.month - INTERVAL 1 MONTH AS DATE)""",
-       views=[("vis", VIS), ("cm", f"SELECT DISTINCT studio_id, phone, {MONTH.format('visit_ts')} AS month FROM vis")])
+  {PCT("g.retained", "p.active")} AS retention, round(100.0 - {PCT("g.retained", "p.active")}, 1) AS churn,
+  round(CAST((SELECT sum(rev) FROM life x WHERE x.studio_id = g.studio_id AND x.month <= g.month) AS DOUBLE)
+    / (SELECT count(*) FROM life x WHERE x.studio_id = g.studio_id AND x.month <= g.month AND x.month = x.cohort_month), 2) AS mean_ltv
+FROM g LEFT JOIN g p ON p.studio_id = g.studio_id AND p.month = CAST(g.month - INTERVAL 1 MONTH AS DATE)""",
+       views=[("vis", VIS), ("cm", CM_SQL), ("life", LIFE_SQL), ("months", MONTHS_SQL),
+              ("g", """SELECT m.studio_id, m.month, count(l.phone) AS active, count(l.phone) FILTER (WHERE l.stayed) AS retained
+       FROM months m LEFT JOIN life l ON l.studio_id = m.studio_id AND l.month = m.month GROUP BY ALL""")])
 def m19(ctx):
-    """Month-over-month retention and churn."""
+    """Month-over-month retention, churn and mean LTV on a dense month grid."""
     return M.retention(ctx.bookings)
 
 
@@ -341,11 +369,12 @@ def m26(ctx):
 
 
 @query("m27_weak_channels", f"""SELECT * FROM (SELECT studio_id, utm_source, count(*) AS leads,
-  count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
-  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion
-FROM leads_booked GROUP BY ALL) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
+  count(*) FILTER (WHERE status_id IN {WON}) AS abonements,
+  {PCT(f"count(*) FILTER (WHERE status_id IN {WON})", "count(*)")} AS conversion
+FROM leads GROUP BY ALL) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
 def m27(ctx):
-    return M.weak_channels(ctx.leads_booked, C.DEFAULT_THRESHOLDS["weak_channel_conversion"])
+    """Channels that convert too few leads to subscriptions."""
+    return M.weak_channels(ctx.leads, C.DEFAULT_THRESHOLDS["weak_channel_conversion"])
 
 
 @query("m28_loss_analysis", """SELECT studio_id, utm_source,

@@ -124,7 +124,7 @@ def n12(ctx):
 @query("n13_enrich_utm", """SELECT l.studio_id,
   coalesce(CASE WHEN length(lower(trim(l.utm_source))) > 0 THEN lower(trim(l.utm_source)) END, a.channel) AS utm_source,
   coalesce(CASE WHEN length(lower(trim(l.utm_source))) > 0 THEN lower(trim(l.utm_source)) END, a.channel) IS NULL AS ad_channel_unknown,
-  (a.channel IS NOT NULL OR a.utm_campaign IS NOT NULL) AS from_ads,
+  a.phone IS NOT NULL AS from_ads,
   count(*) AS leads
 FROM leads l LEFT JOIN (
   SELECT * FROM (SELECT studio_id, phone, channel, utm_campaign,

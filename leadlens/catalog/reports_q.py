@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadlens.catalog.metrics_q import ALL, ECON_SQL, PCT, VIS, WEEK
+from leadlens import config as C
+from leadlens.catalog.metrics_q import ALL, ECON_SQL, PCT, VIS, WEEK, WON
 from leadlens.plans import event_metrics as T
 from leadlens.plans import metrics as M
 from leadlens.plans import reports as P
@@ -90,23 +91,24 @@ def p04(ctx):
   round(sum(revenue), 2) AS revenue, round(sum(spend), 2) AS spend,
   round(round(sum(spend), 2) / NULLIF(CAST(sum(buyers) AS BIGINT), 0), 2) AS cac,
   round(100.0 * ((round(sum(revenue), 2) - round(sum(spend), 2)) / NULLIF(round(sum(spend), 2), 0)), 1) AS romi
-FROM econ GROUP BY ROLLUP (studio_id, channel)""", views=[("econ", ECON_SQL)])
+FROM econ GROUP BY CUBE (studio_id, channel)""", views=[("econ", ECON_SQL)])
 def p05(ctx):
-    """Channel report with studio totals and grand total (ROLLUP)."""
+    """Channel report with studio totals, network rows per channel and the grand total (CUBE)."""
     return P.report_channels(M.channel_economics(ctx.leads_booked, fx.ad_spend(ctx.t)))
 
 
 @query("p06_recent_days", """SELECT studio_id, summary_date, leads, bookings, lead_to_booking FROM (
   SELECT *, row_number() OVER (PARTITION BY studio_id ORDER BY summary_date DESC) AS rn FROM (
-    SELECT CASE WHEN grouping(studio_id) = 1 THEN 'all' ELSE studio_id END AS studio_id, lead_date AS summary_date,
-      count(*) AS leads, count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
-      round(100.0 * (CAST(count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS DOUBLE) / count(*)), 1) AS lead_to_booking
-    FROM leads_booked GROUP BY GROUPING SETS ((studio_id, lead_date), (lead_date))))
+    SELECT CASE WHEN grouping(studio_id) = 1 THEN 'all' ELSE studio_id END AS studio_id, summary_date,
+      CAST(sum(l) AS BIGINT) AS leads, CAST(sum(b) AS BIGINT) AS bookings,
+      round(100.0 * (CAST(sum(b) AS DOUBLE) / NULLIF(sum(l), 0)), 1) AS lead_to_booking
+    FROM (SELECT studio_id, lead_date AS summary_date, 1 AS l, (yc_booking_id IS NOT NULL)::INT AS b FROM leads_booked
+          UNION ALL SELECT studio_id, visit_date, 0, 0 FROM bookings)
+    GROUP BY GROUPING SETS ((studio_id, summary_date), (summary_date))))
 WHERE rn <= 5""")
 def p06(ctx):
     """The five most recent days of every studio (and 'all')."""
-    daily = M.daily_summary(ctx.leads_booked, ctx.bookings).filter(
-        (F.col("channel") == "all") & (F.col("leads") > 0))
+    daily = M.daily_summary(ctx.leads_booked, ctx.bookings).filter(F.col("channel") == "all")
     return P.recent_days(daily, 5).select("studio_id", "summary_date", "leads", "bookings", "lead_to_booking")
 
 
@@ -249,13 +251,13 @@ def q04(ctx):
 
 
 @query("q07_weak_channels_all", f"""SELECT * FROM (SELECT 'all' AS studio_id, utm_source, count(*) AS leads,
-  count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
-  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS conversion
-FROM leads_booked GROUP BY utm_source) WHERE conversion < 95""")
+  count(*) FILTER (WHERE status_id IN {WON}) AS abonements,
+  {PCT(f"count(*) FILTER (WHERE status_id IN {WON})", "count(*)")} AS conversion
+FROM leads GROUP BY utm_source) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
 def q07(ctx):
-    """weak_channels(threshold=95) across all studios."""
-    l = ctx.leads_booked.withColumn("studio_id", F.lit("all"))
-    return M.weak_channels(l, 95.0)
+    """weak_channels() across all studios, at the configured threshold."""
+    l = ctx.leads.withColumn("studio_id", F.lit("all"))
+    return M.weak_channels(l, C.DEFAULT_THRESHOLDS["weak_channel_conversion"])
 
 
 @query("q09_channels_all", """SELECT * FROM (SELECT
@@ -265,7 +267,7 @@ def q07(ctx):
   round(sum(revenue), 2) AS revenue, round(sum(spend), 2) AS spend,
   round(round(sum(spend), 2) / NULLIF(CAST(sum(buyers) AS BIGINT), 0), 2) AS cac,
   round(100.0 * ((round(sum(revenue), 2) - round(sum(spend), 2)) / NULLIF(round(sum(spend), 2), 0)), 1) AS romi
-FROM econ GROUP BY ROLLUP (studio_id, channel)) WHERE studio_id = 'all'""", views=[("econ", ECON_SQL)])
+FROM econ GROUP BY CUBE (studio_id, channel)) WHERE studio_id = 'all'""", views=[("econ", ECON_SQL)])
 def q09(ctx):
     """channels(): the network-wide channel rows of the channel report."""
     rep = P.report_channels(M.channel_economics(ctx.leads_booked, fx.ad_spend(ctx.t)))

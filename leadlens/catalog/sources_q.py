@@ -16,6 +16,9 @@ from leadlens.sources.fixtures import AS_OF_STAR
 from leadlens.sources.sinks import upsert
 
 FRM, TO = "2000-01-01", "2000-12-31"
+ALL_RECORDS = [("all_records", """SELECT studio_id, 'amo' AS source, created_at AS ts FROM leads
+  UNION ALL SELECT studio_id, 'yclients', visit_ts FROM bookings
+  UNION ALL SELECT studio_id, 'gsheets', created_at FROM ad_leads""")]
 DOMAIN = r"^https?://([^/?#]+).*$"
 
 
@@ -51,22 +54,22 @@ def s10(ctx):
 
 @query("s11_last_loaded", f"""SELECT studio_id, source, max(ts) AS last_loaded_at,
   date_diff('day', CAST(max(ts) AS DATE), DATE '{AS_OF_STAR}') > 1 AS is_stale
-FROM records GROUP BY studio_id, source""")
+FROM all_records GROUP BY studio_id, source""", views=ALL_RECORDS)
 def s11(ctx):
     """Latest data per studio and source with a staleness flag."""
-    r = _records(ctx.leads, ctx.bookings, ctx.ad_leads)
+    r = _records(ctx.leads, ctx.bookings, ctx.ad_leads, valid_only=False)
     return S.last_loaded(r, ["studio_id", "source"], "ts", AS_OF_STAR, 1)
 
 
 @query("s12_input_health", f"""SELECT s.studio_id, x.source, coalesce(c.rows, 0) AS rows, coalesce(c.rows, 0) = 0 AS is_empty
 FROM studios s CROSS JOIN (VALUES ('amo'), ('yclients'), ('gsheets')) x(source)
-LEFT JOIN (SELECT studio_id, source, count(*) AS rows FROM records
+LEFT JOIN (SELECT studio_id, source, count(*) AS rows FROM all_records
            WHERE ts >= TIMESTAMP '2001-07-01' AND ts < TIMESTAMP '2001-08-01' GROUP BY ALL) c
   ON c.studio_id = s.studio_id AND c.source = x.source
-WHERE s.is_active""")
+WHERE s.is_active""", views=ALL_RECORDS)
 def s12(ctx):
     """Rows per active studio and source in a month; empty inputs flagged."""
-    r = _records(ctx.leads, ctx.bookings, ctx.ad_leads)
+    r = _records(ctx.leads, ctx.bookings, ctx.ad_leads, valid_only=False)
     r = r.filter((F.col("ts") >= F.lit("2001-07-01").cast("timestamp_ntz"))
                  & (F.col("ts") < F.lit("2001-08-01").cast("timestamp_ntz")))
     counts = r.groupBy("studio_id", "source").agg(F.count(F.lit(1)).alias("rows"))

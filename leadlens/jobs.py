@@ -34,7 +34,7 @@ from leadlens.plans.staging import stage_all
 from leadlens.registry import Ctx
 from leadlens.sources import fixtures as fx
 from leadlens.sources.landed import active_studios
-from leadlens.sources.sinks import _exists, upsert, write_metric
+from leadlens.sources.sinks import _exists, in_partitions, replace_keys, upsert, write_metric
 
 
 def _runnable(spark: SparkSession, ctx: Ctx, out: str) -> DataFrame:
@@ -70,22 +70,20 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
         "metrics_daily_summary": M.daily_summary(leads_booked, bookings),
         "metrics_lead_to_booking": M.lead_to_booking(leads_booked),
         "metrics_channel_roi": M.channel_economics(leads_booked, spend),
-        "metrics_monthly_cohorts": M.monthly_cohorts(bookings),
+        "metrics_monthly_cohorts": M.monthly_cohorts(bookings, spend),
         "metrics_funnel_transitions": T.transitions(events),
         "metrics_lead_stage_durations": T.stage_durations(snaps),
         "metrics_historical_funnel": T.historical_funnel(snaps, fx.AS_OF_EVENTS),
         "ops_active_alerts": alerts,
-        "ops_gates": AL.open_gates(a04),
     }
     paths = {}
     for name, df in tables.items():
         path = os.path.join(out, name)
-        if name == "ops_gates":
-            upsert(spark, path, df, ["studio_id", "alert_id"], ["opened_on"], ["studio_id"])
-        else:
-            write_metric(df if complete else df.filter(F.col("studio_id") != "all"), path, ["studio_id"], loaded_at,
-                         covers)
+        write_metric(df if complete else df.filter(F.col("studio_id") != "all"), path, ["studio_id"], loaded_at, covers)
         paths[name] = path
+    raised = AL.open_gates(a04).select("studio_id", "alert_id", F.col("opened_on").cast("timestamp_ntz").alias("ts"),
+                                       F.lit("raised").alias("kind"), F.lit("").alias("who"))
+    paths["ops_gates"] = _keep_gates(spark, out, raised)
     staging = os.path.join(out, "staging_leads_normalized")
     # partitioned by studio and creation month: a run rewrites only the months its batch touches
     batch = (keep(ctx.leads).withColumn("loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
@@ -96,18 +94,31 @@ def run_all(spark: SparkSession, sf_dir: str, out: str, as_of: str = fx.AS_OF_ST
     return paths
 
 
+GATE_EVENTS = "studio_id string, alert_id string, ts timestamp_ntz, kind string, who string"
+
+
+def _keep_gates(spark: SparkSession, out: str, events: DataFrame) -> str:
+    """Adds findings and acknowledgements to the table of gate events (each stands once, however
+    often a run is repeated) and derives the gates of the studios concerned from it."""
+    log, path = os.path.join(out, "ops_gate_events"), os.path.join(out, "ops_gates")
+    columns = [c.split()[0] for c in GATE_EVENTS.split(", ")]
+    upsert(spark, log, events, columns, [], ["studio_id"])
+    studios = events.select("studio_id").distinct().collect()  # of this run's gates
+    known = spark.read.schema(GATE_EVENTS).parquet(log).filter(in_partitions(studios, ["studio_id"]))
+    history = AL.gate_history(
+        known.filter("kind = 'raised'").select("studio_id", "alert_id", F.col("ts").alias("raised_at")),
+        known.filter("kind = 'ack'").select("studio_id", "alert_id", F.col("ts").alias("ack_at"), F.col("who").alias("ack_by")))
+    replace_keys(spark, path, history, ["studio_id"], ["studio_id"])
+    return path
+
+
 def acknowledge(spark: SparkSession, out: str, acks: DataFrame) -> None:
-    """A-19: apply acknowledgements (studio_id, alert_id, ack_by, ack_at) to the open
-    gates; a resolved studio is processed again by the next run."""
-    path = os.path.join(out, "ops_gates")
-    if not _exists(spark, path):
-        return
-    gates = spark.read.parquet(path)
-    touched = acks.select("studio_id").distinct()
-    resolved = AL.resolve_gates(gates.join(touched, "studio_id", "left_semi").drop("resolved_at", "ack_by"), acks)
-    resolved = resolved.select(*gates.columns) if set(gates.columns) <= set(resolved.columns) else resolved
-    from leadlens.sources.sinks import replace_keys
-    replace_keys(spark, path, resolved, ["studio_id", "alert_id"], ["studio_id"])
+    """A-19: apply acknowledgements (studio_id, alert_id, ack_by, ack_at) to the gates; a
+    resolved studio is processed again by the next run, and the gate keeps when it was
+    resolved and by whom when a later run opens it again."""
+    if _exists(spark, os.path.join(out, "ops_gate_events")):
+        _keep_gates(spark, out, acks.select("studio_id", "alert_id", F.col("ack_at").alias("ts"), F.lit("ack").alias("kind"),
+                                            F.coalesce("ack_by", F.lit("")).alias("who")))
 
 
 def main() -> None:

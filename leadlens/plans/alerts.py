@@ -9,6 +9,7 @@ from leadlens import config as C
 from leadlens.functions import pct
 from leadlens.operators.broadcast import bounded_broadcast
 from leadlens.operators.selection import exact_quantiles, same_keys
+from leadlens.operators.sequence import next_row, prev_row, seq_number
 
 ALERT_COLS = ["studio_id", "alert_date", "alert_type", "severity", "metric_name", "metric_value", "threshold"]
 
@@ -60,8 +61,8 @@ def alert_a01(leads_booked: DataFrame, threshold: float, days: int = 3) -> DataF
 def alert_a02(bookings: DataFrame, threshold: float, days: int = 7) -> DataFrame:
     """A-02: no-show share over the last ``days`` days above the threshold, as
     sum(no-shows) / sum(bookings) over the window (not a mean of daily rates);
-    scope 'all' bookings and 'first_visit' (clients' first attended-or-missed booking)."""
-    b = bookings.filter(F.col("status").isin("visited", "no_show"))
+    scope 'all' bookings and 'first_visit' (clients' first bookings, of any status)."""
+    b = bookings
     first = (b.filter("phone_valid").groupBy("studio_id", "phone")
              .agg(F.min(F.struct("visit_ts", "booking_id", "status", "visit_date")).alias("_f"))
              .select("studio_id", F.col("_f.visit_date").alias("visit_date"), F.col("_f.status").alias("status")))
@@ -116,7 +117,8 @@ def rule_based_alerts(violations: DataFrame) -> DataFrame:
 
 
 def new_alerts(alerts: DataFrame, open_alerts: DataFrame) -> DataFrame:
-    """A-16: drop alerts already open (same studio, type, metric, not resolved)."""
+    """A-16: drop alerts already open (same studio, type, metric, not resolved); see ``gate_history``
+    for the whole life cycle."""
     o = open_alerts.filter(F.col("resolved_at").isNull()).select("studio_id", "alert_type", "metric_name")
     return alerts.join(o, ["studio_id", "alert_type", "metric_name"], "left_anti")
 
@@ -133,15 +135,45 @@ def runnable_studios(studios: DataFrame, gates: DataFrame) -> DataFrame:
     return studios.filter("is_active").join(g, "studio_id", "left_anti")
 
 
+HISTORY_KEY = ["studio_id", "alert_id"]
+
+
+def gate_history(raised: DataFrame, acks: DataFrame) -> DataFrame:
+    """A-16 / A-19: the life of each alert or gate as intervals, one row an episode.
+
+    ``raised``: studio_id, alert_id, raised_at, a row whenever a run finds the condition;
+    ``acks``: studio_id, alert_id, ack_at, ack_by.  An episode opens with the first finding
+    after the last resolution and ends with the first acknowledgement after it; findings in
+    between raise nothing new, acknowledgements of what is not open change nothing, and a
+    finding after the resolution reopens it as the next episode.  At one instant findings come
+    before acknowledgements; of several acknowledgements the first (then the smaller name) counts.
+
+    Equal kinds in a row collapse, and each opening takes the next row's time and name, both by
+    the skew-safe sequence operators: an alert that is raised all the time is split by day.
+    """
+    ev = raised.select(*HISTORY_KEY, F.col("raised_at").alias("ts"), F.lit("0").alias("tb"), F.lit(None).cast("string").alias("who")).distinct().unionByName(
+        acks.select(*HISTORY_KEY, F.col("ack_at").alias("ts"), F.concat(F.lit("1"), F.coalesce("ack_by", F.lit(""))).alias("tb"),
+                    F.col("ack_by").alias("who")).distinct())
+    ev = ev.withColumn("kind", F.substring("tb", 1, 1))
+    turns = prev_row(ev, HISTORY_KEY, "ts", "tb", ["kind"]).filter(
+        (F.col("kind") != F.coalesce("prev_kind", F.lit("1")))).drop("prev_ts", "prev_kind")
+    opened = next_row(turns, HISTORY_KEY, "ts", "tb", ["who"]).filter("kind = '0'")
+    numbered = seq_number(opened, HISTORY_KEY, "ts", "tb", out="episode")
+    return numbered.select(
+        *HISTORY_KEY, "episode", F.when(F.col("next_ts").isNull(), "open").otherwise("resolved").alias("status"),
+        F.col("ts").alias("opened_at"), F.col("next_ts").alias("resolved_at"), F.col("next_who").alias("ack_by"))
+
+
 def resolve_gates(gates: DataFrame, acks: DataFrame) -> DataFrame:
-    """A-19: apply acknowledgements (studio_id, alert_id, ack_by, ack_at) to open gates."""
+    """A-19: apply acknowledgements (studio_id, alert_id, ack_by, ack_at) to open gates; when and
+    by whom a gate was resolved before stays."""
     a = acks.groupBy("studio_id", "alert_id").agg(F.max(F.struct("ack_at", "ack_by")).alias("_a"))
     j = gates.join(a, ["studio_id", "alert_id"], "left")
-    j = j.withColumn("_hit", F.col("_a").isNotNull() & (F.col("status") == "open"))
-    return (j.withColumn("status", F.when(F.col("_hit"), "resolved").otherwise(F.col("status")))
-            .withColumn("resolved_at", F.when(F.col("_hit"), F.col("_a.ack_at")))
-            .withColumn("ack_by", F.when(F.col("_hit"), F.col("_a.ack_by")))
-            .drop("_a", "_hit"))
+    hit = F.col("_a").isNotNull() & (F.col("status") == "open")
+    old = lambda c, kind: F.col(c) if c in gates.columns else F.lit(None).cast(kind)
+    return j.withColumns({"status": F.when(hit, "resolved").otherwise(F.col("status")),
+                          "resolved_at": F.when(hit, F.col("_a.ack_at")).otherwise(old("resolved_at", "timestamp_ntz")),
+                          "ack_by": F.when(hit, F.col("_a.ack_by")).otherwise(old("ack_by", "string"))}).drop("_a")
 
 
 def escalations(recon: DataFrame) -> DataFrame:

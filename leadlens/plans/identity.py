@@ -12,18 +12,20 @@ from leadlens.operators.sequence import nearest_match, running_max, seq_number
 from leadlens.session import ensure_checkpoint_dir
 
 
-def _records(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame) -> DataFrame:
-    """All client-bearing records with a valid phone, one shape."""
-    l = leads.filter("phone_valid").select(
+def _records(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame, valid_only: bool = True) -> DataFrame:
+    """All records with a valid phone (or simply all), one shape."""
+    if valid_only:
+        leads, bookings, ad_leads = (d.filter("phone_valid") for d in (leads, bookings, ad_leads))
+    l = leads.select(
         "studio_id", "phone", F.lit("amo").alias("source"), F.col("created_at").alias("ts"),
         F.lit(0).alias("visit"), F.lit(None).cast("decimal(18,2)").alias("revenue"),
         F.col("lead_id").cast("string").alias("rec_id"))
-    b = bookings.filter("phone_valid").select(
+    b = bookings.select(
         "studio_id", "phone", F.lit("yclients").alias("source"), F.col("visit_ts").alias("ts"),
         (F.col("status") == "visited").cast("int").alias("visit"),
         F.when(F.col("status") == "visited", F.col("amount")).alias("revenue"),
         F.col("booking_id").cast("string").alias("rec_id"))
-    a = ad_leads.filter("phone_valid").select(
+    a = ad_leads.select(
         "studio_id", "phone", F.lit("gsheets").alias("source"), F.col("created_at").alias("ts"),
         F.lit(0).alias("visit"), F.lit(None).cast("decimal(18,2)").alias("revenue"),
         F.col("ad_lead_id").cast("string").alias("rec_id"))

@@ -33,6 +33,9 @@ def lead_to_booking(leads_booked: DataFrame) -> DataFrame:
 def daily_summary(leads_booked: DataFrame, bookings: DataFrame) -> DataFrame:
     """M-01: one row per studio x date x channel (plus channel 'all' and studio 'all').
 
+    A booking has the channel of the lead it was matched to (of several, the earliest lead);
+    one that no lead was matched to is 'unknown'.
+
     Lead measures come from the lead side, visit measures from bookings; each
     side is aggregated before the (full outer) join, so nothing fans out.
     """
@@ -49,20 +52,21 @@ def daily_summary(leads_booked: DataFrame, bookings: DataFrame) -> DataFrame:
                   F.count_if(F.col("booking_status") == "visited").alias("booked_visited"),
                   F.count_if(~F.col("phone_valid")).alias("invalid_phones"),
                   F.grouping("studio_id").alias("_gs"), F.grouping("channel").alias("_gc")))
-    b = bookings.select("studio_id", F.col("visit_date").alias("summary_date"), "status", "amount")
-    b_agg = (b.groupingSets([[F.col("studio_id"), F.col("summary_date")], [F.col("summary_date")]],
-                            "studio_id", "summary_date")
+    origin = leads_booked.filter(F.col("yc_booking_id").isNotNull()).groupBy(F.col("yc_booking_id").alias("booking_id")).agg(
+        F.min(F.struct("created_at", "lead_id", "utm_source")).alias("_l"))
+    b = bookings.select("booking_id", "studio_id", F.col("visit_date").alias("summary_date"), "status", "amount").join(
+        origin, "booking_id", "left").withColumn("channel", F.coalesce("_l.utm_source", F.lit("unknown")))
+    b_agg = (b.groupingSets([[F.col(c) for c in s] for s in sets_l], "studio_id", "summary_date", "channel")
              .agg(F.count(F.lit(1)).alias("visits_booked"),
                   F.count_if(F.col("status") == "visited").alias("visits"),
                   F.count_if(F.col("status") == "no_show").alias("no_shows"),
                   F.count_if(F.col("status") == "canceled").alias("cancellations"),
                   _money("amount").alias("_rev"),
                   F.sum(F.when(F.col("status") == "visited", F.col("amount").cast("decimal(18,2)"))).alias("_vrev"),
-                  F.grouping("studio_id").alias("_gs")))
-    fix = lambda df: df.withColumn("studio_id", F.when(F.col("_gs") == 1, "all").otherwise(F.col("studio_id"))).drop("_gs")
-    l_agg = fix(l_agg).withColumn("channel", F.when(F.col("_gc") == 1, "all").otherwise(F.col("channel"))).drop("_gc")
-    b_agg = fix(b_agg).withColumn("channel", F.lit("all"))
-    j = l_agg.join(b_agg, ["studio_id", "summary_date", "channel"], "full_outer")
+                  F.grouping("studio_id").alias("_gs"), F.grouping("channel").alias("_gc")))
+    fix = lambda df: df.withColumn("studio_id", F.when(F.col("_gs") == 1, "all").otherwise(F.col("studio_id"))).withColumn(
+        "channel", F.when(F.col("_gc") == 1, "all").otherwise(F.col("channel"))).drop("_gs", "_gc")
+    j = fix(l_agg).join(fix(b_agg), ["studio_id", "summary_date", "channel"], "full_outer")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint"))
     return j.select(
         "studio_id", "summary_date", "channel",
@@ -143,8 +147,8 @@ def cancel_rate(bookings: DataFrame) -> DataFrame:
 
 
 def first_visit_no_show(bookings: DataFrame) -> DataFrame:
-    """M-09: share of no-shows among clients' first attended-or-missed bookings."""
-    b = bookings.filter(F.col("status").isin("visited", "no_show") & F.col("phone_valid"))
+    """M-09: share of no-shows among clients' first bookings, of any status."""
+    b = bookings.filter(F.col("phone_valid"))
     first = b.groupBy("studio_id", "phone").agg(F.min(F.struct("visit_ts", "booking_id", "status")).alias("_f"))
     g = with_consolidated(first, "studio_id", [], [
         F.count(F.lit(1)).alias("first_bookings"),
@@ -203,15 +207,18 @@ def ltv(leads: DataFrame, bookings: DataFrame, months: int = C.LTV_MONTHS) -> Da
 
 
 def weekly_funnel(leads_staged: DataFrame) -> DataFrame:
-    """M-15: leads per studio, week and stage; conversion from the previous stage
-    (by stage order) and mean hours from creation to last update."""
+    """M-15: leads per studio, week and stage; conversion from the stage before it in the
+    dimension's order (none if that stage has no leads; 'unknown' has no order and is no
+    base) and mean hours from creation to last update."""
     l = leads_staged.withColumn("week_start", week_start("created_at"))
     g = l.groupBy("studio_id", "week_start", "stage_code", "stage_order").agg(
         F.count(F.lit(1)).alias("lead_count"),
         F.round(F.avg(F.timestamp_diff("MICROSECOND", F.col("created_at"), F.col("updated_at")))
                 / F.lit(3_600_000_000.0), 4).alias("avg_hours"))
+    # the base is the row before only if it is the stage before: at most a row a stage
     w = Window.partitionBy("studio_id", "week_start").orderBy("stage_order")
-    return g.withColumn("conversion", pct(F.col("lead_count"), F.lag("lead_count").over(w)))
+    base = F.when(F.lag("stage_order").over(w) == F.col("stage_order") - 1, F.lag("lead_count").over(w))
+    return g.withColumn("conversion", pct(F.col("lead_count"), base))
 
 
 def trend(leads: DataFrame, unit: str = "week") -> DataFrame:
@@ -236,15 +243,69 @@ def visits_of_clients(bookings: DataFrame, as_of: str | None = None) -> DataFram
     return v
 
 
-def monthly_cohorts(bookings: DataFrame) -> DataFrame:
-    """M-17: clients and revenue per studio, cohort month (first visit) and month."""
-    v = visits_of_clients(bookings)
-    first = v.groupBy("studio_id", "phone").agg(_month_of_min("visit_ts").alias("cohort_month"))
-    j = v.join(first, ["studio_id", "phone"]).withColumn("month", _month("visit_ts"))
-    per_client = j.groupBy("studio_id", "cohort_month", "month", "phone").agg(F.sum("amount").alias("rev"))
-    g = per_client.groupBy("studio_id", "cohort_month", "month").agg(
-        F.count(F.lit(1)).alias("clients"), F.sum("rev").cast("double").alias("revenue"))
-    return g.withColumn("months_since", F.months_between("month", "cohort_month").cast("int"))
+def _client_months(bookings: DataFrame) -> DataFrame:
+    """A row per client and month with a visit: revenue, whether it was the client's first month
+    (``is_new``), whether the month before it had one too (``stayed``), and whether the next has
+    none (``leaves``).  Visits are summed by client and month first, so a client's window has a
+    row a month."""
+    cm = visits_of_clients(bookings).groupBy("studio_id", "phone", _month("visit_ts").alias("month")).agg(
+        F.sum("amount").alias("rev"))
+    w = Window.partitionBy("studio_id", "phone").orderBy("month")
+    prev, after = F.lag("month").over(w), F.lead("month").over(w)
+    return cm.select("studio_id", "month", "rev", F.min("month").over(Window.partitionBy("studio_id", "phone")).alias("cohort_month"),
+                     prev.isNull().alias("is_new"), F.coalesce(prev == F.add_months("month", -1), F.lit(False)).alias("stayed"),
+                     (~F.coalesce(after == F.add_months("month", 1), F.lit(False))).alias("leaves"))
+
+
+def _flows(cm: DataFrame) -> DataFrame:
+    """Client-months as flows: a row in the month itself and, where a run of months ends, one
+    ``lost`` in the month after it."""
+    zero = F.lit(0)
+    return cm.select("studio_id", "cohort_month", F.explode(F.filter(F.array(
+        F.struct("month", F.lit(1).alias("active"), F.col("is_new").cast("int").alias("new"),
+                 F.col("stayed").cast("int").alias("retained"),
+                 (~F.col("is_new") & ~F.col("stayed")).cast("int").alias("returned"), zero.alias("lost"), F.col("rev")),
+        F.when(F.col("leaves"), F.struct(
+            F.add_months("month", 1).alias("month"), zero.alias("active"), zero.alias("new"), zero.alias("retained"),
+            zero.alias("returned"), F.lit(1).alias("lost"), F.lit(0).cast("decimal(18,2)").alias("rev")))),
+        lambda x: x.isNotNull())).alias("f")).select("studio_id", "cohort_month", "f.*")
+
+
+_COUNTS = ["active", "new", "retained", "returned", "lost"]
+
+
+def _flow_sums() -> list:
+    return [F.sum(c).cast("bigint").alias(c) for c in _COUNTS] + [F.sum("rev").alias("rev")]
+
+
+def _on_grid(grid: DataFrame, flows: DataFrame, keys: list[str]) -> DataFrame:
+    return grid.join(flows, keys, "left").fillna(0, _COUNTS).withColumn("rev", F.coalesce("rev", F.lit(0)))
+
+
+def monthly_cohorts(bookings: DataFrame, spend: DataFrame) -> DataFrame:
+    """M-17: cohorts by first-visit month on a dense month grid, per studio and 'all'.
+
+    For each month from the cohort's own to the studio's last one with a visit: ``active`` clients,
+    ``returned`` after a gap, ``lost`` (active in the month before, not in this one),
+    revenue, ``ltv`` (revenue so far per client), ``cac`` (ad spend of the cohort's month per
+    client) and ``romi`` of that spend so far.  ``clients`` is the size of the cohort.
+    """
+    flows = with_consolidated(_flows(_client_months(bookings)), "studio_id", ["cohort_month", "month"], _flow_sums())
+    w = Window.partitionBy("studio_id", "cohort_month")
+    last = flows.filter("active > 0").groupBy("studio_id").agg(F.max("month").alias("last"))
+    size = flows.filter("new > 0").select("studio_id", "cohort_month", F.col("new").alias("clients"))
+    cost = with_consolidated(spend.withColumn("cohort_month", _month("expense_date")), "studio_id", ["cohort_month"],
+                             [F.sum("amount").alias("spend")])
+    grid = size.join(last, "studio_id").join(cost, ["studio_id", "cohort_month"], "left").select(
+        "studio_id", "cohort_month", "clients", "spend",
+        F.explode(F.sequence("cohort_month", "last", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    g = _on_grid(grid, flows, ["studio_id", "cohort_month", "month"])
+    so_far = F.sum("rev").over(w.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return g.withColumn("_so_far", so_far).select(
+        "studio_id", "cohort_month", "month", F.months_between("month", "cohort_month").cast("int").alias("months_since"),
+        "clients", "active", "returned", "lost", F.col("rev").cast("double").alias("revenue"),
+        safe_div("_so_far", "clients").alias("ltv"), safe_div("spend", "clients").alias("cac"),
+        romi(F.col("_so_far").cast("double"), F.col("spend").cast("double")).alias("romi"))
 
 
 def _month_of_min(col: str):
@@ -272,17 +333,20 @@ def activity_segments(bookings: DataFrame, as_of: str) -> DataFrame:
 
 
 def retention(bookings: DataFrame) -> DataFrame:
-    """M-19: active clients per studio and month, retained from the previous month,
-    retention = retained / active last month, churn = 100 - retention."""
-    s = visits_of_clients(bookings).select("studio_id", "phone", _month("visit_ts").alias("month")).distinct()
-    shifted = s.select("studio_id", "phone", F.add_months("month", 1).alias("month"), F.lit(True).alias("was"))
-    j = s.join(shifted, ["studio_id", "phone", "month"], "left")
-    g = j.groupBy("studio_id", "month").agg(F.count(F.lit(1)).alias("active"),
-                                            F.count_if(F.col("was").isNotNull()).alias("retained"))
-    prev = g.select("studio_id", F.add_months("month", 1).alias("month"), F.col("active").alias("prev_active"))
-    g = g.join(prev, ["studio_id", "month"], "left")
-    g = g.withColumn("retention", pct("retained", "prev_active"))
-    return g.withColumn("churn", F.round(F.lit(100.0) - F.col("retention"), 1))
+    """M-19: per studio (and 'all') and month of a dense grid: active clients, those retained from
+    the month before, retention = retained / active then, churn = 100 - retention, and the mean
+    LTV (revenue of all months so far per client seen so far).  A month in which every client
+    stayed away has a row with churn 100."""
+    flows = with_consolidated(_flows(_client_months(bookings)), "studio_id", ["month"], _flow_sums())
+    grid = flows.filter("active > 0").groupBy("studio_id").agg(F.min("month").alias("a"), F.max("month").alias("b")).select(
+        "studio_id", F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    g = _on_grid(grid, flows, ["studio_id", "month"])
+    w = Window.partitionBy("studio_id").orderBy("month")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g = g.withColumn("prev_active", F.lag("active").over(w)).withColumn("retention", pct("retained", "prev_active"))
+    return g.select("studio_id", "month", "active", "retained", "prev_active", "retention",
+                    F.round(F.lit(100.0) - F.col("retention"), 1).alias("churn"),
+                    F.round(safe_div(F.sum("rev").over(so_far), F.sum("new").over(so_far)), 2).alias("mean_ltv"))
 
 
 def funnel_kpis(leads_booked: DataFrame) -> DataFrame:
@@ -374,11 +438,11 @@ def source_ranking(leads: DataFrame) -> DataFrame:
     return g.withColumn("rank", F.row_number().over(w))
 
 
-def weak_channels(leads_booked: DataFrame, threshold: float) -> DataFrame:
-    """M-27: channels whose lead->booking conversion is below the threshold."""
-    g = leads_booked.groupBy("studio_id", "utm_source").agg(
-        F.count(F.lit(1)).alias("leads"), F.count_if(F.col("yc_booking_id").isNotNull()).alias("bookings"))
-    g = g.withColumn("conversion", pct("bookings", "leads"))
+def weak_channels(leads: DataFrame, threshold: float) -> DataFrame:
+    """M-27: channels whose conversion from lead to subscription is below the threshold."""
+    g = leads.groupBy("studio_id", "utm_source").agg(
+        F.count(F.lit(1)).alias("leads"), F.count_if(F.col("status_id").isin(*WON)).alias("abonements"))
+    g = g.withColumn("conversion", pct("abonements", "leads"))
     return g.filter(F.col("conversion") < threshold)
 
 

@@ -84,17 +84,23 @@ def enrich_utm(leads: DataFrame, ad_leads: DataFrame) -> DataFrame:
     """N-13: fill utm_source / utm_campaign from the ad sheet by studio + phone.
 
     The ad sheet is first reduced to one row per phone (latest ad lead, then
-    greatest id), so the join is many-to-one and cannot fan out.
+    greatest id), so the join is many-to-one and cannot fan out.  The CRM's own source and
+    campaign stay; ``from_ads`` says whether an ad lead matched.  Leads without a valid phone
+    match nothing and do not go through the join.
     """
     a = (ad_leads.filter(F.col("phone_valid"))
          .select("studio_id", "phone", "created_at", "ad_lead_id",
                  F.col("channel").alias("ad_source"), F.col("utm_campaign").alias("ad_campaign")))
     a = latest_per_key(a, ["studio_id", "phone"], ["created_at", "ad_lead_id"]).drop("created_at", "ad_lead_id")
-    j = leads.join(a, ["studio_id", "phone"], "left")
+    a = a.withColumn("from_ads", F.lit(True))
+    valid = F.coalesce(F.col("phone_valid"), F.lit(False))
+    j = leads.filter(valid).join(a, ["studio_id", "phone"], "left").unionByName(
+        leads.filter(~valid), allowMissingColumns=True)
+    campaign = F.coalesce("utm_campaign", "ad_campaign") if "utm_campaign" in leads.columns else F.col("ad_campaign")
     return (j.withColumn("utm_source", F.coalesce(channel_code("utm_source"), F.col("ad_source")))
-            .withColumn("utm_campaign", F.col("ad_campaign"))
+            .withColumn("utm_campaign", campaign)
             .withColumn("ad_channel_unknown", F.col("utm_source").isNull())
-            .withColumn("from_ads", F.col("ad_source").isNotNull() | F.col("ad_campaign").isNotNull())
+            .withColumn("from_ads", F.coalesce("from_ads", F.lit(False)))
             .drop("ad_source", "ad_campaign"))
 
 

@@ -60,8 +60,8 @@ def report_abonements(ranking: DataFrame) -> DataFrame:
 
 def report_channels(econ: DataFrame) -> DataFrame:
     """P-05: channel economics per studio and channel with studio totals and a grand
-    total from ``rollup``; ratios are recomputed from the summed parts."""
-    g = econ.rollup("studio_id", "channel").agg(
+    total, and the network row per channel, from ``cube``; ratios are recomputed from the summed parts."""
+    g = econ.cube("studio_id", "channel").agg(
         F.sum("leads").cast("bigint").alias("leads"), F.sum("buyers").cast("bigint").alias("buyers"),
         F.round(F.sum("revenue"), 2).alias("revenue"), F.round(F.sum("spend"), 2).alias("spend"),
         F.grouping("studio_id").alias("_gs"), F.grouping("channel").alias("_gc"))

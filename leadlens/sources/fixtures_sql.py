@@ -124,7 +124,7 @@ _view("leads_enriched", ["leads", "ad_leads"], """
     coalesce(CASE WHEN length(lower(trim(l.utm_source))) > 0 THEN lower(trim(l.utm_source)) END, a.channel) AS utm_enriched,
     coalesce(CASE WHEN length(lower(trim(l.utm_source))) > 0 THEN lower(trim(l.utm_source)) END, a.channel) IS NULL
       AS ad_channel_unknown,
-    (a.channel IS NOT NULL OR a.utm_campaign IS NOT NULL) AS from_ads
+    a.phone IS NOT NULL AS from_ads
   FROM leads l LEFT JOIN (
     SELECT * FROM (SELECT studio_id, phone, channel, utm_campaign,
       row_number() OVER (PARTITION BY studio_id, phone ORDER BY created_at DESC, ad_lead_id DESC) AS rn

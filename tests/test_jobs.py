@@ -48,3 +48,26 @@ def test_acknowledged_gate_reopens_studio(spark, tmp_dir):
     from leadlens.registry import Ctx
     runnable = {r.studio_id for r in _runnable(spark, Ctx(spark, SF_SMALL), out).collect()}
     assert set(opened) <= runnable
+
+
+def test_gate_life_cycle(spark, tmp_dir):
+    """Three runs and two acknowledgements: opened, resolved, opened again, resolved; each keeps its own end."""
+    import datetime as dt
+    from leadlens.jobs import _keep_gates, acknowledge
+    day = lambda n: dt.datetime(2024, 1, n)
+    run = lambda *rows: _keep_gates(spark, tmp_dir, spark.createDataFrame(
+        [(s, "A04", day(d), "raised", "") for s, d in rows], "studio_id string, alert_id string, ts timestamp_ntz, kind string, who string"))
+    ack = lambda *rows: acknowledge(spark, tmp_dir, spark.createDataFrame(
+        [(s, "A04", who, day(d)) for s, who, d in rows], "studio_id string, alert_id string, ack_by string, ack_at timestamp_ntz"))
+    gates = lambda: sorted((r.studio_id, r.episode, r.status, r.opened_at.day, r.resolved_at and r.resolved_at.day, r.ack_by)
+                           for r in spark.read.parquet(path).collect())
+    path = run(("s1", 1), ("s2", 1))
+    run(("s1", 2), ("s1", 1))  # still open: nothing new
+    assert gates() == [("s1", 1, "open", 1, None, None), ("s2", 1, "open", 1, None, None)]
+    ack(("s1", "ann", 3), ("s1", "bob", 4), ("s3", "eve", 1))  # the second finds nothing open, the third no gate
+    run(("s1", 5))
+    want = [("s1", 1, "resolved", 1, 3, "ann"), ("s1", 2, "open", 5, None, None), ("s2", 1, "open", 1, None, None)]
+    assert gates() == want
+    ack(("s1", "bob", 6))
+    ack(("s1", "bob", 6))
+    assert gates() == [want[0], ("s1", 2, "resolved", 5, 6, "bob"), want[2]]
