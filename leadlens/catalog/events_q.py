@@ -9,6 +9,7 @@ from leadlens.plans import event_metrics as T
 from leadlens.plans import events as E
 from leadlens.plans.normalize import event_stage_dim
 from leadlens.registry import query
+from leadlens.sources import fixtures as fx
 from leadlens.sources.fixtures import AS_OF_EVENTS
 
 STATE_TS = "2024-01-15 00:00:00"
@@ -100,6 +101,14 @@ def e11(ctx):
     return ill.select("studio_id", "source", "lead_id", "event_id", "stage_from", "stage_to", "event_ts")
 
 
+@query("e09_replay", f"SELECT {EV_COLS} FROM lead_events")
+def e09(ctx):
+    """Events kept from a run before a date, with the leads touched since rebuilt: all events."""
+    states = fx.lead_states(ctx.t)
+    before = E.lead_events(states.filter(F.col("event_ts") < F.lit(STATE_TS).cast("timestamp_ntz")))
+    return E.replay(states, before, STATE_TS).select(*[c.strip() for c in EV_COLS.split(",")])
+
+
 @query("e10_validate_events", """SELECT e.studio_id, e.source, e.lead_id, e.event_id,
   CASE WHEN i.event_id IS NULL THEN 'passed' ELSE 'failed' END AS validation_status,
   CASE WHEN i.event_id IS NULL THEN 0 ELSE 1 END AS error_count

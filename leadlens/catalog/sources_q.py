@@ -13,6 +13,7 @@ from leadlens.session import ensure_checkpoint_dir
 from leadlens.sources import fixtures as fx
 from leadlens.sources import landed as S
 from leadlens.sources.fixtures import AS_OF_STAR
+from leadlens.sources.manifest import choose_loads
 from leadlens.sources.sinks import upsert
 
 FRM, TO = "2000-01-01", "2000-12-31"
@@ -94,3 +95,36 @@ def s08(ctx):
     t = ctx.spark.read.schema(first.schema).parquet(path)
     return t.groupBy("studio_id", "status_code").agg(
         F.count(F.lit(1)).alias("leads"), F.sum(F.unix_timestamp(F.col("updated_at").cast("timestamp"))).alias("updated_s"))
+
+
+@query("s11_chosen_loads", f"""SELECT s.studio_id, x.source, l.load_id, l.rows, l.loaded_at,
+  coalesce(l.loaded_at < TIMESTAMP '{AS_OF_STAR}', false) AS is_stale, l.load_id IS NULL AS is_missing
+FROM studios s CROSS JOIN (VALUES ('amo'), ('yclients'), ('gsheets')) x(source)
+LEFT JOIN (SELECT studio_id, source, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS load_id, count(*) AS rows,
+    CAST(CAST(ts AS DATE) AS TIMESTAMP) AS loaded_at FROM all_records WHERE ts < DATE '{AS_OF_STAR}' + 1
+    GROUP BY studio_id, source, CAST(ts AS DATE)
+    QUALIFY row_number() OVER (PARTITION BY studio_id, source ORDER BY CAST(ts AS DATE) DESC) = 1) l
+  ON l.studio_id = s.studio_id AND l.source = x.source
+WHERE s.is_active""", views=ALL_RECORDS)
+def s11_loads(ctx):
+    """The load that a run on the as-of date reads per active studio and source (a day's records are a
+    load): that day's, or the last complete one, flagged stale."""
+    r = _records(ctx.leads, ctx.bookings, ctx.ad_leads, valid_only=False)
+    m = r.groupBy("source", "studio_id", F.to_date("ts").alias("d")).agg(F.count(F.lit(1)).alias("rows"))
+    m = m.select("source", "studio_id", F.date_format("d", "yyyy-MM-dd").alias("load_id"), "rows",
+                 F.col("d").cast("timestamp_ntz").alias("loaded_at"))
+    return choose_loads(m, fx.studios(ctx.t), ["amo", "yclients", "gsheets"], AS_OF_STAR)
+
+
+@query("s05_payload", """SELECT page_id, CASE WHEN page_id % 7 >= 2 THEN url END AS link,
+  CASE WHEN page_id % 7 >= 2 THEN length(html) END AS size, CASE WHEN page_id % 7 >= 2 THEN page_id END AS first_id
+FROM pages""")
+def s05(ctx):
+    """Typed paths of a nested payload kept with each page; some payloads are null, some cut off."""
+    p = ctx.t.pages
+    raw = F.to_json(F.struct(F.struct(F.col("url").alias("href"), F.length("html").alias("size")).alias("page"),
+                             F.array("page_id").alias("ids")))
+    kept = p.select("page_id", F.when(p.page_id % 7 == 0, None).when(p.page_id % 7 == 1, F.substring(raw, 1, 9))
+                    .otherwise(raw).alias("raw_data"))
+    return S.with_payload(kept, {"link": "$.page.href", "size": ("$.page.size", "bigint"),
+                                 "first_id": ("$.ids[0]", "bigint")}).drop("raw_data")

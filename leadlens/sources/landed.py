@@ -122,11 +122,17 @@ def scan_ad_leads(spark: SparkSession, path: str, studios: DataFrame | None = No
     return for_studios(df, studios) if "studio_id" in df.columns else df
 
 
-def with_payload(df: DataFrame, paths: dict[str, str], payload: str = "raw_data") -> DataFrame:
-    """S-05: read JSON paths out of the kept raw payload (``{'out_col': '$.a.b'}``)."""
-    for name, p in paths.items():
-        df = df.withColumn(name, F.get_json_object(F.col(payload), p))
-    return df
+def with_payload(df: DataFrame, paths: dict[str, str | tuple[str, str]], payload: str = "raw_data") -> DataFrame:
+    """S-05: read paths out of the kept raw payload: ``{'out_col': '$.a.b'}``, or ``('$.a.b', type)`` for
+    another type than string.
+
+    The payload is parsed once a row, into a VARIANT, however many paths are read.  A null or
+    malformed payload, a path that is not there and a value that has not the type give null.
+    """
+    v = df.withColumn("_payload", F.try_parse_json(F.col(payload)))
+    typed = {n: (p, "string") if isinstance(p, str) else p for n, p in paths.items()}
+    return v.select(*[c for c in df.columns if c not in typed], *[
+        F.try_variant_get("_payload", p, t).alias(n) for n, (p, t) in typed.items()])
 
 
 def fill_missing(df: DataFrame, target: str, source: str, pattern: str, replacement: str = "$1") -> DataFrame:

@@ -126,3 +126,61 @@ def test_states_at_many_instants(spark, unit):
     want = sorted((t, r[2], r[3]) for t in set(times) for r in rows if r[4] <= t and (r[5] is None or r[5] > t))
     assert sorted((r.t, r.lead_id, r.stage) for r in got.collect()) == want
     assert states_at(snaps, spark.createDataFrame([], "t timestamp_ntz"), unit).collect() == []
+
+
+def test_definitions_from_the_text(spark):
+    """Cases that the earlier definitions got wrong: no-shows by all bookings, the base of a stage,
+    a month without clients, the CRM's own campaign, a channel's bookings."""
+    from leadlens.plans import alerts as AL, metrics as M, normalize as N
+    d = lambda m, day=1: dt.datetime(2024, m, day)
+    b = spark.createDataFrame(
+        [("s", i, f"7{i:010d}", True, d(1, 5), d(1, 5).date(), "no_show" if i == 0 else "visited" if i < 3 else "confirmed", None)
+         for i in range(13)],
+        "studio_id string, booking_id long, phone string, phone_valid boolean, visit_ts timestamp_ntz, visit_date date, "
+        "status string, amount decimal(18,2)")
+    assert AL.alert_a02(b, 25.0).collect() == []  # one of 13, not one of three
+    first = {r.studio_id: r.first_visit_no_show_rate for r in M.first_visit_no_show(b).collect()}
+    assert first == {"s": 7.7, "all": 7.7}
+    l = spark.createDataFrame([("s", d(1), d(1), c, o) for c, o, n in (
+        ("unknown", None, 9), ("new_lead", 1, 4), ("negotiation", 2, 2), ("no_show", 5, 1)) for _ in range(n)],
+        "studio_id string, created_at timestamp_ntz, updated_at timestamp_ntz, stage_code string, stage_order int")
+    got = {r.stage_code: r.conversion for r in M.weekly_funnel(l).collect()}
+    assert got == {"unknown": None, "new_lead": None, "negotiation": 50.0, "no_show": None}
+    v = spark.createDataFrame([("s", "1", True, "visited", d(m), 100) for m in (1, 2, 4)] + [("s", "2", True, "visited", d(2), 50)],
+                              "studio_id string, phone string, phone_valid boolean, status string, visit_ts timestamp_ntz, amount int"
+                              ).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    r = {x.month.month: x for x in M.retention(v).filter("studio_id = 's'").collect()}
+    assert sorted(r) == [1, 2, 3, 4] and (r[3].active, r[3].retention, r[3].churn) == (0, 0.0, 100.0)
+    assert r[4].retention is None and r[4].mean_ltv == 175.0
+    spend = spark.createDataFrame([("s", d(1).date(), 50)], "studio_id string, expense_date date, amount int")
+    c = {(x.studio_id, x.cohort_month.month, x.month.month): x for x in M.monthly_cohorts(v, spend).collect()}
+    one = [c["s", 1, m] for m in (1, 2, 3, 4)]
+    assert [(x.active, x.returned, x.lost, x.ltv, x.romi) for x in one] == [
+        (1, 0, 0, 100.0, 100.0), (1, 0, 0, 200.0, 300.0), (0, 0, 1, 200.0, 300.0), (1, 1, 0, 300.0, 500.0)]
+    assert (c["s", 2, 3].lost, c["s", 2, 3].cac) == (1, None) and one[0].cac == 50.0 and ("all", 2, 4) in c
+    leads = spark.createDataFrame([(1, "s", "7000000001", True, "vk", "own"), (2, "s", "7000000001", True, None, None),
+                                   (3, "s", "0", False, "vk", "own"), (4, "s", None, None, None, None)],
+                                  "lead_id long, studio_id string, phone string, phone_valid boolean, utm_source string, utm_campaign string")
+    ads = spark.createDataFrame([(9, "s", "7000000001", True, d(1), "google", "theirs")],
+                                "ad_lead_id long, studio_id string, phone string, phone_valid boolean, created_at timestamp_ntz, "
+                                "channel string, utm_campaign string")
+    e = {x.lead_id: (x.utm_source, x.utm_campaign, x.from_ads) for x in N.enrich_utm(leads, ads).collect()}
+    assert e == {1: ("vk", "own", True), 2: ("google", "theirs", True), 3: ("vk", "own", False), 4: (None, None, False)}
+
+
+def test_missing_load_falls_back(spark, tmp_dir):
+    from leadlens.sources import manifest as mf
+    rows = lambda *r: spark.createDataFrame(list(r), "studio_id string, id long")
+    studios = spark.createDataFrame([("s1", True), ("s2", True), ("s3", False)], "studio_id string, is_active boolean")
+    mf.land(spark, tmp_dir, rows(("s1", 1), ("s2", 2)), "amo", "d1", "2024-01-01 08:00:00")
+    mf.land(spark, tmp_dir, rows(("s1", 3), ("s1", 4)), "amo", "d2", "2024-01-02 08:00:00")
+    mf.land(spark, tmp_dir, rows(("s1", 5)), "amo", "d2", "2024-01-02 09:00:00")  # delivered again
+    mf.land(spark, tmp_dir, rows(("s1", 9), ("s2", 9)), "amo", "d3", "2024-01-03 08:00:00")
+    manifest = spark.read.schema(mf.MANIFEST).parquet(f"{tmp_dir}/manifest")
+    chosen = mf.choose_loads(manifest, studios, ["amo", "sheet"], "2024-01-02")
+    got = {(r.studio_id, r.source): (r.load_id, r.rows, r.is_stale, r.is_missing) for r in chosen.collect()}
+    assert got == {("s1", "amo"): ("d2", 1, False, False), ("s2", "amo"): ("d1", 1, True, False),
+                   ("s1", "sheet"): (None, None, False, True), ("s2", "sheet"): (None, None, False, True)}
+    schema = rows(("s1", 1)).withColumns({"source": F.lit(""), "load_id": F.lit("")}).schema
+    data = mf.read_loads(spark, tmp_dir, schema, chosen)
+    assert sorted((r.studio_id, r.id, r.is_stale) for r in data.collect()) == [("s1", 5, False), ("s2", 2, True)]
