@@ -253,7 +253,7 @@ def i06(ctx):
                               ctx.ad_leads)
     r = I.without_phone_match(ctx.ad_leads.select("studio_id", "ad_lead_id", "phone", "phone_valid", "client_name", "created_at"),
                               ctx.leads)
-    return I.match_by_time(record(l, "lead_id"), record(r, "ad_lead_id"), 24, 0.8)
+    return I.assign_by_time(record(l, "lead_id"), record(r, "ad_lead_id"), 24, 0.8)
 
 
 @query("i07_merged_leads", """SELECT studio_id, client_id, lead_id, merged_into, created_at FROM (

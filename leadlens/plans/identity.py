@@ -86,6 +86,47 @@ def match_by_name(leads: DataFrame, ad_leads: DataFrame, min_score: float = 0.8)
                        F.col("_b.score").alias("score"))
 
 
+def _length_bucket(name, min_sim: float):
+    """log-length bucket of base 1/min_sim; empty names get a bucket of their own."""
+    import math
+    n = F.length(name)
+    base = math.log(1.0 / min_sim)
+    return F.when(n == 0, F.lit(-1000)).otherwise(F.floor(F.log(n.cast("double")) / F.lit(base)).cast("int"))
+
+
+def match_by_time(left: DataFrame, right: DataFrame, hours: int = 24, min_sim: float = 0.8) -> DataFrame:
+    """All pairs within +-``hours`` of each other and name similarity > ``min_sim``, for small sides;
+    ``assign_by_time`` gives each record one partner and makes no pairs.
+
+    Range join by day buckets: the right side is exploded to the neighbour days
+    (d-1, d, d+1 for 24 h), equi-joined on (studio, day, length bucket), then the
+    exact time and similarity tests run.  ``left``/``right``: studio_id, rec_id,
+    name, ts.
+
+    The length bucket is exact blocking: similarity > s needs
+    lev < (1 - s) * maxlen, and lev >= |la - lb|, so minlen / maxlen > s; with
+    buckets of width log(1/s) in log-length, such pairs sit in the same or an
+    adjacent bucket, and the right side is exploded to both neighbours.
+    """
+    span = (hours + 23) // 24
+    r = right.select("studio_id", F.col("rec_id").alias("r_id"), F.col("name").alias("r_name"),
+                     F.col("ts").alias("r_ts"))
+    r = r.withColumn("_d", F.explode(F.sequence(F.date_sub(F.to_date("r_ts"), span),
+                                                F.date_add(F.to_date("r_ts"), span))))
+    l = left.withColumn("_d", F.to_date("ts"))
+    if 0.0 < min_sim < 1.0:
+        rb = _length_bucket(F.col("r_name"), min_sim)
+        r = r.withColumn("_lb", F.explode(F.array(rb - 1, rb, rb + 1)))
+        l = l.withColumn("_lb", _length_bucket(F.col("name"), min_sim))
+        keys = ["studio_id", "_d", "_lb"]
+    else:
+        keys = ["studio_id", "_d"]
+    j = l.join(r, keys)
+    dt = F.abs(F.timestamp_diff("SECOND", F.col("ts"), F.col("r_ts")))
+    j = j.filter(dt <= hours * 3600).withColumn("similarity", F.round(_similarity(F.col("name"), F.col("r_name")), 4))
+    return j.filter(F.col("similarity") > min_sim).select("studio_id", "rec_id", "r_id", "similarity")
+
+
 GRAM = 2
 
 
@@ -123,7 +164,7 @@ def _similar_names(a: DataFrame, b: DataFrame, keys: list[str], min_sim: float)
         *keys, "name", "other", _similarity(F.col("name"), F.col("other")).alias("similarity"))
 
 
-def match_by_time(left: DataFrame, right: DataFrame, hours: int = 24, min_sim: float = 0.8) -> DataFrame:
+def assign_by_time(left: DataFrame, right: DataFrame, hours: int = 24, min_sim: float = 0.8) -> DataFrame:
     """I-06: one-to-one matches within +-``hours`` and name similarity > ``min_sim``.
 
     ``left``/``right``: studio_id, rec_id, name, ts (timestamp_ntz).  Pairs are ranked by

@@ -59,10 +59,10 @@ def records(n, seed, mark):
 @pytest.mark.parametrize("hours,sim", [(24, 0.8), (30, 0.5)])
 def test_match_by_time_is_the_greedy_assignment(spark, hours, sim):
     left, right = records(90, 1, "l"), records(70, 2, "r")
-    got = I.match_by_time(spark.createDataFrame(left, RECORD), spark.createDataFrame(right, RECORD), hours, sim)
+    got = I.assign_by_time(spark.createDataFrame(left, RECORD), spark.createDataFrame(right, RECORD), hours, sim)
     assert sorted(tuple(r) for r in got.collect()) == brute_match(left, right, hours, sim)
     none = spark.createDataFrame([], RECORD)
-    assert I.match_by_time(none, spark.createDataFrame(right, RECORD)).collect() == []
+    assert I.assign_by_time(none, spark.createDataFrame(right, RECORD)).collect() == []
 
 
 def test_without_phone_match(spark):
