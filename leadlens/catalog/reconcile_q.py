@@ -110,6 +110,26 @@ def r09(ctx):
     return R.reconcile_grid(ctx.leads, ctx.ad_leads)
 
 
+@query("r09_presence_grid", """SELECT studio_id, lead_date, channel,
+  CASE WHEN a AND b AND c THEN 'all three' WHEN a AND b THEN 'crm+booking' WHEN a AND c THEN 'crm+sheet'
+    WHEN b AND c THEN 'booking+sheet' WHEN a THEN 'crm' WHEN b THEN 'booking' ELSE 'sheet' END AS presence,
+  count(*) AS leads, count(*) FILTER (WHERE a AND c AND d1 IS DISTINCT FROM d4) AS date_differs,
+  count(*) FILTER (WHERE a AND c AND c1 IS DISTINCT FROM c4) AS channel_differs
+FROM (SELECT coalesce(x.studio_id, y.studio_id) AS studio_id,
+    coalesce(CAST(x.created_at AS DATE), CAST(y.created_at AS DATE)) AS lead_date,
+    coalesce(x.utm_source, y.channel) AS channel, x.lead_id IS NOT NULL AS a, x.yc_booking_id IS NOT NULL AS b,
+    y.ad_lead_id IS NOT NULL AS c, CAST(x.created_at AS DATE) AS d1, CAST(y.created_at AS DATE) AS d4,
+    x.utm_source AS c1, y.channel AS c4
+  FROM leads_booked x FULL OUTER JOIN ad_leads y ON x.studio_id = y.studio_id AND x.lead_id = y.ad_lead_id
+  UNION ALL
+  SELECT studio_id, CAST(visit_ts AS DATE), NULL, false, true, false, NULL, NULL, NULL, NULL FROM bookings k
+  WHERE NOT EXISTS (SELECT 1 FROM leads_booked l WHERE l.yc_booking_id = k.booking_id))
+GROUP BY ALL""")
+def r09_presence(ctx):
+    """Leads by studio, date, channel and which of CRM, bookings and sheet have them."""
+    return R.presence_grid(ctx.leads_booked, ctx.bookings, ctx.ad_leads)
+
+
 @query("r10_reconcile_totals", f"""SELECT *, {SEV.format(p='mismatch_pct')} FROM (
   SELECT CASE WHEN grouping(studio_id) = 1 THEN 'all' ELSE studio_id END AS studio_id,
     CAST(sum(in_both) AS BIGINT) AS in_both, CAST(sum(crm_only) AS BIGINT) AS crm_only,

@@ -130,6 +130,42 @@ def reconcile_grid(leads: DataFrame, ad_leads: DataFrame) -> DataFrame:
         F.count_if(~F.col("a") & F.col("b")).alias("sheet_only"))
 
 
+PRESENCE = {1: "crm", 2: "booking", 3: "crm+booking", 4: "sheet", 5: "crm+sheet", 6: "booking+sheet", 7: "all three"}
+
+
+def presence_grid(leads_booked: DataFrame, bookings: DataFrame, ad_leads: DataFrame) -> DataFrame:
+    """R-09 over three key sets: per studio, date, channel and presence class (which of CRM, bookings
+    and sheet have the lead) the number of leads, and of those present in CRM and sheet the
+    ones that disagree on the date and on the channel.
+
+    The three sets are tagged with a bit, put under each other and grouped by key once: the
+    bits of a key are its presence class.  A booking stands under the lead that it was matched
+    to, one without a lead under its own id.  Date and channel are the CRM's, else the sheet's,
+    else the booking's date; null channels agree with each other.
+    """
+    none = F.lit(None)
+    key = lambda mark, c: F.concat(F.lit(mark), F.col(c).cast("string")).alias("key")
+    tagged = lambda d, k, bit, day, ch: d.select(
+        "studio_id", k, F.lit(bit).alias("bit"), F.to_date(day).alias("d"), ch.cast("string").alias("ch"))
+    matched = leads_booked.filter(F.col("yc_booking_id").isNotNull())
+    alone = bookings.join(matched.select(F.col("yc_booking_id").alias("booking_id")).distinct(), "booking_id", "left_anti")
+    u = (tagged(leads_booked, key("l", "lead_id"), 1, F.col("created_at"), F.col("utm_source"))
+         .unionByName(tagged(matched, key("l", "lead_id"), 2, F.col("booking_ts"), none))
+         .unionByName(tagged(alone, key("b", "booking_id"), 2, F.col("visit_ts"), none))
+         .unionByName(tagged(ad_leads, key("l", "ad_lead_id"), 4, F.col("created_at"), F.col("channel"))))
+    of = lambda bit, c: F.max(F.when(F.col("bit") == bit, F.col(c)))
+    k = u.groupBy("studio_id", "key").agg(
+        F.bit_or("bit").alias("mask"), of(1, "d").alias("d1"), of(2, "d").alias("d2"), of(4, "d").alias("d4"),
+        of(1, "ch").alias("c1"), of(4, "ch").alias("c4"))
+    both = F.col("mask").bitwiseAND(5) == 5
+    names = F.create_map(*[F.lit(x) for m in PRESENCE.items() for x in m])
+    g = k.groupBy("studio_id", F.coalesce("d1", "d4", "d2").alias("lead_date"), F.coalesce("c1", "c4").alias("channel"), "mask").agg(
+        F.count(F.lit(1)).alias("leads"), F.count_if(both & ~F.col("d1").eqNullSafe(F.col("d4"))).alias("date_differs"),
+        F.count_if(both & ~F.col("c1").eqNullSafe(F.col("c4"))).alias("channel_differs"))
+    return g.select("studio_id", "lead_date", "channel", names[F.col("mask")].alias("presence"), "leads", "date_differs",
+                    "channel_differs")
+
+
 def reconcile_totals(grid: DataFrame) -> DataFrame:
     """R-10: totals of the grid per studio and across studios, with mismatch % and severity."""
     g = with_consolidated(grid, "studio_id", [], [

@@ -184,3 +184,20 @@ def test_missing_load_falls_back(spark, tmp_dir):
     schema = rows(("s1", 1)).withColumns({"source": F.lit(""), "load_id": F.lit("")}).schema
     data = mf.read_loads(spark, tmp_dir, schema, chosen)
     assert sorted((r.studio_id, r.id, r.is_stale) for r in data.collect()) == [("s1", 5, False), ("s2", 2, True)]
+
+
+def test_presence_classes(spark):
+    from leadlens.plans import reconcile as R
+    d = lambda n: dt.datetime(2024, 1, n)
+    l = spark.createDataFrame([("s", 1, d(1), "vk", 10, d(5)), ("s", 2, d(1), None, None, None), ("s", 3, d(1), "vk", None, None),
+                               ("s", 4, d(1), "vk", 11, d(5)), ("s", 5, d(1), None, None, None), ("s", 6, d(1), "vk", 11, d(5))],
+                              "studio_id string, lead_id long, created_at timestamp_ntz, utm_source string, yc_booking_id long, booking_ts timestamp_ntz")
+    b = spark.createDataFrame([("s", 10, d(5)), ("s", 11, d(5)), ("s", 12, d(6))], "studio_id string, booking_id long, visit_ts timestamp_ntz")
+    a = spark.createDataFrame([("s", 1, d(2), "vk"), ("s", 3, d(1), "google"), ("s", 5, d(1), None), ("s", 7, d(3), "vk"), ("t", 2, d(1), None)],
+                              "studio_id string, ad_lead_id long, created_at timestamp_ntz, channel string")
+    got = sorted((r.studio_id, r.lead_date.day, r.channel or "", r.presence, r.leads, r.date_differs, r.channel_differs)
+                 for r in R.presence_grid(l, b, a).collect())
+    assert got == sorted([
+        ("s", 1, "vk", "all three", 1, 1, 0), ("s", 1, "", "crm", 1, 0, 0), ("s", 1, "vk", "crm+sheet", 1, 0, 1),
+        ("s", 1, "vk", "crm+booking", 2, 0, 0), ("s", 1, "", "crm+sheet", 1, 0, 0), ("s", 6, "", "booking", 1, 0, 0),
+        ("s", 3, "vk", "sheet", 1, 0, 0), ("t", 1, "", "sheet", 1, 0, 0)])

@@ -39,3 +39,21 @@ def test_stream_daily_windows(spark, tmp_dir):
     batch = (states.groupBy(F.to_date("event_ts").alias("d"), "studio_id", "stage").agg(F.count("*").alias("n")))
     j = got.withColumn("d", F.to_date("day_start")).join(batch, ["d", "studio_id", "stage"])
     assert got.count() > 0 and j.filter("n != observations").count() == 0
+
+
+def test_late_and_repeated_batches_equal_the_batch_result(spark, tmp_dir):
+    """Observations arrive newest first and one batch twice: the events are those of the whole history."""
+    states = fx.lead_states(fx.Tables(spark, SF_SMALL)).cache()
+    st_path, ev_path = os.path.join(tmp_dir, "late_states"), os.path.join(tmp_dir, "late_events")
+    put = apply_changes(st_path, ev_path, buckets=8)
+    cuts = ["2024-01-20", "2024-01-08", "2023-01-01"]
+    upper = None
+    for i, low in enumerate(cuts):
+        part = states.filter(F.col("event_ts") >= F.lit(low).cast("timestamp_ntz"))
+        part = part if upper is None else part.filter(F.col("event_ts") < F.lit(upper).cast("timestamp_ntz"))
+        put(part, i)
+        upper = low
+    put(states.filter(F.col("event_ts") >= F.lit("2024-01-20").cast("timestamp_ntz")), 3)
+    cols = ["lead_id", "event_id", "event_type", "stage_from", "stage_to"]
+    got, want = spark.read.parquet(ev_path).select(cols), lead_events(states).select(cols)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
