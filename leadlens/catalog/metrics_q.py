@@ -244,7 +244,7 @@ MONTHS_SQL = """SELECT studio_id, CAST(unnest(generate_series(CAST(min(month) AS
 @query("m17_monthly_cohorts", f"""SELECT studio_id, cohort_month, month, CAST(date_diff('month', cohort_month, month) AS INTEGER) AS months_since,
   clients, active, returned, lost, CAST(rev AS DOUBLE) AS revenue, CAST(so_far AS DOUBLE) / clients AS ltv,
   CAST(spend AS DOUBLE) / clients AS cac,
-  round(100.0 * ((CAST(so_far AS DOUBLE) - CAST(spend AS DOUBLE)) / NULLIF(CAST(spend AS DOUBLE), 0)), 1) AS romi
+  100.0 * ((CAST(so_far AS DOUBLE) - CAST(spend AS DOUBLE)) / NULLIF(CAST(spend AS DOUBLE), 0)) AS romi
 FROM (SELECT x.*, coalesce(p.active, 0) - x.stayed AS lost, s.spend,
     (SELECT sum(y.rev) FROM x y WHERE y.studio_id = x.studio_id AND y.cohort_month = x.cohort_month AND y.month <= x.month) AS so_far
   FROM x LEFT JOIN x p ON p.studio_id = x.studio_id AND p.cohort_month = x.cohort_month

@@ -305,7 +305,7 @@ def monthly_cohorts(bookings: DataFrame, spend: DataFrame) -> DataFrame:
         "studio_id", "cohort_month", "month", F.months_between("month", "cohort_month").cast("int").alias("months_since"),
         "clients", "active", "returned", "lost", F.col("rev").cast("double").alias("revenue"),
         safe_div("_so_far", "clients").alias("ltv"), safe_div("spend", "clients").alias("cac"),
-        romi(F.col("_so_far").cast("double"), F.col("spend").cast("double")).alias("romi"))
+        (F.lit(100.0) * safe_div(F.col("_so_far").cast("double") - F.col("spend").cast("double"), "spend")).alias("romi"))
 
 
 def _month_of_min(col: str):
