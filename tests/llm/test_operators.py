@@ -81,6 +81,25 @@ def test_license_spans(spark):
     assert [(x[2], x[4]) for x in s if x[0] == "apache-2.0" and not x[1]] == [(2, False)]
 
 
+@pytest.mark.parametrize("label,text", [
+    ("mit", "Released under MIT License"), ("mit", "Released under the MIT Licence"),
+    ("mit", "Released now under the MIT License"), ("apache-2.0", "Licensed under Apache License, Version 2.0"),
+    ("apache-2.0", "Licensed under the Apache Licence, Version 2.0"),
+    ("gpl-3.0", "licensed under the GNU General Public Licence version 3"),
+    ("cc-by-nc-4.0", "Licensed under the CC BY-NC 4.0")])
+def test_license_notice_with_a_changed_word(spark, label, text):
+    d = spark.createDataFrame([(1, f"some of the words before. {text}, and words after")], "doc_id long, text string")
+    assert {r.label for r in license_scan.license_spans(d).collect() if r.base is False} == {label}
+
+
+@pytest.mark.parametrize("text", [
+    "licensed under the GNU General Public License version 4", "Licensed under CC BY-ND 4.0",
+    "licensed under a Creative Commons Attribution 3.0 International License", "Licensed under the Apache License, Version 3.1"])
+def test_license_of_another_version_is_no_match(spark, text):
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert not [r for r in license_scan.license_spans(d).collect() if r.base is False]
+
+
 def test_html():
     page = ("<body><nav><a>Home</a> | <a>News</a></nav><div class='cookie-notice'>We use cookies</div><header>Site</header>"
             "<main><h1>T&eacute;st</h1><p>A long enough paragraph of\n text, with <b>marks</b> &amp; more of it."
