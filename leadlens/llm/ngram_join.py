@@ -4,11 +4,13 @@ A document's set holds the hashes of its distinct word n-grams.  Two documents l
 the overlap of their sets is at least ``PERCENT`` of their union.  Equal sets are one class,
 so copies never multiply.  Between classes, every link is found:
 
-* order: hashes are ordered by a count sketch over all documents (its size is fixed), the
-  rare ones first; sets that link share l of their first n - ceil(0.85 n) + l hashes (l is 1
-  for small sets and grows to ``MOST_SHARED``);
+* order: hashes are ordered by their frequency, the rare ones first; the frequent ones and
+  their counts come from summaries of bounded size that the tasks make of all documents.
+  Any order finds all links, a good one makes small tiles.  Sets that link share l of their
+  first n - ceil(0.85 n) + l hashes (l is 1 for small sets and grows to ``MOST_SHARED``);
 * tiles: classes that share such a hash form a tile, cut into size bands by the rule that
-  linked sets differ in size by that percentage at most;
+  linked sets differ in size by that percentage at most; of a pair in a tile, the places of
+  the common hash in both orders bound the overlap too;
 * bitmaps: each set has a signature of hashed bits, a few per n-gram (folded to
   ``TILE_BITS`` inside tiles).  Bits that differ between two
   signatures bound the overlap from above; pairs below the needed overlap fall out;
@@ -39,7 +41,8 @@ from leadlens.llm.common import components, table, written
 N = 4
 PERCENT = 85
 TILE_BITS = 512
-SKETCH_BITS = 18
+SUMMARY = 1 << 18
+FREQUENT = 1 << 20
 MARK_BITS = 23
 STARS = 4
 HEADS = 3
@@ -144,32 +147,49 @@ def _class_hash(grams: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def _sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """Level of each sketch cell: 0 for usual cells, higher for cells with frequent n-grams."""
-    cells = 1 << SKETCH_BITS
+def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams, sorted, and the level (whole log2 of its count) of each.
 
-    def cells_of(sets):
-        grams = np.concatenate([np.zeros(0, dtype=np.uint64), *sets])
-        return np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells)
+    Every task keeps a summary of the n-grams of all its different sets: beyond ``SUMMARY``
+    entries the count of the first one left out is taken from all (Misra-Gries), so what is
+    much more frequent than the rest stays.  Summaries add up; of the sums the levels
+    that hold ``FREQUENT`` n-grams or fewer are kept.
+    """
+    def summaries(batches):
+        keys, counts, held, size, seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, set()
+
+        def packed():
+            both, at = np.unique(np.concatenate([keys, *held]), return_inverse=True)
+            total = np.bincount(at, np.concatenate([counts, np.ones(len(at) - len(keys), np.int64)])).astype(np.int64)
+            if len(both) > SUMMARY:
+                total = total - np.partition(total, -SUMMARY - 1)[-SUMMARY - 1]
+            return both[total > 0], total[total > 0]
 
-    def count(batches):
-        total = np.zeros(cells, dtype=np.int64)
         for pdf in batches:
-            held = []
             for g in ngram_sets(pdf.text, n):
-                held.append(g)
-                if len(held) == 500:
-                    total += cells_of(held)
-                    held = []
-            total += cells_of(held)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": at, "n": total[at]})
-
-    rows = docs.select("text").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    total = np.zeros(cells)
-    for r in rows.toLocalIterator():
-        total[r.cell] = r.n
-    return np.floor(np.log2(np.maximum(1.0, total / max(1.0, np.median(total))))).astype(np.uint8)
+                h = _class_hash(g)
+                if h not in seen:
+                    seen.add(h)
+                    held.append(g)
+                    size += len(g)
+                if size > 4 * SUMMARY:
+                    (keys, counts), held, size = packed(), [], 0
+        keys, counts = packed()
+        keep = counts > 1
+        yield pd.DataFrame({"gram": keys[keep].view(np.int64), "n": counts[keep]})
+
+    sums = written(docs.select("text").mapInPandas(summaries, "gram long, n long").groupBy("gram")
+                   .agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")), "frequent")
+    least, room = 64, FREQUENT
+    for r in sorted(sums.groupBy("level").count().collect(), key=lambda r: -r.level):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.level
+    top = sums.filter(F.col("level") >= least).toPandas()  # FREQUENT rows at most
+    grams = top.gram.to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], top.level.to_numpy(dtype=np.uint8)[order]
 
 
 _SETS = T.StructType([
@@ -178,13 +198,14 @@ _SETS = T.StructType([
     T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("fold", T.ArrayType(T.LongType()))])
 
 
-def _set_rows(docs: DataFrame, level: np.ndarray, n: int, percent: int) -> DataFrame:
+def _set_rows(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], n: int, percent: int) -> DataFrame:
     """A row per document: set size, class hashes, and for the first of each class in a task
     its first hashes in the order and its signature (null for later copies)."""
-    holder = docs.sparkSession.sparkContext.broadcast(level)  # 2 ** SKETCH_BITS bytes
+    holder = docs.sparkSession.sparkContext.broadcast(frequent)  # nine bytes for each of FREQUENT n-grams
 
     def run(batches):
-        level_of, seen = holder.value, set()
+        (often, level), seen = holder.value, set()
+        often, level = np.append(often, np.uint64(2 ** 64 - 1)), np.append(level, np.uint8(0))
         for pdf in batches:
             rows = []
             for g in ngram_sets(pdf.text, n):
@@ -193,7 +214,8 @@ def _set_rows(docs: DataFrame, level: np.ndarray, n: int, percent: int) -> DataF
                     rows.append((len(g), *h, None, None, None))
                     continue
                 seen.add(h)
-                order = np.argsort(level_of[(g >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
+                at = np.minimum(np.searchsorted(often, g), len(often) - 1)
+                order = np.argsort(np.where(often[at] == g, level[at], 0), kind="stable")
                 prefix = g[order[:needed_prefix(len(g), percent)]] if len(g) > 1 else g[:0]
                 rows.append((len(g), *h, prefix.astype(np.int64), *_signature(g)))
             out = pd.DataFrame(rows, columns=["n", "h1", "h2", "prefix", "bits", "fold"])
@@ -211,6 +233,13 @@ def _tile_bound(a: str, b: str, words: int):
     return F.floor((F.col(f"{a}.n") + F.col(f"{b}.n") - differ) / 2)
 
 
+def _place_bound(a: str, b: str):
+    """Upper bound of the overlap from the places of a common hash: what comes before it in
+    either set, itself, and what comes after it in either set."""
+    left = F.least(f"{a}.place", f"{b}.place") + 1
+    return left + F.least(F.col(f"{a}.n") - F.col(f"{a}.place"), F.col(f"{b}.n") - F.col(f"{b}.place")) - 1
+
+
 def _halved(bits, other):
     """The signature folded once if it is longer than the other (sizes differ less than twofold)."""
     half = (F.size(bits) / 2).cast("int")
@@ -300,17 +329,20 @@ def _tile_narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFr
 
 def _members(d: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, row, n, comp (null without words); one row per row of ``d`` (doc_id, row, text)."""
-    rows = written(_set_rows(d, _sketch(d, n), n, percent).withColumn("rid", F.monotonically_increasing_id()), "rows")
+    rows = written(_set_rows(d, _frequent(d, n), n, percent).withColumn("rid", F.monotonically_increasing_id()), "rows")
     classes = rows.filter(F.col("prefix").isNotNull())
     # equal sets of different tasks
     first = classes.groupBy("h1", "h2", "n").agg(F.min("rid").alias("b"), F.max("rid").alias("hi")).filter("b < hi")
     equal = written(classes.select("h1", "h2", "n", F.col("rid").alias("a")).join(first, ["h1", "h2", "n"])
                     .filter("a > b").select("a", "b"), "equal")
 
-    # tiles: hashes that several classes have in their prefixes
-    member = classes.select("rid", "n", F.explode("prefix").alias("gram"))
-    shared = member.groupBy("gram").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).filter("lo < hi")
-    tiles = written(member.join(shared.select("gram"), "gram", "left_semi"), "tiles")
+    # tiles: hashes that several classes have in their prefixes, with the place in the order.
+    # A member stays if there is another one: the second row of the hash is one at the latest.
+    # The sums name the columns of both sides, in the table's order, so both read one exchange
+    member = classes.select("n", "rid", F.posexplode("prefix").alias("place", "gram"))
+    other = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.rid") != F.col("y.rid"))
+             & (F.col("x.n") + F.col("y.n") > 0) & (F.col("x.place") + F.col("y.place") >= 0))
+    tiles = written(member.alias("x").join(member.alias("y"), other, "left_semi"), "tiles")
 
     # round 1: stars
     draws = [F.xxhash64("rid", F.lit(k)) for k in range(HEADS)]
@@ -343,7 +375,7 @@ def _members(d: DataFrame, n: int, percent: int) -> DataFrame:
     x, y = full.filter("comp != major").alias("x"), full.alias("y")
     across = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") != F.col("y.comp"))
                      & ((F.col("y.comp") == F.col("y.major")) | (F.col("x.rid") < F.col("y.rid")))
-                     & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                     & _links("x", "y", _place_bound("x", "y"), percent)
                      & _links("x", "y", _tile_bound("x", "y", TILE_BITS // 64), percent))
               .groupBy(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b"))
               .agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("x.n", "y.n")).alias("n"))
