@@ -1,322 +1,304 @@
-"""LM scoring by a probabilistic suffix tree (operator 10).
-
-The tree has two levels, and a word is scored in the state of the longest kept context:
-
-* words: a context is the word before (at the beginning of a text, its end).  It is kept if
-  it was seen ``MIN_COUNT`` times and its next-word distribution diverges from that of all
-  words: count x Kullback-Leibler divergence above ``MIN_GAIN``.  Both are absolute, so more
-  text keeps more contexts; contexts and pair counts are Spark tables.  Distributions are
-  smoothed by as much as they have distinct words, contexts towards all words and these
-  towards the spelling;
-* spelling: contexts of up to ``DEPTH`` characters.  ASCII letters, the space between words
-  and the end of a text have symbols of their own, other characters share classes, inside
-  which a character has its smoothed share of the class.  A context is kept if it makes up
-  ``MIN_SHARE`` of all symbols and diverges in the same way from its longest proper suffix;
-  the suffixes of a kept context are kept too.  This level is bounded by its alphabet
-  (``1 / MIN_SHARE`` contexts a length) and is broadcast; it does not grow with the corpus.
-
-Documents are dealt to blocks by a hash; a block's distinct words and word pairs meet their
-counts in one join each and come back to the block, so no word list is broadcast and a
-frequent word or pair is one row a block.
+"""LM scoring by a probabilistic suffix tree over words (operator 10).
+
+A context is the one or the two words before a token; before the first word stands the end of
+a text.  The tree holds all words with their counts (the base), and of the contexts
+
+* those seen ``MIN_COUNT`` times whose next words diverge from those of the context one word
+  shorter: the log likelihood that the context gains on its own training tokens, each left
+  out of its own count, passes ``MIN_GAIN``;
+* of their next words those seen ``KEEP`` times.
+
+Both are absolute, so the tree grows with the corpus.  A kept context gives a next word
+``(c - 1) / n`` and spreads the rest of its mass as the next shorter kept context does, down to
+all words, ``(c + 1) / (N + V + 1)``, where all unseen words are one symbol.  Every distribution
+sums to one.  A token is scored in the state of its longest kept context.
+
+How it runs: texts become blocks of word codes, a table of the shared folder; very long texts
+go on in the next block, which begins with the two words before.  A block sends the sorted
+hashes of its distinct words, pairs, triples or contexts with their sums to the parts that they
+hash to, one row a part; a part adds them up and answers in the same order, so a word or pair
+that holds a third of the corpus is one entry a block and nothing is collected or broadcast.
+Pairs are sent once; triples only behind pairs that can be contexts.
 
 Cases: a null or empty text is only its end; if nothing can be learned the base score is
-that of zero counts and the tree is one uniform state; repeated rows are scored row by row;
-a null id counts as the empty text for the split; extra columns are ignored.
+that of zero counts and no context is kept; repeated rows are scored row by row; a null id
+counts as the empty text for the split; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.llm.common import blocks_for, crc_mod, table, written
 
 MOD, HELD_OUT = 7, 2
-PER_BLOCK = 2000
-DEPTH = 4
-MIN_SHARE = 1e-5
-MIN_GAIN = 40.0
-MIN_COUNT = 10
-PRIOR = 20.0
-RUN_CHARS = 500_000
-
-#: symbols: end, space, a to z, digits, marks, then code points beyond ASCII by remainder
-END, SPACE = 0, 1
-LETTERS, DIGIT, MARKS, WIDE = 2, 28, 29, 35
-ALPHABET = 48
-_SYMBOL = np.zeros(0x110000, dtype=np.int64)
-_SYMBOL[:] = WIDE + np.arange(0x110000) % (ALPHABET - WIDE)
-_SYMBOL[:128] = MARKS + np.arange(128) % (WIDE - MARKS)
-_SYMBOL[48:58] = DIGIT
-_SYMBOL[97:123] = LETTERS + np.arange(26)
-_SYMBOL[32] = SPACE
-_SYMBOL[10] = END
-_CLASS_SIZE = np.bincount(_SYMBOL, minlength=ALPHABET)
-
-
-def words_of(text) -> list[bytes]:
-    """Words between ASCII white space, ASCII capitals lowered."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
-def symbols_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of the texts laid end to end, their symbols, and symbols per text.
-
-    Each text has ``DEPTH`` end symbols before it (its empty past) and one after it.
-    """
-    pad = "\n" * DEPTH
-    plain = [pad + b" ".join(words_of(t)).decode("utf-8", "surrogatepass") + "\n" for t in texts]
-    points = np.frombuffer("".join(plain).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return points, _SYMBOL[points], np.array([len(p) for p in plain], dtype=np.int64)
-
-
-def _runs(texts):
-    run, held = [], 0
-    for t in texts:
-        run.append(t)
-        held += len(t or "")
-        if held > RUN_CHARS:
-            yield run
-            run, held = [], 0
-    if run:
-        yield run
-
-
-def _scored(sizes: np.ndarray) -> np.ndarray:
-    """Places that are scored: all but the padding."""
-    begin = np.cumsum(sizes) - sizes
-    out = np.ones(int(sizes.sum()), dtype=bool)
-    for k in range(DEPTH):
-        out[begin + k] = False
-    return np.flatnonzero(out)
-
-
-def _contexts(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Context before each place as one number; the nearest symbol is the lowest digit."""
-    code = np.zeros(len(at), dtype=np.int64)
-    for k in range(DEPTH, 0, -1):
-        code = code * ALPHABET + symbols[at - k]
-    return code
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(kind, code, n): counts of context-and-symbol codes (kind 0) and of code points (kind 1)."""
-    def count(batches):
-        held_g, held_c, size = [], [], 0
-
-        def packed():
-            for kind, held in ((0, held_g), (1, held_c)):
-                if held:
-                    codes = np.concatenate([c for c, _ in held])
-                    n = np.concatenate([m for _, m in held])
-                    keys, back = np.unique(codes, return_inverse=True)
-                    held[:] = [(keys, np.bincount(back, n).astype(np.int64))]
-
-        for pdf in batches:
-            for run in _runs(pdf.text):
-                points, symbols, sizes = symbols_of(run)
-                at = _scored(sizes)
-                held_g.append(np.unique(_contexts(symbols, at) * ALPHABET + symbols[at], return_counts=True))
-                held_c.append(np.unique(points[at].astype(np.int64), return_counts=True))
-                size += len(held_g[-1][0])
-                if size > 2_000_000:
-                    packed()
-                    size = len(held_g[0][0])
-        packed()
-        for kind, held in ((0, held_g), (1, held_c)):
-            for codes, n in held:
-                yield pd.DataFrame({"kind": kind, "code": codes, "n": n})
-
-    return (docs.select("text").mapInPandas(count, "kind int, code long, n long")
-            .groupBy("kind", "code").agg(F.sum("n").alias("n")))
-
-
-def fit(grams: DataFrame, min_share: float = MIN_SHARE, min_gain: float = MIN_GAIN) -> dict:
-    """The tree: kept contexts, their distributions, and character shares inside classes."""
-    grams = written(grams, "grams")
-    chars = grams.filter("kind = 1").select("code", "n").toPandas()  # one row a code point at most
-    per_class = np.bincount(_SYMBOL[chars.code.to_numpy(dtype=np.int64)], chars.n, ALPHABET)
-    share = {"point": chars.code.to_numpy(dtype=np.int64),
-             "log": np.log10((chars.n + 1) / (per_class + _CLASS_SIZE)[_SYMBOL[chars.code.to_numpy(dtype=np.int64)]])
-             .to_numpy() if len(chars) else np.zeros(0)}
-    unseen = -np.log10(per_class + _CLASS_SIZE)
-    total = grams.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
-    # counts of all context lengths from the longest; rare contexts stay behind
-    lengths = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(ALPHABET ** d).alias("m"))
-                                  for d in range(DEPTH + 1)]))
-    rolled = (grams.filter("kind = 0").select("code", "n", lengths.alias("x"))
-              .groupBy(F.col("x.d").alias("d"), (F.floor(F.col("code") / ALPHABET) % F.col("x.m")).alias("ctx"),
-                       (F.col("code") % ALPHABET).alias("next")).agg(F.sum("n").alias("n")))
-    often = rolled.groupBy("d", "ctx").agg(F.sum("n").alias("total")).filter(
-        (F.col("d") == 0) | (F.col("total") >= min_share * total))
-    rows = rolled.join(often, ["d", "ctx"]).select("d", "ctx", "next", "n").toPandas()
-    tables: list[dict[int, np.ndarray]] = [{} for _ in range(DEPTH + 1)]
-    for (d, ctx), g in rows.groupby(["d", "ctx"]):
-        n = np.zeros(ALPHABET)
-        n[g.next.to_numpy(dtype=np.int64)] = g.n
-        tables[d][int(ctx)] = n
-    root = tables[0].get(0, np.zeros(ALPHABET))
-    probs: list[dict[int, np.ndarray]] = [{0: (root + 1) / (root.sum() + ALPHABET)}]
-    kept: list[set[int]] = [{0}] + [set() for _ in range(DEPTH)]
-    for d in range(1, DEPTH + 1):
-        probs.append({})
-        for ctx, n in tables[d].items():
-            below = probs[d - 1].get(ctx % ALPHABET ** (d - 1))
-            if below is None:
-                continue
-            p = (n + PRIOR * below) / (n.sum() + PRIOR)
-            probs[d][ctx] = p
-            if n.sum() * float((p * np.log(p / below)).sum()) > min_gain:
-                for s in range(1, d + 1):
-                    kept[s].add(ctx % ALPHABET ** s)
-    states = [(d, ctx, probs[d][ctx]) for d in range(DEPTH + 1) for ctx in sorted(kept[d])]
-    return {"d": np.array([s[0] for s in states]), "ctx": np.array([s[1] for s in states]),
-            "log": np.log10(np.stack([s[2] for s in states])), "share": share, "unseen": unseen}
-
-
-class Scorer:
-    """Tables of a tree: context -> row of its longest kept suffix; (row, symbol) -> log10."""
-
-    def __init__(self, tree: dict):
-        row = np.zeros(1, dtype=np.int32)
-        for d in range(1, DEPTH + 1):
-            row = np.tile(row, ALPHABET)  # the farther symbol is the higher digit
-            at = np.flatnonzero(tree["d"] == d)
-            row[tree["ctx"][at]] = at
-        self.row, self.log = row, tree["log"].ravel()
-        # a word ends with a space or with the text
-        self.stop = np.logaddexp2(*(tree["log"][:, x] / np.log10(2) for x in (SPACE, END))) * np.log10(2)
-        self.point = tree["unseen"][_SYMBOL]
-        self.point[tree["share"]["point"]] = tree["share"]["log"]
-
-    def spelled(self, texts) -> np.ndarray:
-        """log10 of the spelling of every word, its end included, after the characters before it."""
-        out = [np.zeros(0)]
-        for run in _runs(texts):
-            points, symbols, sizes = symbols_of(run)
-            at = _scored(sizes)
-            row, symbol = self.row[_contexts(symbols, at)].astype(np.int64), symbols[at]
-            value = np.where(symbol <= SPACE, self.stop[row], self.log[row * ALPHABET + symbol] + self.point[points[at]])
-            end = np.flatnonzero(symbol <= SPACE)
-            begin = np.concatenate([[0], end[:-1] + 1])
-            out.append(np.add.reduceat(value, begin)[end > begin])  # the end alone is a text without words
-        return np.concatenate(out)
-
-
-def _hashes(words: np.ndarray) -> np.ndarray:
-    """64-bit hashes of distinct words (bytes), as longs."""
-    return pd.util.hash_array(words, categorize=False).view(np.int64)
-
-
-def _block_words(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct tokens, the number of each token among them, and tokens per text:
-    its words and its end."""
-    words = [[*words_of(t), b"\n"] for t in texts]
-    codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
-    return (_hashes(np.asarray(distinct, dtype=object)), codes.astype(np.int64),
-            np.array([len(w) for w in words], dtype=np.int64))
-
-
-def _pairs(codes: np.ndarray, size: int) -> np.ndarray:
-    """Each token with the one before it as one number; before a text is the end of another."""
-    return np.roll(codes, 1) * size + codes
-
-
-def kept_contexts(pairs: DataFrame, words: DataFrame, total: int, min_count: int = MIN_COUNT,
-                  min_gain: float = MIN_GAIN) -> DataFrame:
-    """(v, n, kinds): the contexts that are kept, from counts of pairs (v, h, c) and of words (h, c)."""
-    b = F.col("b")
-    often = pairs.groupBy("v").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("kinds")).filter(F.col("n") >= min_count)
-    p = (F.col("c") + F.col("kinds") * b) / (F.col("n") + F.col("kinds"))
-    rest = F.col("kinds") / (F.col("n") + F.col("kinds"))
-    seen = (pairs.join(often, "v").join(words.select("h", (F.col("c") / F.lit(float(max(total, 1)))).alias("b")), "h")
-            .groupBy("v", "n", "kinds").agg(F.sum(p * F.log(p / b)).alias("kl"), F.sum(b).alias("mass")))
-    # words that never follow have the rest, each by the same factor
-    kl = F.col("kl") + rest * F.greatest(F.lit(0.0), 1 - F.col("mass")) * F.log(rest)
-    return seen.filter(F.col("n") * kl > min_gain).select("v", "n", "kinds")
+#: text bytes of a block, and of a stretch that is split into words at once
+BLOCK, STRETCH = 8 << 20, 1 << 20
+#: tokens to a part
+PER_PART = 500_000
+MIN_COUNT, KEEP, MIN_GAIN = 10, 3, 10.0
+END = b"\n"
+WORD, PAIR, TRIPLE, ONE, TWO = range(5)
+#: a context's gain is summed for these back-off shares; the one at or below its own counts
+SHARES = np.array([0.0, 0.05, 0.15, 0.3, 0.5, 0.7, 0.9])
+#: training tokens, discounted mass, tokens without a count of their own, gains by share
+STATS = 3 + len(SHARES)
+SENT = "part int, kind int, block long, keys binary, sums binary"
+BACK = "block long, kind int, part int, sums binary"
+
+_SPACE = re.compile(rb"[ \t-\r]")
+_U = np.uint64
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """A column of numbers, its bytes by place, compressed."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T)
+    return len(a).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, dtype) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1).view(dtype)
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * _U(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def _stretches(text: str | None, stretch: int) -> Iterator[list[bytes]]:
+    """Words between ASCII white space, ASCII capitals lowered; the end after the last."""
+    data, lo = (text or "").encode("utf-8", "surrogatepass").lower(), 0
+    while len(data) - lo > stretch:
+        gap = _SPACE.search(data, lo + stretch)
+        hi = gap.start() if gap else len(data)
+        yield data[lo:hi].split()
+        lo = hi
+    yield [*data[lo:].split(), END]
+
+
+def coded(docs: DataFrame, size: int = BLOCK, stretch: int = STRETCH) -> DataFrame:
+    """(doc_id, held_out, text) as blocks of word codes; a piece is a text or a part of one."""
+    def code(batches):
+        task, made, row = TaskContext.get().partitionId() << 33, 0, 0
+        tokens, held, pieces = [], 0, []
+
+        def block():
+            nonlocal tokens, held, pieces, made
+            codes, distinct = pd.factorize(np.array(tokens, dtype=object))
+            p = list(zip(*pieces))
+            out = {"block": task + made, "train_tokens": sum(s - k for s, k, h in zip(p[3], p[4], p[2]) if not h),
+                   "n_tokens": sum(p[3]) - sum(p[4]),
+                   "hashes": _pack(pd.util.hash_array(np.asarray(distinct, dtype=object), categorize=False)),
+                   "codes": _pack(codes.astype(np.int32)), "row": list(p[0]), "doc_id": list(p[1]),
+                   "held_out": list(p[2]), "size": list(p[3]), "past": list(p[4])}
+            tokens, held, pieces, made = [], 0, [], made + 1
+            return pa.RecordBatch.from_pylist([out], schema=schema)
+
+        for batch in batches:
+            ids, split, texts = (batch.column(k) for k in range(3))
+            for k in range(batch.num_rows):
+                past = [END]
+                for words in _stretches(texts[k].as_py(), stretch):
+                    pieces.append((task + row, ids[k].as_py(), split[k].as_py(), len(words) + len(past), len(past)))
+                    tokens += past
+                    tokens += words
+                    held += sum(map(len, words)) + len(words)
+                    past = words[-2:] if len(words) > 1 else [*past, *words][-2:]
+                    if held >= size:
+                        yield block()
+                row += 1
+        if pieces:
+            yield block()
+
+    ddl = ("block long, train_tokens long, n_tokens long, hashes binary, codes binary, row array<long>, "
+           "doc_id array<string>, held_out array<boolean>, size array<long>, past array<long>")
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("block", pa.int64()), ("train_tokens", pa.int64()), ("n_tokens", pa.int64()),
+                        ("hashes", pa.binary()), ("codes", pa.binary()), ("row", longs),
+                        ("doc_id", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
+                        ("size", longs), ("past", longs)])
+    return written(docs.select(F.col("doc_id").cast("string"), "held_out", "text").mapInArrow(code, ddl), "coded")
+
+
+class Block:
+    """Tokens of a block, the hashes of what ends at each of them, and what is known of these."""
+
+    def __init__(self, row, parts: int, total: int = 0, distinct: int = 0):
+        self.id, self.parts, self.row = int(row.block), parts, row
+        self.hashes, self.codes = _unpack(row.hashes, _U), _unpack(row.codes, np.int32)
+        self.size = np.asarray(row["size"], dtype=np.int64)
+        past = np.asarray(row.past, dtype=np.int64)
+        begin = np.cumsum(self.size) - self.size
+        self.place = np.arange(len(self.codes)) - np.repeat(begin, self.size)
+        self.scored = self.place >= np.repeat(past, self.size)
+        self.train = self.scored & ~np.repeat(np.asarray(row.held_out, dtype=bool), self.size)
+        word = self.hashes[self.codes]
+        self.pair = _mix(np.roll(word, 1), word)
+        self.triple = _mix(np.roll(self.pair, 1), word)
+        self.norm = total + distinct + 1
+
+    # what is sent: places and hashes of each kind, then sums by distinct hash
+
+    def _where(self, kind: int) -> np.ndarray:
+        if kind == PAIR:
+            return np.flatnonzero(self.place >= 1)
+        if kind == TRIPLE:
+            return np.flatnonzero((self.place >= 2) & (np.roll(self.c2, 1) >= MIN_COUNT) & (self.c2 >= KEEP))
+        if kind == ONE:
+            return np.flatnonzero((self.place >= 1) & (self.n1 >= MIN_COUNT))
+        return np.flatnonzero((self.place >= 2) & (self.n2 >= MIN_COUNT))
+
+    def _distinct(self, kind: int):
+        """Places, distinct hashes by part, the hash of each place among them, bounds of the parts."""
+        if kind == WORD:
+            at, keys, back = np.arange(len(self.codes)), self.hashes, self.codes
+        else:
+            at = self._where(kind)
+            keys = {PAIR: self.pair, TRIPLE: self.triple, ONE: np.roll(self.hashes[self.codes], 1),
+                    TWO: np.roll(self.pair, 1)}[kind][at]
+            keys, back = np.unique(keys, return_inverse=True)
+        part = ((keys >> _U(20)) % _U(self.parts)).astype(np.int64)
+        order = np.lexsort((keys, part))
+        rank = np.empty(len(keys), dtype=np.int64)
+        rank[order] = np.arange(len(keys))
+        return at, keys[order], rank[back], np.searchsorted(part[order], np.arange(self.parts + 1))
+
+    def send(self, kind: int) -> list[tuple]:
+        at, keys, back, bounds = self._distinct(kind)
+        on = self.train[at]
+        columns = [on] if kind < ONE else [on, *(c[at] * on for c in self._stats(kind))]
+        sums = np.stack([np.bincount(back, c, len(keys)) for c in columns], axis=1)
+        return [(p, kind, self.id, _pack(np.diff(keys[lo:hi], prepend=_U(0))),
+                 _pack(sums[lo:hi].astype(np.int64).ravel()) if kind < ONE else _pack(sums[lo:hi].ravel()))
+                for p, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])) if hi > lo]
+
+    def _stats(self, kind: int) -> list[np.ndarray]:
+        c, n, lower = (self.c2, self.n1, self.p0) if kind == ONE else (self.c3, self.n2, self.p1)
+        own = np.where(c > KEEP, (c - 2) / np.maximum(n, 1), 0)  # the token itself left out
+        with np.errstate(divide="ignore"):
+            gains = [np.where(own > 0, np.log(own / lower + s), 0) for s in SHARES]
+        return [np.where(c >= KEEP, (c - 1) / np.maximum(c, 1), 0), own == 0, *gains]
+
+    # what came back
+
+    def _known(self, back: dict, kind: int) -> np.ndarray:
+        out = np.zeros(len(self.codes))
+        if kind in back:
+            at, _, place, _ = self._distinct(kind)
+            out[at] = np.concatenate([_unpack(s, np.float64) for _, s in sorted(back[kind])])[place]
+        return out
+
+    def learn(self, back: dict) -> Block:
+        """Counts, back-off shares and probabilities as far as the answers go."""
+        self.c1, self.c2 = self._known(back, WORD), self._known(back, PAIR)
+        self.n1, self.n2 = np.roll(self.c1, 1), np.roll(self.c2, 1)
+        self.p0 = (self.c1 + 1) / self.norm
+        self.p1 = self._next(self._known(back, ONE), self.c2, self.n1, self.p0)
+        self.c3 = self._known(back, TRIPLE)
+        return self
+
+    @staticmethod
+    def _next(share, count, n, lower):
+        return np.where(share > 0, np.maximum(count - 1, 0) / np.maximum(n, 1) + share * lower, lower)
+
+    def scores(self, back: dict) -> tuple[np.ndarray, ...]:
+        """Tokens, known tokens, base score and score of the pieces."""
+        p2 = self._next(self._known(back, TWO), self.c3, self.n2, self.p1)
+        ends = np.cumsum(self.size)
+        sums = lambda x: np.add.reduceat(np.where(self.scored, x, 0), ends - self.size)
+        return (sums(np.ones(len(p2), np.int64)), sums((self.c1 > 0).astype(np.int64)),
+                sums(np.log10(self.p0)), sums(np.log10(p2)))
+
+
+def back_off_shares(sums: np.ndarray) -> np.ndarray:
+    """The back-off share of each context that is kept, else 0, from the sums of its ``STATS``."""
+    n, mass, few = sums[:, 0], sums[:, 1], sums[:, 2]
+    share = 1 - mass / np.maximum(n, 1)
+    column = np.searchsorted(SHARES, share, "right") - 1
+    gain = sums[np.arange(len(sums)), 3 + np.maximum(column, 0)] + few * np.log(np.maximum(share, 1e-300))
+    return np.where((n >= MIN_COUNT) & (gain > MIN_GAIN), share, 0.0)
+
+
+def _answers(part: pd.DataFrame) -> pd.DataFrame:
+    """Sums of a part, answered to every block in the order of its keys."""
+    out = []
+    for kind, g in part.groupby("kind"):
+        keys = [np.cumsum(_unpack(k, _U), dtype=_U) for k in g["keys"]]
+        width, dtype = (1, np.int64) if kind < ONE else (STATS, np.float64)
+        sums = np.concatenate([_unpack(s, dtype).reshape(-1, width) for s in g["sums"]])
+        distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.stack([np.bincount(back, sums[:, k], len(distinct)) for k in range(width)], axis=1)
+        if kind == WORD:  # the number of words, for the driver
+            known = total[:, 0]
+            out.append((-1, WORD, int((known > 0).sum()), b""))
+        else:
+            known = np.where(total[:, 0] >= KEEP, total[:, 0], 0) if kind < ONE else back_off_shares(total)
+        answer = np.split(known[back], np.cumsum([len(k) for k in keys])[:-1])
+        out += [(b, kind, p, _pack(a)) for b, p, a in zip(g["block"], g["part"], answer)]
+    return pd.DataFrame(out, columns=["block", "kind", "part", "sums"])
 
 
 def lm_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mod: int = MOD,
-              held: int = HELD_OUT) -> DataFrame:
+              held: int = HELD_OUT, block: int = BLOCK, stretch: int = STRETCH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
     d = docs.select(F.col(doc_id).alias("doc_id"), (crc_mod(doc_id, mod) == held).alias("held_out"),
                     F.col(text).alias("text"))
-    facts = d.agg(F.count(F.lit(1)).alias("n"), F.sum((~F.col("held_out")).cast("long")).alias("train")).first()
-    blocks, train = blocks_for(facts.n, PER_BLOCK), int(facts.train or 0)
-    d = d.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    scorer = spark.sparkContext.broadcast(fit(gram_counts(d.filter(~F.col("held_out")))))  # states are bounded
-
-    def block_dictionary(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes, codes, per = _block_words(pdf.text)
-        train = np.repeat(~pdf.held_out.to_numpy(dtype=bool), per)
-        pair, at = np.unique(_pairs(codes, len(hashes)), return_inverse=True)
-        return pd.DataFrame({
-            "block": int(pdf.block.iloc[0]), "pair": np.repeat([False, True], [len(hashes), len(pair)]),
-            "v": np.concatenate([np.zeros(len(hashes), np.int64), hashes[pair // len(hashes)]]),
-            "h": np.concatenate([hashes, hashes[pair % len(hashes)]]),
-            "t": np.concatenate([np.bincount(codes[train], minlength=len(hashes)),
-                                 np.bincount(at[train], minlength=len(pair))])})
-
-    seen = written(d.groupBy("block").applyInPandas(block_dictionary, "block int, pair boolean, v long, h long, t long"),
-                   "dictionary")
-    words, pairs = seen.filter("not pair"), seen.filter("pair")
-    counts = written(words.groupBy("h").agg(F.sum("t").alias("c")).filter("c > 0"), "words")
-    facts = counts.agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
-    total, distinct = facts.total or 0, facts.distinct
-    follow = written(pairs.groupBy("v", "h").agg(F.sum("t").alias("c")).filter("c > 0"), "pairs")
-    contexts = written(kept_contexts(follow, counts, total), "contexts")
-    as_context = counts.join(contexts.withColumnRenamed("v", "h"), "h", "left")
-    known = written(
-        words.select("block", "pair", "v", "h").join(as_context, "h").select(
-            "block", "pair", "v", "h", "c", F.coalesce("n", F.lit(0)).alias("n"),
-            F.coalesce("kinds", F.lit(0)).alias("kinds"))
-        .unionByName(pairs.select("block", "pair", "v", "h").join(follow.join(contexts.select("v"), "v"), ["v", "h"])
-                     .select("block", "pair", "v", "h", "c", F.lit(0).cast("long").alias("n"),
-                             F.lit(0).cast("long").alias("kinds"))), "known")
+    state = coded(d, block, stretch)
+    facts = state.agg(F.sum("train_tokens").alias("train"), F.sum("n_tokens").alias("n")).first()
+    total, parts = facts.train or 0, blocks_for(facts.n or 0, PER_PART)
+
+    def answered(sent: DataFrame, name: str) -> DataFrame:
+        return written(sent.groupBy("part").applyInPandas(_answers, BACK), name)
+
+    def first(batches):
+        for pdf in batches:
+            for _, row in pdf.iterrows():
+                b = Block(row, parts)
+                yield pd.DataFrame(b.send(WORD) + b.send(PAIR), columns=["part", "kind", "block", "keys", "sums"])
+
+    back = answered(state.mapInPandas(first, SENT), "counts")
+    distinct = back.filter("block = -1").agg(F.sum("part")).first()[0] or 0
+    back = back.filter("block >= 0")
+
+    def informed(left: pd.DataFrame, right: pd.DataFrame) -> tuple[Block, dict]:
+        known: dict[int, list] = {}
+        for kind, part, sums in zip(right["kind"], right["part"], right["sums"]):
+            known.setdefault(int(kind), []).append((int(part), sums))
+        return Block(left.iloc[0], parts, total, distinct).learn(known), known
+
+    def more(*kinds):
+        def send(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            b, _ = informed(left, right)
+            return pd.DataFrame([r for k in kinds for r in b.send(k)], columns=["part", "kind", "block", "keys", "sums"])
+        return send
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        hashes, codes, per = _block_words(left.text)
-        size, order = len(hashes), np.argsort(hashes)
-        place = lambda h: order[np.searchsorted(hashes[order], h)]
-        is_pair = right.pair.to_numpy(dtype=bool)
-        one, two = right[~is_pair], right[is_pair]
-        count, n, kinds = np.zeros(size), np.zeros(size), np.zeros(size)
-        for into, column in ((count, "c"), (n, "n"), (kinds, "kinds")):
-            into[place(one.h.to_numpy(dtype=np.int64))] = one[column]
-        after = np.zeros(len(codes))
-        if len(two):
-            key = place(two.v.to_numpy(dtype=np.int64)) * size + place(two.h.to_numpy(dtype=np.int64))
-            by = np.argsort(key)
-            key, c = key[by], two.c.to_numpy(dtype=float)[by]
-            want = _pairs(codes, size)
-            at = np.minimum(np.searchsorted(key, want), len(key) - 1)
-            after = np.where(key[at] == want, c[at], 0)
-        ends = np.concatenate([[0], np.cumsum(per)])
-        sums = lambda x: np.add.reduceat(x, ends[:-1])
-        base = np.log10(count + 1) - np.log10(total + distinct + 1)
-        # spelling, then all words, then the context: natural logarithms
-        stop = (train + 1) / (total + distinct + 1)
-        spelled, end = np.full(len(codes), np.log(stop)), np.zeros(len(codes), dtype=bool)
-        end[ends[1:] - 1] = True
-        spelled[~end] = np.log1p(-stop) + np.log(10) * Scorer(scorer.value).spelled(left.text)
-        with np.errstate(divide="ignore"):
-            value = np.logaddexp(np.log(count)[codes], np.log(distinct + 1) + spelled) - np.log(total + distinct + 1)
-            before = np.roll(codes, 1)
-            n, kinds = n[before], kinds[before]
-            value = np.where(n > 0, np.logaddexp(np.log(after), np.log(kinds) + value)
-                             - np.log(np.maximum(n + kinds, 1)), value)
-        return pd.DataFrame({
-            "doc_id": left.doc_id, "held_out": left.held_out, "n_tokens": per,
-            "n_known": sums((count[codes] > 0).astype(np.int64)), "train_tokens": total,
-            "base_score": sums(base[codes]), "score": sums(value) / np.log(10)})
-
-    id_type = d.schema["doc_id"].dataType.simpleString()
-    return d.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(
-        score, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-               "base_score double, score double")
+        b, known = informed(left, right)
+        n, seen, base, full = b.scores(known)
+        return pd.DataFrame({"row": b.row["row"], "doc_id": b.row.doc_id, "held_out": b.row.held_out, "n_tokens": n,
+                             "n_known": seen, "base_score": base, "score": full})
+
+    blocks = state.groupBy("block")
+    for name, kinds in (("triples", (TRIPLE, ONE)), ("contexts", (TWO,))):
+        back = back.unionByName(answered(blocks.cogroup(back.groupBy("block")).applyInPandas(more(*kinds), SENT), name))
+    pieces = blocks.cogroup(back.groupBy("block")).applyInPandas(
+        score, "row long, doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return pieces.groupBy("row").agg(
+        F.first("doc_id").cast(d.schema["doc_id"].dataType).alias("doc_id"), F.first("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
+        F.sum("n_known").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        F.sum("base_score").alias("base_score"), F.sum("score").alias("score")).drop("row")
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -294,11 +294,70 @@ def test_lm_base_and_normalisation(spark):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(count[w] > 0 for w in ws), total)
         assert math.isclose(r.base_score, sum(math.log10((count[w] + 1) / (total + v + 1)) for w in ws), rel_tol=1e-9)
         assert r.score < 0
-    d = spark.createDataFrame(docs[:200], "doc_id long, text string")
-    tree = suffix_tree_lm.fit(suffix_tree_lm.gram_counts(d))
-    assert np.allclose((10.0 ** tree["log"]).sum(axis=1), 1) and len(tree["d"]) > 10
-    kept = set(zip(tree["d"].tolist(), tree["ctx"].tolist()))
-    assert all((k - 1, c % suffix_tree_lm.ALPHABET ** (k - 1)) in kept for k, c in kept if k)
+
+
+def plain_lm(docs: dict[int, list[str]], held: set[int]) -> dict[int, float]:
+    """Scores by dictionaries: words, contexts of one and of two words, longest kept context."""
+    m = suffix_tree_lm
+    texts = {i: ["", *ws, ""] for i, ws in docs.items()}
+    grams = Counter(tuple(t[k - n:k + 1]) for i, t in texts.items() if i not in held
+                    for k in range(1, len(t)) for n in range(min(k, 2) + 1))
+    total, v = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
+    count = lambda g: grams[g] if grams[g] >= m.KEEP else 0
+    kept: dict[tuple, float] = {}
+
+    def p(w, ctx):
+        if not ctx:
+            return (grams[w,] + 1) / (total + v + 1)
+        lower = p(w, ctx[1:])
+        return lower if ctx not in kept else max(count((*ctx, w)) - 1, 0) / grams[ctx] + kept[ctx] * lower
+
+    for size in (1, 2):
+        after: dict[tuple, list] = {}
+        for g, c in grams.items():
+            if len(g) == size + 1 and grams[g[:-1]] >= m.MIN_COUNT:
+                after.setdefault(g[:-1], []).append((g[-1], c))
+        new = {}
+        for ctx, words in after.items():
+            n = sum(c for _, c in words)
+            share = 1 - sum(c - 1 for _, c in words if c >= m.KEEP) / n
+            at = max(s for s in m.SHARES if s <= share)
+            gain = sum(c * math.log((c - 2) / n / p(w, ctx[1:]) + at if c > m.KEEP else share) for w, c in words)
+            if gain > m.MIN_GAIN:
+                new[ctx] = share
+        kept |= new
+    assert {len(c) for c in kept} == {1, 2}
+    return {i: sum(math.log10(p(t[k], tuple(t[max(0, k - 2):k]))) for k in range(1, len(t)))
+            for i, t in texts.items()}
+
+
+def test_lm_scores_against_dictionaries(spark, monkeypatch):
+    rng = random.Random(3)
+    docs = {}
+    for i in range(150):
+        ws = []
+        for _ in range(rng.randrange(60)):
+            x = rng.randrange(12)
+            ws += [f"a{x}", f"b{x}", f"c{x % 5}"] if rng.random() < 0.7 else rng.choices(["u", "v", "w", f"n{rng.random()}"], k=2)
+            if rng.random() < 0.3:
+                ws += ["the", f"a{x}", f"d{x}"]
+        docs[i] = ws
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 7 == 2}
+    want = plain_lm(docs, held)
+    d = spark.createDataFrame([(i, " ".join(ws)) for i, ws in docs.items()], "doc_id long, text string").repartition(3)
+    for block, stretch in ((1 << 23, 1 << 20), (400, 60)):  # whole texts, and texts over several blocks
+        monkeypatch.setattr(suffix_tree_lm, "PER_PART", 700)
+        got = {r.doc_id: r for r in suffix_tree_lm.lm_scores(d, block=block, stretch=stretch).collect()}
+        assert len(got) == len(docs) and all(math.isclose(got[i].score, want[i], rel_tol=1e-6) for i in docs)
+        assert all(got[i].n_tokens == len(docs[i]) + 1 for i in docs)
+        assert sum(got[i].score for i in held) > sum(got[i].base_score for i in held)
+
+
+def test_lm_rejects_contexts_that_tell_nothing():
+    zeros = np.zeros(len(suffix_tree_lm.SHARES))
+    shares = suffix_tree_lm.back_off_shares(np.array([
+        [1000, 500, 400, *(zeros + 900)], [1000, 10, 990, *(zeros + 2)], [9, 8, 0, *(zeros + 99)]]))
+    assert shares.tolist() == [0.5, 0, 0]  # the second gains less than it loses, the third is rare
 
 
 def test_lm_contexts_grow_with_the_corpus(spark):
@@ -313,11 +372,6 @@ def test_lm_contexts_grow_with_the_corpus(spark):
         better.append(sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held))
     # a known next word is worth half of log10(size) at least, however many contexts there are
     assert better[0] > 0.3 and better[1] > 0.9
-    words = [("x", 500), ("y", 500), ("z", 9)]
-    counts = spark.createDataFrame([(ord(w), n) for w, n in words], "h long, c long")
-    pairs = spark.createDataFrame([(1, 120, 400), (1, 121, 400), (2, 120, 300), (3, 122, 9)], "v long, h long, c long")
-    kept = suffix_tree_lm.kept_contexts(pairs, counts, 1009)
-    assert [r.v for r in kept.collect()] == [2]  # 1 follows all words, 3 is rare
 
 
 def test_revisits(spark):
