@@ -48,9 +48,11 @@ MIN_COUNT, KEEP, MIN_GAIN = 10, 3, 10.0
 END = b"\n"
 WORD, PAIR, TRIPLE, ONE, TWO = range(5)
 #: a context's gain is summed for these back-off shares; the one at or below its own counts
-SHARES = np.array([0.0, 0.05, 0.15, 0.3, 0.5, 0.7, 0.9])
-#: training tokens, discounted mass, tokens without a count of their own, gains by share
+SHARES = np.array([0.0, 0.2, 0.5, 0.8])
+#: training tokens, discounted mass, tokens without a count of their own, gains by share, and the
+#: fraction of each that is sent as one: whole numbers add up alike in any order
 STATS = 3 + len(SHARES)
+UNITS = np.array([1, 1 << 26, 1, *[32] * len(SHARES)])
 SENT = "part int, kind int, block long, keys binary, sums binary"
 BACK = "block long, kind int, part int, sums binary"
 
@@ -180,8 +182,8 @@ class Block:
         on = self.train[at]
         columns = [on] if kind < ONE else [on, *(c[at] * on for c in self._stats(kind))]
         sums = np.stack([np.bincount(back, c, len(keys)) for c in columns], axis=1)
-        return [(p, kind, self.id, _pack(np.diff(keys[lo:hi], prepend=_U(0))),
-                 _pack(sums[lo:hi].astype(np.int64).ravel()) if kind < ONE else _pack(sums[lo:hi].ravel()))
+        sums = np.rint(sums * UNITS[:sums.shape[1]]).astype(np.int64)
+        return [(p, kind, self.id, _pack(np.diff(keys[lo:hi], prepend=_U(0))), _pack(sums[lo:hi].T.ravel()))
                 for p, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])) if hi > lo]
 
     def _stats(self, kind: int) -> list[np.ndarray]:
@@ -236,15 +238,15 @@ def _answers(part: pd.DataFrame) -> pd.DataFrame:
     out = []
     for kind, g in part.groupby("kind"):
         keys = [np.cumsum(_unpack(k, _U), dtype=_U) for k in g["keys"]]
-        width, dtype = (1, np.int64) if kind < ONE else (STATS, np.float64)
-        sums = np.concatenate([_unpack(s, dtype).reshape(-1, width) for s in g["sums"]])
+        width = 1 if kind < ONE else STATS
+        sums = np.concatenate([_unpack(s, np.int64).reshape(width, -1).T for s in g["sums"]])
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.stack([np.bincount(back, sums[:, k], len(distinct)) for k in range(width)], axis=1)
         if kind == WORD:  # the number of words, for the driver
             known = total[:, 0]
             out.append((-1, WORD, int((known > 0).sum()), b""))
         else:
-            known = np.where(total[:, 0] >= KEEP, total[:, 0], 0) if kind < ONE else back_off_shares(total)
+            known = np.where(total[:, 0] >= KEEP, total[:, 0], 0) if kind < ONE else back_off_shares(total / UNITS)
         answer = np.split(known[back], np.cumsum([len(k) for k in keys])[:-1])
         out += [(b, kind, p, _pack(a)) for b, p, a in zip(g["block"], g["part"], answer)]
     return pd.DataFrame(out, columns=["block", "kind", "part", "sums"])
