@@ -6,10 +6,11 @@ tags.  The ratios are smoothed with a Gaussian, two clusters are formed on the s
 values, and the upper one marks content lines.  The content region is the ``article`` or
 ``main`` around the deepest element that holds ``REGION_SHARE`` of the characters in content
 lines; on pages without one, the deepest element that holds all content lines, so sections
-side by side stay together.  Every line of the region is the article, so a short paragraph
-between long ones stays.  Menus, headers, footers,
+side by side stay together.  Sections, articles and divisions of one class beside the region belong to
+it.  Every line of the region is the article, so a short paragraph between long ones stays.  Menus, headers, footers,
 side bars, notices, adverts, forms and reader comments are known by element, role, class
-or id; they count as lines for the ratios but are never part of the article.
+or id, inside an article by a whole name only; they count as lines for the ratios but are never
+part of the article.  An inline end tag closes no block.
 
 Runs as a vectorised UDF on one column: one page at a time, no shuffle, memory bounded by
 one Arrow batch.
@@ -41,8 +42,8 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre "
                    "section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video "
-                   "textarea select option button".split())
+SILENT = frozenset("script style noscript template head title svg iframe object canvas audio video "
+                   "textarea select option button annotation annotation-xml".split())
 ASIDE = frozenset("nav footer aside form menu dialog".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -56,20 +57,40 @@ NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "header masthead footer comment comments discussion disqus replies respond share sharing social "
                   "related recommended recommendations copyright legal login search toolbar pagination pager".split())
 COMMENTS = frozenset(("comment", "comments", "reply", "replies"))
+#: inside an article a name counts as a whole: all its parts but the fillers, and these never
+FILLERS = frozenset("area bar block box button buttons container count form icons inner items link links list outer "
+                    "panel posts section slot stories unit wrap wrapper".split())
+OWN_NAMES = frozenset("header masthead legal copyright login search".split())
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 WHITE = re.compile(r"\s+")
 
 
+def _is_named(tag: str, value: str, in_article: bool) -> bool:
+    """Whether a class or id names something that is not the article's."""
+    if tag in ("body", "html", "main"):
+        return False
+    for name in value.split():
+        parts = {x.lower() for x in NAME_PART.findall(name)}
+        if tag == "article":
+            if parts & COMMENTS:
+                return True
+        elif not in_article:
+            if parts & NAMES:
+                return True
+        elif parts - FILLERS and parts - FILLERS <= NAMES - OWN_NAMES:
+            return True
+    return False
+
+
 def _is_aside(tag: str, attrs: list, in_article: bool) -> bool:
     if tag in ASIDE or tag == "header" and not in_article:
         return True
-    names = frozenset() if tag in ("body", "html", "main") else COMMENTS if tag == "article" else NAMES
     for key, value in attrs:
         value = value or ""
         if (key == "hidden" or key == "aria-hidden" and value == "true"
                 or key == "style" and "display:none" in value.replace(" ", "").lower()
                 or key == "role" and value.lower() in ROLES
-                or key in ("class", "id") and any(x.lower() in names for x in NAME_PART.findall(value))):
+                or key in ("class", "id") and _is_named(tag, value, in_article)):
             return True
     return False
 
@@ -83,7 +104,7 @@ class PageLines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parent, self.last, self.tag_of = [-1], [0], ["html"]
+        self.parent, self.last, self.tag_of, self.class_of = [-1], [0], ["html"], [""]
         self.stack = [(0, "", False, False, False)]  # element, tag, aside, silent, in an article
         self.open = Counter()
         self.lines: list[tuple[int, int, int, bool, str]] = []
@@ -135,6 +156,7 @@ class PageLines(HTMLParser):
         self.parent.append(self.stack[-1][0])
         self.last.append(len(self.parent) - 1)
         self.tag_of.append(tag)
+        self.class_of.append(next((v or "" for k, v in attrs if k == "class"), ""))
         self.stack.append((len(self.parent) - 1, tag, aside or _is_aside(tag, attrs, article),
                            silent or tag in SILENT, article or tag in ("article", "main")))
         self.open[tag] += 1
@@ -144,6 +166,14 @@ class PageLines(HTMLParser):
         if tag not in VOID and tag not in BLOCKS:
             self.handle_endtag(tag)
 
+    def _spans_blocks(self, tag: str) -> bool:
+        """Whether an inline end tag would close blocks and its element hid nothing."""
+        k, blocks = len(self.stack) - 1, False
+        while self.stack[k][1] != tag:
+            blocks |= self.stack[k][1] in BLOCKS
+            k -= 1
+        return blocks and self.stack[k][2:4] == self.stack[k - 1][2:4]
+
     def handle_endtag(self, tag):
         self.tags += 1
         if not self.open[tag]:
@@ -152,6 +182,8 @@ class PageLines(HTMLParser):
             return
         if tag in BLOCKS:
             self.flush()
+        elif self._spans_blocks(tag):
+            return
         while self.stack[-1][1] != tag:
             if self.stack[-1][1] in BLOCKS:
                 self.flush()
@@ -214,6 +246,24 @@ def _widened(page: PageLines, region: int) -> int:
     return region
 
 
+def _alike(page: PageLines, region: int) -> list[int]:
+    """The region with the sections, articles or, of one class, divisions like it beside it:
+    of a section in which it lies, if it has such."""
+    like: dict[tuple, list[int]] = {}
+    for x in range(1, len(page.parent)):
+        like.setdefault((page.parent[x], page.tag_of[x], page.class_of[x]), []).append(x)
+    k = region
+    while k:
+        tag, name = page.tag_of[k], page.class_of[k]
+        beside = like[page.parent[k], tag, name]
+        if len(beside) > 1 and (tag in ("section", "article") or tag == "div" and name):
+            return beside
+        if tag in ("body", "article", "main"):
+            break
+        k = page.parent[k]
+    return [region]
+
+
 def main_text(html: str | None) -> tuple[str, int, int]:
     """The article's text, its lines and the page's lines."""
     page = PageLines()
@@ -235,7 +285,8 @@ def main_text(html: str | None) -> tuple[str, int, int]:
     region = _marked(page, max(k for k, m in enumerate(mass) if m >= REGION_SHARE * total))
     if region is None:
         region = _widened(page, max(k for k, m in enumerate(mass) if m == total))
-    texts = [x[4] for x in lines if not x[3] and region <= x[0] <= page.last[region]]
+    regions = _alike(page, region)
+    texts = [x[4] for x in lines if not x[3] and any(k <= x[0] <= page.last[k] for k in regions)]
     return "\n\n".join(texts), len(texts), len(lines)
 
 
@@ -254,7 +305,7 @@ def extracted(html: Column | str) -> Column:
 
 
 def extract_pages(pages: DataFrame, html: str = "html", into: str = "main") -> DataFrame:
-    """``pages`` with a struct column ``into``; the other columns are untouched."""
+    """``pages`` with a struct column ``into``, in place of one of that name; the others are untouched."""
     return pages.withColumn(into, extracted(html))
 
 

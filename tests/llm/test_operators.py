@@ -282,6 +282,28 @@ def test_round_trip(odd):
     assert all(r.back == want[r.doc_id] for r in rows) and {r.rank for r in rows} == {1, 2}
 
 
+BODY = "A sentence that is long enough to be the text of an article, and then some more words. " * 4
+
+
+@pytest.mark.parametrize("page,want", [
+    (f'<article><div class="entry-header"><h1>Title</h1></div><p>{BODY}</p><p class="legal">Law.</p>'
+     f'<div class="related-work"><p>Earlier work.</p></div><div class="share-buttons">Share</div>'
+     f'<div class="ad-slot">Buy</div><div id="comments"><p>First!</p></div></article>',
+     ["Title", BODY, "Law.", "Earlier work."]),
+    (f"<article><p>{BODY}</p><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>", [BODY, "so x=1 holds"]),
+    (f"<body><span><article><p>{BODY}</p></span><p>After.</p></article></body>", [BODY, "After."]),
+    (f'<body><span class="ad"><p>Buy</span><article><p>{BODY}</p></article></body>', [BODY]),
+    (f"<body><nav>Menu</nav><section><p>{BODY}</p><p>{BODY}</p></section><section><p>Tiny end.</p></section></body>",
+     [BODY, BODY, "Tiny end."]),
+    (f"<body><article><p>{BODY}</p></article><article><p>The second.</p></article><article class='teaser'><p>No.</p>"
+     "</article></body>", [BODY, "The second."]),
+    (f"<body><div>Shop</div><div class='part'><p>{BODY}</p><p>{BODY}</p></div><div class='part'><p>End.</p></div></body>",
+     [BODY, BODY, "End."]),
+])
+def test_html_keeps_the_whole_article(page, want):
+    assert html_extract.main_text(page)[0].split("\n\n") == [x.strip() for x in want]
+
+
 def test_lm_base_and_normalisation(spark):
     sf = SF_SMALL.replace("0.001", "0.01")
     docs = [(r.doc_id, r.text) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
