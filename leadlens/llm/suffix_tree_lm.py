@@ -13,7 +13,7 @@ Both are absolute, so the tree grows with the corpus.  A kept context gives a ne
 all words, ``(c + 1) / (N + V + 1)``, where all unseen words are one symbol.  Every distribution
 sums to one.  A token is scored in the state of its longest kept context.
 
-How it runs: texts become blocks of word codes, a table of the shared folder; very long texts
+How it runs: texts become blocks of word codes, a bucketed table of the shared folder; very long texts
 go on in the next block, which begins with the two words before.  A block sends the sorted
 hashes of its distinct words, pairs, triples or contexts with their sums to the parts that they
 hash to, one row a part; a part adds them up and answers in the same order, so a word or pair
@@ -28,6 +28,7 @@ counts as the empty text for the split; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.llm.common import blocks_for, crc_mod, table, written
+from leadlens.session import ensure_checkpoint_dir
 
 MOD, HELD_OUT = 7, 2
 #: text bytes of a block, and of a stretch that is split into words at once
@@ -131,7 +133,13 @@ def coded(docs: DataFrame, size: int = BLOCK, stretch: int = STRETCH) -> DataFra
                         ("hashes", pa.binary()), ("codes", pa.binary()), ("row", longs),
                         ("doc_id", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
                         ("size", longs), ("past", longs)])
-    return written(docs.select(F.col("doc_id").cast("string"), "held_out", "text").mapInArrow(code, ddl), "coded")
+    # a table in buckets: the later joins on the block move only the answers
+    spark = docs.sparkSession
+    name, buckets = f"coded_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (docs.select(F.col("doc_id").cast("string"), "held_out", "text").mapInArrow(code, ddl).repartition(buckets, "block")
+     .write.bucketBy(buckets, "block").option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadlens-{name}")
+     .saveAsTable(name, format="parquet"))
+    return spark.table(name)
 
 
 class Block:
