@@ -54,7 +54,7 @@ SHARES = np.array([0.0, 0.2, 0.5, 0.8])
 #: training tokens, discounted mass, tokens without a count of their own, gains by share, and the
 #: fraction of each that is sent as one: whole numbers add up alike in any order
 STATS = 3 + len(SHARES)
-UNITS = np.array([1, 1 << 26, 1, *[32] * len(SHARES)])
+UNITS = np.array([1, 1 << 26, 1, *[1 << 16] * len(SHARES)])
 SENT = "part int, kind int, block long, keys binary, sums binary"
 BACK = "block long, kind int, part int, sums binary"
 
