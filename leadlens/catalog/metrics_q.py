@@ -369,12 +369,14 @@ def m26(ctx):
 
 
 @query("m27_weak_channels", f"""SELECT * FROM (SELECT studio_id, utm_source, count(*) AS leads,
+  count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
   count(*) FILTER (WHERE status_id IN {WON}) AS abonements,
+  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS lead_to_booking,
   {PCT(f"count(*) FILTER (WHERE status_id IN {WON})", "count(*)")} AS conversion
-FROM leads GROUP BY ALL) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
+FROM leads_booked GROUP BY ALL) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
 def m27(ctx):
-    """Channels that convert too few leads to subscriptions."""
-    return M.weak_channels(ctx.leads, C.DEFAULT_THRESHOLDS["weak_channel_conversion"])
+    """Channels that convert too few leads to subscriptions, with their bookings."""
+    return M.weak_channels(ctx.leads_booked, C.DEFAULT_THRESHOLDS["weak_channel_conversion"])
 
 
 @query("m28_loss_analysis", """SELECT studio_id, utm_source,
