@@ -251,12 +251,14 @@ def q04(ctx):
 
 
 @query("q07_weak_channels_all", f"""SELECT * FROM (SELECT 'all' AS studio_id, utm_source, count(*) AS leads,
+  count(*) FILTER (WHERE yc_booking_id IS NOT NULL) AS bookings,
   count(*) FILTER (WHERE status_id IN {WON}) AS abonements,
+  {PCT("count(*) FILTER (WHERE yc_booking_id IS NOT NULL)", "count(*)")} AS lead_to_booking,
   {PCT(f"count(*) FILTER (WHERE status_id IN {WON})", "count(*)")} AS conversion
-FROM leads GROUP BY utm_source) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
+FROM leads_booked GROUP BY utm_source) WHERE conversion < {C.DEFAULT_THRESHOLDS['weak_channel_conversion']}""")
 def q07(ctx):
     """weak_channels() across all studios, at the configured threshold."""
-    l = ctx.leads.withColumn("studio_id", F.lit("all"))
+    l = ctx.leads_booked.withColumn("studio_id", F.lit("all"))
     return M.weak_channels(l, C.DEFAULT_THRESHOLDS["weak_channel_conversion"])
 
 
