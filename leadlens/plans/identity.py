@@ -12,6 +12,9 @@ from leadlens.operators.sequence import nearest_match, running_max, seq_number
 from leadlens.session import ensure_checkpoint_dir
 
 
+SOURCES = ["amo", "gsheets", "yclients"]
+
+
 def _records(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame, valid_only: bool = True) -> DataFrame:
     """All records with a valid phone (or simply all), one shape."""
     if valid_only:
@@ -39,12 +42,19 @@ def client_profiles(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame)
     The first source is the source of the earliest record, ties by source name.
     """
     r = _records(leads, bookings, ad_leads)
+    # the first record by source, in values of fixed width only: a struct would make the
+    # aggregate sort all records before its shuffle.  An unknown time comes before all others.
+    own = lambda s: F.col("source") == s
     g = r.groupBy("studio_id", "phone").agg(
-        F.min(F.struct("ts", "source")).alias("_first"),
+        *[F.min(F.when(own(s), F.col("ts"))).alias(f"_first_{s}") for s in SOURCES],
+        *[F.max(own(s) & F.col("ts").isNull()).alias(f"_unknown_{s}") for s in SOURCES],
         F.max("ts").alias("last_seen_at"),
         F.sum("visit").cast("bigint").alias("total_visits"),
         F.sum("revenue").alias("_rev"),
         F.count(F.lit(1)).alias("records"))
+    firsts = F.array(*[F.when(F.col(f"_unknown_{s}") | F.col(f"_first_{s}").isNotNull(), F.struct(
+        F.when(~F.col(f"_unknown_{s}"), F.col(f"_first_{s}")).alias("ts"), F.lit(s).alias("source"))) for s in SOURCES])
+    g = g.withColumn("_first", F.array_min(firsts))
     return g.select(
         F.md5(F.concat_ws(":", "studio_id", "phone")).alias("client_id"), "studio_id", "phone",
         F.col("_first.source").alias("first_source"), F.col("_first.ts").alias("first_seen_at"),
