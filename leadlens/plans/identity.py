@@ -250,8 +250,8 @@ def merged_leads(leads: DataFrame) -> DataFrame:
 
 def client_timeline(leads: DataFrame, bookings: DataFrame, ad_leads: DataFrame) -> DataFrame:
     """I-08: every client's records across the three sources, in time order."""
-    r = _records(leads, bookings, ad_leads).withColumn(
-        "client_id", F.md5(F.concat_ws(":", "studio_id", "phone")))
+    # the text below the client id is the key: it compresses, the digest of 32 digits does not
+    r = _records(leads, bookings, ad_leads).withColumn("_client", F.concat_ws(":", "studio_id", "phone"))
     r = r.withColumn("_tb", F.concat_ws(":", "source", "rec_id"))
-    out = seq_number(r, ["client_id"], "ts", "_tb", out="seq")
-    return out.select("client_id", "studio_id", "ts", "source", "rec_id", "seq")
+    out = seq_number(r, ["_client"], "ts", "_tb", out="seq")
+    return out.select(F.md5("_client").alias("client_id"), "studio_id", "ts", "source", "rec_id", "seq")
