@@ -25,14 +25,17 @@ chosen by name, others are dropped; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadlens.llm.common import table
+from leadlens.llm.common import settings, table, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 K = 2
@@ -40,7 +43,9 @@ SEED = 11
 POWER = 1.0
 SHIFT = 10.0
 BYTE_RANK = 4.0  # a byte piece counts as this many times the last rank
-UNITS = 200_000
+UNITS = 20_000
+#: rows of a batch in the pipeline: tasks hold a batch of texts on both sides of the Arrow stream
+BATCH_ROWS = 500
 SPACE = "▁"
 HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 #: range of a Gumbel number made from a 52-bit uniform one
@@ -426,6 +431,16 @@ def _log_inclusion(log_p: float, threshold: float) -> float:
     return float(np.log(-np.expm1(-np.exp(min(z, 700.0)))))
 
 
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts; only a run's texts and lattices are held at a time."""
+    at, units = 0, 0
+    for end, size in enumerate(pc.utf8_length(texts).to_pylist(), 1):
+        units += (size or 0) // 5
+        if units >= UNITS or end == len(texts):
+            yield at, end
+            at, units = end, 0
+
+
 def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list[str] | None = None,
                    k: int = K, seed: int = SEED, model: str | dict = MODEL, back: str | None = None) -> DataFrame:
     """Rows (carried columns, rank, ids, log_prob, perturbed, log_inclusion), ``k`` a text;
@@ -444,14 +459,8 @@ def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list
     def run(batches):
         sampler, decoder = Sampler(pieces.value, k, seed), Decoder(pieces.value) if back else None
         for batch in batches:
-            texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
-            at = 0
-            while at < len(texts):
-                end, units = at, 0
-                while end < len(texts) and (end == at or units < UNITS):
-                    units += len(texts[end] or "") // 5
-                    end += 1
-                rows, ids, per = sampler.sample(texts[at:end], keys[at:end])
+            for at, end in _runs(batch.column("text")):
+                rows, ids, per = sampler.sample(*(batch.column(c)[at:end].to_pylist() for c in ("text", "key")))
                 texts_back = [pa.array([decoder.text(x) for x in np.split(ids, np.cumsum(per)[:-1])][:len(rows)],
                                        pa.string())] if back else []
                 yield pa.RecordBatch.from_arrays([
@@ -461,7 +470,6 @@ def encode_samples(docs: DataFrame, key: Column, text: str = "text", carry: list
                                              pa.array(ids)),
                     *[pa.array([x[c] for x in rows], pa.float64()) for c in (2, 3, 4)], *texts_back],
                     names=schema.names)
-                at = end
 
     out = d.mapInArrow(run, schema)
     return out.select(*([F.col("row")[c].alias(c) for c in carry]), "rank", "ids", "log_prob", "perturbed",
@@ -512,9 +520,11 @@ def decoded(rows: DataFrame, ids: str = "ids", into: str = "text", model: str |
 def encoded_docs(docs: DataFrame) -> DataFrame:
     """Last pipeline stage: the sampled segmentations of every row's text."""
     key = F.xxhash64("doc_id", "text")
-    return encode_samples(docs, key, carry=["doc_id"]).select(
+    out = encode_samples(docs, key, carry=["doc_id"]).select(
         "doc_id", "rank", F.size("ids").cast("long").alias("n_pieces"), "ids", "log_prob", "perturbed",
         "log_inclusion")
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        return written(out, "encoded")
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
