@@ -33,10 +33,9 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -97,7 +96,14 @@ class _Words:
         self.hash = _mix(_mix(word + (self.end - self.start).astype(_U)) + salt[self.doc])
 
     def text(self, first: int, n: int) -> bytes:
-        return b" ".join(self.data[self.start[first]:self.end[first + n - 1]].split())
+        return self.texts(np.array([first]), n)[0]
+
+    def texts(self, first: np.ndarray, n: int) -> list[bytes]:
+        """The phrases of ``n`` words that begin at the words ``first``, a space between words."""
+        start, end = self.start[first], self.end[first + n - 1]
+        words = sum((self.end[first + k] - self.start[first + k] for k in range(n)), np.int64(n - 1))
+        return [self.data[a:b] if plain else b" ".join(self.data[a:b].split())
+                for a, b, plain in zip(start.tolist(), end.tolist(), (end - start == words).tolist())]
 
 
 def _chunks(texts: list[str], salt: np.ndarray, chunk: int) -> Iterator[_Words]:
@@ -144,7 +150,9 @@ class _Counts:
 
     def __init__(self, parts: int):
         self.parts, self.hashes, self.counts, self.size = parts, [], [], 0
-        self.phrases: dict[int, list] = {}  # by hash: part, language, text, count
+        # phrases: their hashes in order, the number, language and count of each, texts by number
+        self.known, self.number, self.cnt = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.langs, self.phrases = np.zeros(0, object), []
 
     def part(self, h: np.ndarray) -> np.ndarray:
         return ((h >> _U(32)) * _U(self.parts)) >> _U(32)
@@ -157,11 +165,19 @@ class _Counts:
 
     def by_text(self, h: np.ndarray, at: np.ndarray, w: _Words, n: int, langs: np.ndarray) -> None:
         got, first, cnt = np.unique(h, return_index=True, return_counts=True)
-        for x, part, i, c in zip(got.tolist(), self.part(got).tolist(), at[first].tolist(), cnt.tolist()):
-            if (known := self.phrases.get(x)) is None:
-                self.phrases[x] = [part, langs[w.doc[i]], w.text(i, n), c]
-            else:
-                known[3] += c
+        place = np.searchsorted(self.known, got)
+        old = place < len(self.known)
+        old[old] = self.known[place[old]] == got[old]
+        self.cnt[place[old]] += cnt[old].astype(np.uint32)
+        new, place = ~old, place[~old]
+        if not len(place):
+            return
+        found = at[first[new]]
+        number = len(self.phrases) + np.arange(len(place))
+        self.phrases += w.texts(found, n)
+        self.known, self.number, self.langs, self.cnt = (np.insert(a, place, b) for a, b in (
+            (self.known, got[new]), (self.number, number), (self.langs, langs[w.doc[found]]),
+            (self.cnt, cnt[new].astype(np.uint32))))
         self.size = 8 * len(self.phrases)  # each takes as much memory as some hashes
 
     def rows(self) -> Iterator[pa.RecordBatch]:
@@ -174,9 +190,17 @@ class _Counts:
             yield from _blocks([(int(part[i]), None, low[i:k].tobytes(), cnt[i:k].tobytes())
                                 for i, k in zip(cuts, cuts[1:])])
         if self.phrases:
-            found = sorted(self.phrases.values())
-            yield from _blocks([(*at, b"\n".join(x[2] for x in own), np.array([x[3] for x in own], np.uint32).tobytes())
-                                for at, own in ((at, list(g)) for at, g in groupby(found, itemgetter(0, 1)))])
+            part, (lang, names) = self.part(self.known).astype(np.int64), pd.factorize(self.langs)
+            order = np.lexsort((lang, part))
+            cuts = np.flatnonzero(np.diff(part[order] * len(names) + lang[order], prepend=-1, append=-1)).tolist()
+            out = []
+            for i, k in zip(cuts, cuts[1:]):
+                own, at = order[i:k], order[i]
+                # neighbours in the order of texts are alike, which compresses
+                own = own[sorted(range(len(own)), key=[self.phrases[x] for x in self.number[own].tolist()].__getitem__)]
+                out.append((int(part[at]), names[lang[at]], b"\n".join([self.phrases[x] for x in self.number[own].tolist()]),
+                            self.cnt[own].tobytes()))
+            yield from _blocks(out)
         self.__init__(self.parts)
 
 
