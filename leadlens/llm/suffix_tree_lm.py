@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlens.llm.common import blocks_for, crc_mod, table, written
+from leadlens.llm.common import blocks_for, crc_mod, shuffles_freed, table, written
 from leadlens.session import ensure_checkpoint_dir
 
 MOD, HELD_OUT = 7, 2
@@ -136,9 +136,10 @@ def coded(docs: DataFrame, size: int = BLOCK, stretch: int = STRETCH) -> DataFra
     # a table in buckets: the later joins on the block move only the answers
     spark = docs.sparkSession
     name, buckets = f"coded_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (docs.select(F.col("doc_id").cast("string"), "held_out", "text").mapInArrow(code, ddl).repartition(buckets, "block")
-     .write.bucketBy(buckets, "block").option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadlens-{name}")
-     .saveAsTable(name, format="parquet"))
+    with shuffles_freed(spark):
+        (docs.select(F.col("doc_id").cast("string"), "held_out", "text").mapInArrow(code, ddl).repartition(buckets, "block")
+         .write.bucketBy(buckets, "block").option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadlens-{name}")
+         .saveAsTable(name, format="parquet"))
     return spark.table(name)
 
 
@@ -179,11 +180,12 @@ class Block:
             keys = {PAIR: self.pair, TRIPLE: self.triple, ONE: np.roll(self.hashes[self.codes], 1),
                     TWO: np.roll(self.pair, 1)}[kind][at]
             keys, back = np.unique(keys, return_inverse=True)
-        part = ((keys >> _U(20)) % _U(self.parts)).astype(np.int64)
-        order = np.lexsort((keys, part))
+        # parts are ranges of hashes: steps between a block's keys do not widen with the number of parts
+        order = np.argsort(keys)
         rank = np.empty(len(keys), dtype=np.int64)
         rank[order] = np.arange(len(keys))
-        return at, keys[order], rank[back], np.searchsorted(part[order], np.arange(self.parts + 1))
+        part = ((keys[order] >> _U(32)) * _U(self.parts)) >> _U(32)
+        return at, keys[order], rank[back], np.searchsorted(part, np.arange(self.parts + 1, dtype=_U))
 
     def send(self, kind: int) -> list[tuple]:
         at, keys, back, bounds = self._distinct(kind)
@@ -191,7 +193,9 @@ class Block:
         columns = [on] if kind < ONE else [on, *(c[at] * on for c in self._stats(kind))]
         sums = np.stack([np.bincount(back, c, len(keys)) for c in columns], axis=1)
         sums = np.rint(sums * UNITS[:sums.shape[1]]).astype(np.int64)
-        return [(p, kind, self.id, _pack(np.diff(keys[lo:hi], prepend=_U(0))), _pack(sums[lo:hi].T.ravel()))
+        # keys are sent as steps from the first hash of their part
+        first = [_U(-(-(p << 32) // self.parts) << 32) for p in range(self.parts)]
+        return [(p, kind, self.id, _pack(np.diff(keys[lo:hi], prepend=first[p])), _pack(sums[lo:hi].T.ravel()))
                 for p, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])) if hi > lo]
 
     def _stats(self, kind: int) -> list[np.ndarray]:
@@ -245,7 +249,7 @@ def _answers(part: pd.DataFrame) -> pd.DataFrame:
     """Sums of a part, answered to every block in the order of its keys."""
     out = []
     for kind, g in part.groupby("kind"):
-        keys = [np.cumsum(_unpack(k, _U), dtype=_U) for k in g["keys"]]
+        keys = [np.cumsum(_unpack(k, _U), dtype=_U) for k in g["keys"]]  # within the part
         width = 1 if kind < ONE else STATS
         sums = np.concatenate([_unpack(s, np.int64).reshape(width, -1).T for s in g["sums"]])
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
