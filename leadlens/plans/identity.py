@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,6 +183,10 @@ def assign_by_time(left: DataFrame, right: DataFrame, hours: int = 24, min_sim:
     leave, and so on.  That order is reached by rounds of mutual best pairs: in each round
     every record finds its best partner, and pairs that chose each other are taken.
 
+    Equal names rank before all others, so they are settled first, by as-of joins on the name;
+    similar names are looked for only among the records that are left.  A record without a
+    partner in a round has none later either and leaves the rounds.
+
     No table of record pairs is made.  Similar names are found among the distinct names of a
     studio and day (neighbour days on the right side); a record meets each similar name
     once, by an as-of join that gives the nearest record of that name.  A name or a day that
@@ -191,31 +196,55 @@ def assign_by_time(left: DataFrame, right: DataFrame, hours: int = 24, min_sim:
     l = left.filter("name IS NOT NULL AND ts IS NOT NULL").select("studio_id", "rec_id", "name", "ts")
     r = right.filter("name IS NOT NULL AND ts IS NOT NULL").select("studio_id", "rec_id", "name", "ts")
     day = lambda d: d.withColumn("_d", F.to_date("ts"))
-    near = r.withColumn("_d", F.explode(F.sequence(F.date_sub(F.to_date("ts"), span), F.date_add(F.to_date("ts"), span))))
-    names = _written(_similar_names(day(l), near.withColumnRenamed("name", "other"), ["studio_id", "_d"], min_sim))
-    back = names.select("studio_id", F.explode(F.sequence(F.date_sub("_d", span), F.date_add("_d", span))).alias("_d"),
-                        F.col("other").alias("name"), F.col("name").alias("other"), "similarity").distinct()
-
-    def best(a: DataFrame, b: DataFrame, names: DataFrame, own: str, partner: str) -> DataFrame:
-        cand = day(a).join(names, ["studio_id", "_d", "name"]).select(
-            "studio_id", "rec_id", "ts", F.col("other").alias("name"), "similarity")
+
+    def best(a: DataFrame, b: DataFrame, names: DataFrame | None, own: str, partner: str) -> DataFrame:
+        if names is None:
+            cand = a.withColumn("similarity", F.lit(1.0))
+        else:
+            cand = day(a).join(names, ["studio_id", "_d", "name"]).select(
+                "studio_id", "rec_id", "ts", F.col("other").alias("name"), "similarity")
         found = nearest_match(cand, b, ["studio_id", "name"], "ts", "rec_id", out="_m")
         found = found.filter(F.col("_m.us") <= hours * 3_600_000_000)
         return found.groupBy("studio_id", F.col("rec_id").alias(own)).agg(F.min(F.struct(
             (-F.col("similarity")).alias("s"), F.col("_m.us").alias("us"), F.col("_m.tb").alias("tb"))).alias("_b")).select(
             "studio_id", own, F.col("_b.tb").alias(partner), (-F.col("_b.s")).alias("similarity"))
 
-    taken = None
-    while True:
-        mine = best(l, r, names, "rec_id", "r_id")
-        theirs = best(r, l, back, "r_id", "rec_id").drop("similarity")
-        mutual = _written(mine.join(theirs, ["studio_id", "rec_id", "r_id"]))
-        if mutual.isEmpty():
-            break
-        taken = mutual if taken is None else taken.unionByName(mutual)
-        l = _written(l.join(mutual.select("studio_id", "rec_id"), ["studio_id", "rec_id"], "left_anti"))
-        r = _written(r.join(mutual.select("studio_id", F.col("r_id").alias("rec_id")), ["studio_id", "rec_id"], "left_anti"))
-    return (mutual if taken is None else taken).select("studio_id", "rec_id", "r_id", F.round("similarity", 4).alias("similarity"))
+    def without(a: DataFrame, taken: DataFrame, own: str) -> DataFrame:
+        return a.join(taken.select("studio_id", F.col(own).alias("rec_id")), ["studio_id", "rec_id"], "left_anti")
+
+    def able(a: DataFrame, found: DataFrame, own: str) -> DataFrame:
+        f = found.select(F.col("studio_id").alias("_s"), F.col(own).alias("_r"))
+        return a.join(f, F.col("studio_id").eqNullSafe(F.col("_s")) & F.col("rec_id").eqNullSafe(F.col("_r")), "left_semi")
+
+    def rounds(l: DataFrame, r: DataFrame, names: DataFrame | None = None, back: DataFrame | None = None) -> list[DataFrame]:
+        taken = []
+        while True:
+            mine = _written(best(l, r, names, "rec_id", "r_id"))
+            theirs = _written(best(r, l, back, "r_id", "rec_id"))
+            mutual = _written(mine.join(theirs.drop("similarity"), ["studio_id", "rec_id", "r_id"]))
+            if mutual.isEmpty():
+                return taken or [mutual]
+            taken.append(mutual)
+            l = _written(without(able(l, mine, "rec_id"), mutual, "rec_id"))
+            r = _written(without(able(r, theirs, "r_id"), mutual, "r_id"))
+            if l.isEmpty() or r.isEmpty():
+                return taken
+
+    taken = []
+    l, r = _written(l), _written(r)
+    if min_sim < 1:
+        taken = rounds(l, r)
+        for t in taken:
+            l, r = without(l, t, "rec_id"), without(r, t, "r_id")
+        l, r = _written(l), _written(r)
+    if not taken or not (l.isEmpty() or r.isEmpty()):
+        near = r.withColumn("_d", F.explode(F.sequence(F.date_sub(F.to_date("ts"), span), F.date_add(F.to_date("ts"), span))))
+        names = _written(_similar_names(day(l), near.withColumnRenamed("name", "other"), ["studio_id", "_d"], min_sim))
+        back = names.select("studio_id", F.explode(F.sequence(F.date_sub("_d", span), F.date_add("_d", span))).alias("_d"),
+                            F.col("other").alias("name"), F.col("name").alias("other"), "similarity").distinct()
+        taken += rounds(l, r, names, back)
+    return reduce(DataFrame.unionByName, taken).select(
+        "studio_id", "rec_id", "r_id", F.round("similarity", 4).alias("similarity"))
 
 
 def _written(df: DataFrame) -> DataFrame:
