@@ -11,9 +11,9 @@ so copies never multiply.  Between classes, every link is found:
 * tiles: classes that share such a hash form a tile, cut into size bands by the rule that
   linked sets differ in size by that percentage at most; of a pair in a tile, the places of
   the common hash in both orders bound the overlap too;
-* bitmaps: each set has a signature of hashed bits, a few per n-gram (folded to
-  ``TILE_BITS`` inside tiles).  Bits that differ between two
+* bitmaps: each set has a signature of hashed bits, a few per n-gram.  Bits that differ between two
   signatures bound the overlap from above; pairs below the needed overlap fall out;
+  inside tiles ``TILE_BITS`` parities do the same, which hold in large sets too;
 * what is left is decided by the exact intersection of the sorted arrays.
 
 Links are only needed between classes that are not connected yet.  A first round holds each
@@ -129,15 +129,14 @@ def needed_prefix(size: int, percent: int = PERCENT) -> int:
 
 def _signature(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed bitmap as longs: a power of two of bits, four to eight per hash and at least
-    4 ``TILE_BITS``; and the same folded to ``TILE_BITS``."""
+    4 ``TILE_BITS``; and ``TILE_BITS`` parities, of the number of hashes at each place: a hash
+    that one set has and the other has not turns one of them, so they do not fill up in large sets."""
     bits = max(4 * TILE_BITS, 1 << (4 * len(grams) - 1).bit_length())
     at = (grams >> np.uint64(20)).astype(np.int64)
-    out = []
-    for size in (bits, TILE_BITS):
-        set_ = np.zeros(size, dtype=bool)
-        set_[at & (size - 1)] = True
-        out.append(np.packbits(set_, bitorder="little").view(np.int64))
-    return out[0], out[1]
+    set_ = np.zeros(bits, dtype=bool)
+    set_[at & (bits - 1)] = True
+    odd = np.bincount(at & (TILE_BITS - 1), minlength=TILE_BITS) & 1
+    return tuple(np.packbits(x.astype(bool), bitorder="little").view(np.int64) for x in (set_, odd))
 
 
 def _class_hash(grams: np.ndarray) -> tuple[int, int]:
@@ -227,7 +226,7 @@ def _set_rows(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], n: int,
 
 
 def _tile_bound(a: str, b: str, words: int):
-    """Upper bound of the overlap from sizes and differing bits of the folded signatures."""
+    """Upper bound of the overlap from sizes and differing parities."""
     x, y = F.col(f"{a}.fold"), F.col(f"{b}.fold")
     differ = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(words)), F.lit(0))
     return F.floor((F.col(f"{a}.n") + F.col(f"{b}.n") - differ) / 2)
@@ -321,7 +320,7 @@ def _narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _tile_narrowed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the pairs that the folded signatures leave open."""
+    """(a, b): the pairs that the parities leave open."""
     slim = classes.select("rid", "n", "fold")
     return (pairs.join(slim.alias("x"), F.col("a") == F.col("x.rid")).join(slim.alias("y"), F.col("b") == F.col("y.rid"))
             .filter(_links("x", "y", _tile_bound("x", "y", TILE_BITS // 64), percent)).select("a", "b"))
@@ -347,13 +346,14 @@ def _members(d: DataFrame, n: int, percent: int) -> DataFrame:
     # round 1: stars
     draws = [F.xxhash64("rid", F.lit(k)) for k in range(HEADS)]
     heads = (tiles.groupBy("gram").agg(*[F.min_by(c, draw).alias(f"{c}{k}") for k, draw in enumerate(draws)
-                                         for c in ("rid", "n")])
+                                         for c in ("rid", "n", "place")])
              .select("gram", F.explode(F.array_distinct(F.array(*[
-                 F.struct(F.col(f"rid{k}").alias("b"), F.col(f"n{k}").alias("size")) for k in range(HEADS)]))).alias("h")))
+                 F.struct(F.col(f"rid{k}").alias("b"), F.col(f"n{k}").alias("n"), F.col(f"place{k}").alias("place"))
+                 for k in range(HEADS)]))).alias("h")))
     nth = F.row_number().over(Window.partitionBy("rid").orderBy(F.xxhash64("gram"), "gram"))
     star = (tiles.withColumn("nth", nth).filter(F.col("nth") <= STARS).join(heads, "gram")
-            .filter((F.col("rid") != F.col("h.b"))
-                    & (100 * F.least("n", "h.size") >= percent * F.greatest("n", "h.size")))
+            .select("rid", "h", F.struct("n", "place").alias("m"))
+            .filter((F.col("rid") != F.col("h.b")) & _links("m", "h", _place_bound("m", "h"), percent))
             .select(F.col("rid").alias("a"), F.col("h.b").alias("b")).distinct())
     star = _tile_narrowed(star, classes, percent)
     # a member has STARS x HEADS heads at most and keeps the most promising ones
